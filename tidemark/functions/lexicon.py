@@ -17,18 +17,20 @@ BEAR_WORDS = (
 URGENCY_WORDS = ("now", "today", "alert", "immediate", "intraday", "urgent", "live")
 
 
-def _words(content: Column) -> Column:
-    """Words of normalised text: only single spaces separate them."""
-    return F.split(F.lower(content), " ")
+def words_of(content: Column) -> Column:
+    """Lower-cased words of normalised text, where only single spaces separate words."""
+    return F.filter(F.split(F.lower(content), " "), lambda word: word != "")
 
 
-def _hits(content: Column, lexicon: Iterable[str]) -> Column:
+def matches(words: Column, lexicon: Iterable[str]) -> Column:
+    """The words found in a lexicon, repeats included. Punctuation is not stripped."""
     listed = sorted(set(lexicon))
-    return F.size(F.filter(_words(content), lambda word: word.isin(listed)))
+    return F.filter(words, lambda word: word.isin(listed))
 
 
-def _per_word(hits: Column, content: Column) -> Column:
-    return F.when(content == "", F.lit(0.0)).otherwise(hits / F.size(_words(content)))
+def share(hits: Column, words: Column) -> Column:
+    """Hits per word, 0 for empty text."""
+    return hits / F.greatest(F.size(words), F.lit(1))
 
 
 def lexicon_polarity(
@@ -36,13 +38,15 @@ def lexicon_polarity(
     bull: Iterable[str] = BULL_WORDS,
     bear: Iterable[str] = BEAR_WORDS,
 ) -> Column:
-    """(bull words - bear words) / words, 0 for empty text. Punctuation is not stripped."""
-    return _per_word(_hits(content, bull) - _hits(content, bear), content)
+    """(bull words - bear words) / words."""
+    words = words_of(content)
+    return share(F.size(matches(words, bull)) - F.size(matches(words, bear)), words)
 
 
 def urgency_score(content: Column, urgent: Iterable[str] = URGENCY_WORDS) -> Column:
-    """Urgent words / words, 0 for empty text."""
-    return _per_word(_hits(content, urgent), content)
+    """Urgent words / words."""
+    words = words_of(content)
+    return share(F.size(matches(words, urgent)), words)
 
 
 def engagement(likes: Column, retweets: Column, replies: Column) -> Column:

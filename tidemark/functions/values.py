@@ -81,7 +81,8 @@ def to_utc(
 
 
 def _nanos_to_utc(nanos: Column) -> Column:
-    return F.timestamp_micros(F.floor(nanos / F.lit(1000)).cast("bigint"))
+    # Decimal division: nanoseconds since 1970 do not fit a double.
+    return F.timestamp_micros(F.floor(nanos.cast("decimal(19,0)") / F.lit(1000)).cast("bigint"))
 
 
 def printed_time(ts: Column) -> Column:
