@@ -13,6 +13,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 # The 31-bit Lehmer generator ("minimal standard").
 LEHMER_PRIME = 2_147_483_647
@@ -58,13 +59,13 @@ def replicate_sums(
     so that the rows are read once.
     """
     factors = F.array(*[F.lit(f).cast("bigint") for f in [0, *multipliers(replicates)]])
-    seeded = rows.where(F.col("_x").isNotNull()).select(*groups, "_x", row_seed(key).alias("_seed"))
+    seeded = rows.select(*groups, "_x", row_seed(key).alias("_seed"))
     drawn = seeded.select(*groups, "_x", "_seed", F.posexplode(factors).alias("_b", "_factor"))
     draw = F.col("_seed") * F.col("_factor") % F.lit(LEHMER_PRIME)
+    weight = F.when(F.col("_x").isNull(), F.lit(0)).when(F.col("_b") == 0, F.lit(1))
     weighted = drawn.select(
-        *groups, "_x", (F.col("_b") - 1).alias("_b"),
-        F.when(F.col("_b") == 0, F.lit(1)).otherwise(poisson_weight(draw)).alias("_w"),
-    ).where("_w > 0")
+        *groups, "_x", (F.col("_b") - 1).alias("_b"), weight.otherwise(poisson_weight(draw)).alias("_w")
+    ).where("_w > 0 or _b = -1")
     return weighted.groupBy(*groups, "_b").agg(
         F.sum("_w").alias("_w"), F.sum(F.col("_w") * F.col("_x")).alias("_wx")
     )
@@ -79,7 +80,7 @@ def poisson_intervals(
 ) -> DataFrame:
     """Mean, count and interval of ``_x`` per group."""
     plain = F.col("_b") == -1
-    mean = F.col("_wx") / F.col("_w")
+    mean = F.when(F.col("_w") > 0, F.col("_wx") / F.col("_w"))
     ends = F.percentile(F.when(~plain, mean), [alpha / 2, 1 - alpha / 2])
     return (
         replicate_sums(rows, groups, key, replicates)
@@ -106,8 +107,6 @@ def exact_intervals(
     Larger groups get Poisson intervals over all their rows, so no task ever
     holds more than ``limit`` rows of a group.
     """
-    from pyspark.sql import types as T
-
     sizes = rows.groupBy(*groups).agg(F.count("_x").alias("_size"))
     # Null-safe: a group column may be null. The reduction in size comes first,
     # so the rows of large groups never enter the grouped shuffle.
