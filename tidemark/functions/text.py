@@ -111,9 +111,8 @@ def word_tokens(text: Column) -> Column:
 
 def with_bigrams(tokens: Column) -> Column:
     """The tokens followed by all pairs of neighbours, joined by one space."""
-    pairs = F.zip_with(
-        F.slice(tokens, F.lit(1), F.greatest(F.size(tokens) - 1, F.lit(0))),
-        F.slice(tokens, F.lit(2), F.greatest(F.size(tokens) - 1, F.lit(0))),
-        lambda left, right: F.concat_ws(" ", left, right),
+    later = F.slice(tokens, F.lit(2), F.greatest(F.size(tokens) - 1, F.lit(0)))
+    pairs = F.transform(
+        later, lambda token, i: F.concat(F.get(tokens, i), F.lit(" "), token)
     )
     return F.concat(tokens, pairs)

@@ -67,6 +67,16 @@ def run_folder(spark: SparkSession, label: str) -> str:
     return f"{shared_folder(spark).rstrip('/')}/{label}-{uuid.uuid4().hex}"
 
 
+def spread(scan: DataFrame) -> DataFrame:
+    """Deal out a file scan that has fewer splits than the session has cores.
+
+    For heavy work per row on small or badly split files; larger scans pass
+    through untouched. Meant for plain scans, where counting splits runs nothing.
+    """
+    cores = scan.sparkSession.sparkContext.defaultParallelism
+    return scan.repartition(cores) if scan.rdd.getNumPartitions() < cores else scan
+
+
 def settle(df: DataFrame) -> DataFrame:
     """Compute a small result once and cut its lineage with a reliable checkpoint."""
     shared_folder(df.sparkSession)
