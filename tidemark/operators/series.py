@@ -23,8 +23,8 @@ def sort_by_time(df: DataFrame, then: Sequence[str] = ()) -> DataFrame:
     return df.orderBy("timestamp", *then)
 
 
-def numbered(df: DataFrame, order_by: Sequence[str]) -> DataFrame:
-    """Add ``_index``, the row's place in the sorted table, counted from 0.
+def numbered(df: DataFrame, order_by: Sequence[str]) -> tuple[DataFrame, int]:
+    """The table with ``_index``, a row's place in sorted order from 0, and its size.
 
     The table is range-partitioned and sorted once and kept. Each partition
     counts its own rows; the running totals (one row per partition) are added to
@@ -41,12 +41,13 @@ def numbered(df: DataFrame, order_by: Sequence[str]) -> DataFrame:
         total += row["n"]
     offsets = df.sparkSession.createDataFrame(starts, "_part bigint, _start bigint")
     local = F.col("_place").bitwiseAND((1 << _LOCAL_BITS) - 1)
-    return (
+    indexed = (
         placed.withColumn("_part", part)
         .join(F.broadcast(offsets), "_part")
         .withColumn("_index", F.col("_start") + local)
         .drop("_place", "_part", "_start")
     )
+    return indexed, total
 
 
 def downsample(
@@ -55,13 +56,13 @@ def downsample(
     """At most ``target`` rows at even distances, first and last included."""
     if target < 2:
         raise ValueError("target must be at least 2")
-    indexed = numbered(df, order_by)
-    total = F.lit(indexed.count())
-    step = (total - 1).cast("double") / F.lit(float(target - 1))
+    indexed, total = numbered(df, order_by)
+    if total <= target:
+        return indexed.drop("_index")
+    step = F.lit((total - 1) / (target - 1))
     wanted = df.sparkSession.range(target).select(
-        F.when(F.col("id") == target - 1, total - 1)
+        F.when(F.col("id") == target - 1, F.lit(total - 1))
         .otherwise(F.floor(F.col("id").cast("double") * step))
         .cast("bigint").alias("_index")
     )
-    # Fewer rows than wanted places: every row is a wanted one.
-    return indexed.join(F.broadcast(wanted.distinct()), "_index", "left_semi").drop("_index")
+    return indexed.join(F.broadcast(wanted), "_index", "left_semi").drop("_index")
