@@ -31,10 +31,9 @@ def drop_repeats(
     if scope not in ("file", "global"):
         raise ValueError(f"scope must be 'file' or 'global', not {scope!r}")
     if order_by is None:
-        order_by = ["_file_order"] if "_file_order" in posts.columns else ["scraped_at", "likes"]
-    if scope == "file":
-        return first_rows(posts, ["source_file", "uid"], order_by)
-    return first_rows(posts, ["uid"], ["source_file", *order_by])
+        placed = "_file_order" in posts.columns
+        order_by = ["source_file", "_file_order"] if placed else ["source_file", "scraped_at", "likes"]
+    return first_rows(posts, ["source_file", "uid"] if scope == "file" else ["uid"], order_by)
 
 
 def drop_same_content(
