@@ -76,7 +76,7 @@ def clean_view(posts: DataFrame) -> DataFrame:
 
 # ---- columns ---------------------------------------------------------------
 
-_DECOMPOSED = "replace(text, chr(233), concat('e', chr(769)))"
+_DECOMPOSED = "replace(text, chr(233), 'e\u0301')"
 
 
 @register("normalized_text", f"""

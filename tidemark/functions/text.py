@@ -24,9 +24,13 @@ _ITEM_BREAK = "\x1f"
 def _compose_udf():
     @F.arrow_udf(T.StringType())
     def compose(texts: pa.Array) -> pa.Array:
-        import pyarrow.compute as pc
+        # Not Arrow's utf8_normalize: its "NFC" leaves texts decomposed.
+        import unicodedata
 
-        return pc.utf8_normalize(texts, form="NFC")
+        return pa.array(
+            [None if t is None else unicodedata.normalize("NFC", t) for t in texts.to_pylist()],
+            pa.string(),
+        )
 
     return compose
 

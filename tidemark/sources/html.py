@@ -154,7 +154,7 @@ def page_parts(
     keep = list(keep)
     schema = ", ".join([
         *[f"`{c}` {pages.schema[c].dataType.simpleString()}" for c in keep],
-        "post_no int, username string, timestamp string, content string",
+        "page_post int, username string, timestamp string, content string",
         *[f"{name} string" for name in layout.counters],
         "user_texts array<string>, tag_texts array<string>, links array<string>",
     ])
@@ -163,7 +163,7 @@ def page_parts(
     def walk(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             found = [
-                {**{c: row[c] for c in keep}, "post_no": i, **parts}
+                {**{c: row[c] for c in keep}, "page_post": i, **parts}
                 for row in batch.to_dict("records")
                 for i, parts in enumerate(_parts(row[html], layout))
             ]
@@ -183,7 +183,7 @@ def extract_posts(
     parts = page_parts(pages, keep, html, layout)
     seen = F.current_timestamp() if scraped_at is None else scraped_at
     posts = parts.select(
-        *keep, "post_no", "username", "timestamp", "content",
+        *keep, "page_post", "username", "timestamp", "content",
         *[values.parse_metric(F.coalesce(c, F.lit(""))).alias(c) for c in layout.counters],
         F.array_join(F.filter("user_texts", lambda t: t.startswith("@")), ", ").alias("mentions"),
         F.array_join("tag_texts", ", ").alias("hashtags"),

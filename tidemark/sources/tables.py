@@ -104,4 +104,10 @@ def write_csv_by_hashtag(posts: DataFrame, path: str, mode: str = "error") -> No
 
 def write_stats_by_hashtag(stats: DataFrame, path: str, mode: str = "error") -> None:
     """Summary numbers as JSON, one folder per hashtag; the hashtag is kept in the record too."""
-    stats.withColumn("tag", F.col("hashtag")).write.mode(mode).partitionBy("tag").json(path)
+    (
+        stats.withColumn("tag", F.col("hashtag"))
+        .write.mode(mode)
+        .option("timestampFormat", "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX")
+        .partitionBy("tag")
+        .json(path)
+    )
