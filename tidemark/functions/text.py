@@ -12,10 +12,10 @@ from pyspark.sql import types as T
 # What a word character is, and which characters separate words.
 WORD = r"\p{L}\p{N}_"
 MARKS = r"\p{M}"
-BLANKS = r"\x00-\x20\x7f-\xa0  -     　"
+BLANKS = r"\x00-\x20\x7f-\xa0\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}"
 
 # Text made only of characters below U+0300 is always in composed form already.
-_MAY_NEED_COMPOSING = r"[^\x00-˿]"
+_MAY_NEED_COMPOSING = r"[^\x00-\x{2ff}]"
 
 _ITEM_BREAK = "\x1f"
 

@@ -51,7 +51,7 @@ def _first_lines(spark: SparkSession, paths: Sequence[str]) -> list:
             F.monotonically_increasing_id().alias("row"),
         ).alias("at"),
         # A byte-order mark or trailing CR is not part of the line.
-        F.regexp_replace("value", "^﻿|\r$", "").alias("line"),
+        F.regexp_replace("value", r"^\x{feff}|\r$", "").alias("line"),
     ).where(F.trim("line") != "")
     return lines.groupBy("path").agg(F.min_by("line", "at").alias("line")).select(
         "path",
