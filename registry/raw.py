@@ -12,8 +12,8 @@ from pyspark.sql import DataFrame, SparkSession
 from tidemark.session import configure, spread
 
 _DIALECTS = {
-    "spark": {"S": "string", "MICROS": "timestamp_micros"},
-    "duckdb": {"S": "varchar", "MICROS": "make_timestamp"},
+    "spark": {"S": "string", "MICROS": "timestamp_micros", "EXPLODE": "explode", "SERIES": "sequence"},
+    "duckdb": {"S": "varchar", "MICROS": "make_timestamp", "EXPLODE": "unnest", "SERIES": "generate_series"},
 }
 
 _LEAD = """case {id} % 12 when 0 then 'Buy now' when 1 then 'SELL' when 2 then 'breakout rally today'
@@ -40,9 +40,8 @@ with authored as (
     concat(""" + _LEAD.format(id="(conv_id + turn)") + """, chr(10), text, ' #Talk @', role)
   from conversations
 ), crawled as (
-  select *, 0 as copy_no from authored
-  union all
-  select *, 1 as copy_no from authored where kind in ('click', 'de', 'user')
+  select *, {EXPLODE}({SERIES}(0, case when kind in ('click', 'de', 'user') then 1 else 0 end)) as copy_no
+  from authored
 )
 select origin, post_no, copy_no, username,
   case post_no % 17 when 0 then concat(replace(cast(made as {S}), ' ', 'T'), 'Z')

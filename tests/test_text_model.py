@@ -1,0 +1,81 @@
+import math
+import re
+from collections import Counter
+
+import numpy as np
+import pytest
+from pyspark.sql import functions as F
+
+from tidemark.operators import svd, tfidf
+
+DOCS = [
+    "Green green light, buy the light", "sell the red light now", "", "the light is green and the bull is up",
+    "bear market: sell sell sell", "buy the dip buy the dip", "red red wine", "up up and away the bull", "!!!",
+    "live alert: the market is down, the bear is up",
+]
+
+
+def brute_force(docs, size):
+    grams = []
+    for doc in docs:
+        words = re.findall(r"\w+", doc.lower())
+        grams.append(Counter(words + [f"{a} {b}" for a, b in zip(words, words[1:])]))
+    corpus = Counter()
+    for g in grams:
+        corpus.update(g)
+    terms = [t for t, _ in sorted(corpus.items(), key=lambda kv: (-kv[1], kv[0]))][:size]
+    matrix = np.array([[g[t] for t in terms] for g in grams], dtype=float)
+    idf = [math.log((1 + len(docs)) / (1 + (matrix[:, j] > 0).sum())) + 1 for j in range(len(terms))]
+    matrix = matrix * idf
+    norms = np.linalg.norm(matrix, axis=1, keepdims=True)
+    return terms, np.divide(matrix, norms, out=np.zeros_like(matrix), where=norms > 0)
+
+
+@pytest.fixture(scope="module")
+def docs(spark):
+    return spark.createDataFrame(list(enumerate(DOCS)), "id int, content string")
+
+
+@pytest.mark.parametrize("size", [1, 12, 500])
+def test_tfidf(docs, size):
+    terms, matrix = brute_force(DOCS, size)
+    expected = {(i, terms[j]): matrix[i, j] for i, j in zip(*np.nonzero(matrix))}
+    found = {(r["id"], r["term"]): r["weight"] for r in tfidf.tfidf_weights(docs, ["id"], "content", size).collect()}
+    assert found == pytest.approx(expected)
+
+
+def test_svd_against_dense(docs):
+    _, matrix = brute_force(DOCS, 40)
+    _, values, directions = np.linalg.svd(matrix, full_matrices=False)
+    model = svd.fit_svd(docs, ["id"], "content", 3, 40, passes=40)
+    assert model.singular_values == pytest.approx(values[:3])
+    expected = matrix @ directions[:3].T
+    flip = np.sign([row[np.argmax(np.abs(row))] for row in directions[:3]])
+    found = svd.with_svd(docs.select("id"), model).orderBy("id").toPandas()[["svd_1", "svd_2", "svd_3"]].to_numpy()
+    assert found == pytest.approx(expected * flip, abs=1e-7)
+    assert (found[:, 0] >= 0).all() and (found[[2, 8]] == 0).all()
+
+
+def test_power_iteration_and_tolerance(docs):
+    vectors = tfidf.fit_vectors(docs, ["id"], "content", 40)
+    slow = svd.fit_directions(vectors, 1, oversample=0, passes=200, tolerance=1e-14)
+    block = svd.fit_directions(vectors, 1, passes=30)
+    assert slow.directions == pytest.approx(block.directions, abs=1e-5)
+
+
+def test_row_scores_equal_table_scores(docs):
+    model = svd.fit_svd(docs, ["id"], "content", 1, 40)
+    rows = docs.select("id", model.score_text(F.col("content")).alias("y"))
+    both = svd.with_svd(rows, model).toPandas()
+    assert both["y"].to_numpy() == pytest.approx(both["svd_1"].to_numpy())
+
+
+def test_vocabulary_size_is_bounded(docs):
+    with pytest.raises(ValueError):
+        tfidf.fit_vocabulary(docs, "content", tfidf.MAX_TERMS + 1)
+
+
+def test_counts_shuffle_the_texts_once(docs, plan):
+    vocabulary = tfidf.fit_vocabulary(docs, "content", 10)
+    text = plan(tfidf.term_counts(docs, ["id"], "content", vocabulary))
+    assert text.count("Exchange hashpartitioning") == 1 and "BroadcastHashJoin" in text

@@ -12,7 +12,11 @@ from pyspark.sql import types as T
 # What a word character is, and which characters separate words.
 WORD = r"\p{L}\p{N}_"
 MARKS = r"\p{M}"
-BLANKS = r"\x00-\x20\x7f-\xa0\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}"
+# Everything but control characters and blanks, the most common characters first.
+VISIBLE = (
+    r"\x21-\x7e\xa1-\x{167f}\x{1681}-\x{1fff}\x{200b}-\x{2027}\x{202a}-\x{202e}"
+    r"\x{2030}-\x{205e}\x{2060}-\x{2fff}\x{3001}-\x{10ffff}"
+)
 
 # Text made only of characters below U+0300 is always in composed form already.
 _MAY_NEED_COMPOSING = r"[^\x00-\x{2ff}]"
@@ -47,7 +51,8 @@ def compose(text: Column) -> Column:
 
 def squeeze(text: Column) -> Column:
     """Control characters and blanks become single spaces; ends are stripped."""
-    return F.trim(F.regexp_replace(text, f"[{BLANKS}]+", " "))
+    # A single space between visible characters is already right and is not matched.
+    return F.trim(F.regexp_replace(text, f"(?! [{VISIBLE}])[^{VISIBLE}]+", " "))
 
 
 def normalize_text(text: Column) -> Column:
