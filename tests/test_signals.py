@@ -33,6 +33,11 @@ def test_zscore(spark):
     assert one["x_z"] == 0
 
 
+def test_rounding_noise_is_not_spread(spark):
+    rows = spark.range(1000).select((F.lit(0.1) + F.rand(1) * 1e-17).alias("x"))
+    assert features.zscore(rows, ["x"]).where("x_z <> 0").count() == 0
+
+
 def test_zscore_has_no_unpartitioned_window_or_join(spark, plan):
     text = plan(features.zscore(spark.range(10).selectExpr("id * 1.0 as x"), ["x"]))
     assert "Window" not in text and "NestedLoop" not in text and "Cartesian" not in text

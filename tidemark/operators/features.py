@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import sys
 from collections.abc import Iterable, Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame
@@ -53,8 +54,11 @@ def score_reactions(posts: DataFrame) -> DataFrame:
 
 
 def _moments(column: str) -> Column:
+    """Mean and deviation; a deviation within the rounding error of the sum is 0."""
+    mean, spread = F.avg(column), F.stddev_pop(column)
+    noise = F.count(column) * F.lit(sys.float_info.epsilon) * F.abs(mean)
     return F.struct(
-        F.avg(column).alias("mean"), F.stddev_pop(column).alias("spread")
+        mean.alias("mean"), F.when(spread > noise, spread).otherwise(F.lit(0.0)).alias("spread")
     ).alias(column)
 
 
