@@ -6,6 +6,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
+from tidemark.functions import text
 from tidemark.operators import svd, tfidf
 
 DOCS = [
@@ -75,7 +76,14 @@ def test_vocabulary_size_is_bounded(docs):
         tfidf.fit_vocabulary(docs, "content", tfidf.MAX_TERMS + 1)
 
 
-def test_counts_shuffle_the_texts_once(docs, plan):
+def test_words_tied_at_the_limit(spark):
+    docs = [" ".join(f"w{i}" for i in range(start, start + 5)) for start in range(0, 60, 5)]
+    frame = spark.createDataFrame(list(enumerate(docs)), "id int, content string")
+    terms, _ = brute_force(docs, 8)  # all words tie, so pairs must be counted without pruning
+    assert list(tfidf.fit_vocabulary(frame, "content", 8).terms) == terms
+
+
+def test_counting_terms_shuffles_nothing(docs, plan):
     vocabulary = tfidf.fit_vocabulary(docs, "content", 10)
-    text = plan(tfidf.term_counts(docs, ["id"], "content", vocabulary))
-    assert text.count("Exchange hashpartitioning") == 1 and "BroadcastHashJoin" in text
+    counts = tfidf.count_terms(vocabulary)(text.word_tokens(F.col("content")))
+    assert "Exchange" not in plan(docs.select("id", counts))

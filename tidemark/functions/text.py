@@ -118,10 +118,7 @@ def word_tokens(text: Column) -> Column:
     return F.regexp_extract_all(F.lower(text), F.lit(f"([{WORD}]+)"), F.lit(1))
 
 
-def with_bigrams(tokens: Column) -> Column:
-    """The tokens followed by all pairs of neighbours, joined by one space."""
-    later = F.slice(tokens, F.lit(2), F.greatest(F.size(tokens) - 1, F.lit(0)))
-    pairs = F.transform(
-        later, lambda token, i: F.concat(F.get(tokens, i), F.lit(" "), token)
-    )
-    return F.concat(tokens, pairs)
+def bigrams(tokens: Column) -> Column:
+    """All pairs of neighbouring tokens, joined by one space."""
+    from_second = F.slice(tokens, F.lit(2), F.greatest(F.size(tokens) - 1, F.lit(0)))
+    return F.transform(from_second, lambda token, i: F.concat(F.get(tokens, i), F.lit(" "), token))

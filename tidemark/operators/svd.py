@@ -11,16 +11,15 @@ from collections.abc import Iterator, Sequence
 from dataclasses import dataclass
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tidemark.operators.tfidf import TermVectors, fit_vectors, unit_rows
-
-# Rows multiplied at a time inside a task; bounds its memory for long texts.
-_SLICE = 1024
+from tidemark.functions.text import word_tokens
+from tidemark.operators.tfidf import (
+    SLICE, TermVectors, as_lists, count_terms, fit_vectors, in_slices, unit_rows,
+)
 
 
 @dataclass(frozen=True)
@@ -40,34 +39,10 @@ class SvdModel:
         return scored.select(*self.vectors.keys, *_components(F.col("_s"), self.directions))
 
     def score_text(self, text: Column) -> Column:
-        """First component of texts that were not part of the fit, row by row.
-
-        For streams, where a text cannot be unfolded and grouped again.
-        """
-        position = {term: i for i, term in enumerate(self.vectors.vocabulary.terms)}
-        idf, first = np.asarray(self.vectors.idf), self.directions[:, 0]
-
-        @F.pandas_udf(T.DoubleType())
-        def score(texts: pd.Series) -> pd.Series:
-            import re
-            from collections import Counter
-
-
-
-            def one(value):
-                words = re.findall(r"\w+", (value or "").lower())
-                seen = Counter(words)
-                seen.update(f"{a} {b}" for a, b in zip(words, words[1:]))
-                known = [(position[t], n) for t, n in seen.items() if t in position]
-                if not known:
-                    return 0.0
-                ids, tf = map(np.asarray, zip(*known))
-                weights = tf * idf[ids]
-                return float(weights @ first[ids] / np.sqrt(weights @ weights))
-
-            return pd.Series([one(value) for value in texts], dtype=float)
-
-        return score(text)
+        """First component of texts that were not part of the fit, row by row (also in streams)."""
+        counts = count_terms(self.vectors.vocabulary)(word_tokens(text))
+        project = _project(self.vectors.idf, self.directions[:, :1])
+        return project(counts["ids"], counts["tf"])[0]
 
 
 def _components(scores: Column, directions: np.ndarray) -> list[Column]:
@@ -77,13 +52,17 @@ def _components(scores: Column, directions: np.ndarray) -> list[Column]:
 def _project(idf: Sequence[float], directions: np.ndarray):
     @F.arrow_udf(T.ArrayType(T.DoubleType()))
     def project(ids: pa.Array, tf: pa.Array) -> pa.Array:
-        flat, weights, offsets = unit_rows(ids, tf, idf)
         width = directions.shape[1]
-        rows = np.empty((len(ids), width))
-        for j in range(width):
-            rows[:, j] = np.add.reduceat(weights * directions[flat, j], offsets[:-1]) if len(flat) else 0
-        ends = np.arange(0, len(ids) * width + 1, width)
-        return pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(rows.ravel()))
+
+        def some(ids: pa.Array, tf: pa.Array) -> pa.Array:
+            flat, weights, rows = unit_rows(ids, tf, idf)
+            along = [
+                np.bincount(rows, weights=weights * directions[flat, j], minlength=len(ids))
+                for j in range(width)
+            ]
+            return as_lists(np.column_stack(along).ravel(), np.full(len(ids), width), pa.float64())
+
+        return in_slices(some, ids, tf)
 
     return project
 
@@ -96,17 +75,12 @@ def gram_times(vectors: TermVectors, block: np.ndarray) -> np.ndarray:
     def partial(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total = np.zeros((terms, width))
         for batch in batches:
-            for start in range(0, batch.num_rows, _SLICE):
-                part = batch.slice(start, _SLICE)
-                flat, weights, offsets = unit_rows(part.column(0), part.column(1), idf)
-                if not len(flat):
-                    continue
-                sizes = np.diff(offsets)
+            for start in range(0, batch.num_rows, SLICE):
+                part = batch.slice(start, SLICE)
+                flat, weights, rows = unit_rows(part.column(0), part.column(1), idf)
                 for j in range(width):
-                    along = np.add.reduceat(weights * block[flat, j], offsets[:-1])
-                    total[:, j] += np.bincount(
-                        flat, weights=weights * np.repeat(along, sizes), minlength=terms
-                    )
+                    along = np.bincount(rows, weights=weights * block[flat, j], minlength=part.num_rows)
+                    total[:, j] += np.bincount(flat, weights=weights * along[rows], minlength=terms)
         cells = np.flatnonzero(total)
         yield pa.RecordBatch.from_arrays(
             [pa.array(cells, pa.int64()), pa.array(total.ravel()[cells])], names=["cell", "x"]

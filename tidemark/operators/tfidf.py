@@ -1,4 +1,9 @@
-"""TF-IDF over words and word pairs."""
+"""TF-IDF over words and word pairs.
+
+Texts are split by Spark. From there Arrow functions work on whole batches: they
+turn the tokens of a batch into term numbers and count them per row, so a
+document is never unfolded into rows, and no text is shuffled or joined.
+"""
 
 from __future__ import annotations
 
@@ -6,22 +11,31 @@ import math
 from collections.abc import Sequence
 from dataclasses import dataclass
 
+import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+import pyarrow.compute as pc
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tidemark.functions import text as txt
 from tidemark.session import stage
 
-# The vocabulary goes to the driver and is broadcast, so its size must be bounded.
+# The vocabulary goes to the driver and to every task, so its size must be bounded.
 MAX_TERMS = 200_000
 
+# Rows handled at a time inside a task; bounds its memory for long texts.
+SLICE = 1024
+
 _VOCABULARY_SCHEMA = T.StructType([
     T.StructField("term", T.StringType(), False),
     T.StructField("term_id", T.IntegerType(), False),
     T.StructField("corpus_count", T.LongType(), False),
 ])
+_COUNTS_TYPE = T.StructType([
+    T.StructField("ids", T.ArrayType(T.IntegerType())),
+    T.StructField("tf", T.ArrayType(T.IntegerType())),
+])
 
 
 @dataclass(frozen=True)
@@ -34,11 +48,36 @@ class Vocabulary:
     def __len__(self) -> int:
         return len(self.terms)
 
+    def lookup(self) -> "Lookup":
+        """How to find terms from words: a pair is found by the places of its two words."""
+        split = [term.split(" ") for term in self.terms]
+        words = sorted({word for parts in split for word in parts})
+        place = {word: i for i, word in enumerate(words)}
+        word_terms = np.full(len(words) + 1, -1)  # the last entry answers for unknown words
+        pairs = []
+        for number, parts in enumerate(split):
+            if len(parts) == 1:
+                word_terms[place[parts[0]]] = number
+            else:
+                pairs.append((place[parts[0]] * len(words) + place[parts[1]], number))
+        codes, numbers = np.array(sorted(pairs) or [(-1, -1)]).T
+        return Lookup(tuple(words), word_terms, codes, numbers)
+
     def table(self, spark: SparkSession) -> DataFrame:
         rows = [(t, i, c) for i, (t, c) in enumerate(zip(self.terms, self.counts))]
         return spark.createDataFrame(rows, _VOCABULARY_SCHEMA)
 
 
+@dataclass(frozen=True)
+class Lookup:
+    """Words in order, the term of each word, and the terms of pairs by pair code."""
+
+    words: tuple[str, ...]
+    word_terms: np.ndarray
+    pair_codes: np.ndarray
+    pair_terms: np.ndarray
+
+
 @dataclass(frozen=True)
 class TermVectors:
     """One row per document with ``_ids`` and ``_tf``, and the idf by term id."""
@@ -49,43 +88,120 @@ class TermVectors:
     idf: tuple[float, ...]
 
 
-def grams(df: DataFrame, keys: Sequence[str], text: str) -> DataFrame:
-    """One row per word and per pair of neighbouring words."""
-    tokens = df.select(*keys, txt.word_tokens(F.col(text)).alias("_tokens"))
-    return tokens.select(*keys, F.explode(txt.with_bigrams(F.col("_tokens"))).alias("term"))
+def row_sizes(lists: pa.Array) -> np.ndarray:
+    """Length of each list, 0 for null."""
+    return pc.fill_null(pc.list_value_length(lists), 0).to_numpy(zero_copy_only=False)
 
 
-def fit_vocabulary(df: DataFrame, text: str, max_features: int = 5000) -> Vocabulary:
-    """The most frequent terms of the corpus, ties in term order.
+def find_words(tokens: pa.Array, words: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """The row and the place in ``words`` of every token, -1 for unknown ones."""
+    places = pc.fill_null(pc.index_in(tokens.flatten(), value_set=words), -1)
+    rows = np.repeat(np.arange(len(tokens)), row_sizes(tokens))
+    return rows, places.to_numpy(zero_copy_only=False).astype(np.int64)
 
-    Counts are combined in every map task before the shuffle on the term, and
-    only ``max_features`` rows reach the driver.
-    """
-    if not 1 <= max_features <= MAX_TERMS:
-        raise ValueError(f"max_features must lie between 1 and {MAX_TERMS}")
-    top = (
-        grams(df, (), text)
-        .groupBy("term").agg(F.count("*").alias("n"))
-        .orderBy(F.desc("n"), F.asc("term"))
-        .limit(max_features)
-        .collect()
-    )
-    return Vocabulary(tuple(r["term"] for r in top), tuple(r["n"] for r in top))
 
+def neighbour_codes(rows: np.ndarray, places: np.ndarray, size: int) -> tuple[np.ndarray, np.ndarray]:
+    """The row and the code of every pair of known neighbours: left place x size + right place."""
+    left, right = places[:-1], places[1:]
+    known = (rows[:-1] == rows[1:]) & (left >= 0) & (right >= 0)
+    return rows[:-1][known], left[known] * size + right[known]
 
-def term_counts(
-    df: DataFrame, keys: Sequence[str], text: str, vocabulary: Vocabulary
-) -> DataFrame:
-    """``keys, term_id, tf``: how often each kept term occurs in each document.
 
-    The compact texts are shuffled by document, not their many grams; what
-    follows stays inside a partition. The keys must identify a row.
+def as_lists(values: np.ndarray, sizes: np.ndarray, kind: pa.DataType) -> pa.Array:
+    ends = np.concatenate([[0], np.cumsum(sizes)]).astype(np.int32)
+    return pa.ListArray.from_arrays(pa.array(ends), pa.array(values, kind))
+
+
+def in_slices(function, *arrays: pa.Array) -> pa.Array:
+    """Apply an array function to a few rows at a time."""
+    starts = range(0, max(len(arrays[0]), 1), SLICE)
+    return pa.concat_arrays([function(*[a.slice(start, SLICE) for a in arrays]) for start in starts])
+
+
+def count_terms(vocabulary: Vocabulary):
+    """Arrow function from the tokens of a text to its kept terms and how often they occur."""
+    lookup, size = vocabulary.lookup(), len(vocabulary)
+
+    @F.arrow_udf(_COUNTS_TYPE)
+    def counts(tokens: pa.Array) -> pa.Array:
+        words = pa.array(lookup.words, pa.string())
+
+        def some(part: pa.Array) -> pa.Array:
+            rows, places = find_words(part, words)
+            single = lookup.word_terms[places]
+            pair_rows, codes = neighbour_codes(rows, places, len(lookup.words))
+            near = np.searchsorted(lookup.pair_codes, codes).clip(max=len(lookup.pair_codes) - 1)
+            found = lookup.pair_codes[near] == codes
+            cells = np.concatenate([
+                rows[single >= 0] * size + single[single >= 0],
+                pair_rows[found] * size + lookup.pair_terms[near[found]],
+            ])
+            cells, tf = np.unique(cells, return_counts=True)
+            sizes = np.bincount(cells // size, minlength=len(part))
+            return pa.StructArray.from_arrays(
+                [as_lists(cells % size, sizes, pa.int32()), as_lists(tf, sizes, pa.int32())], ["ids", "tf"]
+            )
+
+        return in_slices(some, tokens)
+
+    return counts
+
+
+def _pair_codes(words: Sequence[str]):
+    """Arrow function from tokens to the codes of neighbouring words that are both listed."""
+
+    @F.arrow_udf(T.ArrayType(T.LongType()))
+    def codes(tokens: pa.Array) -> pa.Array:
+        listed = pa.array(words, pa.string())
+
+        def some(part: pa.Array) -> pa.Array:
+            rows, found = neighbour_codes(*find_words(part, listed), len(listed))
+            return as_lists(found, np.bincount(rows, minlength=len(part)), pa.int64())
+
+        return in_slices(some, tokens)
+
+    return codes
+
+
+def _top(counts: DataFrame, by: Column | str, size: int) -> list:
+    """The ``size`` most frequent rows; each task sends that many."""
+    return counts.orderBy(F.desc("n"), by).limit(size).collect()
+
+
+def fit_vocabulary(df: DataFrame, text: str, max_features: int = 5000) -> Vocabulary:
+    """The most frequent words and word pairs of the corpus, ties in term order.
+
+    Words are counted first. A pair occurs no more often than either of its
+    words, so a pair with a word rarer than the last kept word cannot be kept,
+    and the long tail of rare pairs, by far the largest part of the counts, is
+    never shuffled; the others are counted as numbers. Only when the words tied at
+    that limit are too many to send to every task are all pairs counted as text.
     """
-    placed = df.select(*keys, text).repartition(*keys)
-    known = grams(placed, keys, text).join(
-        F.broadcast(vocabulary.table(df.sparkSession).select("term", "term_id")), "term"
-    )
-    return known.groupBy(*keys, "term_id").agg(F.count("*").cast("int").alias("tf"))
+    if not 1 <= max_features <= MAX_TERMS:
+        raise ValueError(f"max_features must lie between 1 and {MAX_TERMS}")
+    # Exploding the expression itself, not a column made of it: for a column Spark
+    # adds a filter on its size and would split every text again to evaluate that.
+    tokens = txt.word_tokens(F.col(text))
+    counted = df.select(F.explode(tokens).alias("term")).groupBy("term").agg(F.count("*").alias("n"))
+    bound = 2 * max_features + 1
+    common = [(row["term"], row["n"]) for row in _top(counted, "term", bound)]
+    least = common[max_features - 1][1] if len(common) >= max_features else 0
+    if len(common) < bound or common[-1][1] < least:
+        # Words in order: codes then sort like the pairs they stand for.
+        words = sorted(term for term, n in common if n >= least)
+        codes = _pair_codes(words)(tokens)
+        pairs = df.select(F.explode(codes).alias("code")).groupBy("code").agg(F.count("*").alias("n"))
+        named = [
+            (f"{words[row['code'] // len(words)]} {words[row['code'] % len(words)]}", row["n"])
+            for row in _top(pairs, "code", max_features)
+        ]
+    else:
+        split = df.select(tokens.alias("_tokens"))
+        pairs = split.select(F.explode(txt.bigrams(F.col("_tokens"))).alias("term"))
+        pairs = pairs.groupBy("term").agg(F.count("*").alias("n"))
+        named = [(row["term"], row["n"]) for row in _top(pairs, "term", max_features)]
+    best = sorted(common[:max_features] + named, key=lambda item: (-item[1], item[0]))[:max_features]
+    return Vocabulary(tuple(term for term, _ in best), tuple(n for _, n in best))
 
 
 def idf_values(document_frequency: dict[int, int], documents: int, size: int) -> tuple[float, ...]:
@@ -100,17 +216,17 @@ def fit_vectors(
 ) -> TermVectors:
     """Vocabulary, idf and one sparse row of counts per document, kept as a table.
 
-    Two passes over the text (vocabulary, then counts) and one over the id column
-    of the resulting table. Documents without a kept term have no row.
+    Three passes over the text (words, pairs, counts) and one over the id column of
+    the resulting table; documents are counted on the way. Documents without a
+    kept term have no row. The keys must identify a row.
     """
     keys = tuple(keys)
     vocabulary = fit_vocabulary(df, text, max_features)
-    counted = term_counts(df, keys, text, vocabulary)
-    packed = counted.groupBy(*keys).agg(
-        F.array_sort(F.collect_list(F.struct("term_id", "tf"))).alias("_v")
-    )
+    documents = Observation()
+    counts = count_terms(vocabulary)(txt.word_tokens(F.col(text)))
+    counted = df.observe(documents, F.count(F.lit(1)).alias("n")).select(*keys, counts.alias("_c"))
     rows = stage(
-        packed.select(*keys, F.col("_v.term_id").alias("_ids"), F.col("_v.tf").alias("_tf")),
+        counted.select(*keys, F.col("_c.ids").alias("_ids"), F.col("_c.tf").alias("_tf")).where(F.size("_ids") > 0),
         "term-vectors",
     )
     # At most one row per kept term comes back.
@@ -118,37 +234,32 @@ def fit_vectors(
         r["id"]: r["n"]
         for r in rows.select(F.explode("_ids").alias("id")).groupBy("id").agg(F.count("*").alias("n")).collect()
     }
-    idf = idf_values(frequency, df.count(), len(vocabulary))
+    idf = idf_values(frequency, documents.get["n"], len(vocabulary))
     return TermVectors(rows, keys, vocabulary, idf)
 
 
+def unit_rows(ids: pa.Array, tf: pa.Array, idf: Sequence[float]) -> tuple[np.ndarray, ...]:
+    """Flat ids, the weights that give each row length 1, and the row of each entry."""
+    flat = ids.flatten().to_numpy(zero_copy_only=False)
+    rows = np.repeat(np.arange(len(ids)), row_sizes(ids))
+    weights = tf.flatten().to_numpy(zero_copy_only=False) * np.asarray(idf)[flat]
+    norms = np.sqrt(np.bincount(rows, weights=weights * weights, minlength=len(ids)))
+    return flat, weights / norms[rows], rows
+
+
 def weigh(vectors: TermVectors):
     """Arrow function from ids and counts to weights: tf x idf, scaled to length 1 per row."""
     idf = vectors.idf
 
     @F.arrow_udf(T.ArrayType(T.DoubleType()))
     def weights(ids: pa.Array, tf: pa.Array) -> pa.Array:
-        flat, weighted, offsets = unit_rows(ids, tf, idf)
-        return pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), pa.array(weighted))
+        return in_slices(
+            lambda i, t: as_lists(unit_rows(i, t, idf)[1], row_sizes(i), pa.float64()), ids, tf
+        )
 
     return weights
 
 
-def unit_rows(ids, tf, idf):
-    """Flat ids, their unit-length weights, and the offsets of the rows."""
-    import numpy as np
-    import pyarrow.compute as pc
-
-    flat = ids.flatten().to_numpy(zero_copy_only=False)
-    weighted = tf.flatten().to_numpy(zero_copy_only=False) * np.asarray(idf)[flat]
-    sizes = pc.list_value_length(ids).to_numpy(zero_copy_only=False)
-    offsets = np.concatenate([[0], np.cumsum(sizes)]).astype(np.int64)
-    if len(flat):
-        norms = np.sqrt(np.add.reduceat(weighted * weighted, offsets[:-1]))
-        weighted = weighted / np.repeat(norms, sizes)
-    return flat, weighted, offsets
-
-
 def tfidf_weights(
     df: DataFrame, keys: Sequence[str], text: str, max_features: int = 5000
 ) -> DataFrame:

@@ -11,7 +11,7 @@ from tidemark.functions import lexicon
 from tidemark.operators import features as ops
 from tidemark.operators.buckets import aggregate_signals
 from tidemark.operators.svd import fit_svd, with_svd
-from tidemark.session import configure, stage
+from tidemark.session import configure, sized_shuffles, stage, stored_bytes
 from tidemark.sources import tables
 
 
@@ -63,9 +63,11 @@ def run_features(
     """
     configure(spark)
     base = out_dir.rstrip("/")
-    posts = tables.load_minimal(spark, posts_path)
-    tables.write_table(build_features(posts, **options), f"{base}/features")
-    features = spark.read.parquet(f"{base}/features")
-    signals = aggregate_signals(features, freq, key=row_keys(features))
-    tables.write_table(signals, f"{base}/signals")
+    # Snappy Parquet unfolds to a few times its size in a shuffle.
+    with sized_shuffles(spark, 3 * stored_bytes(spark, posts_path)):
+        posts = tables.load_minimal(spark, posts_path)
+        tables.write_table(build_features(posts, **options), f"{base}/features")
+        features = spark.read.parquet(f"{base}/features")
+        signals = aggregate_signals(features, freq, key=row_keys(features))
+        tables.write_table(signals, f"{base}/signals")
     return f"{base}/features", f"{base}/signals"

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.operators.clean import clean_posts
-from tidemark.session import configure
+from tidemark.session import configure, sized_shuffles, stored_bytes
 from tidemark.sources import posts as sources
 from tidemark.sources import tables
 
@@ -28,9 +28,10 @@ def ingest(
     One shuffle for repeats and one to gather dates for the write.
     """
     configure(spark)
-    raw = sources.read_posts(spark, input_dir, extras, csv_multiline, json_layout)
     target = f"{out_dir.rstrip('/')}/posts"
-    tables.write_posts(clean_posts(raw, scope, strip_brackets=strip_brackets), target)
+    with sized_shuffles(spark, stored_bytes(spark, input_dir)):
+        raw = sources.read_posts(spark, input_dir, extras, csv_multiline, json_layout)
+        tables.write_posts(clean_posts(raw, scope, strip_brackets=strip_brackets), target)
     return write_metadata(spark, input_dir, out_dir, target)
 
 

@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -42,6 +44,37 @@ def local_session(cores: str = "*", shuffle_partitions: int = 8, memory: str = "
     return spark
 
 
+INITIAL_PARTITIONS_KEY = "spark.sql.adaptive.coalescePartitions.initialPartitionNum"
+PARTITION_BYTES = 128 * 1024 * 1024
+MAX_PARTITIONS = 500_000
+
+
+@contextmanager
+def sized_shuffles(spark: SparkSession, input_bytes: int) -> Iterator[int]:
+    """Start shuffles with about one partition per 128 MB of input.
+
+    The fixed default would give a 100 TB shuffle a few huge partitions; AQE joins
+    those that turn out small. The setting is put back afterwards.
+    """
+    usual = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    wanted = min(max(usual, input_bytes // PARTITION_BYTES), MAX_PARTITIONS)
+    before = spark.conf.get(INITIAL_PARTITIONS_KEY, None)
+    spark.conf.set(INITIAL_PARTITIONS_KEY, str(wanted))
+    try:
+        yield wanted
+    finally:
+        if before is None:
+            spark.conf.unset(INITIAL_PARTITIONS_KEY)
+        else:
+            spark.conf.set(INITIAL_PARTITIONS_KEY, before)
+
+
+def stored_bytes(spark: SparkSession, path: str) -> int:
+    """Size of all files below a path, from the listing alone."""
+    listing = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(path)
+    return listing.selectExpr("sum(length) as bytes").first()["bytes"] or 0
+
+
 def shared_folder(spark: SparkSession) -> str:
     """Folder every executor can reach, as named by the cluster.
 
