@@ -23,7 +23,7 @@ POST = {"username": "ann", "timestamp": "2024-01-01T00:00:00Z", "content": "Buy\
 def dumps(tmp_path):
     folder = str(tmp_path / "in")
     os.makedirs(os.path.join(folder, "below"))
-    lines = [POST, {**POST, "username": "bob", "likes": 2.7, "mentions": ["A", "b c"]}, {**POST, "likes": "9", "place": "x"}]
+    lines = [POST, {**POST, "username": "bob", "likes": 2.7, "mentions": ["A", "b c"]}, {**POST, "likes": "9", "place": "x", "source_file": "liar"}]
     write(folder, "a_lines.json", "\n".join(json.dumps(p) for p in lines) + "\n")
     write(folder, "b_array.json", json.dumps([{**POST, "username": "cat"}, {**POST, "username": "dan"}], indent=2))
     write(folder, "c_object.json", json.dumps({**POST, "username": "eve", "hashtags": "#q, w"}, indent=2))

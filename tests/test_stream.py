@@ -1,7 +1,10 @@
+import math
+
 import pytest
 from pyspark.sql import functions as F
 
 from tidemark.operators import buckets, clean, features, svd
+from tidemark.sources import posts as sources
 from tidemark.streaming import live
 
 
@@ -44,6 +47,17 @@ def test_stream_equals_batch(spark, tmp_path, arriving, with_text):
         assert found[start][1] == n and found[start][0] == pytest.approx(signal)
 
 
+def test_stream_of_json_lines(spark, tmp_path, arriving):
+    folder, _ = arriving
+    fit = live.FrozenFit({"engagement": (0.0, 1.0)}, {"engagement": 1.0})
+    stream = sources.stream_posts(spark, folder, files_per_batch=2).drop("source_file").withColumn("source_file", F.lit("s"))
+    signals = live.live_signals(stream, fit, "1D", delay="2 days")
+    out = str(tmp_path / "out")
+    live.write_live(signals, out, str(tmp_path / "progress"), drain=True).awaitTermination()
+    (row,) = live.latest_signals(spark, out).collect()
+    assert row["n"] == 60 and row["signal"] == pytest.approx(math.log(3))
+
+
 def test_a_weighted_text_part_needs_a_model(spark, arriving):
     folder, schema = arriving
     stream = spark.readStream.schema(schema).json(folder)

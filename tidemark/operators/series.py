@@ -12,6 +12,9 @@ from tidemark.session import settle
 # monotonically_increasing_id keeps the row number inside a partition in its low bits.
 _LOCAL_BITS = 33
 
+# More wanted places than this are joined by a shuffle.
+_BROADCAST_ROWS = 1_000_000
+
 
 def for_hashtag(signals: DataFrame, hashtag: str | None) -> DataFrame:
     """One hashtag's series, or everything."""
@@ -65,4 +68,6 @@ def downsample(
         .otherwise(F.floor(F.col("id").cast("double") * step))
         .cast("bigint").alias("_index")
     )
-    return indexed.join(F.broadcast(wanted), "_index", "left_semi").drop("_index")
+    if target <= _BROADCAST_ROWS:
+        wanted = F.broadcast(wanted)
+    return indexed.join(wanted, "_index", "left_semi").drop("_index")

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -12,7 +12,7 @@ from tidemark.operators.clean import EXPECTED_COLUMNS, FILE_ORDER
 
 SUFFIXES = (".json", ".csv")
 
-# JSON fields that may hold numbers, text or lists.
+# JSON fields that are text; the others may hold numbers, text or lists.
 _TEXT_FIELDS = ("username", "content", "urls")
 
 # Cells that mean "missing" in a CSV file.
@@ -42,33 +42,44 @@ def discover_files(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
-def _first_lines(spark: SparkSession, paths: Sequence[str]) -> list:
-    """First non-blank line of each file: one text scan, one small row per file and task."""
+def _first_lines(spark: SparkSession, paths: Sequence[str], wanted) -> list:
+    """A value made from the first non-blank line of each file, as ``path, found``.
+
+    One text scan; a task sends one value per file, never the line of a file that
+    is all in one line.
+    """
+    # A byte-order mark or trailing CR is not part of the line.
+    line = F.regexp_replace("value", r"^\x{feff}|\r$", "")
     lines = spark.read.text(list(paths)).select(
-        F.col("_metadata.file_path").alias("path"),
-        F.struct(
-            F.col("_metadata.file_block_start").alias("block"),
-            F.monotonically_increasing_id().alias("row"),
-        ).alias("at"),
-        # A byte-order mark or trailing CR is not part of the line.
-        F.regexp_replace("value", r"^\x{feff}|\r$", "").alias("line"),
+        F.col("_metadata.file_path").alias("path"), _place(), wanted(line).alias("found"), line.alias("line")
     ).where(F.trim("line") != "")
-    return lines.groupBy("path").agg(F.min_by("line", "at").alias("line")).select(
-        "path",
-        "line",
-        (F.trim("line").startswith("{") & F.try_parse_json("line").isNotNull()).alias("whole"),
-    ).collect()
+    return lines.groupBy("path").agg(F.min_by("found", FILE_ORDER).alias("found")).collect()
 
 
-def _positions() -> tuple:
-    """Source name and place in the file, for every file format."""
-    return (
-        F.col("_metadata.file_name").alias("source_file"),
-        F.struct(
-            F.col("_metadata.file_block_start").alias("block"),
-            F.monotonically_increasing_id().alias("row"),
-        ).alias(FILE_ORDER),
-    )
+def _is_whole_object(line: Column) -> Column:
+    return F.trim(line).startswith("{") & F.try_parse_json(line).isNotNull()
+
+
+def _place() -> Column:
+    """Where a row stands in its file, whatever the split that read it."""
+    return F.struct(
+        F.col("_metadata.file_block_start").alias("block"),
+        F.monotonically_increasing_id().alias("row"),
+    ).alias(FILE_ORDER)
+
+
+def _positions() -> tuple[Column, Column]:
+    return F.col("_metadata.file_name").alias("source_file"), _place()
+
+
+# Set by the readers, whatever a file says.
+_OWN_COLUMNS = ("source_file", FILE_ORDER, "_corrupt_record")
+
+
+def raw_schema() -> T.StructType:
+    """Expected columns of a JSON post; numbers, texts and lists stay apart as variants."""
+    kinds = {c: T.StringType() if c in _TEXT_FIELDS else T.VariantType() for c in EXPECTED_COLUMNS}
+    return T.StructType([T.StructField(c, kind) for c, kind in kinds.items()])
 
 
 def read_json(
@@ -87,11 +98,11 @@ def read_json(
     reader = spark.read.option("multiLine", document)
     if extras is None:
         found = reader.json(list(paths)).schema
-        more = [f for f in found.fields if f.name not in (*EXPECTED_COLUMNS, "_corrupt_record")]
+        more = found.fields
     else:
         more = T.StructType.fromDDL(extras).fields if extras else []
-    kinds = {c: T.StringType() if c in _TEXT_FIELDS else T.VariantType() for c in EXPECTED_COLUMNS}
-    schema = T.StructType([*[T.StructField(c, t) for c, t in kinds.items()], *more])
+    more = [f for f in more if f.name not in (*EXPECTED_COLUMNS, *_OWN_COLUMNS)]
+    schema = T.StructType([*raw_schema().fields, *more])
     return reader.schema(schema).json(list(paths)).select(*schema.names, *_positions())
 
 
@@ -110,7 +121,7 @@ def read_csv(
         .option("escape", '"')
         .csv(list(paths))
     )
-    names = raw.columns
+    names = [c for c in raw.columns if c not in _OWN_COLUMNS]
     cells = {
         c: F.when(~F.col(f"`{c}`").isin(*CSV_MISSING), F.col(f"`{c}`")).alias(c) for c in names
     }
@@ -167,8 +178,8 @@ def read_posts(
 
     groups = {"lines": [], "document": []}
     if by_suffix[".json"] and json_layout == "auto":
-        for row in _first_lines(spark, by_suffix[".json"]):
-            groups["lines" if row["whole"] else "document"].append(row["path"])
+        for row in _first_lines(spark, by_suffix[".json"], _is_whole_object):
+            groups["lines" if row["found"] else "document"].append(row["path"])
     elif by_suffix[".json"]:
         groups[json_layout] = by_suffix[".json"]
     for layout, paths in groups.items():
@@ -177,11 +188,20 @@ def read_posts(
 
     headers: dict[str, list[str]] = {}
     if by_suffix[".csv"]:
-        for row in _first_lines(spark, by_suffix[".csv"]):
-            headers.setdefault(row["line"], []).append(row["path"])
+        for row in _first_lines(spark, by_suffix[".csv"], lambda line: line):
+            headers.setdefault(row["found"], []).append(row["path"])
     for _, paths in sorted(headers.items()):
         frames.append(read_csv(spark, sorted(paths), csv_multiline))
 
     if not frames:
         raise FileNotFoundError(f"no JSON or CSV posts below {folder}")
     return _union(frames)
+
+
+def stream_posts(spark: SparkSession, folder: str, extras: str = "", files_per_batch: int | None = None) -> DataFrame:
+    """Raw posts from JSON Lines files as they arrive in a folder."""
+    schema = T.StructType([*raw_schema().fields, *(T.StructType.fromDDL(extras).fields if extras else [])])
+    reader = spark.readStream.schema(schema).option("pathGlobFilter", "*.json")
+    if files_per_batch:
+        reader = reader.option("maxFilesPerTrigger", files_per_batch)
+    return reader.json(folder).select("*", F.col("_metadata.file_name").alias("source_file"))

@@ -25,12 +25,13 @@ def write_posts(posts: DataFrame, path: str, mode: str = "error") -> int:
     """Write clean posts as Snappy Parquet by date and return the number of rows.
 
     Rows are rebalanced by date first: a date fills few files, and AQE splits a
-    date that is far larger than the others. The count is taken during the write.
+    date that is far larger than the others. The count is taken in the writing
+    tasks, behind the shuffle, where a repeated task is not counted twice.
     """
     counted = Observation()
     (
-        posts.observe(counted, F.count(F.lit(1)).alias("rows"))
-        .hint("rebalance", F.col("date"))
+        posts.hint("rebalance", F.col("date"))
+        .observe(counted, F.count(F.lit(1)).alias("rows"))
         .write.mode(mode)
         .option("compression", "snappy")
         .partitionBy("date")
