@@ -70,6 +70,22 @@ def test_broken_line_does_not_hide_the_rest(spark, tmp_path):
     assert sorted(n for n in names if n) == ["ann", "z"]
 
 
+def test_known_layouts_need_no_text_pass(spark, tmp_path):
+    write(str(tmp_path), "a.json", json.dumps(POST) + "\n")
+    write(str(tmp_path), "b.csv", "username,content\nbob,x\n")
+    write(str(tmp_path), "c.csv", "username,content\ncat,y\n")
+    found = sources.read_posts(spark, str(tmp_path), "", json_layout="lines", csv_layout="same")
+    assert sorted(r["username"] for r in found.collect()) == ["ann", "bob", "cat"]
+    with pytest.raises(ValueError):
+        sources.read_posts(spark, str(tmp_path), json_layout="pretty")
+
+
+def test_bad_bytes_do_not_stop_a_csv(spark, tmp_path):
+    (tmp_path / "a.csv").write_bytes(b"username,content\nann,caf\xe9 ok\nbob,fine\n")
+    rows = clean.clean_posts(sources.read_posts(spark, str(tmp_path))).orderBy("username").collect()
+    assert [r["username"] for r in rows] == ["ann", "bob"] and rows[0]["content"].endswith("ok")
+
+
 def test_no_files(spark, tmp_path):
     with pytest.raises(FileNotFoundError):
         sources.read_posts(spark, str(tmp_path))

@@ -22,6 +22,7 @@ def ingest(
     strip_brackets: bool = False,
     csv_multiline: bool = True,
     json_layout: str = "auto",
+    csv_layout: str = "auto",
 ) -> DataFrame:
     """Read, clean, drop repeats, write ``posts`` and its metadata; returns the run summary.
 
@@ -30,7 +31,7 @@ def ingest(
     configure(spark)
     target = f"{out_dir.rstrip('/')}/posts"
     with sized_shuffles(spark, stored_bytes(spark, input_dir)):
-        raw = sources.read_posts(spark, input_dir, extras, csv_multiline, json_layout)
+        raw = sources.read_posts(spark, input_dir, extras, csv_multiline, json_layout, csv_layout)
         tables.write_posts(clean_posts(raw, scope, strip_brackets=strip_brackets), target)
     return write_metadata(spark, input_dir, out_dir, target)
 

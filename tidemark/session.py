@@ -11,13 +11,17 @@ from pyspark.sql import DataFrame, SparkSession
 
 CHECKPOINT_KEY = "spark.checkpoint.dir"
 
-# Runtime settings the operators rely on: times are UTC, and AQE splits skewed
-# join sides and sizes shuffle partitions from what was really written.
+# Runtime settings the operators rely on: times are UTC, AQE splits skewed join sides
+# and sizes shuffle partitions from what was really written, Arrow batches of long
+# texts are bounded by bytes as well as rows, and stream state lives outside the heap.
 RUNTIME_SETTINGS = {
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
+    "spark.sql.execution.arrow.maxBytesPerBatch": str(64 * 1024 * 1024),
+    "spark.sql.streaming.stateStore.providerClass":
+        "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
 }
 
 _local_folders: dict[str, str] = {}

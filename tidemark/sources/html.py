@@ -59,6 +59,13 @@ class Layout:
     excluded_host: str = "twitter.com"
 
 
+class _Element:
+    __slots__ = ("tag", "attributes", "texts", "text_end", "end")
+
+    def __init__(self, tag: str, attributes: dict, texts: int):
+        self.tag, self.attributes, self.texts = tag, attributes, texts
+
+
 class _Outline(HTMLParser):
     """Elements in page order, each with the range of texts and elements inside it."""
 
@@ -70,28 +77,28 @@ class _Outline(HTMLParser):
         # Texts between two tags are one text; scripts and styles are not shown.
         text = "".join(self._pending).strip()
         self._pending = []
-        if text and not (self._open and self.elements[self._open[-1]]["tag"] in ("script", "style")):
+        if text and not (self._open and self._open[-1].tag in ("script", "style")):
             self.texts.append(text)
 
     def handle_starttag(self, tag, attrs):
-        self._flush()
-        attributes = {}
-        for name, value in attrs:
-            attributes[name] = value or ""
-        self.elements.append({"tag": tag, "attributes": attributes, "texts": len(self.texts)})
+        if self._pending:
+            self._flush()
+        element = _Element(tag, {name: value or "" for name, value in attrs}, len(self.texts))
+        self.elements.append(element)
         if tag in VOID_TAGS:
-            self._finish(len(self.elements) - 1)
+            self._finish(element)
         else:
-            self._open.append(len(self.elements) - 1)
+            self._open.append(element)
 
     def handle_endtag(self, tag):
-        self._flush()
-        if any(self.elements[i]["tag"] == tag for i in self._open):
-            while self._open:
-                closed = self._open.pop()
-                self._finish(closed)
-                if self.elements[closed]["tag"] == tag:
-                    break
+        if self._pending:
+            self._flush()
+        for depth in range(len(self._open) - 1, -1, -1):
+            if self._open[depth].tag == tag:
+                for element in self._open[depth:]:
+                    self._finish(element)
+                del self._open[depth:]
+                break
 
     def handle_data(self, data):
         self._pending.append(data)
@@ -99,51 +106,51 @@ class _Outline(HTMLParser):
     def handle_comment(self, data):
         self._flush()
 
-    def _finish(self, index):
-        self.elements[index].update(text_end=len(self.texts), end=len(self.elements))
+    def _finish(self, element):
+        element.text_end, element.end = len(self.texts), len(self.elements)
 
     def read(self, page: str):
         self.feed(page)
         self.close()
         self._flush()
-        while self._open:
-            self._finish(self._open.pop())
+        for element in self._open:
+            self._finish(element)
         return self
 
-    def text(self, element) -> str:
-        return "".join(self.texts[element["texts"]:element["text_end"]])
+    def text(self, element: _Element) -> str:
+        return "".join(self.texts[element.texts:element.text_end])
 
 
 def _parts(page: str | None, layout: Layout) -> Iterator[dict]:
     """The raw parts of every post of a page."""
     outline = _Outline().read(page or "")
     everything = outline.elements
+    user_link, hashtag_link, web_link = map(
+        re.compile, (layout.user_link, layout.hashtag_link, layout.web_link)
+    )
     if layout.post is None:
         ranges = [everything]
     else:
         ranges = [
-            everything[i + 1:e["end"]] for i, e in enumerate(everything)
-            if layout.post.fits(e["tag"], e["attributes"])
+            everything[i + 1:e.end] for i, e in enumerate(everything)
+            if layout.post.fits(e.tag, e.attributes)
         ]
     for inside in ranges:
         def first(mark):
-            return next((e for e in inside if mark.fits(e["tag"], e["attributes"])), None)
+            return next((e for e in inside if mark.fits(e.tag, e.attributes)), None)
 
-        links = [
-            (e["attributes"]["href"], e) for e in inside
-            if e["tag"] == "a" and "href" in e["attributes"]
-        ]
-        user_links = [(h, e) for h, e in links if re.search(layout.user_link, h)]
+        links = [(e.attributes["href"], e) for e in inside if e.tag == "a" and "href" in e.attributes]
+        user_links = [(h, e) for h, e in links if user_link.search(h)]
         time, content = first(layout.time), first(layout.content)
         counters = {name: first(mark) for name, mark in layout.counters.items()}
         yield {
             "username": user_links[0][0].strip("/") if user_links else None,
-            "timestamp": time["attributes"].get(layout.time_attribute, "") if time else None,
+            "timestamp": time.attributes.get(layout.time_attribute, "") if time else None,
             "content": outline.text(content) if content else None,
             **{name: outline.text(e) if e else None for name, e in counters.items()},
             "user_texts": [outline.text(e) for _, e in user_links],
-            "tag_texts": [outline.text(e) for h, e in links if re.search(layout.hashtag_link, h)],
-            "links": [h for h, _ in links if re.search(layout.web_link, h)],
+            "tag_texts": [outline.text(e) for h, e in links if hashtag_link.search(h)],
+            "links": [h for h, _ in links if web_link.search(h)],
         }
 
 

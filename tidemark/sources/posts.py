@@ -165,13 +165,17 @@ def read_posts(
     extras: str | None = None,
     csv_multiline: bool = True,
     json_layout: str = "auto",
+    csv_layout: str = "auto",
 ) -> DataFrame:
     """Raw posts of all JSON and CSV files right below a folder, whatever their columns.
 
     Files of one layout (JSON Lines, JSON document, each CSV header) are read
-    together. ``json_layout`` may be set to ``lines`` or ``document`` when it is
-    the same for all files; with ``auto`` one extra text pass finds it out.
+    together; with ``auto`` one text pass finds it out. ``json_layout`` may be set
+    to ``lines`` or ``document``, and ``csv_layout`` to ``same``, when all files
+    are alike.
     """
+    if json_layout not in ("auto", "lines", "document") or csv_layout not in ("auto", "same"):
+        raise ValueError(f"unknown layout {json_layout!r} or {csv_layout!r}")
     files = discover_files(spark, folder).where("bytes > 0").collect()
     by_suffix = {s: [f["path"] for f in files if f["suffix"] == s] for s in SUFFIXES}
     frames = []
@@ -187,7 +191,9 @@ def read_posts(
             frames.append(read_json(spark, sorted(paths), layout == "document", extras))
 
     headers: dict[str, list[str]] = {}
-    if by_suffix[".csv"]:
+    if by_suffix[".csv"] and csv_layout == "same":
+        headers[""] = by_suffix[".csv"]
+    elif by_suffix[".csv"]:
         for row in _first_lines(spark, by_suffix[".csv"], lambda line: line):
             headers.setdefault(row["found"], []).append(row["path"])
     for _, paths in sorted(headers.items()):
