@@ -70,6 +70,18 @@ def test_broken_line_does_not_hide_the_rest(spark, tmp_path):
     assert sorted(n for n in names if n) == ["ann", "z"]
 
 
+def test_odd_file_names(spark, tmp_path):
+    names = ["a b.json", "c+d.json", "e%41.json", "#x y.json", "f[1].json", "\u00e9.json"]
+    for name in names:
+        write(str(tmp_path), name, json.dumps({**POST, "username": name}) + "\n")
+    write(str(tmp_path), "g {2}.csv", "username,content\ng {2}.csv,x\n")
+    rows = sources.read_posts(spark, str(tmp_path), "").collect()
+    assert sorted(r["source_file"] for r in rows) == sorted([*names, "g {2}.csv"])
+    assert all(r["source_file"] == r["username"] for r in rows)
+    found = sources.discover_files(spark, str(tmp_path)).collect()
+    assert sorted(r["name"] for r in found) == sorted([*names, "g {2}.csv"])
+
+
 def test_known_layouts_need_no_text_pass(spark, tmp_path):
     write(str(tmp_path), "a.json", json.dumps(POST) + "\n")
     write(str(tmp_path), "b.csv", "username,content\nbob,x\n")

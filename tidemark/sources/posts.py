@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import csv
+import re
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -34,7 +36,7 @@ def discover_files(spark: SparkSession, folder: str) -> DataFrame:
         .load(folder)
         .select(
             "path",
-            F.url_decode(name).alias("name"),
+            name.alias("name"),
             F.concat(F.lit("."), F.element_at(F.split("path", r"\."), -1)).alias("suffix"),
             F.col("length").alias("bytes"),
         )
@@ -42,6 +44,16 @@ def discover_files(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def _decoded(column: str) -> Column:
+    """File names in row metadata are percent-encoded; a plus is a plus."""
+    return F.url_decode(F.regexp_replace(column, r"\+", "%2B"))
+
+
+def _literal(paths: Sequence[str]) -> list[str]:
+    """Paths that name exactly one file, also when they hold wildcard characters."""
+    return [re.sub(r"([\[\]{}*?\\])", r"\\\1", path) for path in paths]
+
+
 def _first_lines(spark: SparkSession, paths: Sequence[str], wanted) -> list:
     """A value made from the first non-blank line of each file, as ``path, found``.
 
@@ -50,8 +62,8 @@ def _first_lines(spark: SparkSession, paths: Sequence[str], wanted) -> list:
     """
     # A byte-order mark or trailing CR is not part of the line.
     line = F.regexp_replace("value", r"^\x{feff}|\r$", "")
-    lines = spark.read.text(list(paths)).select(
-        F.col("_metadata.file_path").alias("path"), _place(), wanted(line).alias("found"), line.alias("line")
+    lines = spark.read.text(_literal(paths)).select(
+        _decoded("_metadata.file_path").alias("path"), _place(), wanted(line).alias("found"), line.alias("line")
     ).where(F.trim("line") != "")
     return lines.groupBy("path").agg(F.min_by("found", FILE_ORDER).alias("found")).collect()
 
@@ -69,7 +81,7 @@ def _place() -> Column:
 
 
 def _positions() -> tuple[Column, Column]:
-    return F.col("_metadata.file_name").alias("source_file"), _place()
+    return _decoded("_metadata.file_name").alias("source_file"), _place()
 
 
 # Set by the readers, whatever a file says.
@@ -106,29 +118,37 @@ def read_json(
     return reader.schema(schema).json(list(paths)).select(*schema.names, *_positions())
 
 
+def _header_names(header: str) -> list[str] | None:
+    """Column names of a header line, or nothing where they are doubtful."""
+    names = next(csv.reader([header]), [])
+    return names if all(names) and len({n.lower() for n in names}) == len(names) else None
+
+
 def read_csv(
-    spark: SparkSession, paths: Sequence[str], multiline: bool = True
+    spark: SparkSession, paths: Sequence[str], multiline: bool = True, names: Sequence[str] | None = None
 ) -> DataFrame:
-    """Raw posts from CSV files that share one header.
+    """Raw posts from CSV files that share one header; with ``names`` it is not looked up again.
 
     ``multiline`` allows line breaks inside quotes; such files cannot be split,
     so turn it off for large files that have none.
     """
-    raw = (
+    reader = (
         spark.read.option("header", True)
         .option("multiLine", multiline)
         .option("quote", '"')
         .option("escape", '"')
-        .csv(list(paths))
     )
-    names = [c for c in raw.columns if c not in _OWN_COLUMNS]
+    if names:
+        reader = reader.schema(T.StructType([T.StructField(name, T.StringType()) for name in names]))
+    raw = reader.csv(list(paths))
+    given = [c for c in raw.columns if c not in _OWN_COLUMNS]
     cells = {
-        c: F.when(~F.col(f"`{c}`").isin(*CSV_MISSING), F.col(f"`{c}`")).alias(c) for c in names
+        c: F.when(~F.col(f"`{c}`").isin(*CSV_MISSING), F.col(f"`{c}`")).alias(c) for c in given
     }
     for c in ("replies", "retweets", "likes"):
         if c in cells:  # a count column with blanks is written with decimals
             cells[c] = F.regexp_replace(cells[c], r"^(\s*[+-]?[0-9]+)\.0+\s*$", "$1").alias(c)
-    return raw.select(*[cells[c] for c in names], *_positions())
+    return raw.select(*[cells[c] for c in given], *_positions())
 
 
 def _union(frames: list[DataFrame]) -> DataFrame:
@@ -188,7 +208,7 @@ def read_posts(
         groups[json_layout] = by_suffix[".json"]
     for layout, paths in groups.items():
         if paths:
-            frames.append(read_json(spark, sorted(paths), layout == "document", extras))
+            frames.append(read_json(spark, _literal(sorted(paths)), layout == "document", extras))
 
     headers: dict[str, list[str]] = {}
     if by_suffix[".csv"] and csv_layout == "same":
@@ -196,8 +216,9 @@ def read_posts(
     elif by_suffix[".csv"]:
         for row in _first_lines(spark, by_suffix[".csv"], lambda line: line):
             headers.setdefault(row["found"], []).append(row["path"])
-    for _, paths in sorted(headers.items()):
-        frames.append(read_csv(spark, sorted(paths), csv_multiline))
+    for header, paths in sorted(headers.items()):
+        names = _header_names(header)
+        frames.append(read_csv(spark, _literal(sorted(paths)), csv_multiline, names))
 
     if not frames:
         raise FileNotFoundError(f"no JSON or CSV posts below {folder}")
@@ -210,4 +231,4 @@ def stream_posts(spark: SparkSession, folder: str, extras: str = "", files_per_b
     reader = spark.readStream.schema(schema).option("pathGlobFilter", "*.json")
     if files_per_batch:
         reader = reader.option("maxFilesPerTrigger", files_per_batch)
-    return reader.json(folder).select("*", F.col("_metadata.file_name").alias("source_file"))
+    return reader.json(folder).select("*", _decoded("_metadata.file_name").alias("source_file"))
