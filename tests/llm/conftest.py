@@ -1,0 +1,57 @@
+import os
+import random
+import sys
+
+import pytest
+
+sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
+
+WORDS = "the of and river stone cloud paper window garden silver music north letter glass ocean".split()
+
+
+def prose(seed: int, n: int) -> str:
+    """Words with random numbers among them, so that no two texts share passages."""
+    rng = random.Random(seed)
+    return " ".join(rng.choice(WORDS) + str(rng.randrange(1000)) for _ in range(n))
+
+
+@pytest.fixture(scope="session")
+def odd_rows():
+    """(doc_id, text, lang, source): nulls, gaps, short and long texts, copies, ties and repeated rows."""
+    base = prose(1, 200)
+    words = base.split()
+    shared = prose(2, 90)
+    return [
+        (1, base, "en", "a"), (2, base, "en", "a"), (2, base, "en", "a"),
+        (3, " ".join([*words[:100], "changed", *words[101:]]), "en", "a"),
+        (4, base.upper(), None, "b"), (5, None, "en", "b"), (6, "", "fr", "b"), (7, " \t\n\x0b\x0c\r ", None, None),
+        (8, "one two", "en", None), (9, "One  TWO", "en", "c"), (10, "é" * 700, "fr", "c"), (11, "x" * 399, "en", "c"),
+        (12, "y" * 401, "en", "c"), (13, prose(3, 60) + " " + shared, "en", "c"),
+        (14, shared + " " + prose(4, 60), "en", "d"), (None, prose(5, 80), "en", "d"), (None, prose(5, 80), "en", "d"),
+        (15, prose(6, 9000), "en", "d"), (-3, "12 34 --- 56", "de", "e"), (16, "a b c a b c a b c " * 30, "en", "e"),
+        (17, "line one\nline one\n\n\nline one\n #*$%&|<>", "en", "e"), (18, "日本語のテキスト" * 80, "ja", "e"),
+        (19, "<|endoftext|> a <|endoftext|>", "en", "e"), (20, "It's the dog's 1234567 ends   \n\n now", "en", "e"),
+    ]
+
+
+@pytest.fixture(scope="session")
+def odd(spark, odd_rows):
+    """The odd rows with further columns whose names the operators use themselves."""
+    docs = spark.createDataFrame(odd_rows, "doc_id long, text string, lang string, source string")
+    return docs.selectExpr("*", "7L as n_chars", "1 as id", "2 as n", "3 as node", "'x' as kept", "4 as _copy2").repartition(3)
+
+
+@pytest.fixture(scope="session")
+def empty(odd):
+    return odd.limit(0)
+
+
+@pytest.fixture
+def same_rows():
+    """Compare rows regardless of their order."""
+
+    def check(df, expected, *columns):
+        found = sorted((tuple(r) for r in df.select(*columns).collect()), key=repr)
+        assert found == sorted((tuple(e) for e in expected), key=repr)
+
+    return check

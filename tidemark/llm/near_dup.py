@@ -7,11 +7,12 @@ a chance of 3e-6), so they share a pair among any COORDINATES - MATCHES + 1 of
 each. The rarest pairs of a class are taken for this prefix; values that nobody shares count first and
 need no posting, which skips all but the copies and keeps common passages out of the join.
 
-Links are found without pairing everybody in a posting list. First each class is compared with the first class of
-its lists, the one that shares most coordinates. Links are confirmed on the full sets, then connected. Lists
-whose members all belong together by then are done. In the others, members are compared across
-components, blocks of a list at a time inside a task, and only pairs with enough matching coordinates
-leave it. Pairs within a component can't change the result.
+Links are found without pairing everybody in a posting list. First each class is compared with one head of
+its lists, classes whose values most others share. Links are confirmed on the full sets, then connected. Classes
+that lists hold together form families; those that are one component by then are done. In the others, members are
+compared across components, two blocks of a family at a time inside a task: coordinate matches are counted, pairs with
+enough are confirmed on the full sets, and only links that join components leave the task. Pairs within a
+component can't change the result.
 
 Defined results: a null or empty text, or one of gaps only, has an empty set and is linked with nothing. A text below five words
 is one shingle. The component of a row is the smallest id reachable; null ids count only among themselves, and such
@@ -32,7 +33,8 @@ SHINGLE = 5
 COORDINATES = 64
 MATCHES = 32
 PREFIX = COORDINATES - MATCHES + 1
-BLOCK = 256
+BLOCK = 1024
+COLUMNS = 4096
 BASE = 0x9E3779B97F4A7C15
 
 _LOWER = np.arange(256, dtype=np.uint8)
@@ -104,7 +106,7 @@ def features(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFr
 
 
 def _postings(classes: DataFrame) -> DataFrame:
-    """(posting, node): the rarest coordinate-value pairs of each class that others share."""
+    """(posting, node, shared): the rarest coordinate-value pairs of each class that others share."""
     pairs = classes.select("node", F.posexplode("signature").alias("k", "v")).select(
         "node", F.xxhash64("k", "v").alias("posting")
     )
@@ -115,7 +117,8 @@ def _postings(classes: DataFrame) -> DataFrame:
     # unshared values come first in the order of rareness and use up the prefix
     room = F.lit(PREFIX - COORDINATES) + F.size("found")
     return per_class.where(room > 0).select(
-        "node", F.explode(F.slice("found", F.lit(1), room)["posting"]).alias("posting")
+        "node", F.aggregate("found", F.lit(0).cast("long"), lambda acc, x: acc + x["n"]).alias("shared"),
+        F.explode(F.slice("found", F.lit(1), room)["posting"]).alias("posting"),
     )
 
 
@@ -190,47 +193,93 @@ def connect(links: DataFrame) -> DataFrame:
     return stars.unionByName(stars.select("component", "component").distinct().toDF("node", "component"))
 
 
-def _across(postings: DataFrame, labels: DataFrame, classes: DataFrame) -> DataFrame:
-    """Pairs of different components that share a posting and enough coordinates."""
-    told = postings.join(labels, "node", "left").withColumn("component", F.coalesce("component", "node"))
-    mixed = told.groupBy("posting").agg(
+def _across(stars: DataFrame, labels: DataFrame, classes: DataFrame, texts: DataFrame) -> DataFrame:
+    """Links between components of a family, enough to connect what belongs together."""
+    told = connect(stars).withColumnRenamed("component", "family").join(labels, "node", "left")
+    told = stage(told.withColumn("component", F.coalesce("component", "node")), "families")
+    mixed = told.groupBy("family").agg(
         F.min("component").alias("c1"), F.max("component").alias("c2"), F.count("*").alias("size")
-    ).where("c1 < c2").select("posting", F.ceil(F.col("size") / BLOCK).cast("int").alias("blocks"))
-    members = told.join(mixed, "posting").join(classes.select("node", "n", "signature"), "node")
+    ).where("c1 < c2").select("family", F.ceil(F.col("size") / BLOCK).cast("int").alias("blocks"))
+    members = told.join(mixed, "family").join(classes.select("node", "signature"), "node").join(texts, "node")
     blocks = members.withColumn("block", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int")).groupBy(
-        "posting", "blocks", "block"
-    ).agg(F.collect_list(F.struct("node", "component", "n", "signature")).alias("rows"))
-    # a list in one block meets itself; longer ones meet block by block
+        "family", "blocks", "block"
+    ).agg(F.collect_list(F.struct("node", "component", "signature", "text")).alias("rows"))
+    # a family in one block meets itself; longer ones meet block by block
     left = blocks.withColumn("other", F.explode(F.sequence(F.col("block"), F.col("blocks") - 1)))
-    right = blocks.select("posting", F.col("block").alias("other"), F.col("rows").alias("other_rows"))
-    met = left.join(right, ["posting", "other"]).select("rows", "other_rows")
+    right = blocks.select("family", F.col("block").alias("other"), F.col("rows").alias("other_rows"))
+    met = left.join(right, ["family", "other"]).select("rows", "other_rows")
 
     def run(batches):
         for batch in batches:
-            pairs: list[tuple[int, int]] = []
             for i in range(batch.num_rows):
-                (x, cx, nx, sx), (y, cy, ny, sy) = (_block(batch.column(c)[i]) for c in ("rows", "other_rows"))
-                for k in range(len(x)):
-                    near = (cy != cx[k]) & (100 * np.minimum(ny, nx[k]) >= 75 * np.maximum(ny, nx[k]))
-                    at = np.flatnonzero(near)
-                    at = at[(sy[at] == sx[k]).sum(axis=1) >= MATCHES]
-                    pairs += [(min(x[k], other), max(x[k], other)) for other in y[at].tolist()]
-            if pairs:
-                a, b = zip(*set(pairs), strict=True)
-                yield pa.RecordBatch.from_pydict({"a": pa.array(a, pa.int64()), "b": pa.array(b, pa.int64())})
+                found = _links_across(*(_block(batch.column(c)[i]) for c in ("rows", "other_rows")))
+                if found:
+                    a, b = zip(*found, strict=True)
+                    yield pa.RecordBatch.from_pydict({"a": pa.array(a, pa.int64()), "b": pa.array(b, pa.int64())})
 
-    return met.mapInArrow(run, "a long, b long").distinct()
+    return met.mapInArrow(run, "a long, b long")
 
 
-def _block(rows) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+def _block(rows) -> tuple[list, list, np.ndarray, list]:
     values = rows.values
-    columns = [values.field(n).to_numpy(zero_copy_only=False) for n in ("node", "component", "n")]
     signatures = values.field("signature").flatten().to_numpy(zero_copy_only=False)
-    return (*columns, signatures.reshape(-1, COORDINATES))
+    return (
+        values.field("node").to_pylist(), values.field("component").to_pylist(),
+        signatures.reshape(-1, COORDINATES), bytes_of(values.field("text")),
+    )
+
+
+def intersections(xs: list[np.ndarray], ys: list[np.ndarray]) -> np.ndarray:
+    """Sizes of all intersections of two lists of sets, by products of 0/1 matrices of a few columns each."""
+    codes = np.concatenate([*xs, *ys])
+    known, place, times = np.unique(codes, return_inverse=True, return_counts=True)
+    owner = np.repeat(np.arange(len(xs) + len(ys)), [len(s) for s in (*xs, *ys)])
+    shared = times[place] > 1
+    column = (np.cumsum(times > 1) - 1)[place[shared]]
+    order = np.argsort(column, kind="stable")
+    column, owner = column[order], owner[shared][order]
+    total = np.zeros((len(xs), len(ys)), dtype=np.float32)
+    for first in range(0, int(np.count_nonzero(times > 1)), COLUMNS):
+        a, b = np.searchsorted(column, [first, first + COLUMNS])
+        cells = np.zeros((len(xs) + len(ys), COLUMNS), dtype=np.float32)
+        cells[owner[a:b], column[a:b] - first] = 1
+        total += cells[: len(xs)] @ cells[len(xs) :].T
+    return total.astype(np.int64)
+
+
+def _links_across(left: tuple, right: tuple) -> list[tuple[int, int]]:
+    """Links between different components of two blocks; of several that join the same ones, the first."""
+    (x, cx, sx, tx), (y, cy, sy, ty) = left, right
+    cx_, cy_ = np.array(cx), np.array(cy)
+    near = np.zeros((len(x), len(y)), dtype=bool)
+    for k in range(len(x)):
+        at = np.flatnonzero(cy_ != cx_[k])
+        near[k, at[(sy[at] == sx[k]).sum(axis=1) >= MATCHES]] = True
+    rows, columns = np.flatnonzero(near.any(axis=1)), np.flatnonzero(near.any(axis=0))
+    if not len(rows):
+        return []
+    a, b = [shingle_codes(tx[i]) for i in rows], [shingle_codes(ty[j]) for j in columns]
+    both = intersections(a, b)
+    union = np.array([len(s) for s in a])[:, None] + np.array([len(s) for s in b])[None, :] - both
+    parent: dict[int, int] = {}
+
+    def top(c: int) -> int:
+        while parent.setdefault(c, c) != c:
+            parent[c] = parent[parent[c]]
+            c = parent[c]
+        return c
+
+    found = []
+    for i, j in zip(*np.nonzero(near[np.ix_(rows, columns)] & (100 * both >= 75 * union)), strict=True):
+        u, v = top(cx[rows[i]]), top(cy[columns[j]])
+        if u != v:
+            parent[u] = v
+            found.append((x[rows[i]], y[columns[j]]))
+    return found
 
 
 def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
-    """One row per input row: id, n_shingles, component_id, n_links (confirmed of its class), kept."""
+    """One row per input row: id, n_shingles, component_id, kept."""
     rows = stage(features(docs, key, text), "signatures")
     # numbers for the classes; the table is written, so they stay as they are
     classes = stage(
@@ -239,10 +288,10 @@ def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text") ->
         ).withColumn("node", F.monotonically_increasing_id()), "classes",
     )
     postings = stage(_postings(classes), "postings")
-    first = postings.groupBy("posting").agg(F.min("node").alias("b"))
-    stars = postings.join(first, "posting").where("node <> b").select(F.col("node").alias("a"), "b").distinct()
-    stars = stage(_with_signatures(stars, classes), "stars")
-    best = stars.groupBy("a").agg(F.max_by("b", F.struct("matches", -F.col("b"))).alias("b"))
+    heads = postings.groupBy("posting").agg(F.max_by("node", F.struct("shared", -F.col("node"))).alias("b"))
+    stars = postings.join(heads, "posting").select(F.col("node").alias("a"), "b").where("a <> b").distinct()
+    stars = stage(stars, "stars")
+    best = _with_signatures(stars, classes).groupBy("a").agg(F.max_by("b", F.struct("matches", -F.col("b"))).alias("b"))
 
     wanted = postings.select("node").distinct().join(classes.select("node", "class", "least_id"), "node")
     source = docs.select(F.col(key).cast("long").alias("id"), F.col(text).cast("binary").alias("text"))
@@ -250,22 +299,16 @@ def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text") ->
 
     links = stage(_confirm(best, texts), "links")
     labels = stage(connect(links), "labels")
-    across = _across(postings, labels, classes)
-    more = stage(_confirm(across, texts), "links")
+    more = stage(_across(stars, labels, classes, texts), "links")
     if not more.isEmpty():
-        links = links.unionByName(more)
-        labels = stage(connect(links), "labels")
-    degree = links.select("a").union(links.select("b")).toDF("node").groupBy("node").agg(F.count("*").alias("n_links"))
+        labels = stage(connect(links.unionByName(more)), "labels")
     told = classes.join(labels, "node", "left").withColumn("component", F.coalesce("component", "node"))
     ids = told.groupBy("component").agg(F.min("least_id").alias("component_id"))
-    told = told.join(ids, "component").join(degree, "node", "left").select(
-        "class", "component_id", F.coalesce("n_links", F.lit(0)).alias("n_links")
-    )
+    told = told.join(ids, "component").select("class", "component_id")
     # the class of an empty set is null and joins nothing: such a row is its own component
     return rows.join(told, "class", "left").select(
         "id", F.col("n").alias("n_shingles"),
         F.when(F.col("class").isNull(), F.col("id")).otherwise(F.col("component_id")).alias("component_id"),
-        F.coalesce("n_links", F.lit(0)).alias("n_links"),
     ).withColumn("kept", F.col("id").eqNullSafe(F.col("component_id")))
 
 

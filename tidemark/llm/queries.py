@@ -6,7 +6,9 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import bpe_tree, langid, mixing, near_dup, quality_llr, suffix_dedup, token_count, token_store, topk, warc
+from tidemark.llm import (
+    bpe_tree, langid, mixing, near_dup, oracle, quality_llr, suffix_dedup, token_count, token_store, topk, warc,
+)
 from tidemark.llm.common import table
 from tidemark.session import configure
 
@@ -71,7 +73,7 @@ def stored_ids(spark: SparkSession, sf: str) -> DataFrame:
 def near_copies(spark: SparkSession, sf: str) -> DataFrame:
     docs = table(configure(spark), sf, "documents")
     return near_dup.near_duplicates(docs).select(
-        F.col("id").alias("doc_id"), "n_shingles", "component_id", "kept", "n_links"
+        F.col("id").alias("doc_id"), "n_shingles", "component_id", "kept"
     )
 
 
@@ -102,4 +104,4 @@ QUERIES = {
     "op10_token_counts": token_counts,
 }
 
-ORACLES: dict[str, str] = {}
+ORACLES = oracle.ORACLES
