@@ -3,8 +3,6 @@
 from __future__ import annotations
 
 from registry.raw import POST_ORDER, raw_sql
-from tidemark.functions import lexicon
-from tidemark.operators import bootstrap
 
 # Settings both sides share.
 TERMS = 5000
@@ -15,6 +13,17 @@ URGENT = ("in", "is", "un")
 WEIGHTS = {"polarity": 0.4, "engagement": 0.3}
 REPLICATES = 200
 
+# Fixed values, written out here once more so that a wrong table in the library shows.
+BULL_WORDS = ("buy", "bull", "long", "breakout", "rally", "support", "up", "green", "accumulate", "entry")
+BEAR_WORDS = ("sell", "bear", "short", "breakdown", "resistance", "down", "red", "exit", "dump")
+URGENCY_WORDS = ("now", "today", "alert", "immediate", "intraday", "urgent", "live")
+DEFAULT_WEIGHTS = {"polarity": 0.4, "engagement": 0.3, "svd_1": 0.3}
+LEHMER_PRIME, LEHMER_FACTOR = 2147483647, 48271
+POISSON_STEPS = (
+    790015083, 1580030167, 1975037709, 2106706890, 2139624185, 2146207644,
+    2147304887, 2147461637, 2147481230, 2147483407, 2147483625, 2147483645,
+)
+
 _BLANKS = (
     r"[\x{00}-\x{20}\x{7f}-\x{a0}\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}]+"
 )
@@ -35,16 +44,20 @@ def tags(content: str, given: str, sigil: str) -> str:
 
 
 def whole_number(x: str) -> str:
+    bare = rf"regexp_replace({x}, '^\s+|\s+$', '', 'g')"
     return (
-        f"case when regexp_full_match(trim({x}), '[+-]?[0-9]+') "
-        f"then coalesce(try_cast(trim({x}) as bigint), 0) else 0 end"
+        f"case when regexp_full_match({bare}, '[+-]?[0-9]+') "
+        f"then coalesce(try_cast({bare} as bigint), 0) else 0 end"
     )
 
 
+_TIMES = "'%Y/%m/%d %H:%M', '%m/%d/%Y %I:%M %p', '%m/%d/%Y', '%d/%m/%Y', '%B %d, %Y'"
+
+
 def utc(x: str) -> str:
     bare = f"regexp_replace({x}, '([+-][0-9]{{2}}:[0-9]{{2}}|Z)$', '')"
     hours = f"coalesce(try_cast(nullif(regexp_extract({x}, '([+-][0-9]{{2}}):[0-9]{{2}}$', 1), '') as bigint), 0)"
-    return f"(try_cast({bare} as timestamp) - to_hours({hours}))"
+    return f"coalesce(try_cast({bare} as timestamp) - to_hours({hours}), try_strptime({x}, [{_TIMES}]))"
 
 
 def shown(ts: str) -> str:
@@ -126,7 +139,7 @@ qualify row_number() over (partition by source_file, uid order by {_ORDER}) = 1"
 select *, list_filter(string_split(lower(content), ' '), lambda w: w <> '') as w
 from clean where timestamp is not null and content is not null""",
     "scores": f"""
-select *, {lexical('w', lexicon.BULL_WORDS, lexicon.BEAR_WORDS, lexicon.URGENCY_WORDS)},
+select *, {lexical('w', BULL_WORDS, BEAR_WORDS, URGENCY_WORDS)},
   ln(1 + likes + retweets + replies) as engagement
 from words""",
     "moments": moments("scores", WEIGHTS),
@@ -193,14 +206,16 @@ def clean_columns() -> str:
 
 
 def poisson_case(draw: str) -> str:
-    steps = bootstrap.poisson_steps()
-    whens = " ".join(f"when {draw} <= {step} then {k}" for k, step in enumerate(steps))
-    return f"case {whens} else {len(steps)} end"
+    whens = " ".join(f"when {draw} <= {step} then {k}" for k, step in enumerate(POISSON_STEPS))
+    return f"case {whens} else {len(POISSON_STEPS)} end"
 
 
 def bootstrap_steps(source: str, groups: str, key: str, value: str) -> dict[str, str]:
-    p = bootstrap.LEHMER_PRIME
-    factors = ", ".join(map(str, bootstrap.multipliers(REPLICATES)))
+    p, factors, factor = LEHMER_PRIME, [], 1
+    for _ in range(REPLICATES):
+        factor = factor * LEHMER_FACTOR % p
+        factors.append(factor)
+    factors = ", ".join(map(str, factors))
     return {
         "seeded": f"select {groups}, {value} as x, ('0x' || substr(md5({key}), 1, 8))::bigint % {p - 1} + 1 as seed from {source}",
         "factors": f"select unnest([{factors}]) as f, unnest(range({REPLICATES})) as b",

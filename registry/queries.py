@@ -296,11 +296,11 @@ def display(spark, sf):
 
 
 @register("primary_hashtag_signals", o.query(f"""
-select {o.shown(o.bucket('timestamp', o.HOUR))} as timestamp, count(*) as n from composite
+select {o.shown(o.bucket('timestamp', o.HOUR))} as timestamp, {o.r('avg(composite_signal)')} as signal, count(*) as n from composite
 where hashtag_primary = '#extra' group by 1""", *o.SIGNAL_STEPS))
 def primary_hashtag_signals(spark, sf):
     signals = buckets.aggregate_signals(composed(spark, sf), "1h", by=["hashtag_primary"], method="none")
-    return series.for_hashtag(signals, "#extra").select(shown("timestamp"), "n")
+    return series.for_hashtag(signals, "#extra").select(shown("timestamp"), r("signal"), "n")
 
 
 # ---- aggregates and fitted operators ----------------------------------------
@@ -371,6 +371,18 @@ def signal_buckets_by_hashtag(spark, sf):
     return signals.select(shown("timestamp"), "hashtag_primary", r("signal"), "n")
 
 
+@register("signal_buckets_with_a_null_group", o.query(f"""
+select {o.shown('bucket')} as timestamp, tag, {o.r('signal')} as signal, coalesce(n, 0) as n
+from spine left join observed on spine.bucket = observed.bucket and spine.g is not distinct from observed.tag""", *o.SIGNAL_STEPS, extra={
+    "observed": f"select {o.bucket('timestamp', 2 * o.HOUR)} as bucket, nullif(hashtag_primary, '#extra') as tag, avg(composite_signal) as signal, count(*) as n from composite where hour(timestamp) % 6 < 4 group by all",
+    "spine": f"select tag as g, unnest(generate_series(min(bucket), max(bucket), to_microseconds({2 * o.HOUR}))) as bucket from observed group by 1"}).replace(
+        "select strftime(bucket,", "select strftime(spine.bucket,").replace(" as timestamp, tag,", " as timestamp, g as tag,"))
+def signal_buckets_with_a_null_group(spark, sf):
+    scores = composed(spark, sf).where(F.hour("timestamp") % 6 < 4).withColumn("tag", F.nullif("hashtag_primary", F.lit("#extra")))
+    signals = buckets.aggregate_signals(scores, "2h", by=["tag"], method="none", gaps=True)
+    return signals.select(shown("timestamp"), "tag", r("signal"), "n")
+
+
 @register("bootstrap_intervals", o.query(f"""
 select {o.shown('bucket')} as timestamp, {o.r('signal')} as signal, n, {o.r('ci_lo')} as ci_lo, {o.r('ci_hi')} as ci_hi
 from observed join ends using (bucket)""", *o.SIGNAL_STEPS, extra={
@@ -395,12 +407,6 @@ def bootstrap_intervals_by_hashtag(spark, sf):
     return signals.select(shown("timestamp"), "hashtag_primary", r("signal"), "n", r("ci_lo"), r("ci_hi"))
 
 
-@register("bootstrap_intervals_exact")
-def bootstrap_intervals_exact(spark, sf):
-    scores = composed(spark, sf)
-    return buckets.aggregate_signals(scores, "2h", method="exact", key=row_keys(scores))
-
-
 @register("hashtag_summary", o.query(f"""
 select hashtag, count(*) as total_tweets, count(distinct username) as unique_users, {o.r('avg(likes)')} as avg_likes,
   {o.r('avg(retweets)')} as avg_retweets, {o.r('avg(replies)')} as avg_replies,
@@ -423,7 +429,7 @@ EXTRAS = "origin string, post_no bigint, copy_no int"
 _FROM_FILES = """select origin, post_no, uid, username, md5(content) as content_md5, replies, likes, hashtag_primary, date
 from (select * from clean_all qualify row_number() over (partition by uid order by {order}) = 1)"""
 _CSV_STD = {**o.STEPS, "std": o.STEPS["std"].replace(
-    o.whole_number("replies"), f"case when replies = '12.0' then 12 else {o.whole_number('replies')} end")}
+    o.whole_number("replies"), f"case when replies in ('12.0', '12.7') then 12 else {o.whole_number('replies')} end")}
 
 
 def _from_files(raw: DataFrame) -> DataFrame:
@@ -442,28 +448,57 @@ def json_lines_source(spark, sf):
     return _from_files(sources.read_posts(spark, folder, extras=EXTRAS))
 
 
-def write_json_arrays(df: DataFrame, folder: str) -> None:
-    """One JSON array per partition, written row by row."""
-    records = df.select(F.to_json(F.struct(*df.columns)).alias("value"))
-
-    def as_array(batches):
-        import pandas as pd
-
-        mark = "["
-        for batch in batches:
-            for value in batch["value"]:
-                yield pd.DataFrame({"value": [mark + value]})
-                mark = ","
-        yield pd.DataFrame({"value": ["]" if mark == "," else "[]"]})
+def write_json_documents(df: DataFrame, folder: str) -> int:
+    """One JSON file per partition that holds one array; every third partition one more of a single object.
 
-    records.mapInPandas(as_array, "value string").write.text(folder)
+    A file has its final name only once it is complete, so a repeated task replaces its own file.
+    """
+    records = df.select(F.to_json(F.struct(*df.columns)).alias("value"))
+    where = folder if "://" in folder else f"file://{folder}"
+
+    def write(batches):
+        import json
+
+        import pyarrow as pa
+        from pyarrow import fs
+        from pyspark import TaskContext
+
+        store, root = fs.FileSystem.from_uri(where)
+        store.create_dir(root, recursive=True)
+        number, rows = TaskContext.get().partitionId(), 0
+
+        def save(name, chunks):
+            draft = f"{root}/.{name}-{TaskContext.get().taskAttemptId()}"
+            with store.open_output_stream(draft) as out:
+                for chunk in chunks:
+                    out.write(chunk.encode())
+            store.move(draft, f"{root}/{name}")
+
+        def array():
+            nonlocal rows
+            for batch in batches:
+                values = batch.column("value").to_pylist()
+                if number % 3 == 0 and rows == 0 and values:
+                    save(f"single-{number}.json", [json.dumps(json.loads(values.pop(0)), indent=2)])
+                    rows += 1
+                if values:
+                    yield ("[" if array.first else ",\n") + ",\n".join(values)
+                    array.first = False
+                rows += len(values)
+            yield "[]" if array.first else "]"
+
+        array.first = True
+        save(f"array-{number}.json", array())
+        yield pa.RecordBatch.from_pydict({"rows": [rows]})
+
+    return records.mapInArrow(write, "rows long").agg(F.sum("rows")).first()[0]
 
 
 @register("json_document_source", o.query(_FROM_FILES.format(order=IDS), "raw_posts", "std", "tagged", "clean_all"))
 def json_document_source(spark, sf):
     folder = run_folder(spark, "json-arrays")
-    write_json_arrays(raw_posts(spark, sf).drop("source_file"), folder)
-    return _from_files(sources.read_json(spark, [folder], document=True, extras=EXTRAS))
+    write_json_documents(raw_posts(spark, sf).drop("source_file"), folder)
+    return _from_files(sources.read_posts(spark, folder, extras=EXTRAS))
 
 
 @register("csv_source", o.query(
@@ -498,24 +533,27 @@ def mixed_folder_source(spark, sf):
 
 
 @register("combined_parquet_sink", o.query("""
-select date, count(*) as posts, sum(likes) as likes, sum(length(content)) as chars from clean
-where date between '2024-01-05' and '2024-01-20' group by date""", *o.CLEAN_STEPS))
+select date, count(*) as posts, sum(likes) as likes, sum(length(content)) as chars from clean group by date""", *o.CLEAN_STEPS))
 def combined_parquet_sink(spark, sf):
     folder = run_folder(spark, "posts")
     tables.write_posts(cleaned(spark, sf), folder)
-    kept = read_clean(spark, folder).where(F.col("date").between("2024-01-05", "2024-01-20"))
+    kept = read_clean(spark, folder)
     return kept.groupBy("date").agg(
         F.count("*").alias("posts"), F.sum("likes").alias("likes"), F.sum(F.length("content")).alias("chars")
     )
 
 
 @register("run_metadata", o.query(f"""
-select count(distinct uid) as rows_written, true as all_files_listed, '{NOTE}' as note from tagged""", "raw_posts", "std", "tagged"))
+select count(distinct uid) as rows_written, count(distinct uid) as rows_of_files, true as all_files_listed, '{NOTE}' as note from tagged""", "raw_posts", "std", "tagged"))
 def run_metadata(spark, sf):
     folder = run_folder(spark, "dump")
     raw_posts(spark, sf).drop("source_file").write.json(folder)
-    done = ingest(spark, folder, run_folder(spark, "ingested"), scope="global", extras=EXTRAS)
-    return done.select("rows_written", (F.size("processed_files") == F.col("files")).alias("all_files_listed"), "note")
+    out = run_folder(spark, "ingested")
+    done = ingest(spark, folder, out, scope="global", extras=EXTRAS)
+    files = spark.read.schema("name string, rows bigint").json(f"{out}/ingest_files").agg(
+        F.sum("rows").alias("rows_of_files"), F.count("name").alias("named")
+    )
+    return done.crossJoin(files).select("rows_written", "rows_of_files", (F.col("named") == F.col("files")).alias("all_files_listed"), "note")
 
 
 @register("pruned_scan", o.query("""
@@ -601,8 +639,11 @@ def links_and_headings_of_pages(spark, sf):
     return html.extract_posts(table(spark, sf, "pages"), layout=layout).select("page_id", "username", "content")
 
 
+LIVE_DELAY = "60 days"
+
+
 @register("live_signal_stream", o.query(f"""
-select {o.shown('bucket')} as timestamp, {o.r('signal')} as signal, n from (
+select {o.shown('bucket')} as timestamp, {o.r('signal')} as signal, n, 0::bigint as late_rows from (
   select {o.bucket('timestamp', o.HOUR)} as bucket, avg(composite_signal) as signal, count(*) as n from composite group by 1)""",
     extra={**{"raw_posts": o.STEPS["raw_posts"], "std": o.STEPS["std"].replace(o.whole_number("likes"), o.whole_number("retweets"))},
            **{n: o.STEPS[n] for n in o.SIGNAL_STEPS if n not in ("raw_posts", "std")}}))
@@ -610,43 +651,74 @@ def live_signal_stream(spark, sf):
     # Copies of a post differ only in likes; a stream may keep either, so they are made equal.
     raw = raw_posts(spark, sf).withColumn("likes", F.col("retweets"))
     folder = run_folder(spark, "arriving")
-    raw.write.parquet(folder)
+    raw.repartition(5).write.parquet(folder)
     arrived = spark.read.parquet(folder)
     posts = clean.drop_incomplete(clean.clean_posts(arrived, order_by=POST_ORDER))
     fit = live.fit_frozen(features.score_reactions(features.score_text(posts)), o.WEIGHTS)
-    stream = spark.readStream.schema(arrived.schema).parquet(folder)
+    # One file per trigger, in no order of time: the delay must cover the whole month.
+    stream = spark.readStream.schema(arrived.schema).option("maxFilesPerTrigger", 1).parquet(folder)
     out, marks = run_folder(spark, "live"), run_folder(spark, "live-progress")
-    live.write_live(live.live_signals(stream, fit, "1h"), out, marks, drain=True).awaitTermination()
-    return live.latest_signals(spark, out).select(shown("timestamp"), r("signal"), "n")
+    query = live.write_live(live.live_signals(stream, fit, "1h", delay=LIVE_DELAY), out, marks, drain=True)
+    query.awaitTermination()
+    late = F.lit(live.late_rows(query)).alias("late_rows")
+    live.compact(spark, out)
+    return live.latest_signals(spark, out).select(shown("timestamp"), r("signal"), "n", late)
 
 
 # ---- the whole flow ----------------------------------------------------------
 
-@register("signal_report", o.query(f"""
-select {o.shown('bucket')} as timestamp, {o.r('signal', 5)} as signal, coalesce(n, 0) as n
-from spine left join observed using (bucket)""", *o.SCORE_STEPS, *o.TEXT_STEPS, extra={
+_BLEND = {
     **o.power_steps(o.PASSES),
     "text_scores": f"select source_file, uid, sum(w * v) as s from weights join v{o.PASSES} using (term_id) group by all",
     "all_scores": "select scores.*, coalesce(s, 0) as svd_1 from scores left join text_scores using (source_file, uid)",
-    "all_moments": o.moments("all_scores", features.DEFAULT_WEIGHTS),
-    "blend": f"select *, {' + '.join(f'{w} * {o.z(c)}' for c, w in features.DEFAULT_WEIGHTS.items())} as composite_signal from all_scores, all_moments",
+    "all_moments": o.moments("all_scores", o.DEFAULT_WEIGHTS),
+    "blend": f"select *, {' + '.join(f'{w} * {o.z(c)}' for c, w in o.DEFAULT_WEIGHTS.items())} as composite_signal from all_scores, all_moments",
+}
+
+
+def _flow_sql(final: str, more: dict[str, str]) -> str:
+    sql = o.query(final, *o.SCORE_STEPS, *o.TEXT_STEPS, extra={**_BLEND, **more}, texts="posts_texts", keys="source_file, uid")
+    return sql.replace(
+        "tokens as materialized", "posts_texts as materialized (select source_file, uid, content as text from words),\ntokens as materialized")
+
+
+_OBSERVED = {
     "observed": f"select {o.bucket('timestamp', 2 * o.HOUR)} as bucket, avg(composite_signal) as signal, count(*) as n from blend group by 1",
-    "spine": o.spine("observed", 2 * o.HOUR)},
-    texts="posts_texts", keys="source_file, uid").replace(
-        "tokens as materialized", "posts_texts as materialized (select source_file, uid, content as text from words),\ntokens as materialized"))
+    "spine": o.spine("observed", 2 * o.HOUR),
+}
+
+
+@register("signal_report", _flow_sql(f"""
+select {o.shown('bucket')} as timestamp, {o.r('signal', 5)} as signal, coalesce(n, 0) as n
+from spine left join observed using (bucket)""", _OBSERVED))
 def signal_report(spark, sf):
-    signals = _report(spark, sf, oversample=0, passes=o.PASSES)
-    return signals.select(shown("timestamp"), F.round("signal", 5).alias("signal"), "n")
+    signals = buckets.aggregate_signals(_features(spark, sf), "2h", method="none")
+    return signals.select(shown("timestamp"), r("signal", 5), "n")
+
+
+@register("feature_table", _flow_sql(f"""
+select source_file, uid, username, {o.shown('timestamp')} as timestamp, hashtag_primary, {o.joined('tag_list')} as hashtags_list,
+  {o.r('polarity')} as polarity, {o.r('urgency')} as urgency, {o.r('engagement')} as engagement, {o.r('svd_1', 5)} as svd_1,
+  {o.r('composite_signal', 5)} as composite_signal from blend""", {}))
+def feature_table(spark, sf):
+    return _features(spark, sf).select(
+        "source_file", "uid", "username", shown("timestamp"), "hashtag_primary", joined("_hashtags_list", "hashtags_list"),
+        r("polarity"), r("urgency"), r("engagement"), r("svd_1", 5), r("composite_signal", 5),
+    )
 
 
-def _report(spark: SparkSession, sf: str, **svd_options) -> DataFrame:
+def _features(spark: SparkSession, sf: str) -> DataFrame:
     folder = run_folder(spark, "posts")
     tables.write_posts(cleaned(spark, sf), folder)
-    found = build_features(tables.load_minimal(spark, folder), **svd_options)
-    kept = stage(found, "features")
-    return buckets.aggregate_signals(kept, "2h", key=row_keys(kept))
+    return stage(build_features(tables.load_minimal(spark, folder), oversample=0, passes=o.PASSES), "features")
 
 
-@register("signal_report_with_intervals")
+@register("signal_report_with_intervals", _flow_sql(f"""
+select {o.shown('bucket')} as timestamp, {o.r('signal', 5)} as signal, coalesce(n, 0) as n, {o.r('ci_lo', 5)} as ci_lo, {o.r('ci_hi', 5)} as ci_hi
+from spine left join observed using (bucket) left join ends using (bucket)""", {
+    **_OBSERVED, "binned": f"select {o.bucket('timestamp', 2 * o.HOUR)} as bucket, uid, source_file, composite_signal from blend",
+    **o.bootstrap_steps("binned", "bucket", "source_file || '|' || uid", "composite_signal")}))
 def signal_report_with_intervals(spark, sf):
-    return _report(spark, sf)
+    kept = _features(spark, sf)
+    signals = buckets.aggregate_signals(kept, "2h", key=row_keys(kept))
+    return signals.select(shown("timestamp"), r("signal", 5), "n", r("ci_lo", 5), r("ci_hi", 5))

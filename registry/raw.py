@@ -46,10 +46,19 @@ with authored as (
 select origin, post_no, copy_no, username,
   case post_no % 17 when 0 then concat(replace(cast(made as {S}), ' ', 'T'), 'Z')
     when 1 then concat(cast(made + interval '2' hour as {S}), '+02:00')
-    when 2 then 'no time' when 3 then null else cast(made as {S}) end as timestamp,
+    when 2 then 'no time' when 3 then null
+    when 4 then concat(replace(substr(cast(made as {S}), 1, 10), '-', '/'), ' ', substr(cast(made as {S}), 12, 5))
+    when 5 then concat(cast(month(made) as {S}), '/', cast(day(made) as {S}), '/', cast(year(made) as {S}), ' ',
+      cast((hour(made) + 11) % 12 + 1 as {S}), ':', lpad(cast(minute(made) as {S}), 2, '0'),
+      case when hour(made) < 12 then ' AM' else ' PM' end)
+    when 6 then case when day(made) > 12
+      then concat(cast(day(made) as {S}), '/', cast(month(made) as {S}), '/', cast(year(made) as {S}))
+      else concat(cast(month(made) as {S}), '/', cast(day(made) as {S}), '/', cast(year(made) as {S})) end
+    when 7 then concat('January ', cast(day(made) as {S}), ', ', cast(year(made) as {S}))
+    else cast(made as {S}) end as timestamp,
   content,
-  case when post_no % 11 = 0 then 'n/a' when post_no % 13 = 0 then '12.0'
-    when post_no % 7 = 0 then concat(' ', cast(person % 10 as {S}), ' ')
+  case when post_no % 11 = 0 then 'n/a' when post_no % 13 = 0 then '12.0' when post_no % 19 = 0 then '12.7'
+    when post_no % 7 = 0 then concat(' ', cast(person % 10 as {S}), chr(9))
     else cast(person % 10 as {S}) end as replies,
   cast(post_no % 50 as {S}) as retweets,
   cast(liked + copy_no as {S}) as likes,

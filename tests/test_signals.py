@@ -110,34 +110,63 @@ def test_intervals_of_small_buckets(spark):
         [(at(1), "a", 2.0), (at(3), "b", 4.0), (at(3, 1), "c", 4.0), (at(4), "d", None)],
         "timestamp timestamp, uid string, composite_signal double",
     )
-    for method in ("poisson", "exact"):
+    for method in ("poisson",):
         found = buckets.aggregate_signals(rows, "1h", method=method).orderBy("timestamp").collect()
         assert [(r["signal"], r["n"], r["ci_lo"], r["ci_hi"]) for r in found] == [
             (2.0, 1, 2.0, 2.0), (None, 0, None, None), (4.0, 2, 4.0, 4.0), (None, 0, None, None),
         ]
 
 
-def test_exact_resampling(spark):
-    x = [0.5, -1.0, 3.0, 2.5, 7.0]
-    rows = spark.createDataFrame([(at(1), str(i), v) for i, v in enumerate(x)], "timestamp timestamp, uid string, composite_signal double")
+def test_intervals_resemble_resampling(spark):
+    """The same rows resampled with replacement by numpy."""
+    x = np.random.default_rng(7).normal(2.0, 3.0, 400)
+    rows = spark.createDataFrame([(at(1), str(i), float(v)) for i, v in enumerate(x)], "timestamp timestamp, uid string, composite_signal double")
     rng = np.random.default_rng(42)
-    means = [np.array(x)[rng.integers(0, 5, size=5)].mean() for _ in range(200)]
-    r = buckets.aggregate_signals(rows, "1h", method="exact").first()
-    assert (r["ci_lo"], r["ci_hi"]) == pytest.approx(tuple(np.quantile(means, [0.025, 0.975])))
+    means = [x[rng.integers(0, 400, size=400)].mean() for _ in range(2000)]
+    r = buckets.aggregate_signals(rows, "1h").first()
+    assert (r["ci_lo"], r["ci_hi"]) == pytest.approx(tuple(np.quantile(means, [0.025, 0.975])), abs=0.1)
+
+
+def test_replicate_sums_match_the_weights(spark, monkeypatch):
+    """Also where tasks send on their sums in between, and with null groups and values."""
+    monkeypatch.setattr(bootstrap, "SLICE", 7)
+    monkeypatch.setattr(bootstrap, "HELD_GROUPS", 2)
+    rows = [(None if i % 3 == 0 else f"g{i % 3}", at(i % 2), str(i), None if i % 11 == 0 else i / 7) for i in range(90)]
+    frame = spark.createDataFrame(rows, "g string, t timestamp, uid string, _x double").coalesce(2)
+    found = {(r["g"], r["t"], r["_b"]): (r["_w"], r["_wx"]) for r in bootstrap.replicate_sums(frame, ["g", "t"], ["uid"], 5).collect()}
+    seeds = {r["uid"]: r["s"] for r in frame.select("uid", bootstrap.row_seed(["uid"]).alias("s")).collect()}
+    expected = {}
+    for g, t, uid, x in rows:
+        for b, factor in enumerate([0, *bootstrap.multipliers(5)], start=-1):
+            draw = seeds[uid] * factor % bootstrap.LEHMER_PRIME
+            weight = 0 if x is None else 1 if b == -1 else sum(draw > step for step in bootstrap.poisson_steps())
+            w, wx = expected.get((g, t, b), (0, 0.0))
+            expected[g, t, b] = (w + weight, wx + weight * (x or 0))
+    expected = {k: v for k, v in expected.items() if v[0] or k[2] == -1}
+    assert found.keys() == expected.keys()
+    assert all(found[k] == pytest.approx(expected[k]) for k in expected)
+
+
+def test_gaps_of_a_null_group(spark):
+    rows = spark.createDataFrame(
+        [(at(1), None, "a", 2.0), (at(3), None, "b", 4.0), (at(1), "x", "c", 1.0)],
+        "timestamp timestamp, tag string, uid string, composite_signal double",
+    )
+    found = buckets.aggregate_signals(rows, "1h", by=["tag"], method="none", gaps=True).orderBy("tag", "timestamp").collect()
+    assert [(r["tag"], r["signal"], r["n"]) for r in found] == [(None, 2.0, 1), (None, None, 0), (None, 4.0, 1), ("x", 1.0, 1)]
 
 
-def test_large_buckets_keep_all_rows_in_exact_mode(spark):
-    rows = spark.range(300).select(
-        F.lit(at(1)).alias("timestamp"), F.col("id").cast("string").alias("uid"), F.col("id").cast("double").alias("composite_signal")
-    )
-    exact = buckets.aggregate_signals(rows, "1h", method="exact", exact_limit=100).first()
-    assert exact == buckets.aggregate_signals(rows, "1h").first() and exact["n"] == 300
+def test_sorted_by_time(spark):
+    rows = spark.range(200).select(F.timestamp_seconds(F.col("id") * 7919 % 200).alias("timestamp")).repartition(5)
+    times = [r[0] for r in series.sort_by_time(rows).collect()]
+    assert times == sorted(times) and len(times) == 200
 
 
 def test_bootstrap_combines_before_the_shuffle(signal, plan):
     rows = signal.select("timestamp", "uid", F.col("composite_signal").alias("_x"))
     text = plan(bootstrap.replicate_sums(rows, ["timestamp"], ["uid"], 200))
     assert text.index("Exchange") < text.index("partial_sum") and text.count("Exchange") == 1
+    assert "Generate" not in text
 
 
 @pytest.mark.parametrize("rows, target", [(3, 5), (5, 5), (6, 5), (1000, 7), (2, 2)])

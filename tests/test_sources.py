@@ -64,10 +64,37 @@ def test_every_layout(spark, dumps, extras):
     assert "place" in posts.columns and "_file_order" not in posts.columns
 
 
-def test_broken_line_does_not_hide_the_rest(spark, tmp_path):
-    write(str(tmp_path), "a.json", json.dumps(POST) + '\n{"username": "cut\n' + json.dumps({**POST, "username": "z"}) + "\n")
-    names = [r["username"] for r in sources.read_posts(spark, str(tmp_path), extras="").collect()]
-    assert sorted(n for n in names if n) == ["ann", "z"]
+GOOD = [json.dumps({**POST, "username": name}) for name in ("ann", "bob", "cat", "dan", "eve")]
+BROKEN = {
+    "first_line": "\n".join(['{"username": "cut', *GOOD]),
+    "comment": "\n".join(["# exported", *GOOD]),
+    "middle_line": "\n".join([*GOOD[:2], '{"username": "cut', *GOOD[2:]]),
+    "cut_array": "[\n" + ",\n".join(GOOD),
+    "bad_item": "[\n" + ",\n".join([*GOOD, '{"username": }']) + "\n]",
+    "cut_object": '{"username": "ann",\n"content": "x"',
+}
+
+
+@pytest.mark.parametrize("kind", BROKEN)
+def test_broken_json_is_an_error_that_names_the_file(spark, tmp_path, kind):
+    write(str(tmp_path), "fine.json", GOOD[0] + "\n")
+    write(str(tmp_path), f"{kind}.json", BROKEN[kind])
+    with pytest.raises(Exception, match=f"{kind}.json"):
+        sources.read_posts(spark, str(tmp_path), extras="").collect()
+
+
+@pytest.mark.parametrize("kind", BROKEN)
+def test_broken_json_can_be_set_aside(spark, tmp_path, kind):
+    write(str(tmp_path), "fine.json", json.dumps({**POST, "username": "zoe"}) + "\n")
+    write(str(tmp_path), f"{kind}.json", BROKEN[kind])
+    rows = sources.read_posts(spark, str(tmp_path), extras="", broken="skip").collect()
+    names = sorted(r["username"] for r in rows)
+    if kind in ("first_line", "comment", "middle_line"):
+        assert names == ["ann", "bob", "cat", "dan", "eve", "zoe"]
+    else:
+        assert "zoe" in names and all(names)  # never a blank post
+    aside = sources.broken_records(spark, str(tmp_path)).collect()
+    assert aside and all(r["path"].endswith(f"{kind}.json") and r["record"] for r in aside)
 
 
 def test_odd_file_names(spark, tmp_path):
@@ -107,7 +134,8 @@ def test_ingest_then_features_then_display(spark, dumps, tmp_path):
     out = str(tmp_path / "out")
     done = ingest(spark, dumps, out).first()
     assert done["rows_written"] == 11 and done["files"] == 8
-    assert list(done["processed_files"])[0] == "a_lines.json" and "h_empty.json" in done["processed_files"]
+    per_file = {r["name"]: r["rows"] for r in spark.read.json(f"{out}/ingest_files").collect()}
+    assert per_file["a_lines.json"] == 2 and per_file["h_empty.json"] == 0 and len(per_file) == 8
     stored = read_clean(spark, f"{out}/posts")
     assert stored.where("date = '2024-01-01'").count() == 8
     features, signals = run_features(spark, f"{out}/posts", out, "1h")

@@ -58,6 +58,23 @@ def test_stream_of_json_lines(spark, tmp_path, arriving):
     assert row["n"] == 60 and row["signal"] == pytest.approx(math.log(3))
 
 
+def test_late_rows_are_counted_and_folders_compacted(spark, tmp_path, arriving):
+    folder, schema = arriving
+    fit = live.FrozenFit({"engagement": (0.0, 1.0)}, {"engagement": 1.0})
+    found = {}
+    for delay in ("1 day", "1 second"):
+        stream = spark.readStream.schema(schema).option("maxFilesPerTrigger", 1).json(folder)
+        out = str(tmp_path / delay)
+        query = live.write_live(live.live_signals(stream, fit, "1h", delay=delay), out, f"{out}-progress", drain=True)
+        query.awaitTermination()
+        before = sorted(live.latest_signals(spark, out).collect())
+        live.compact(spark, out)
+        assert sorted(live.latest_signals(spark, out).collect()) == before
+        assert len([n for n in (tmp_path / delay).iterdir() if n.name.startswith("batch=")]) == 1
+        found[delay] = (live.late_rows(query), sum(r["n"] for r in before))
+    assert found["1 day"] == (0, 60) and found["1 second"][0] > 0
+
+
 def test_a_weighted_text_part_needs_a_model(spark, arriving):
     folder, schema = arriving
     stream = spark.readStream.schema(schema).json(folder)

@@ -76,3 +76,18 @@ def test_engagement(column):
     assert column([0, 9, None], "bigint", lambda x: lexicon.engagement(x, zero, zero)) == [
         0.0, pytest.approx(math.log(10)), None,
     ]
+
+
+@pytest.mark.parametrize("shown, expected", [
+    ("2024/01/05", "2024-01-05 00:00:00"), ("1/2/2024 3:04 PM", "2024-01-02 15:04:00"), ("2024-01-01 03:04 PM", "2024-01-01 15:04:00"),
+    ("Jan 5, 2024 10:00", "2024-01-05 10:00:00"), ("January 5, 2024", "2024-01-05 00:00:00"), ("13/01/2024", "2024-01-13 00:00:00"),
+    ("1/13/2024 3:04pm", "2024-01-13 15:04:00"), (" 2024-01-05\t", "2024-01-05 00:00:00"), ("5 January 2024 10:00:01", "2024-01-05 10:00:01"),
+    ("2024-13-45", None),
+])
+def test_more_time_layouts(column, shown, expected):
+    (found,) = column([shown], "string", lambda x: values.to_utc(x, T.StringType()))
+    assert (str(found) if found else None) == expected
+
+
+def test_any_white_space_around_counts(column):
+    assert column(["12\t", "\u00a07\n", "1 2"], "string", lambda x: values.coerce_int(x, T.StringType())) == [12, 7, 0]

@@ -74,8 +74,9 @@ def split_list(text: Column, strip_brackets: bool = False) -> Column:
 
 def clean_items(items: Column) -> Column:
     """Normalise and lower the items of a real list; blank items are dropped."""
-    kept = F.filter(items.cast("array<string>"), lambda item: F.trim(squeeze(item)) != "")
-    # One call per row: the break is a control character, so nothing composes across it.
+    kept = F.filter(F.transform(items.cast("array<string>"), squeeze), lambda item: item != "")
+    # One call per row: the break is a control character, so nothing composes across it,
+    # and no squeezed item holds one.
     composed = compose(F.array_join(kept, _ITEM_BREAK))
     parts = F.transform(F.split(composed, _ITEM_BREAK), lambda item: F.lower(squeeze(item)))
     return F.coalesce(F.filter(parts, lambda item: item != ""), F.array().cast("array<string>"))

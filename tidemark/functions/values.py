@@ -8,16 +8,14 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-# Layouts tried after ISO-8601, month first where it is ambiguous.
+# Layouts tried after ISO-8601, month first unless the first number can't be one.
+_DATES = ("M/d/yyyy", "d/M/yyyy", "yyyy/M/d", "yyyy-M-d", "MMM d, yyyy", "MMMM d, yyyy", "d MMM yyyy", "d MMMM yyyy")
+_CLOCKS = ("[ H:mm[:ss]]", " h:mm[:ss] a")
 TIME_LAYOUTS = (
     "yyyyMMdd",
-    "M/d/yyyy H:mm:ss",
-    "M/d/yyyy H:mm",
-    "M/d/yyyy",
     "MMM d HH:mm:ss Z yyyy",
     "d MMM yyyy HH:mm:ss Z",
-    "MMM d, yyyy",
-    "d MMM yyyy",
+    *[day + clock for clock in _CLOCKS for day in _DATES],
 )
 _WEEKDAY = r"^(Mon|Tue|Wed|Thu|Fri|Sat|Sun)[a-z]*,?\s+"
 
@@ -26,8 +24,16 @@ METRIC_LETTERS = (("K", 1_000), ("M", 1_000_000), ("B", 1_000_000_000))
 _DECIMAL = r"^[+-]?([0-9]+(\.[0-9]*)?|\.[0-9]+)(E[+-]?[0-9]+)?$"
 
 
+# What counts as white space around a number or a time.
+_SPACE = r"[\s\x{1c}-\x{1f}\x{85}\x{a0}\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}]+"
+
+
+def _stripped(text: Column) -> Column:
+    return F.regexp_replace(text, f"^{_SPACE}|{_SPACE}$", "")
+
+
 def _text_to_int(text: Column) -> Column:
-    bare = F.trim(text)
+    bare = _stripped(text)
     digits = F.when(bare.rlike(r"^[+-]?[0-9]+(_[0-9]+)*$"), F.regexp_replace(bare, "_", ""))
     return digits.try_cast("bigint")
 
@@ -51,9 +57,10 @@ def coerce_int(value: Column, data_type: T.DataType) -> Column:
 
 
 def _text_to_utc(text: Column, layouts: Sequence[str]) -> Column:
-    bare = F.trim(text)
-    iso = F.when(bare.rlike(r"^[0-9]{4}($|[^0-9])"), F.try_to_timestamp(bare))
-    undated = F.regexp_replace(bare, _WEEKDAY, "")
+    bare = _stripped(text)
+    iso = F.when(bare.rlike(r"^[0-9]{4}($|-[0-9]{1,2}($|-[0-9]{1,2}($|[T ]+[0-9:.]+[^apAP]*$)))"), F.try_to_timestamp(bare))
+    undated = F.regexp_replace(F.regexp_replace(bare, _WEEKDAY, ""), r"(?i)\s*([ap])\.?m\.?$", " $1M")
+    undated = F.regexp_replace(F.regexp_replace(undated, " aM$", " AM"), " pM$", " PM")
     return F.coalesce(iso, *[F.try_to_timestamp(undated, F.lit(layout)) for layout in layouts])
 
 

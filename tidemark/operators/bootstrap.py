@@ -1,16 +1,18 @@
 """Bootstrap intervals of a mean, per group.
 
-The default weighs every row by a Poisson(1) count per replicate instead of
+Every row is weighed by a Poisson(1) count per replicate instead of
 drawing row numbers. Weights depend on the row's key alone, so a lost task
-repeats them exactly, and the sums of a group add up over partitions: each map
-task sends at most groups x replicates rows, however many rows a group has.
+repeats them exactly, and the sums of a group add up over partitions: tasks add up a
+matrix of groups x replicates from whole batches and send its cells, however many rows a group has.
 """
 
 from __future__ import annotations
 
 import math
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -19,8 +21,9 @@ from pyspark.sql import types as T
 LEHMER_PRIME = 2_147_483_647
 LEHMER_FACTOR = 48_271
 
-# Largest bucket that may be resampled row by row inside one task.
-EXACT_LIMIT = 100_000
+# Rows weighed at a time and groups summed before they are sent on; bounds of a task's memory only.
+SLICE = 4096
+HELD_GROUPS = 4096
 
 
 def multipliers(replicates: int) -> list[int]:
@@ -43,11 +46,20 @@ def row_seed(key: Sequence[str]) -> Column:
     return F.conv(F.substring(digest, 1, 8), 16, 10).cast("bigint") % (LEHMER_PRIME - 1) + 1
 
 
-def poisson_weight(draw: Column) -> Column:
-    weight = F.when(draw <= poisson_steps()[0], F.lit(0))
-    for k, step in enumerate(poisson_steps()[1:], start=1):
-        weight = weight.when(draw <= step, F.lit(k))
-    return weight.otherwise(F.lit(len(poisson_steps())))
+def poisson_weights(draws: np.ndarray) -> np.ndarray:
+    """The weight of each draw: how many steps it lies above."""
+    return np.searchsorted(poisson_steps(), draws, side="left")
+
+
+def _group_numbers(batch: pa.RecordBatch, width: int) -> tuple[np.ndarray, list[tuple]]:
+    """The group of every row and the groups' keys, from the first ``width`` columns."""
+    if not width:
+        return np.zeros(batch.num_rows, dtype=np.int64), [()]
+    coded = [batch.column(i).dictionary_encode("encode") for i in range(width)]
+    codes = np.column_stack([c.indices.to_numpy(zero_copy_only=False) for c in coded])
+    distinct, numbers = np.unique(codes, axis=0, return_inverse=True)
+    values = [c.dictionary.to_pylist() for c in coded]
+    return numbers.ravel(), [tuple(v[i] for v, i in zip(values, row)) for row in distinct]
 
 
 def replicate_sums(
@@ -56,18 +68,54 @@ def replicate_sums(
     """Per group and replicate: sum of weights and of weighted values.
 
     Replicate -1 has weight 1 for every row; it carries the plain mean and count
-    so that the rows are read once.
+    so that the rows are read once. Rows without a value weigh nothing.
     """
-    factors = F.array(*[F.lit(f).cast("bigint") for f in [0, *multipliers(replicates)]])
-    seeded = rows.select(*groups, "_x", row_seed(key).alias("_seed"))
-    drawn = seeded.select(*groups, "_x", "_seed", F.posexplode(factors).alias("_b", "_factor"))
-    draw = F.col("_seed") * F.col("_factor") % F.lit(LEHMER_PRIME)
-    weight = F.when(F.col("_x").isNull(), F.lit(0)).when(F.col("_b") == 0, F.lit(1))
-    weighted = drawn.select(
-        *groups, "_x", (F.col("_b") - 1).alias("_b"), weight.otherwise(poisson_weight(draw)).alias("_w")
-    ).where("_w > 0 or _b = -1")
-    return weighted.groupBy(*groups, "_b").agg(
-        F.sum("_w").alias("_w"), F.sum(F.col("_w") * F.col("_x")).alias("_wx")
+    factors = np.array(multipliers(replicates), dtype=np.int64)
+    seeded = rows.select(*groups, F.col("_x").cast("double").alias("_x"), row_seed(key).alias("_seed"))
+    kinds = [T.StructField(g, seeded.schema[g].dataType) for g in groups]
+    sums = [T.StructField("_b", T.IntegerType()), T.StructField("_w", T.LongType()), T.StructField("_wx", T.DoubleType())]
+    width = len(kinds)
+
+    def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: dict[tuple, np.ndarray] = {}
+        types: list[pa.DataType] = []
+
+        def cells() -> pa.RecordBatch:
+            keys, table = list(held), np.stack(list(held.values()))
+            weights, products = table[:, 0].ravel(), table[:, 1].ravel()
+            used = (weights > 0) | (np.tile(np.arange(replicates + 1), len(keys)) == 0)
+            owner = np.repeat(np.arange(len(keys)), replicates + 1)[used]
+            columns = [pa.array([k[i] for k in keys], kind).take(pa.array(owner)) for i, kind in enumerate(types)]
+            number = np.tile(np.arange(-1, replicates), len(keys))[used]
+            return pa.RecordBatch.from_arrays(
+                [*columns, pa.array(number, pa.int32()), pa.array(weights[used].astype(np.int64)), pa.array(products[used])],
+                names=[*groups, "_b", "_w", "_wx"],
+            )
+
+        for whole in batches:
+            types = [whole.schema.field(i).type for i in range(width)]
+            for start in range(0, whole.num_rows, SLICE):
+                batch = whole.slice(start, SLICE)
+                numbers, keys = _group_numbers(batch, width)
+                x = batch.column(width).to_numpy(zero_copy_only=False).astype(float)
+                seeds = batch.column(width + 1).to_numpy(zero_copy_only=False)
+                weights = np.ones((len(x), replicates + 1))
+                weights[:, 1:] = poisson_weights(seeds[:, None] * factors % LEHMER_PRIME)
+                valued = batch.column(width).is_valid().to_numpy(zero_copy_only=False)
+                weights[~valued] = 0
+                order = np.argsort(numbers, kind="stable")
+                starts = np.searchsorted(numbers[order], np.arange(len(keys)))
+                weighted = weights * np.where(valued, x, 0.0)[:, None]
+                for k, w, wx in zip(keys, np.add.reduceat(weights[order], starts), np.add.reduceat(weighted[order], starts)):
+                    held[k] = held[k] + (w, wx) if k in held else np.stack([w, wx])
+                if len(held) > HELD_GROUPS:
+                    yield cells()
+                    held = {}
+        if held:
+            yield cells()
+
+    return seeded.mapInArrow(add, T.StructType([*kinds, *sums])).groupBy(*groups, "_b").agg(
+        F.sum("_w").alias("_w"), F.sum("_wx").alias("_wx")
     )
 
 
@@ -92,53 +140,3 @@ def poisson_intervals(
         )
         .select(*groups, "signal", "n", F.col("_ends")[0].alias("ci_lo"), F.col("_ends")[1].alias("ci_hi"))
     )
-
-
-def exact_intervals(
-    rows: DataFrame,
-    groups: Sequence[str],
-    key: Sequence[str],
-    replicates: int = 200,
-    alpha: float = 0.05,
-    limit: int = EXACT_LIMIT,
-) -> DataFrame:
-    """Seeded resampling with replacement, in key order, for groups of at most ``limit`` rows.
-
-    Larger groups get Poisson intervals over all their rows, so no task ever
-    holds more than ``limit`` rows of a group.
-    """
-    sizes = rows.groupBy(*groups).agg(F.count("_x").alias("_size"))
-    # Null-safe: a group column may be null. The reduction in size comes first,
-    # so the rows of large groups never enter the grouped shuffle.
-    sized = rows.alias("r").join(
-        sizes.alias("s"), [F.col(f"r.{g}").eqNullSafe(F.col(f"s.{g}")) for g in groups]
-    ).select("r.*", "_size")
-    small = sized.where(F.col("_size") <= limit)
-    large = sized.where(F.col("_size") > limit).drop("_size")
-
-    names = [*groups, "signal", "n", "ci_lo", "ci_hi"]
-    kinds = {f.name: f.dataType for f in rows.schema.fields}
-    schema = T.StructType(
-        [T.StructField(g, kinds[g]) for g in groups]
-        + [T.StructField("signal", T.DoubleType()), T.StructField("n", T.LongType())]
-        + [T.StructField("ci_lo", T.DoubleType()), T.StructField("ci_hi", T.DoubleType())]
-    )
-    sort_keys = list(key)
-
-    def resample(group_key, frame):
-        import numpy as np
-        import pandas as pd
-
-        values = frame.sort_values(sort_keys)["_x"].dropna().to_numpy(dtype=float)
-        if not len(values):
-            return pd.DataFrame([[*group_key, None, 0, None, None]], columns=names)
-        generator = np.random.default_rng(42)
-        means = [
-            values[generator.integers(0, len(values), size=len(values))].mean()
-            for _ in range(replicates)
-        ]
-        low, high = np.quantile(means, [alpha / 2, 1 - alpha / 2])
-        return pd.DataFrame([[*group_key, values.mean(), len(values), low, high]], columns=names)
-
-    exact = small.drop("_size").groupBy(*groups).applyInPandas(resample, schema)
-    return exact.unionByName(poisson_intervals(large, groups, key, replicates, alpha))

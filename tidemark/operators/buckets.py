@@ -83,8 +83,14 @@ def fill_gaps(signals: DataFrame, freq: str, by: Sequence[str] = ()) -> DataFram
     spine = chunks.select(*by, "_lo", step.alias("_step")).select(
         F.timestamp_micros(F.col("_lo") + F.col("_step") * F.lit(width)).alias("timestamp"), *by
     )
-    keys = ["timestamp", *by]
-    return spine.join(signals, keys, "left").withColumn("n", F.coalesce("n", F.lit(0).cast("bigint")))
+    # Null-safe: a group may be null.
+    same = [F.col(f"s.{c}").eqNullSafe(F.col(f"o.{c}")) for c in ("timestamp", *by)]
+    measured = [c for c in signals.columns if c not in ("timestamp", *by)]
+    return (
+        spine.alias("s").join(signals.alias("o"), same, "left")
+        .select("s.timestamp", *[f"s.{c}" for c in by], *[f"o.{c}" for c in measured])
+        .withColumn("n", F.coalesce("n", F.lit(0).cast("bigint")))
+    )
 
 
 def aggregate_signals(
@@ -97,13 +103,11 @@ def aggregate_signals(
     gaps: bool | None = None,
     key: Sequence[str] = ("uid",),
     value: str = "composite_signal",
-    exact_limit: int = bootstrap.EXACT_LIMIT,
 ) -> DataFrame:
     """``timestamp, [by], signal, n, ci_lo, ci_hi``.
 
     Empty buckets are filled in for the plain series; with ``by`` only if asked
-    for. ``method`` is ``poisson`` (any size), ``exact`` (seeded resampling for
-    buckets of at most ``exact_limit`` rows, poisson above it) or ``none``.
+    for. ``method`` is ``poisson`` or ``none`` (no intervals).
     """
     gaps = not by if gaps is None else gaps
     if method == "none":
@@ -115,10 +119,6 @@ def aggregate_signals(
         groups = ["timestamp", *by]
         if method == "poisson":
             signals = bootstrap.poisson_intervals(bucketed, groups, key, replicates, alpha)
-        elif method == "exact":
-            signals = bootstrap.exact_intervals(
-                bucketed, groups, key, replicates, alpha, exact_limit
-            )
         else:
             raise ValueError(f"unknown bootstrap method {method!r}")
     return fill_gaps(settle(signals), freq, by) if gaps else signals

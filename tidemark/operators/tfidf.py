@@ -21,9 +21,6 @@ from pyspark.sql import types as T
 from tidemark.functions import text as txt
 from tidemark.session import stage
 
-# The vocabulary goes to the driver and to every task, so its size must be bounded.
-MAX_TERMS = 200_000
-
 # Rows handled at a time inside a task; bounds its memory for long texts.
 SLICE = 1024
 
@@ -171,14 +168,16 @@ def _top(counts: DataFrame, by: Column | str, size: int) -> list:
 def fit_vocabulary(df: DataFrame, text: str, max_features: int = 5000) -> Vocabulary:
     """The most frequent words and word pairs of the corpus, ties in term order.
 
+    The vocabulary goes to the driver and to every task: ``max_features`` is its bound.
+
     Words are counted first. A pair occurs no more often than either of its
     words, so a pair with a word rarer than the last kept word cannot be kept,
     and the long tail of rare pairs, by far the largest part of the counts, is
     never shuffled; the others are counted as numbers. Only when the words tied at
     that limit are too many to send to every task are all pairs counted as text.
     """
-    if not 1 <= max_features <= MAX_TERMS:
-        raise ValueError(f"max_features must lie between 1 and {MAX_TERMS}")
+    if max_features < 1:
+        raise ValueError("max_features must be positive")
     # Exploding the expression itself, not a column made of it: for a column Spark
     # adds a filter on its size and would split every text again to evaluate that.
     tokens = txt.word_tokens(F.col(text))

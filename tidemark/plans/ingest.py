@@ -23,6 +23,7 @@ def ingest(
     csv_multiline: bool = True,
     json_layout: str = "auto",
     csv_layout: str = "auto",
+    broken: str = "fail",
 ) -> DataFrame:
     """Read, clean, drop repeats, write ``posts`` and its metadata; returns the run summary.
 
@@ -31,7 +32,7 @@ def ingest(
     configure(spark)
     target = f"{out_dir.rstrip('/')}/posts"
     with sized_shuffles(spark, stored_bytes(spark, input_dir)):
-        raw = sources.read_posts(spark, input_dir, extras, csv_multiline, json_layout, csv_layout)
+        raw = sources.read_posts(spark, input_dir, extras, csv_multiline, json_layout, csv_layout, broken)
         tables.write_posts(clean_posts(raw, scope, strip_brackets=strip_brackets), target)
     return write_metadata(spark, input_dir, out_dir, target)
 

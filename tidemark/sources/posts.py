@@ -11,8 +11,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tidemark.operators.clean import EXPECTED_COLUMNS, FILE_ORDER
-
-SUFFIXES = (".json", ".csv")
+from tidemark.session import stage
 
 # JSON fields that are text; the others may hold numbers, text or lists.
 _TEXT_FIELDS = ("username", "content", "urls")
@@ -54,22 +53,14 @@ def _literal(paths: Sequence[str]) -> list[str]:
     return [re.sub(r"([\[\]{}*?\\])", r"\\\1", path) for path in paths]
 
 
-def _first_lines(spark: SparkSession, paths: Sequence[str], wanted) -> list:
-    """A value made from the first non-blank line of each file, as ``path, found``.
-
-    One text scan; a task sends one value per file, never the line of a file that
-    is all in one line.
-    """
+def _csv_headers(spark: SparkSession, folder: str) -> DataFrame:
+    """``path, header`` of every CSV file: its first non-blank line."""
     # A byte-order mark or trailing CR is not part of the line.
     line = F.regexp_replace("value", r"^\x{feff}|\r$", "")
-    lines = spark.read.text(_literal(paths)).select(
-        _decoded("_metadata.file_path").alias("path"), _place(), wanted(line).alias("found"), line.alias("line")
+    lines = spark.read.option("pathGlobFilter", "*.csv").text(folder).select(
+        _decoded("_metadata.file_path").alias("path"), _place(), line.alias("line")
     ).where(F.trim("line") != "")
-    return lines.groupBy("path").agg(F.min_by("found", FILE_ORDER).alias("found")).collect()
-
-
-def _is_whole_object(line: Column) -> Column:
-    return F.trim(line).startswith("{") & F.try_parse_json(line).isNotNull()
+    return lines.groupBy("path").agg(F.min_by("line", FILE_ORDER).alias("header"))
 
 
 def _place() -> Column:
@@ -94,28 +85,102 @@ def raw_schema() -> T.StructType:
     return T.StructType([T.StructField(c, kind) for c, kind in kinds.items()])
 
 
-def read_json(
-    spark: SparkSession,
-    paths: Sequence[str],
-    document: bool = False,
-    extras: str | None = None,
-) -> DataFrame:
-    """Raw posts from JSON files of one layout.
+def json_layouts(spark: SparkSession, folder: str) -> DataFrame:
+    """``path, layout`` of every JSON file with text right below a folder, judged on all its lines.
 
-    ``document`` files hold one array or one object each and cannot be split;
-    JSON Lines can. Fields that may be numbers, text or lists are read as
-    variants, so that 12.7 and "12.7" stay different. ``extras`` names the
-    further columns (DDL); without it they are inferred in one more pass.
+    ``lines`` if each line is an object or array of its own; ``document`` if the file as a whole can be one array or
+    one object; ``broken`` otherwise. One text scan; a task sends a few numbers and characters per file.
     """
-    reader = spark.read.option("multiLine", document)
-    if extras is None:
-        found = reader.json(list(paths)).schema
-        more = found.fields
-    else:
-        more = T.StructType.fromDDL(extras).fields if extras else []
+    # A byte-order mark is not part of the line.
+    line = F.trim(F.regexp_replace("value", r"^\x{feff}|[\s]+$", ""))
+    lines = spark.read.option("pathGlobFilter", "*.json").text(folder).select(
+        _decoded("_metadata.file_path").alias("path"), _place(), line.alias("line")
+    ).where(F.col("line") != "")
+    parsed = F.try_parse_json("line").isNotNull()
+    is_object = F.col("line").startswith("{") & F.col("line").endswith("}") & parsed
+    is_array = F.col("line").startswith("[") & F.col("line").endswith("]") & parsed
+    files = lines.groupBy("path").agg(
+        F.count_if(is_object).alias("objects"), F.count_if(is_array).alias("arrays"), F.count("*").alias("all"),
+        F.min_by(F.substring("line", 1, 1), FILE_ORDER).alias("first"),
+        F.max_by(F.substring("line", -1, 1), FILE_ORDER).alias("last"),
+    )
+    return files.select("path", F.expr("""
+        case when objects + arrays = all then 'lines'
+             when first = '[' and last = ']' and arrays = 0 then 'document'
+             when first = '{' and last = '}' and objects + arrays = 0 then 'document'
+             else 'broken' end""").alias("layout"))
+
+
+def _json_scan(spark: SparkSession, folder: str, document: bool, extras: str | None) -> DataFrame:
+    """All JSON files below a folder read in one mode, with ``_corrupt_record`` and ``_path``."""
+    reader = spark.read.option("multiLine", document).option("pathGlobFilter", "*.json")
+    more = reader.json(folder).schema.fields if extras is None else T.StructType.fromDDL(extras).fields if extras else []
     more = [f for f in more if f.name not in (*EXPECTED_COLUMNS, *_OWN_COLUMNS)]
     schema = T.StructType([*raw_schema().fields, *more])
-    return reader.schema(schema).json(list(paths)).select(*schema.names, *_positions())
+    read = reader.schema(T.StructType([*schema.fields, T.StructField("_corrupt_record", T.StringType())])).json(folder)
+    return read.select(*schema.names, "_corrupt_record", _decoded("_metadata.file_path").alias("_path"), *_positions())
+
+
+def _sound(scan: DataFrame, broken: str) -> DataFrame:
+    """Rows of a JSON scan without blank posts: a record that can't be parsed is an error, or left out."""
+    if broken == "fail":
+        # In a filter, so that no plan can leave the check out. It names the layout, which comes from the
+        # choice of files where there is one, so Spark can't move it in front of that choice.
+        message = F.concat(
+            F.lit("broken JSON in "), F.col("_path"), F.lit(" read as "), F.col("_layout"), F.lit(": "),
+            F.substring("_corrupt_record", 1, 200),
+        )
+        fine = F.when(F.col("_corrupt_record").isNull(), F.lit(True)).otherwise(F.raise_error(message).cast("boolean"))
+        return scan.where(fine).drop("_corrupt_record", "_path", "_layout")
+    return scan.where(F.col("_corrupt_record").isNull()).drop("_corrupt_record", "_path", "_layout")
+
+
+def read_json(
+    spark: SparkSession,
+    folder: str,
+    layout: str = "auto",
+    extras: str | None = None,
+    broken: str = "fail",
+) -> list[DataFrame]:
+    """Raw posts from the JSON files right below a folder: JSON Lines, and files that hold one array or one object.
+
+    ``layout`` is ``auto`` (judged file by file), ``lines`` or ``document``. Fields that may be numbers, text or
+    lists are read as variants, so that 12.7 and "12.7" stay different. ``extras`` names the
+    further columns (DDL); without it they are inferred in one more pass. With ``broken="fail"`` a file or
+    record that can't be parsed is an error that names the file; with ``"skip"`` it is left out and
+    ``broken_records`` lists it. Documents are read whole by one task each; lines can be split.
+    """
+    if layout != "auto":
+        scan = _json_scan(spark, folder, layout == "document", extras)
+        return [_sound(scan.withColumn("_layout", F.lit(layout)), broken)]
+    layouts = stage(json_layouts(spark, folder), "layouts")
+    found = {r["layout"]: r["count"] for r in layouts.groupBy("layout").count().collect()}  # three rows at most
+    if broken == "fail" and "broken" in found:
+        names = [r["path"] for r in layouts.where("layout = 'broken'").orderBy("path").take(5)]
+        raise ValueError(f"broken JSON in {found['broken']} files, among them {', '.join(names)}")
+    frames = []
+    for own, document in ((("lines", "broken"), False), (("document",), True)):
+        if any(kind in found for kind in own):
+            scan = _json_scan(spark, folder, document, extras)
+            if any(kind not in own for kind in found):
+                paths = layouts.where(F.col("layout").isin(*own)).toDF("_path", "_layout")
+                scan = scan.join(paths, "_path")
+            else:
+                scan = scan.withColumn("_layout", F.lit(own[0]))
+            frames.append(_sound(scan, broken))
+    return frames
+
+
+def broken_records(spark: SparkSession, folder: str) -> DataFrame:
+    """``path, record`` of what ``read_json(..., broken="skip")`` leaves out."""
+    layouts = stage(json_layouts(spark, folder), "layouts")
+    parts = []
+    record = F.coalesce("_corrupt_record", "content").alias("record")  # Spark wants another column of the file read too
+    for own, document in ((("lines", "broken"), False), (("document",), True)):
+        paths = layouts.where(F.col("layout").isin(*own)).select(F.col("path").alias("_path"))
+        scan = _json_scan(spark, folder, document, "").join(paths, "_path", "left_semi")
+        parts.append(scan.where(F.col("_corrupt_record").isNotNull()).select(F.col("_path").alias("path"), record))
+    return parts[0].unionByName(parts[1])
 
 
 def _header_names(header: str) -> list[str] | None:
@@ -125,7 +190,7 @@ def _header_names(header: str) -> list[str] | None:
 
 
 def read_csv(
-    spark: SparkSession, paths: Sequence[str], multiline: bool = True, names: Sequence[str] | None = None
+    spark: SparkSession, paths: str | Sequence[str], multiline: bool = True, names: Sequence[str] | None = None
 ) -> DataFrame:
     """Raw posts from CSV files that share one header; with ``names`` it is not looked up again.
 
@@ -137,17 +202,18 @@ def read_csv(
         .option("multiLine", multiline)
         .option("quote", '"')
         .option("escape", '"')
+        .option("pathGlobFilter", "*.csv")
     )
     if names:
         reader = reader.schema(T.StructType([T.StructField(name, T.StringType()) for name in names]))
-    raw = reader.csv(list(paths))
+    raw = reader.csv(paths if isinstance(paths, str) else list(paths))
     given = [c for c in raw.columns if c not in _OWN_COLUMNS]
     cells = {
         c: F.when(~F.col(f"`{c}`").isin(*CSV_MISSING), F.col(f"`{c}`")).alias(c) for c in given
     }
     for c in ("replies", "retweets", "likes"):
-        if c in cells:  # a count column with blanks is written with decimals
-            cells[c] = F.regexp_replace(cells[c], r"^(\s*[+-]?[0-9]+)\.0+\s*$", "$1").alias(c)
+        if c in cells:  # a count column with blanks is written with decimals, which are cut off
+            cells[c] = F.regexp_replace(cells[c], r"^(\s*[+-]?[0-9]+)\.[0-9]*\s*$", "$1").alias(c)
     return raw.select(*[cells[c] for c in given], *_positions())
 
 
@@ -186,45 +252,43 @@ def read_posts(
     csv_multiline: bool = True,
     json_layout: str = "auto",
     csv_layout: str = "auto",
+    broken: str = "fail",
 ) -> DataFrame:
     """Raw posts of all JSON and CSV files right below a folder, whatever their columns.
 
     Files of one layout (JSON Lines, JSON document, each CSV header) are read
-    together; with ``auto`` one text pass finds it out. ``json_layout`` may be set
+    together; with ``auto`` one text pass over them finds it out. ``json_layout`` may be set
     to ``lines`` or ``document``, and ``csv_layout`` to ``same``, when all files
-    are alike.
+    are alike. ``broken`` says what becomes of JSON that can't be parsed (see ``read_json``).
     """
     if json_layout not in ("auto", "lines", "document") or csv_layout not in ("auto", "same"):
         raise ValueError(f"unknown layout {json_layout!r} or {csv_layout!r}")
-    files = discover_files(spark, folder).where("bytes > 0").collect()
-    by_suffix = {s: [f["path"] for f in files if f["suffix"] == s] for s in SUFFIXES}
-    frames = []
-
-    groups = {"lines": [], "document": []}
-    if by_suffix[".json"] and json_layout == "auto":
-        for row in _first_lines(spark, by_suffix[".json"], _is_whole_object):
-            groups["lines" if row["found"] else "document"].append(row["path"])
-    elif by_suffix[".json"]:
-        groups[json_layout] = by_suffix[".json"]
-    for layout, paths in groups.items():
-        if paths:
-            frames.append(read_json(spark, _literal(sorted(paths)), layout == "document", extras))
-
-    headers: dict[str, list[str]] = {}
-    if by_suffix[".csv"] and csv_layout == "same":
-        headers[""] = by_suffix[".csv"]
-    elif by_suffix[".csv"]:
-        for row in _first_lines(spark, by_suffix[".csv"], lambda line: line):
-            headers.setdefault(row["found"], []).append(row["path"])
-    for header, paths in sorted(headers.items()):
-        names = _header_names(header)
-        frames.append(read_csv(spark, _literal(sorted(paths)), csv_multiline, names))
-
+    if broken not in ("fail", "skip"):
+        raise ValueError(f"unknown way with broken JSON {broken!r}")
+    kinds = [r["suffix"] for r in discover_files(spark, folder).where("bytes > 0").select("suffix").distinct().collect()]
+    frames = read_json(spark, folder, json_layout, extras, broken) if ".json" in kinds else []
+    if ".csv" in kinds:
+        frames += _csv_frames(spark, folder, csv_multiline, csv_layout)
     if not frames:
         raise FileNotFoundError(f"no JSON or CSV posts below {folder}")
     return _union(frames)
 
 
+def _csv_frames(spark: SparkSession, folder: str, multiline: bool, layout: str) -> list[DataFrame]:
+    """One frame per distinct header. Where there is only one, the folder is read as it is."""
+    if layout == "same":
+        return [read_csv(spark, folder, multiline)]
+    headers = stage(_csv_headers(spark, folder), "headers")
+    distinct = [r["header"] for r in headers.select("header").distinct().orderBy("header").collect()]
+    if len(distinct) == 1:
+        return [read_csv(spark, folder, multiline, _header_names(distinct[0]))]
+    frames = []
+    for header in distinct:  # a scan takes its files by name, so that no file is read under another's header
+        paths = [r["path"] for r in headers.where(F.col("header") == header).orderBy("path").toLocalIterator()]
+        frames.append(read_csv(spark, _literal(paths), multiline, _header_names(header)))
+    return frames
+
+
 def stream_posts(spark: SparkSession, folder: str, extras: str = "", files_per_batch: int | None = None) -> DataFrame:
     """Raw posts from JSON Lines files as they arrive in a folder."""
     schema = T.StructType([*raw_schema().fields, *(T.StructType.fromDDL(extras).fields if extras else [])])

@@ -8,7 +8,6 @@ from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.operators.clean import drop_incomplete
-from tidemark.session import spread
 
 # The columns the feature stage reads.
 MINIMAL_COLUMNS = (
@@ -16,10 +15,6 @@ MINIMAL_COLUMNS = (
     "_hashtags_list", "hashtag_primary", "username",
 )
 
-# File names are listed inside the run summary up to this many; the table of
-# files holds all of them in any case.
-LISTED_FILES = 10_000
-
 
 def write_posts(posts: DataFrame, path: str, mode: str = "error") -> int:
     """Write clean posts as Snappy Parquet by date and return the number of rows.
@@ -47,7 +42,7 @@ def write_table(df: DataFrame, path: str, mode: str = "error") -> None:
 
 def read_table(spark: SparkSession, path: str) -> DataFrame:
     """A whole Parquet table."""
-    return spread(spark.read.parquet(path))
+    return spark.read.parquet(path)
 
 
 def load_minimal(spark: SparkSession, path: str) -> DataFrame:
@@ -67,16 +62,8 @@ def rows_per_file(files: DataFrame, posts: DataFrame) -> DataFrame:
 
 
 def run_summary(per_file: DataFrame, parquet_path: str, note: str = "") -> DataFrame:
-    """One row: files, rows written, time, place. Names are listed unless there are very many."""
-    few = F.count("*") <= LISTED_FILES
-    names = per_file.orderBy("name").limit(LISTED_FILES + 1).agg(
-        F.array_sort(F.collect_list("name")).alias("names")
-    )
-    return per_file.agg(
-        F.when(few, names.scalar()).alias("processed_files"),
-        F.count("*").alias("files"),
-        F.sum("rows").alias("rows_written"),
-    ).withColumns({
+    """One row: files, rows written, time, place. The names are in the table of files, whatever their number."""
+    return per_file.agg(F.count("*").alias("files"), F.coalesce(F.sum("rows"), F.lit(0)).alias("rows_written")).withColumns({
         "created_at": F.lit(datetime.now(timezone.utc).strftime("%Y-%m-%dT%H:%M:%SZ")),
         "parquet_path": F.lit(parquet_path),
         "note": F.lit(note),

@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
+import json
 from collections.abc import Mapping
 from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
+from pyspark.sql.streaming import StreamingQuery
 
 from tidemark.operators import features as ops
 from tidemark.operators.buckets import DAY, width_micros
@@ -82,6 +84,38 @@ def write_live(signals: DataFrame, path: str, checkpoint: str, drain: bool = Fal
     return writer.foreachBatch(write).start()
 
 
+def late_rows(query: StreamingQuery) -> int:
+    """Rows that a stream has left out because they came later than its delay allows, in its recent triggers.
+
+    Anything but 0 means that the series lacks posts: choose a longer delay.
+    """
+    return sum(
+        int(state.get("numRowsDroppedByWatermark", 0))
+        for progress in query.recentProgress for state in json.loads(progress.json)["stateOperators"]
+    )
+
+
+def compact(spark: SparkSession, path: str) -> None:
+    """Gather the newest state of all windows in the folder of the last batch and remove the older folders.
+
+    For use while no stream writes there. The state is written beside the folders first, so an interrupted
+    run leaves either the old folders or, besides the new one, some that repeat what it holds.
+    """
+    files = spark._jvm.org.apache.hadoop.fs
+    root = files.Path(path)
+    store = root.getFileSystem(spark._jsc.hadoopConfiguration())
+    folders = sorted(
+        (int(f.getPath().getName()[6:]), f.getPath()) for f in store.listStatus(root) if f.getPath().getName().startswith("batch=")
+    )
+    if len(folders) < 2:
+        return
+    draft = files.Path(f"{path}/_gathered")
+    latest_signals(spark, path).write.mode("overwrite").parquet(draft.toString())
+    for _, folder in folders:
+        store.delete(folder, True)
+    store.rename(draft, folders[-1][1])
+
+
 def latest_signals(spark: SparkSession, path: str) -> DataFrame:
     """The newest state of every window written so far."""
     log = spark.read.parquet(path)
