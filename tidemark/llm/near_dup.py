@@ -176,19 +176,19 @@ def connect(links: DataFrame) -> DataFrame:
     Alternates two steps until nothing changes: all larger neighbours of a node, then all smaller ones, move
     to its smallest neighbour. The number of rounds is about the logarithm of the longest path.
     """
+    def mark(table: DataFrame):
+        return table.agg(F.count("*"), F.bit_xor(F.xxhash64("u", "v"))).first()
+
     edges = stage(links.select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).where("u <> v").distinct(), "edges")
-    while True:
+    before, now = None, mark(edges)
+    while before != now:
         both = edges.unionByName(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
         least = both.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("m"))
-        large = both.join(least, "u").where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v"))
-        large = stage(large.where("u <> v").distinct(), "edges")
+        large = both.join(least, "u").where("v > u and v <> m").select(F.col("v").alias("u"), F.col("m").alias("v")).distinct()
         least = large.groupBy("u").agg(F.min("v").alias("m"))
-        small = large.join(least, "u").select(F.col("v").alias("u"), F.col("m").alias("v")).where("u <> v")
-        small = stage(small.unionByName(least.select("u", F.col("m").alias("v"))).distinct(), "edges")
-        changed = small.exceptAll(edges).limit(1).count() or edges.exceptAll(small).limit(1).count()
-        edges = small
-        if not changed:
-            break
+        small = large.join(least, "u").where("v <> m").select(F.col("v").alias("u"), F.col("m").alias("v"))
+        edges = stage(small.unionByName(least.select("u", F.col("m").alias("v"))).distinct(), "edges")
+        before, now = now, mark(edges)
     stars = edges.select(F.col("u").alias("node"), F.col("v").alias("component"))
     return stars.unionByName(stars.select("component", "component").distinct().toDF("node", "component"))
 
