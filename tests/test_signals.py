@@ -178,6 +178,15 @@ def test_downsample(spark, rows, target):
     assert found == expected
 
 
+def test_downsample_of_ties_and_payload(spark, plan):
+    """Equal keys keep their number of places; the numbering holds no payload."""
+    table = spark.range(900).select((F.col("id") % 3).alias("timestamp"), F.col("id").alias("payload")).repartition(3)
+    found = series.downsample(table, 9)
+    assert sorted(r["timestamp"] for r in found.collect()) == [0, 0, 0, 1, 1, 1, 2, 2, 2]
+    assert found.select("payload").distinct().count() == 9
+    assert "payload" not in plan(series.numbered(table, ["timestamp"]))
+
+
 def test_summary(spark):
     rows = spark.createDataFrame(
         [(["#a", "#b"], "u", 1, 2, 3, at(1)), (["#a"], "u", 3, 2, 1, at(2)), (["#a"], "v", 5, 2, 2, None), ([], "w", 1, 1, 1, at(3))],

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidemark.session import settle
@@ -26,15 +26,15 @@ def sort_by_time(df: DataFrame, then: Sequence[str] = ()) -> DataFrame:
     return df.orderBy("timestamp", *then)
 
 
-def numbered(df: DataFrame, order_by: Sequence[str]) -> tuple[DataFrame, int]:
-    """The table with ``_index``, a row's place in sorted order from 0, and its size.
+def numbered(df: DataFrame, order_by: Sequence[str]) -> DataFrame:
+    """The order keys of all rows, with ``_index``, a row's place in sorted order from 0.
 
-    The table is range-partitioned and sorted once and kept. Each partition
+    Only the keys are range-partitioned, sorted and kept. Each partition
     counts its own rows; the running totals (one row per partition) are added to
     the local places. No task sees more than its partition.
     """
     placed = settle(
-        df.orderBy(*order_by).withColumn("_place", F.monotonically_increasing_id())
+        df.select(*order_by).orderBy(*order_by).withColumn("_place", F.monotonically_increasing_id())
     )
     part = F.shiftright("_place", _LOCAL_BITS)
     sizes = placed.groupBy(part.alias("_part")).agg(F.count("*").alias("n")).collect()
@@ -44,30 +44,40 @@ def numbered(df: DataFrame, order_by: Sequence[str]) -> tuple[DataFrame, int]:
         total += row["n"]
     offsets = df.sparkSession.createDataFrame(starts, "_part bigint, _start bigint")
     local = F.col("_place").bitwiseAND((1 << _LOCAL_BITS) - 1)
-    indexed = (
+    return (
         placed.withColumn("_part", part)
         .join(F.broadcast(offsets), "_part")
         .withColumn("_index", F.col("_start") + local)
         .drop("_place", "_part", "_start")
     )
-    return indexed, total
 
 
 def downsample(
     df: DataFrame, target: int = 1000, order_by: Sequence[str] = ("timestamp",)
 ) -> DataFrame:
-    """At most ``target`` rows at even distances, first and last included."""
+    """At most ``target`` rows at even distances, first and last included.
+
+    The rows are counted first; then only their order keys are numbered, and the rows
+    at the wanted keys are fetched. Of rows with equal keys as many come as places are wanted there.
+    """
     if target < 2:
         raise ValueError("target must be at least 2")
-    indexed, total = numbered(df, order_by)
+    total = df.count()
     if total <= target:
-        return indexed.drop("_index")
+        return df
     step = F.lit((total - 1) / (target - 1))
     wanted = df.sparkSession.range(target).select(
         F.when(F.col("id") == target - 1, F.lit(total - 1))
         .otherwise(F.floor(F.col("id").cast("double") * step))
         .cast("bigint").alias("_index")
     )
-    if target <= _BROADCAST_ROWS:
-        wanted = F.broadcast(wanted)
-    return indexed.join(wanted, "_index", "left_semi").drop("_index")
+    few = target <= _BROADCAST_ROWS  # a size check: the result is the same either way
+    wanted = numbered(df, order_by).join(F.broadcast(wanted) if few else wanted, "_index")
+    names = [f"_key{i}" for i in range(len(order_by))]
+    wanted = wanted.groupBy(*[F.col(c).alias(n) for c, n in zip(order_by, names, strict=True)]).agg(F.count("*").alias("_times"))
+    same = [df[c].eqNullSafe(wanted[n]) for c, n in zip(order_by, names, strict=True)]
+    found = df.join(F.broadcast(wanted) if few else wanted, same)
+    # the fixed bound lets each task keep no more of one key than could be wanted
+    among = Window.partitionBy(*names).orderBy(F.xxhash64(*[df[c] for c in df.columns]))
+    ranked = found.withColumn("_among", F.row_number().over(among)).where(F.col("_among") <= target)
+    return ranked.where("_among <= _times").select(*[df[c] for c in df.columns])

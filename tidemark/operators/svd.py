@@ -32,11 +32,16 @@ class SvdModel:
 
     def scores(self) -> DataFrame:
         """``keys, svd_1, svd_2, ...`` for every fitted document with a kept term."""
+        return self._scored(self.vectors.rows.where(F.size("_ids") > 0), self.vectors.keys)
+
+    def carried(self) -> DataFrame:
+        """Scores beside the carried columns, for every document of a fit that carries some; 0 without a kept term."""
+        return self._scored(self.vectors.rows, [c for c in self.vectors.rows.columns if c not in ("_ids", "_tf")])
+
+    def _scored(self, rows: DataFrame, names: Sequence[str]) -> DataFrame:
         project = _project(self.vectors.idf, self.directions)
-        scored = self.vectors.rows.select(
-            *self.vectors.keys, project(F.col("_ids"), F.col("_tf")).alias("_s")
-        )
-        return scored.select(*self.vectors.keys, *_components(F.col("_s"), self.directions))
+        scored = rows.select(*names, project(F.col("_ids"), F.col("_tf")).alias("_s"))
+        return scored.select(*names, *_components(F.col("_s"), self.directions))
 
     def score_text(self, text: Column) -> Column:
         """First component of texts that were not part of the fit, row by row (also in streams)."""
@@ -138,10 +143,11 @@ def fit_svd(
     text: str,
     components: int = 1,
     max_features: int = 5000,
+    carry: Sequence[str] = (),
     **options,
 ) -> SvdModel:
     """TF-IDF and its leading directions."""
-    return fit_directions(fit_vectors(df, keys, text, max_features), components, **options)
+    return fit_directions(fit_vectors(df, keys, text, max_features, carry), components, **options)
 
 
 def with_svd(df: DataFrame, model: SvdModel) -> DataFrame:

@@ -211,23 +211,22 @@ def idf_values(document_frequency: dict[int, int], documents: int, size: int) ->
 
 
 def fit_vectors(
-    df: DataFrame, keys: Sequence[str], text: str, max_features: int = 5000
+    df: DataFrame, keys: Sequence[str], text: str, max_features: int = 5000, carry: Sequence[str] = ()
 ) -> TermVectors:
     """Vocabulary, idf and one sparse row of counts per document, kept as a table.
 
     Three passes over the text (words, pairs, counts) and one over the id column of
     the resulting table; documents are counted on the way. Documents without a
-    kept term have no row. The keys must identify a row.
+    kept term have no row, unless further columns are to be carried along: then every
+    document has one, and nothing needs to be joined to it later.
     """
     keys = tuple(keys)
     vocabulary = fit_vocabulary(df, text, max_features)
     documents = Observation()
     counts = count_terms(vocabulary)(txt.word_tokens(F.col(text)))
-    counted = df.observe(documents, F.count(F.lit(1)).alias("n")).select(*keys, counts.alias("_c"))
-    rows = stage(
-        counted.select(*keys, F.col("_c.ids").alias("_ids"), F.col("_c.tf").alias("_tf")).where(F.size("_ids") > 0),
-        "term-vectors",
-    )
+    counted = df.observe(documents, F.count(F.lit(1)).alias("n")).select(*keys, *carry, counts.alias("_c"))
+    flat = counted.select(*keys, *carry, F.col("_c.ids").alias("_ids"), F.col("_c.tf").alias("_tf"))
+    rows = stage(flat if carry else flat.where(F.size("_ids") > 0), "term-vectors")
     # At most one row per kept term comes back.
     frequency = {
         r["id"]: r["n"]

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from tidemark.functions import lexicon
 from tidemark.operators import features as ops
 from tidemark.operators.buckets import aggregate_signals
-from tidemark.operators.svd import fit_svd, with_svd
+from tidemark.operators.svd import fit_svd
 from tidemark.session import configure, sized_shuffles, stage, stored_bytes
 from tidemark.sources import tables
 
@@ -34,9 +34,9 @@ def build_features(
 ) -> DataFrame:
     """Polarity, urgency, engagement, leading text component and composite per post.
 
-    ``posts`` are read three times (vocabulary, term counts, scores), so they
-    should be a table. The scores are kept without their texts; the z-scores
-    then read only those few numbers. With no weight on ``svd_1`` nothing is fitted.
+    ``posts`` are read three times (words, word pairs, term counts with the other scores), so they
+    should be a table. The scores stand beside the term counts, so nothing is joined and no
+    post is shuffled; the z-scores then read only those few numbers. With no weight on ``svd_1`` nothing is fitted.
     """
     keys = list(row_keys(posts) if keys is None else keys)
     scored = ops.score_reactions(ops.score_text(posts, bull, bear, urgent))
@@ -44,8 +44,8 @@ def build_features(
     slim = scored.select(*dict.fromkeys([*names, *keys, *keep]))
     weights = {name: w for name, w in weights.items() if w}
     if any(name.startswith("svd_") for name in weights):
-        model = fit_svd(posts, keys, "content", components, max_features, **svd_options)
-        slim = with_svd(slim, model)
+        carry = [c for c in slim.columns if c not in keys]
+        slim = fit_svd(scored, keys, "content", components, max_features, carry, **svd_options).carried()
     else:
         slim = slim.withColumn("svd_1", F.lit(0.0))
     signal = ops.composite_signal(stage(slim, "scores"), weights)
