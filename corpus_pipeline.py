@@ -26,11 +26,23 @@ def keep_known_languages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
 
 
 def keep_one_of_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of each group of near copies the document with the smallest id stays; of repeated rows, one."""
+    """Of each group of near copies the document with the smallest id stays; of repeated rows, one.
+
+    Where rows share that id, or all lack one, one of them stays. Texts without words are no copies: all stay, repeated
+    rows once.
+    """
     configure(spark)
-    kept = near_dup.near_duplicates(docs).where("kept").select(F.col("id").alias("_id")).distinct()
-    rows = docs.join(kept, docs["doc_id"].eqNullSafe(kept["_id"]), "left_semi")
-    return rows.dropDuplicates(["doc_id"])
+    kept = near_dup.near_duplicates(docs).where("kept").selectExpr(
+        "coalesce(id, -9223372036854775808) as _id", "tag as _tag", "group"
+    ).distinct()
+    own = "group, if(group is null, _id, 0L), if(group is null, _tag, 0L)"
+    kept = kept.selectExpr("*", f"row_number() over (partition by {own} order by _id, _tag) as _place").where("_place = 1")
+    rows = docs.withColumns({
+        "_id": F.coalesce("doc_id", F.lit(-9223372036854775808)), "_tag": near_dup.row_tag(F.col("text")),
+    })
+    # same keys: what is joined is already dealt out as the repeats need it
+    rows = rows.join(kept.select("_id", "_tag"), ["_id", "_tag"]).dropDuplicates(["_id", "_tag"])
+    return rows.select(*docs.columns)
 
 
 def cut_repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

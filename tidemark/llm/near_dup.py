@@ -84,8 +84,13 @@ def signature(codes: np.ndarray) -> np.ndarray:
     return out
 
 
+def row_tag(text: Column) -> Column:
+    """Tells rows with equal ids apart."""
+    return F.xxhash64(F.coalesce(text, F.lit("")))
+
+
 def features(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
-    """(id, n, class, signature) of every row; class is a 128-bit digest of the set, null if empty."""
+    """(id, tag, n, class, signature) of every row; class is a 128-bit digest of the set, null if empty."""
     import hashlib
 
     def run(batches):
@@ -97,12 +102,12 @@ def features(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFr
                 names.append(hashlib.blake2b(codes.tobytes(), digest_size=16).digest() if len(codes) else None)
                 signatures.append(signature(codes).view(np.int64) if len(codes) else None)
             yield pa.RecordBatch.from_pydict({
-                "id": batch.column("id"), "n": pa.array(counts, pa.int64()), "class": pa.array(names, pa.binary()),
+                "id": batch.column("id"), "tag": batch.column("tag"), "n": pa.array(counts, pa.int64()), "class": pa.array(names, pa.binary()),
                 "signature": pa.array(signatures, pa.list_(pa.int64())),
             })
 
-    rows = docs.select(F.col(key).cast("long").alias("id"), F.col(text).alias("text"))
-    return rows.mapInArrow(run, "id long, n long, class binary, signature array<long>")
+    rows = docs.select(F.col(key).cast("long").alias("id"), row_tag(F.col(text)).alias("tag"), F.col(text).alias("text"))
+    return rows.mapInArrow(run, "id long, tag long, n long, class binary, signature array<long>")
 
 
 def _postings(classes: DataFrame) -> DataFrame:
@@ -279,7 +284,7 @@ def _links_across(left: tuple, right: tuple) -> list[tuple[int, int]]:
 
 
 def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
-    """One row per input row: id, n_shingles, component_id, kept."""
+    """One row per input row: id, tag, n_shingles, group (number of its component, null for an empty set), component_id, kept."""
     rows = stage(features(docs, key, text), "signatures")
     # numbers for the classes; the table is written, so they stay as they are
     classes = stage(
@@ -304,10 +309,10 @@ def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text") ->
         labels = stage(connect(links.unionByName(more)), "labels")
     told = classes.join(labels, "node", "left").withColumn("component", F.coalesce("component", "node"))
     ids = told.groupBy("component").agg(F.min("least_id").alias("component_id"))
-    told = told.join(ids, "component").select("class", "component_id")
+    told = told.join(ids, "component").select("class", F.col("component").alias("group"), "component_id")
     # the class of an empty set is null and joins nothing: such a row is its own component
     return rows.join(told, "class", "left").select(
-        "id", F.col("n").alias("n_shingles"),
+        "id", "tag", F.col("n").alias("n_shingles"), "group",
         F.when(F.col("class").isNull(), F.col("id")).otherwise(F.col("component_id")).alias("component_id"),
     ).withColumn("kept", F.col("id").eqNullSafe(F.col("component_id")))
 
