@@ -17,6 +17,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tidemark.session import stage
+
 PART = 8
 TERMS = 64
 BROADCAST_SOURCES = 10_000
@@ -75,7 +77,7 @@ def mix(
 ) -> DataFrame:
     """Documents by their counts, with ``_copy`` from 1 and ``_order``, the place of a copy in the new order."""
     spark = docs.sparkSession
-    shares = rates(docs, weights, power, source, text)
+    shares = stage(rates(docs, weights, power, source, text), "rates")
     few = shares.select("_source").limit(BROADCAST_SOURCES + 1).count() <= BROADCAST_SOURCES
     shares = F.broadcast(shares) if few else shares  # beyond that AQE joins and splits a hot source
     joined = docs.join(shares, docs[source].eqNullSafe(shares["_source"]))
