@@ -30,7 +30,10 @@ from tidemark.llm.common import open_store, shared_uri, texts_of, write_once
 
 MAGIC = b"TDMKIDS1"
 SAMPLED = 256
-CACHED_WORDS = 400_000
+CACHED_WORDS = 800_000
+SPECIAL = "<|"  # special tokens of the supported files begin so
+SIGNS = "!\"#$%&'()*+,-./:;<=>?@[\\]^_`{|}~"
+SLICE = 128
 BLOCK_IDS = 1 << 22
 
 
@@ -102,10 +105,11 @@ class EliasFano:
 
 
 class WordEncoder:
-    """Ids of texts by the library, one call per distinct word.
+    """Ids of texts by the library, which is asked once per worker for each distinct word.
 
-    The tokenizer must drop white space and treat the words between it apart. Then the ids of a
-    text are those of its words, and each worker asks the library once for each.
+    The tokenizer must drop white space, fold case and keep runs of letters, of digits and of other signs apart, as
+    its own steps before the merges say. Then the ids of a text are those of its words, and those of a word with
+    signs behind it are the ids of both. Words that may hold a special token are left whole.
     """
 
     def __init__(self, path: str, id_bytes: int):
@@ -117,15 +121,45 @@ class WordEncoder:
         self.known: dict[str, bytes] = {}
 
     def encode(self, texts: list[str]) -> list[bytes]:
+        out: list[bytes] = []
+        for first in range(0, len(texts), SLICE):  # only the words of a few texts are held at a time
+            out += self._slice(texts[first : first + SLICE])
+        return out
+
+    def _slice(self, texts: list[str]) -> list[bytes]:
         if len(self.known) > CACHED_WORDS:
             self.known.clear()
         split = [t.replace("\n", " ").replace("\t", " ").replace("\r", " ").split(" ") for t in texts]
         known = self.known
-        new = list({w for found in split for w in found if w not in known})
-        for word, done in zip(new, self.tokenizer.encode_batch(new, add_special_tokens=False), strict=True):
-            known[word] = np.array(done.ids, dtype=self.kind).tobytes()
+        parts = {w: self._parts(w) for w in set().union(*split).difference(known)}
+        self._ask(list({p for found in parts.values() for p in found}.difference(known)))
+        known.update({w: b"".join([known[p] for p in found]) for w, found in parts.items()})
         return [b"".join([known[w] for w in found]) for found in split]
 
+    @staticmethod
+    def _parts(word: str) -> tuple[str, ...]:
+        if SPECIAL in word:
+            return (word,)
+        if word.isascii():
+            word = word.lower()
+        base = word.rstrip(SIGNS)
+        # a letter that falls into a letter and a mark when folded belongs to what follows
+        last = base[-1:]
+        return (base, word[len(base):]) if last.isalnum() and len(last.lower()) == 1 else (word,)
+
+    def _ask(self, words: list[str]) -> None:
+        """Encode new words: plain ones in one call, told apart by their places, others one by one."""
+        plain = [w for w in words if w and w.isascii() and SPECIAL not in w]
+        done = self.tokenizer.encode(" ".join(plain), add_special_tokens=False)
+        starts = np.cumsum([0] + [len(w) + 1 for w in plain])
+        places = np.array([a for a, _ in done.offsets], dtype=np.int64)
+        bounds = np.searchsorted(places, starts) * np.dtype(self.kind).itemsize
+        ids = np.array(done.ids, dtype=self.kind).tobytes()
+        self.known.update(zip(plain, [ids[a:b] for a, b in zip(bounds[:-1].tolist(), bounds[1:].tolist(), strict=True)], strict=True))
+        others = list(set(words).difference(plain))
+        for word, found in zip(others, self.tokenizer.encode_batch_fast(others, add_special_tokens=False), strict=True):
+            self.known[word] = np.array(found.ids, dtype=self.kind).tobytes()
+
 
 @lru_cache(maxsize=2)
 def load(path: str, id_bytes: int) -> WordEncoder:
