@@ -10,15 +10,15 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.llm import bpe_tree, langid, mixing, near_dup, suffix_dedup
-from tidemark.llm.common import table
-from tidemark.session import configure, run_folder
+from tidemark.llm.common import prepare, table
+from tidemark.session import run_folder
 
 LEAST_LANGUAGE_SCORE = 0.3
 
 
 def keep_known_languages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Drop documents without letters and those that no learned language explains."""
-    configure(spark)
+    prepare(spark)
     model = langid.fit(docs.where(~langid.held_out(F.col("doc_id"))))
     told = docs.withColumn("_told", langid.predict(F.col("text"), model))
     known = (F.col("_told.lang_pred") != langid.UNKNOWN) & (F.col("_told.score") >= LEAST_LANGUAGE_SCORE)
@@ -31,7 +31,7 @@ def keep_one_of_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -
     Where rows share that id, or all lack one, one of them stays. Texts without words are no copies: all stay, repeated
     rows once.
     """
-    configure(spark)
+    prepare(spark)
     kept = near_dup.near_duplicates(docs).where("kept").selectExpr(
         "coalesce(id, -9223372036854775808) as _id", "tag as _tag", "group"
     ).distinct()
@@ -50,7 +50,7 @@ def cut_repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) ->
 
     Where a cut falls inside a character, the rest of that character goes too.
     """
-    configure(spark)
+    prepare(spark)
     cut = suffix_dedup.drop_repeated(docs).where("octet_length(kept) > 0 or n_removed = 0")
     text = F.when(F.col("n_removed") == 0, F.col("text")).otherwise(
         F.regexp_replace(F.make_valid_utf8(F.col("kept").cast("string")), "�", "")
@@ -60,13 +60,13 @@ def cut_repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) ->
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Repeat and leave out documents so that source shares of the text follow the target weights."""
-    configure(spark)
+    prepare(spark)
     return mixing.mix(docs).select(*docs.columns)
 
 
 def encode_texts(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Token ids of each document, with a digest of the bytes that they decode to."""
-    configure(spark)
+    prepare(spark)
     path, pattern = public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN
     ids = docs.select(
         "doc_id", "lang", "source", F.sha2(F.coalesce("text", F.lit("")), 256).alias("text_sha256"),

@@ -27,7 +27,7 @@ from tidemark.llm.common import texts_of
 
 LEAF = 32
 NONE = 1 << 32
-CACHED_PIECES = 600_000
+CACHED_PIECES = 250_000
 
 
 def direct(data: bytes, ranks: dict[bytes, int]) -> list[int]:
@@ -93,7 +93,7 @@ class Codec:
     def together(self, a: int, b: int) -> bool:
         known = self._together.get((a, b))
         if known is None:
-            if len(self._together) > CACHED_PIECES:
+            if len(self._together) > CACHED_PIECES // 4:
                 self._together.clear()
             known = direct(self.token[a] + self.token[b], self.ranks) == [a, b]
             self._together[a, b] = known

@@ -9,13 +9,27 @@ import pyarrow as pa
 import pyarrow.fs
 from pyspark.sql import DataFrame, SparkSession
 
-from tidemark.session import run_folder
+from tidemark.session import configure, run_folder
 
 # What separates words.
 WORD_GAP = r"[\x20\x09-\x0D]+"
 GAP_BYTES = b" \t\n\x0b\x0c\r"
 
 
+# Batches between Spark and Python hold whole texts; two workers share an executor's rest of memory.
+BATCH_SETTINGS = {
+    "spark.sql.execution.arrow.maxRecordsPerBatch": "2000",
+    "spark.sql.execution.arrow.maxBytesPerBatch": str(16 * 1024 * 1024),
+}
+
+
+def prepare(spark: SparkSession) -> SparkSession:
+    """Settings of the library, with smaller batches for texts."""
+    for key, value in BATCH_SETTINGS.items():
+        configure(spark).conf.set(key, value)
+    return spark
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 

@@ -9,18 +9,17 @@ from pyspark.sql import functions as F
 from tidemark.llm import (
     bpe_tree, langid, mixing, near_dup, oracle, quality_llr, suffix_dedup, token_count, token_store, topk, warc,
 )
-from tidemark.llm.common import table
-from tidemark.session import configure
+from tidemark.llm.common import prepare, table
 
 
 def quality(spark: SparkSession, sf: str) -> DataFrame:
-    docs = table(configure(spark), sf, "documents")
+    docs = table(prepare(spark), sf, "documents")
     trusted = table(spark, sf, "labels").where("quality = 1 and toxic = 0")
     return quality_llr.judge(docs, quality_llr.fit_ratios(docs, trusted))
 
 
 def mixed_sources(spark: SparkSession, sf: str) -> DataFrame:
-    docs = table(configure(spark), sf, "documents").select("doc_id", "source", "text")
+    docs = table(prepare(spark), sf, "documents").select("doc_id", "source", "text")
     return mixing.mix(docs).select(
         "doc_id", "source", F.col("_copy").cast("long").alias("copy"), F.col("_order").alias("place"),
         F.octet_length("text").cast("long").alias("n_bytes"),
@@ -28,14 +27,14 @@ def mixed_sources(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def suffix_array(spark: SparkSession, sf: str) -> DataFrame:
-    docs = table(configure(spark), sf, "documents").select("doc_id", "text")
+    docs = table(prepare(spark), sf, "documents").select("doc_id", "text")
     return suffix_dedup.drop_repeated(docs).select(
         "doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256")
     )
 
 
 def warc_archives(spark: SparkSession, sf: str) -> DataFrame:
-    files = warc.write_warc(table(configure(spark), sf, "pages"))
+    files = warc.write_warc(table(prepare(spark), sf, "pages"))
     return warc.read_warc(files).select(
         warc.page_of(F.col("record_id")).alias("page_id"), "payload_bytes", F.col("digest").alias("payload_digest"),
         "record_type", warc.page_of(F.col("refers_to")).alias("refers_to"),
@@ -43,7 +42,7 @@ def warc_archives(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def languages(spark: SparkSession, sf: str) -> DataFrame:
-    docs = table(configure(spark), sf, "documents")
+    docs = table(prepare(spark), sf, "documents")
     held = langid.held_out(F.col("doc_id"))
     model = langid.fit(docs.where(~held))
     return docs.select(
@@ -53,7 +52,7 @@ def languages(spark: SparkSession, sf: str) -> DataFrame:
 
 def byte_bpe(spark: SparkSession, sf: str) -> DataFrame:
     path, pattern = public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN
-    ids = table(configure(spark), sf, "documents").select(
+    ids = table(prepare(spark), sf, "documents").select(
         "doc_id", bpe_tree.encode(F.col("text"), path, pattern).alias("ids")
     )
     return ids.select(
@@ -63,7 +62,7 @@ def byte_bpe(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def stored_ids(spark: SparkSession, sf: str) -> DataFrame:
-    docs = table(configure(spark), sf, "documents")
+    docs = table(prepare(spark), sf, "documents")
     manifest = token_store.write_store(docs, public_tokenizers.path("word_bpe_49k.json"))
     return token_store.read_store(manifest).select(
         "doc_id", "start", (F.octet_length("ids") / 4).cast("long").alias("n_tokens"), F.crc32("ids").alias("ids_crc32")
@@ -71,20 +70,20 @@ def stored_ids(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def near_copies(spark: SparkSession, sf: str) -> DataFrame:
-    docs = table(configure(spark), sf, "documents")
+    docs = table(prepare(spark), sf, "documents")
     return near_dup.near_duplicates(docs).select(
         F.col("id").alias("doc_id"), "n_shingles", "component_id", "kept"
     )
 
 
 def best_vectors(spark: SparkSession, sf: str) -> DataFrame:
-    vectors = table(configure(spark), sf, "embeddings")
+    vectors = table(prepare(spark), sf, "embeddings")
     return topk.top_k(vectors, F.col("vec_id") % 50 == 0)
 
 
 def token_counts(spark: SparkSession, sf: str) -> DataFrame:
     path = public_tokenizers.path("byte_bpe_50k.json")
-    counted = table(configure(spark), sf, "documents").select(
+    counted = table(prepare(spark), sf, "documents").select(
         "doc_id", F.coalesce(F.octet_length("text"), F.lit(0)).cast("long").alias("n_bytes"),
         token_count.count_tokens(F.col("text"), path).alias("n_tokens"),
     )

@@ -22,7 +22,7 @@ from tidemark.llm.common import texts_of
 
 # The pattern of the byte-level splitter.
 SPLIT = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
-CACHED_PIECES = 600_000
+CACHED_PIECES = 250_000
 
 
 def byte_letters() -> list[str]:

@@ -30,7 +30,7 @@ from tidemark.llm.common import open_store, shared_uri, texts_of, write_once
 
 MAGIC = b"TDMKIDS1"
 SAMPLED = 256
-CACHED_WORDS = 800_000
+CACHED_WORDS = 300_000
 SPECIAL = "<|"  # special tokens of the supported files begin so
 SIGNS = "!\"#$%&'()*+,-./:;<=>?@[\\]^_`{|}~"
 SLICE = 128
