@@ -25,8 +25,9 @@ BATCH_SETTINGS = {
 
 def prepare(spark: SparkSession) -> SparkSession:
     """Settings of the library, with smaller batches for texts."""
+    configure(spark)
     for key, value in BATCH_SETTINGS.items():
-        configure(spark).conf.set(key, value)
+        spark.conf.set(key, value)
     return spark
 
 
