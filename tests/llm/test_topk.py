@@ -26,7 +26,7 @@ def expected(rows, k):
 def test_ties_nulls_and_blocks(spark, same_rows, blocks):
     rng = random.Random(3)
     rows = [(i, [rng.choice((-1.0, 0.0, 0.5, 1.0)) for _ in range(6)]) for i in range(60)]
-    rows += [(60, None), (61, [1.0, None, 0, 0, 0, 0]), (62, [NAN] * 6), (63, [INF] * 6), (None, [1.0] * 6), (64, []), (66, [1.0, 2.0]), (68, [1.0, 3.0])]
+    rows += [(60, None), (61, [1.0, None, 0.0, 0.0, 0.0, 0.0]), (62, [NAN] * 6), (63, [INF] * 6), (None, [1.0] * 6), (64, []), (66, [1.0, 2.0]), (68, [1.0, 3.0])]
     df = spark.createDataFrame(rows, "vec_id long, embedding array<double>").selectExpr("*", "1 as id", "2 as q", "3 as v", "4 as dim")
     found = topk.top_k(df, F.col("vec_id") % 2 == 0, query_block=blocks[0], vector_block=blocks[1])
     same_rows(found, expected(rows, 5), "query_id", "rank", "vec_id", "score")

@@ -15,6 +15,7 @@ from __future__ import annotations
 import base64
 import heapq
 import struct
+from collections.abc import Iterator
 from functools import lru_cache
 
 import numpy as np
@@ -90,6 +91,11 @@ class Codec:
         self._together: dict[tuple[int, int], bool] = {}
         self._pieces: dict[str, bytes] = {}
 
+    def forget(self) -> None:
+        """Give back what was looked up: workers live on for tasks of other kinds."""
+        self._together.clear()
+        self._pieces.clear()
+
     def together(self, a: int, b: int) -> bool:
         known = self._together.get((a, b))
         if known is None:
@@ -162,9 +168,11 @@ def encode(text: Column, path: str, pattern: str) -> Column:
     """
 
     @F.arrow_udf("binary")
-    def run(values: pa.Array) -> pa.Array:
+    def run(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         codec = load(path, pattern)
-        return pa.array([codec.encode(t) for t in texts_of(values)], pa.binary())
+        for values in batches:
+            yield pa.array([codec.encode(t) for t in texts_of(values)], pa.binary())
+        codec.forget()
 
     return run(text)
 

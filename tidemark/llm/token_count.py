@@ -11,6 +11,7 @@ from __future__ import annotations
 
 import heapq
 import json
+from collections.abc import Iterator
 from functools import lru_cache
 
 import pyarrow as pa
@@ -105,8 +106,10 @@ def count_tokens(text: Column, path: str) -> Column:
     """Tokens of every whole text. ``path`` names a tokenizer file that every worker has."""
 
     @F.arrow_udf("long")
-    def run(values: pa.Array) -> pa.Array:
+    def run(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         counter = load(path)
-        return pa.array([counter.count(t) for t in texts_of(values)], pa.int64())
+        for values in batches:
+            yield pa.array([counter.count(t) for t in texts_of(values)], pa.int64())
+        counter.known.clear()  # workers live on for tasks of other kinds
 
     return run(text)
