@@ -14,6 +14,8 @@ from tidemark.llm.common import prepare, table
 from tidemark.session import run_folder
 
 LEAST_LANGUAGE_SCORE = 0.3
+# Passages of over 50 words, whatever their bytes. Strings of op3's 400 bytes go too: not all scripts part words.
+PASSAGE_WORDS = 51
 
 
 def keep_known_languages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -46,12 +48,12 @@ def keep_one_of_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -
 
 
 def cut_repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Remove passages that come more than once; documents with nothing left go.
+    """Remove passages of over 50 words or 400 bytes that come more than once; documents with nothing left go.
 
     Where a cut falls inside a character, the rest of that character goes too.
     """
     prepare(spark)
-    cut = suffix_dedup.drop_repeated(docs).where("octet_length(kept) > 0 or n_removed = 0")
+    cut = suffix_dedup.drop_repeated(docs, words=PASSAGE_WORDS).where("octet_length(kept) > 0 or n_removed = 0")
     text = F.when(F.col("n_removed") == 0, F.col("text")).otherwise(
         F.regexp_replace(F.make_valid_utf8(F.col("kept").cast("string")), "�", "")
     )

@@ -49,6 +49,19 @@ def test_passage_stage_cuts_bytes(spark, docs, odd_rows, sf):
     assert all(n == (None if text is None else len(text)) for (_, text), n in cut.items())
 
 
+def test_passage_stage_cuts_over_50_words(spark, sf):
+    """However few bytes they have, also across line breaks; 50 words stay."""
+    natural = " ".join(f"word{i}" for i in range(51))
+    tiny, fifty = " ".join("abcdefghijklmnopq" * 3), " ".join(map(str, range(50)))
+    assert len(natural.split()) == len(tiny.split()) == 51 and len(tiny) < 200 < len(natural) < 400
+    around = [" ".join(f"text{i}-{k}" for k in range(30)) for i in range(12)]
+    inner = [natural, natural, tiny, tiny.replace(" ", "\n"), fifty, fifty]
+    rows = [(i, f"{around[2 * i]} {p} {around[2 * i + 1]}", "en", "s", 1) for i, p in enumerate(inner)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long").repartition(3)
+    cut = dict(pipeline.cut_repeated_passages(spark, docs, sf).select("doc_id", "text").collect())
+    assert cut == {i: text if i > 3 else text.replace(inner[i], "") for i, text, *_ in rows}
+
+
 def test_last_stages(spark, docs, sf):
     mixed = pipeline.mix_sources(spark, docs, sf)
     assert mixed.columns == docs.columns and set(ids(mixed)) <= set(ids(docs))

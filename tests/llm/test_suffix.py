@@ -1,4 +1,5 @@
 import random
+from collections import Counter
 
 import brute
 import numpy as np
@@ -35,6 +36,34 @@ def test_shared_passages(spark, group):
     check(suffix_dedup.drop_repeated(docs, length=120, group=group), rows, 120)
 
 
+@pytest.mark.parametrize("group", [4000, 2])
+def test_shared_passages_of_words(spark, group):
+    """Passages of 12 words beside strings of 120 bytes, against sets of all windows."""
+    rng = random.Random(5)
+    base = [[rng.choice(["é", "a", "be", "sea", "x" * 9, "y" * 40]) + str(rng.randrange(30)) for _ in range(rng.randrange(5, 40))] for _ in range(8)]
+    rows = []
+    for i in range(40):
+        words = [w for _ in range(2) for w in [f"u{i}{rng.random()}", *rng.choice(base)]]
+        for _ in range(rng.randrange(4)):
+            words[rng.randrange(len(words))] = "Z" + str(rng.random())
+        rows.append((i, "".join(w + rng.choice([" ", " ", " ", "\n", " \t"]) for w in words)))
+    texts = [t.encode() for _, t in rows]
+    gone = [[False] * len(t) for t in texts]
+    single = [[(k, k + 1) for k in range(len(t))] for t in texts]
+    spans = [[m.span() for m in brute.WORD.finditer(t)] for t in texts]
+    for size, units in ((120, single), (12, spans)):
+        windows = [[tuple(t[a:b] for a, b in u[k : k + size]) for k in range(len(u) - size + 1)] for t, u in zip(texts, units, strict=True)]
+        times = Counter(w for own in windows for w in own)
+        for g, u, own in zip(gone, units, windows, strict=True):
+            for k, w in enumerate(own):
+                if times[w] > 1:
+                    g[u[k][0] : u[k + size - 1][1]] = [True] * (u[k + size - 1][1] - u[k][0])
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
+    found = {r[0]: bytes(r[1]) for r in suffix_dedup.drop_repeated(docs, length=120, group=group, words=12).select("doc_id", "kept").collect()}
+    assert found == {i: bytes(b for b, x in zip(t, g, strict=True) if not x) for i, (t, g) in enumerate(zip(texts, gone, strict=True))}
+    assert found != {r[0]: bytes(r[1]) for r in suffix_dedup.drop_repeated(docs, length=120).select("doc_id", "kept").collect()}
+
+
 def test_sort_is_a_suffix_sort():
     rng = np.random.default_rng(3)
     data = rng.integers(97, 99, 900).astype(np.uint8)

@@ -18,6 +18,10 @@ place in it with the smallest hash of ``SEED`` bytes, so equal windows pick equa
 
 Texts are shuffled twice, for 3 and for the removal; otherwise rows are a few numbers each.
 
+With ``words`` a byte also goes if it lies in a passage of that many words that starts anywhere else, however few bytes
+it has. Steps 1 to 3 are the same, over 64-bit codes of the words instead of bytes; gaps between words may
+differ, those inside a passage go with it. Both are fetched in one shuffle of the texts.
+
 Defined results: a null or empty text has no bytes; one below ``length`` loses none. Repeated rows are separate
 occurrences, so long copies go as a whole. Ids may be null or repeated. Added columns are
 ``n_bytes``, ``n_removed``, ``n_spans`` and ``kept`` (binary); input columns of these names are replaced.
@@ -26,13 +30,16 @@ occurrences, so long copies go as a whole. Ids may be null or repeated. Added co
 from __future__ import annotations
 
 import hashlib
+from collections.abc import Callable
+from dataclasses import dataclass
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import bytes_of, mix
+from tidemark.llm.common import GAP_BYTES, bytes_of, mix
 from tidemark.session import stage
 
 SEED = 64
@@ -69,6 +76,41 @@ class PrefixHash:
         return (self.sums[size:] - self.sums[:n]) * self.down[:n]
 
 
+def word_bounds(data: bytes) -> tuple[np.ndarray, np.ndarray]:
+    """Where words start and end; a word is a run of anything but gaps."""
+    gap = np.ones(len(data) + 2, dtype=bool)
+    gap[1:-1] = np.isin(np.frombuffer(data, np.uint8), np.frombuffer(GAP_BYTES, np.uint8))
+    edges = np.flatnonzero(gap[1:] != gap[:-1])
+    return edges[::2], edges[1::2]
+
+
+def word_codes(data: bytes) -> np.ndarray:
+    starts, ends = word_bounds(data)
+    return mix(PrefixHash(np.frombuffer(data, np.uint8)).of(starts, ends - starts))
+
+
+def single_bytes(data: bytes) -> np.ndarray:
+    return np.frombuffer(data, np.uint8)
+
+
+@dataclass(frozen=True)
+class Units:
+    """What texts are strings of, and how many of them make a seed."""
+
+    words: bool
+    kind: type
+    seed: int
+    split: Callable[[bytes], np.ndarray]
+
+    @property
+    def width(self) -> int:
+        return np.dtype(self.kind).itemsize
+
+
+BYTES = Units(False, np.uint8, SEED, single_bytes)
+WORDS = Units(True, np.uint64, 8, word_codes)
+
+
 def window_minima(codes: np.ndarray, width: int) -> np.ndarray:
     """Leftmost place of the smallest code in every run of ``width``, by doubling."""
     n = len(codes) - width + 1
@@ -83,10 +125,10 @@ def window_minima(codes: np.ndarray, width: int) -> np.ndarray:
     return at[:n]
 
 
-def anchors(data: np.ndarray, length: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+def anchors(data: np.ndarray, length: int, seed: int = SEED) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
     """Anchor places, the first and last window of each, and hashes of their seeds."""
-    codes = mix(PrefixHash(data).all(SEED))
-    at = window_minima(codes, length - SEED + 1)
+    codes = mix(PrefixHash(data).all(seed))
+    at = window_minima(codes, length - seed + 1)
     first = np.flatnonzero(np.concatenate([[True], at[1:] != at[:-1]]))
     last = np.concatenate([first[1:], [len(at)]]) - 1
     return at[first], first, last, codes[at[first]]
@@ -171,12 +213,14 @@ class SuffixSorter:
         return suffixes[found[suffixes]]
 
 
-def repeated_windows(seeds: np.ndarray, stretches: list[bytes], before: np.ndarray, length: int) -> list[np.ndarray]:
+def repeated_windows(
+    seeds: np.ndarray, stretches: list[bytes], before: np.ndarray, length: int, units: Units = BYTES
+) -> list[np.ndarray]:
     """For each stretch, the windows (counted from its start) that come in another stretch of its seed.
 
     ``before`` is the anchor's distance from the start; a window can only equal one with the same distance.
     """
-    sizes = np.array([len(s) for s in stretches])
+    sizes = np.array([len(s) // units.width for s in stretches])
     starts = np.concatenate([[0], np.cumsum(sizes)[:-1]])
     counts = sizes - length + 1
     owner = np.repeat(np.arange(len(sizes)), counts)
@@ -185,7 +229,7 @@ def repeated_windows(seeds: np.ndarray, stretches: list[bytes], before: np.ndarr
     rank = np.unique(seeds, return_inverse=True)[1]
     classes = rank[owner] * (length + 1) + distance
     order = np.argsort(classes, kind="stable")
-    sorter = SuffixSorter(np.frombuffer(b"".join(stretches), np.uint8), length)
+    sorter = SuffixSorter(np.frombuffer(b"".join(stretches), units.kind), length)
     hits = np.sort(sorter.repeated(suffixes[order], classes[order]))
     at = np.searchsorted(starts, hits, "right") - 1
     bounds = np.searchsorted(at, np.arange(len(sizes) + 1))
@@ -213,15 +257,16 @@ def _span_batch(rows: list[tuple]) -> pa.RecordBatch:
     )
 
 
-def _list_anchors(texts: DataFrame, length: int) -> DataFrame:
+def _list_anchors(texts: DataFrame, length: int, units: Units) -> DataFrame:
     def run(batches):
         for batch in batches:
             found: list[list] = [[] for _ in range(7)]
             ids, tags = batch.column("id").to_pylist(), batch.column("tag").to_pylist()
             for id_, tag, data in zip(ids, tags, bytes_of(batch.column("text")), strict=True):
+                data = units.split(data)
                 if len(data) < length:
                     continue
-                places, first, last, seeds = anchors(np.frombuffer(data, np.uint8), length)
+                places, first, last, seeds = anchors(data, length, units.seed)
                 ends = last + length
                 digests = [
                     hashlib.blake2b(data[a:b], digest_size=16).digest()
@@ -241,10 +286,11 @@ def _list_anchors(texts: DataFrame, length: int) -> DataFrame:
     return texts.mapInArrow(run, _ANCHOR)
 
 
-def _fetch(texts: DataFrame, wanted: DataFrame, length: int) -> DataFrame:
-    """The bytes of wanted stretches, one row each."""
+def _fetch(texts: DataFrame, wanted: DataFrame, rules: list[tuple[Units, int]]) -> DataFrame:
+    """The bytes or word codes of wanted stretches, one row each."""
+    by_words = {units.words: (units, length) for units, length in rules}
     listed = wanted.groupBy("id", "tag").agg(
-        F.collect_set(F.struct("seed", "anchor", "first", "last", "hot")).alias("stretches")
+        F.collect_set(F.struct("seed", "anchor", "first", "last", "hot", "words")).alias("stretches")
     )
     joined = _same_row(texts, listed, "inner").select(texts["id"], texts["tag"], "text", "stretches")
 
@@ -254,12 +300,13 @@ def _fetch(texts: DataFrame, wanted: DataFrame, length: int) -> DataFrame:
             held = 0
             columns = [batch.column(n).to_pylist() for n in ("id", "tag", "stretches")]
             for id_, tag, stretches, data in zip(*columns, bytes_of(batch.column("text")), strict=True):
+                split = {kind: by_words[kind][0].split(data) for kind in {s["words"] for s in stretches}}
                 for s in stretches:
+                    part = split[s["words"]][s["first"] : s["last"] + by_words[s["words"]][1]].tobytes()
                     rows.append((
-                        s["seed"], id_, tag, s["anchor"] - s["first"], s["first"],
-                        data[s["first"] : s["last"] + length], s["hot"],
+                        s["seed"], id_, tag, s["anchor"] - s["first"], s["first"], part, s["hot"], s["words"],
                     ))
-                    held += s["last"] + length - s["first"]
+                    held += len(part)
                 if held > 16 << 20:
                     yield _stretch_batch(rows)
                     rows, held = [], 0
@@ -269,24 +316,24 @@ def _fetch(texts: DataFrame, wanted: DataFrame, length: int) -> DataFrame:
     return joined.mapInArrow(run, _STRETCH)
 
 
-_STRETCH = "seed long, id long, tag long, before int, first int, data binary, hot boolean"
+_STRETCH = "seed long, id long, tag long, before int, first int, data binary, hot boolean, words boolean"
 
 
 def _stretch_batch(rows: list[tuple]) -> pa.RecordBatch:
-    kinds = (pa.int64(), pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.binary(), pa.bool_())
+    kinds = (pa.int64(), pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.binary(), pa.bool_(), pa.bool_())
     return pa.RecordBatch.from_arrays(
         [pa.array(c, k) for c, k in zip(zip(*rows, strict=True), kinds, strict=True)],
-        names=["seed", "id", "tag", "before", "first", "data", "hot"],
+        names=["seed", "id", "tag", "before", "first", "data", "hot", "words"],
     )
 
 
-def _sort_groups(stretches: DataFrame, length: int) -> DataFrame:
+def _sort_groups(stretches: DataFrame, length: int, units: Units) -> DataFrame:
     """Spans of repeated windows, the stretches of a seed being sorted in one task."""
     ordered = stretches.repartition("seed").sortWithinPartitions("seed")
 
     def settle(rows: list[tuple]) -> pa.RecordBatch:
         seeds = np.array([r[0] for r in rows])
-        found = repeated_windows(seeds, [r[5] for r in rows], np.array([r[3] for r in rows]), length)
+        found = repeated_windows(seeds, [r[5] for r in rows], np.array([r[3] for r in rows]), length, units)
         return _span_batch([
             (r[1], r[2], r[4] + a, r[4] + b) for r, hits in zip(rows, found, strict=True) for a, b in runs(hits)
         ])
@@ -300,20 +347,21 @@ def _sort_groups(stretches: DataFrame, length: int) -> DataFrame:
                     yield settle(held)
                     held, windows = [], 0
                 held.append(row)
-                windows += len(row[5]) - length + 1
+                windows += len(row[5]) // units.width - length + 1
         if held:
             yield settle(held)
 
     return ordered.mapInArrow(run, _SPAN)
 
 
-def _count_windows(stretches: DataFrame, length: int) -> DataFrame:
+def _count_windows(stretches: DataFrame, length: int, units: Units) -> DataFrame:
     """The same for seeds with too many stretches to gather: a row per window, counted by digest."""
 
     def run(batches):
         for batch in batches:
             for row in zip(*(c.to_pylist() for c in batch.columns), strict=True):
-                _, id_, tag, _, first, data, _ = row
+                _, id_, tag, _, first, data, *_ = row
+                data = np.frombuffer(data, units.kind)
                 n = len(data) - length + 1
                 yield pa.RecordBatch.from_pydict({
                     "digest": [hashlib.blake2b(data[i : i + length], digest_size=16).digest() for i in range(n)],
@@ -334,10 +382,12 @@ def row_tag(text: Column) -> Column:
     return F.xxhash64(F.coalesce(text, F.lit("")))
 
 
-def repeated_spans(docs: DataFrame, length: int = 400, key: str = "doc_id", text: str = "text", group: int = GROUP) -> DataFrame:
-    """(id, tag, first, last): runs of windows that repeat, per row; they may overlap."""
-    texts = docs.select(F.col(key).cast("long").alias("id"), row_tag(F.col(text)).alias("tag"), F.col(text).alias("text"))
-    listed = stage(_list_anchors(texts, length), "anchors")
+def _by_seed(texts: DataFrame, length: int, group: int, units: Units) -> tuple[DataFrame, DataFrame]:
+    """Spans that are settled without a sort, and the stretches that need one."""
+    listed = _list_anchors(texts, length, units)
+    if units.words:  # words are cheap to list twice, and few of their seeds repeat
+        listed = listed.join(listed.groupBy("seed").count().where("count > 1").select("seed"), "seed", "left_semi")
+    listed = stage(listed, "anchors")
     whole = listed.groupBy("seed", "digest").agg(
         F.count("*").alias("copies"), F.min(F.struct("id", "tag", "anchor", "first", "last")).alias("one")
     )
@@ -349,16 +399,40 @@ def repeated_spans(docs: DataFrame, length: int = 400, key: str = "doc_id", text
     settled = listed.join(whole.where("copies > 1").select("digest"), "digest").select("id", "tag", "first", "last")
     # of mixed seeds, one stretch of each kind is sorted; kinds with copies only serve as partners
     mixed = seeds.where("singles > 0 and kinds > 1").select("seed", (F.col("kinds") > group).alias("hot"))
-    wanted = whole.join(mixed, "seed").select("seed", "one.*", "hot")
-    stretches = stage(_fetch(texts, wanted, length), "fetched")
-    near = _sort_groups(stretches.where("not hot"), length)
-    return settled.unionByName(near).unionByName(_count_windows(stretches.where("hot"), length))
+    return settled, whole.join(mixed, "seed").select("seed", "one.*", "hot", F.lit(units.words).alias("words"))
+
 
+def repeated_spans(
+    docs: DataFrame, length: int = 400, key: str = "doc_id", text: str = "text", group: int = GROUP, words: int | None = None,
+) -> DataFrame:
+    """(id, tag, first, last, words): runs of windows that repeat, per row; they may overlap.
 
-def drop_repeated(docs: DataFrame, length: int = 400, key: str = "doc_id", text: str = "text", group: int = GROUP) -> DataFrame:
-    """All rows and columns, with the bytes that are left and what was removed."""
-    spans = repeated_spans(docs, length, key, text, group).groupBy("id", "tag").agg(
-        F.collect_list(F.struct("first", "last")).alias("_spans")
+    Places are counted in bytes, or in words where ``words`` is true.
+    """
+    texts = docs.select(F.col(key).cast("long").alias("id"), row_tag(F.col(text)).alias("tag"), F.col(text).alias("text"))
+    rules = [(BYTES, length), *([(WORDS, words)] if words else [])]
+    settled, wanted = zip(*(_by_seed(texts, size, group, units) for units, size in rules), strict=True)
+    stretches = stage(_fetch(texts, reduce(DataFrame.unionByName, wanted), rules), "fetched")
+    spans = []
+    for (units, size), done in zip(rules, settled, strict=True):
+        own = stretches.where(F.col("words") == units.words)
+        near = _sort_groups(own.where("not hot"), size, units)
+        found = done.unionByName(near).unionByName(_count_windows(own.where("hot"), size, units))
+        spans.append(found.withColumn("words", F.lit(units.words)))
+    return reduce(DataFrame.unionByName, spans)
+
+
+def drop_repeated(
+    docs: DataFrame, length: int = 400, key: str = "doc_id", text: str = "text", group: int = GROUP, words: int | None = None,
+) -> DataFrame:
+    """All rows and columns, with the bytes that are left and what was removed.
+
+    What goes is in a repeated string of ``length`` bytes or, if given, in a repeated passage of ``words`` words, 8 at least.
+    """
+    if words is not None and words < WORDS.seed:
+        raise ValueError(f"passages need {WORDS.seed} words at least")
+    spans = repeated_spans(docs, length, key, text, group, words).groupBy("id", "tag").agg(
+        F.collect_list(F.struct("first", "last", "words")).alias("_spans")
     )
     added = ("n_bytes", "n_removed", "n_spans", "kept")
     base = docs.drop(*added)
@@ -368,6 +442,13 @@ def drop_repeated(docs: DataFrame, length: int = 400, key: str = "doc_id", text:
     )
     joined = _same_row(left, spans, "left").select("_row", "_data", "_spans")
 
+    def in_bytes(whole: bytes, found: list[dict]) -> list[tuple[int, int]]:
+        spans = [(s["first"], s["last"] + length) for s in found if not s["words"]]
+        if len(spans) < len(found):
+            starts, ends = word_bounds(whole)
+            spans += [(int(starts[s["first"]]), int(ends[s["last"] + words - 1])) for s in found if s["words"]]
+        return spans
+
     @F.arrow_udf("n_bytes long, n_removed long, n_spans long, kept binary")
     def cut(data: pa.Array, spans: pa.Array) -> pa.Array:
         out: list[list] = [[], [], [], []]
@@ -375,7 +456,7 @@ def drop_repeated(docs: DataFrame, length: int = 400, key: str = "doc_id", text:
             whole = whole or b""
             parts, at, removed, n = [], 0, 0, 0
             reach = -1
-            for first, last in sorted((s["first"], s["last"] + length) for s in found or []):
+            for first, last in sorted(in_bytes(whole, found or [])):
                 if first > reach:
                     n += 1
                     parts.append(whole[at:first])
