@@ -50,13 +50,11 @@ def keep_one_of_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -
 def cut_repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Remove passages of over 50 words or 400 bytes that come more than once; documents with nothing left go.
 
-    Where a cut falls inside a character, the rest of that character goes too.
+    Where a cut falls inside a character, the rest of that character goes too; nothing else changes.
     """
     prepare(spark)
-    cut = suffix_dedup.drop_repeated(docs, words=PASSAGE_WORDS).where("octet_length(kept) > 0 or n_removed = 0")
-    text = F.when(F.col("n_removed") == 0, F.col("text")).otherwise(
-        F.regexp_replace(F.make_valid_utf8(F.col("kept").cast("string")), "�", "")
-    )
+    cut = suffix_dedup.drop_repeated(docs, words=PASSAGE_WORDS, characters=True).where("octet_length(kept) > 0 or n_removed = 0")
+    text = F.when(F.col("n_removed") == 0, F.col("text")).otherwise(F.col("kept").cast("string"))
     return cut.withColumn("text", text).withColumn("n_chars", F.length("text").cast("long")).select(*docs.columns)
 
 

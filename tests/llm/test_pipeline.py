@@ -62,6 +62,15 @@ def test_passage_stage_cuts_over_50_words(spark, sf):
     assert cut == {i: text if i > 3 else text.replace(inner[i], "") for i, text, *_ in rows}
 
 
+def test_passage_stage_keeps_replacement_characters(spark, sf):
+    """Cuts fall inside é and è, which share their first byte, and à and 丠, which share their last."""
+    shared = " ".join(f"word{i}" for i in range(80))
+    texts = [f"one \ufffd à{shared}é two \ufffd", f"three 丠{shared}è \ufffd\ufffd four"]
+    docs = spark.createDataFrame([(i, t, "en", "s", 1) for i, t in enumerate(texts)], "doc_id long, text string, lang string, source string, n_chars long")
+    cut = dict(pipeline.cut_repeated_passages(spark, docs, sf).select("doc_id", "text").collect())
+    assert cut == {0: "one \ufffd  two \ufffd", 1: "three  \ufffd\ufffd four"}
+
+
 def test_last_stages(spark, docs, sf):
     mixed = pipeline.mix_sources(spark, docs, sf)
     assert mixed.columns == docs.columns and set(ids(mixed)) <= set(ids(docs))

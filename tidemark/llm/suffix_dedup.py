@@ -111,6 +111,19 @@ BYTES = Units(False, np.uint8, SEED, single_bytes)
 WORDS = Units(True, np.uint64, 8, word_codes)
 
 
+def _inside(data: bytes, at: int) -> bool:
+    """Whether a place lies within a UTF-8 character."""
+    return 0 < at < len(data) and data[at] & 0xC0 == 0x80
+
+
+def whole_characters(data: bytes, first: int, last: int) -> bytes:
+    """The piece of ``data`` from one cut to the next, without the parts of characters at its ends."""
+    for _ in range(3):  # a character has three continuation bytes at most
+        first += _inside(data, first)
+        last -= _inside(data, last)
+    return data[first:last]
+
+
 def window_minima(codes: np.ndarray, width: int) -> np.ndarray:
     """Leftmost place of the smallest code in every run of ``width``, by doubling."""
     n = len(codes) - width + 1
@@ -424,10 +437,12 @@ def repeated_spans(
 
 def drop_repeated(
     docs: DataFrame, length: int = 400, key: str = "doc_id", text: str = "text", group: int = GROUP, words: int | None = None,
+    characters: bool = False,
 ) -> DataFrame:
     """All rows and columns, with the bytes that are left and what was removed.
 
     What goes is in a repeated string of ``length`` bytes or, if given, in a repeated passage of ``words`` words, 8 at least.
+    With ``characters`` the rest of a character that a cut parts is missing in ``kept`` too; nothing else changes.
     """
     if words is not None and words < WORDS.seed:
         raise ValueError(f"passages need {WORDS.seed} words at least")
@@ -442,6 +457,9 @@ def drop_repeated(
     )
     joined = _same_row(left, spans, "left").select("_row", "_data", "_spans")
 
+    def piece(whole: bytes, first: int, last: int) -> bytes:
+        return whole_characters(whole, first, last) if characters else whole[first:last]
+
     def in_bytes(whole: bytes, found: list[dict]) -> list[tuple[int, int]]:
         spans = [(s["first"], s["last"] + length) for s in found if not s["words"]]
         if len(spans) < len(found):
@@ -459,12 +477,12 @@ def drop_repeated(
             for first, last in sorted(in_bytes(whole, found or [])):
                 if first > reach:
                     n += 1
-                    parts.append(whole[at:first])
+                    parts.append(piece(whole, at, first))
                     at = reach = first
                 if last > reach:
                     removed += last - reach
                     at = reach = last
-            parts.append(whole[at:])
+            parts.append(piece(whole, at, len(whole)))
             for column, value in zip(out, (len(whole), removed, n, b"".join(parts)), strict=True):
                 column.append(value)
         return pa.StructArray.from_arrays(
