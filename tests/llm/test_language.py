@@ -23,6 +23,13 @@ def test_odd_rows(odd, empty):
     assert nothing.languages == () and langid.classify("text", nothing) == ("und", 0.0)
 
 
+def test_fallback_beyond_the_cap(spark):
+    """Both languages fill their filters; the one with more training n-grams sorts last."""
+    rows = [(1, "one two three four", "aa"), (2, "five six seven eight nine ten eleven twelve", "zz")]
+    model = langid.fit(spark.createDataFrame(rows, "doc_id long, text string, lang string"), grams_per_language=5)
+    assert model.languages == ("aa", "zz") and langid.classify("日本", model) == ("zz", 0.0)
+
+
 def test_filters_against_sets():
     """Answers agree with exact sets but for the false positives that the correction expects."""
     rng = np.random.default_rng(1)

@@ -7,7 +7,7 @@ count per language, corrected for the filter's false positives; the largest deci
 
 Defined results: a null text, and one without a letter, is ``und`` with score 0. A text with letters
 but no known n-gram gets the language with most training n-grams and score 0. Without any labelled row
-every text is ``und``. Equal counts go to the language that sorts first. Texts are taken whole.
+every text is ``und``. Repeated n-grams count each time. Equal counts go to the language that sorts first. Texts are taken whole.
 """
 
 from __future__ import annotations
@@ -66,8 +66,10 @@ def _slots(codes: np.ndarray, slots: int, hashes: int):
         yield ((codes + np.uint64(i) * step) & np.uint64(slots - 1)).astype(np.int64)
 
 
-def build_filters(frequent: dict[str, np.ndarray], slots: int, hashes: int) -> LanguageFilters:
-    """Filters from the n-gram hashes of each language."""
+def build_filters(
+    frequent: dict[str, np.ndarray], slots: int, hashes: int, totals: dict[str, int] | None = None
+) -> LanguageFilters:
+    """Filters from the n-gram hashes of each language; ``totals`` counts all n-grams it was learned from."""
     languages = tuple(sorted(frequent))
     planes = max(1, -(-len(languages) // 64))
     cells = np.zeros((planes, slots), dtype=np.uint64)
@@ -77,7 +79,7 @@ def build_filters(frequent: dict[str, np.ndarray], slots: int, hashes: int) -> L
         for places in _slots(frequent[language], slots, hashes):
             plane[np.unique(places)] |= bit
         rates[k] = (np.count_nonzero(plane & bit) / slots) ** hashes
-    sizes = [len(frequent[name]) for name in languages]
+    sizes = [totals[name] if totals else len(frequent[name]) for name in languages]
     return LanguageFilters(languages, cells, rates, int(np.argmax(sizes)) if sizes else 0, hashes)
 
 
@@ -142,13 +144,16 @@ def fit(
     counted = sample.mapInArrow(count, "lang string, code long, times long")
     totals = counted.groupBy("lang", "code").agg(F.sum("times").alias("times"))
     ranked = totals.selectExpr(
-        "*", "row_number() over (partition by lang order by times desc, code) as place"
+        "*", "row_number() over (partition by lang order by times desc, code) as place",
+        "sum(times) over (partition by lang) as total",
     ).where(F.col("place") <= grams_per_language)
     found: dict[str, list[int]] = {}
-    for row in ranked.select("lang", "code").toLocalIterator():
+    sums: dict[str, int] = {}
+    for row in ranked.select("lang", "code", "total").toLocalIterator():
         found.setdefault(row["lang"], []).append(row["code"])
+        sums[row["lang"]] = row["total"]
     frequent = {k: np.sort(np.array(v, dtype=np.int64)).view(np.uint64) for k, v in found.items()}
-    return build_filters(frequent, slots, hashes)
+    return build_filters(frequent, slots, hashes, sums)
 
 
 def predict(text: Column, model: LanguageFilters) -> Column:
