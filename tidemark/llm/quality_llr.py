@@ -8,6 +8,9 @@ Ratios are rounded to millionths, so sums are whole numbers and every run decide
 Counting and scoring each read the texts once; only bucket counts are shuffled, combined per task first. The
 ratios are one array of ``buckets`` numbers, whatever the corpus.
 
+The verdict is on quality. It is no filter for toxic text: a few toxic words hardly move a mean over a whole text,
+so nearly all toxic documents of good quality are kept, though none is trusted. Take them out by a label or model of their own.
+
 Defined results: a null or empty text, and one of gaps only, has no words and fails the base rules. Without trusted
 rows all ratios are 0. Rows are judged one by one, so repeated rows get equal verdicts; other columns
 of the input, whatever their names, are neither read nor returned. A null text never counts in the corpus.
