@@ -1,4 +1,6 @@
+import json
 import math
+import os
 
 import pytest
 from pyspark.sql import functions as F
@@ -75,6 +77,32 @@ def test_late_rows_are_counted_and_folders_compacted(spark, tmp_path, arriving):
     assert found["1 day"] == (0, 60) and found["1 second"][0] > 0
 
 
+def test_late_rows_of_all_triggers(spark, tmp_path):
+    """Also of those that Spark has forgotten: late posts come early, then triggers without any."""
+    folder = tmp_path / "in"
+    folder.mkdir()
+    schema = "username string, timestamp string, content string, likes string, source_file string"
+    hours = [10, 11, 1, 2, 20, 21, 22, 23]
+    for i, hour in enumerate(hours):
+        (folder / f"{i}.json").write_text(json.dumps({
+            "username": f"u{i}", "timestamp": f"2024-01-01T{hour:02d}:00:00Z", "content": f"post {i}", "likes": "2", "source_file": "s",
+        }) + "\n")
+        os.utime(folder / f"{i}.json", (1_700_000_000 + i, 1_700_000_000 + i))
+    fit = live.FrozenFit({"engagement": (0.0, 1.0)}, {"engagement": 1.0})
+    key = "spark.sql.streaming.numRecentProgressUpdates"
+    before = spark.conf.get(key)
+    spark.conf.set(key, "2")
+    try:
+        stream = spark.readStream.schema(schema).option("maxFilesPerTrigger", 1).json(str(folder))
+        out = str(tmp_path / "out")
+        query = live.write_live(live.live_signals(stream, fit, "1h", delay="1 hour"), out, f"{out}-progress", drain=True)
+        query.awaitTermination()
+    finally:
+        spark.conf.set(key, before)
+    kept = sum(r["n"] for r in live.latest_signals(spark, out).collect())
+    assert (live.late_rows(query), kept) == (2, 6)
+
+
 def test_a_weighted_text_part_needs_a_model(spark, arriving):
     folder, schema = arriving
     stream = spark.readStream.schema(schema).json(folder)

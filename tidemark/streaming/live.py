@@ -2,13 +2,15 @@
 
 from __future__ import annotations
 
-import json
+import threading
+import time
 from collections.abc import Mapping
 from dataclasses import dataclass, field
+from weakref import WeakSet
 
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
-from pyspark.sql.streaming import StreamingQuery
+from pyspark.sql.streaming import StreamingQuery, StreamingQueryListener
 
 from tidemark.operators import features as ops
 from tidemark.operators.buckets import DAY, width_micros
@@ -69,6 +71,42 @@ def live_signals(
     )
 
 
+class _LateCounter(StreamingQueryListener):
+    """Adds up dropped rows as triggers finish. Spark itself remembers the last few triggers only."""
+
+    guard = threading.Lock()
+    dropped: dict[str, int] = {}  # by query, whatever its runs
+    newest: dict[str, int] = {}  # the last batch counted, by run
+    sessions: WeakSet[SparkSession] = WeakSet()
+    written: set[str] = set()
+
+    def onQueryStarted(self, event) -> None:
+        pass
+
+    def onQueryProgress(self, event) -> None:
+        progress = event.progress
+        query, run = str(progress.id), str(progress.runId)
+        with self.guard:
+            if progress.batchId > self.newest.get(run, -1):  # two listeners may tell the same
+                late = sum(int(state.numRowsDroppedByWatermark) for state in progress.stateOperators)
+                self.dropped[query] = self.dropped.get(query, 0) + late
+                self.newest[run] = progress.batchId
+
+    def onQueryIdle(self, event) -> None:
+        pass
+
+    def onQueryTerminated(self, event) -> None:
+        pass
+
+
+def _count_late(spark: SparkSession) -> None:
+    with _LateCounter.guard:
+        if spark in _LateCounter.sessions:
+            return
+        _LateCounter.sessions.add(spark)
+    spark.streams.addListener(_LateCounter())
+
+
 def write_live(signals: DataFrame, path: str, checkpoint: str, drain: bool = False):
     """Start writing each batch's changed windows below ``path``.
 
@@ -81,18 +119,27 @@ def write_live(signals: DataFrame, path: str, checkpoint: str, drain: bool = Fal
     writer = signals.writeStream.outputMode("update").option("checkpointLocation", checkpoint)
     if drain:
         writer = writer.trigger(availableNow=True)
-    return writer.foreachBatch(write).start()
+    _count_late(signals.sparkSession)
+    query = writer.foreachBatch(write).start()
+    _LateCounter.written.add(query.id)
+    return query
 
 
-def late_rows(query: StreamingQuery) -> int:
-    """Rows that a stream has left out because they came later than its delay allows, in its recent triggers.
+def late_rows(query: StreamingQuery, wait: float = 60) -> int:
+    """Rows that a stream of ``write_live`` has left out because they came later than its delay allows.
 
-    Anything but 0 means that the series lacks posts: choose a longer delay.
+    All triggers of this driver process count, also of earlier runs of the query. Counts arrive shortly after a trigger
+    ends; one not here within ``wait`` seconds is an error. Anything but 0 means that the series lacks posts: choose a longer delay.
     """
-    return sum(
-        int(state.get("numRowsDroppedByWatermark", 0))
-        for progress in query.recentProgress for state in json.loads(progress.json)["stateOperators"]
-    )
+    if query.id not in _LateCounter.written:
+        raise ValueError("late rows are counted for queries that write_live started")
+    last, until = query.lastProgress, time.monotonic() + wait
+    while last is not None and _LateCounter.newest.get(query.runId, -1) < last.batchId:
+        if time.monotonic() > until:
+            raise TimeoutError(f"late rows of batch {last.batchId} have not been reported")
+        time.sleep(0.05)
+    with _LateCounter.guard:
+        return _LateCounter.dropped.get(query.id, 0)
 
 
 def compact(spark: SparkSession, path: str) -> None:
