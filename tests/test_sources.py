@@ -97,6 +97,29 @@ def test_broken_json_can_be_set_aside(spark, tmp_path, kind):
     assert aside and all(r["path"].endswith(f"{kind}.json") and r["record"] for r in aside)
 
 
+NESTED = {
+    "pairs": '[\n{"username": "ann", "content": "x", "pairs": [\n[1, 2],\n[3, 4]\n]},\n{"username": "bob", "content": "y"}\n]',
+    "object": '{\n"username": "cat",\n"content": "z",\n"more": [\n{"k": 1}\n]\n}',
+}
+
+
+@pytest.mark.parametrize("broken", ["fail", "skip"])
+def test_nested_values_alone_on_a_line(spark, tmp_path, broken):
+    for name, text in NESTED.items():
+        write(str(tmp_path), f"{name}.json", text)
+    rows = sources.read_posts(spark, str(tmp_path), extras="", broken=broken).collect()
+    assert sorted(r["username"] for r in rows) == ["ann", "bob", "cat"]
+    assert sources.broken_records(spark, str(tmp_path)).collect() == []
+
+
+@pytest.mark.parametrize("kind", NESTED)
+def test_lines_of_a_broken_document_are_no_posts(spark, tmp_path, kind):
+    write(str(tmp_path), f"{kind}.json", NESTED[kind][:-2])
+    assert sources.read_posts(spark, str(tmp_path), extras="", broken="skip").collect() == []
+    (aside,) = sources.broken_records(spark, str(tmp_path)).collect()
+    assert aside["path"].endswith(f"{kind}.json") and aside["record"] == NESTED[kind][:-2]
+
+
 def test_odd_file_names(spark, tmp_path):
     names = ["a b.json", "c+d.json", "e%41.json", "#x y.json", "f[1].json", "\u00e9.json"]
     for name in names:

@@ -89,7 +89,9 @@ def json_layouts(spark: SparkSession, folder: str) -> DataFrame:
     """``path, layout`` of every JSON file with text right below a folder, judged on all its lines.
 
     ``lines`` if each line is an object or array of its own; ``document`` if the file as a whole can be one array or
-    one object; ``broken`` otherwise. One text scan; a task sends a few numbers and characters per file.
+    one object; otherwise ``broken_document`` if a line can only be a part of a larger value, or ``broken``, lines of which
+    some are sound. One text scan; a task sends a few numbers and characters per file. Only files that could be
+    either are parsed whole, in a further pass over them.
     """
     # A byte-order mark is not part of the line.
     line = F.trim(F.regexp_replace("value", r"^\x{feff}|[\s]+$", ""))
@@ -99,16 +101,34 @@ def json_layouts(spark: SparkSession, folder: str) -> DataFrame:
     parsed = F.try_parse_json("line").isNotNull()
     is_object = F.col("line").startswith("{") & F.col("line").endswith("}") & parsed
     is_array = F.col("line").startswith("[") & F.col("line").endswith("]") & parsed
+    bare = F.regexp_replace("line", r",$", "")
+    is_part = F.col("line").rlike(r'^["\]},]|^[\[{][\[{\s]*$') | (F.col("line").endswith(",") & F.try_parse_json(bare).isNotNull())
     files = lines.groupBy("path").agg(
+        F.count_if(is_part & ~is_object & ~is_array).alias("parts"),
         F.count_if(is_object).alias("objects"), F.count_if(is_array).alias("arrays"), F.count("*").alias("all"),
         F.min_by(F.substring("line", 1, 1), FILE_ORDER).alias("first"),
         F.max_by(F.substring("line", -1, 1), FILE_ORDER).alias("last"),
     )
-    return files.select("path", F.expr("""
+    judged = stage(files.select("path", F.expr("""
         case when objects + arrays = all then 'lines'
              when first = '[' and last = ']' and arrays = 0 then 'document'
              when first = '{' and last = '}' and objects + arrays = 0 then 'document'
-             else 'broken' end""").alias("layout"))
+             when first = '[' and last = ']' or first = '{' and last = '}' then 'doubtful'
+             else 'broken' end""").alias("layout"), F.expr("if(parts > 0, 'broken_document', 'broken')").alias("if_broken")), "judged")
+    doubtful = judged.where("layout = 'doubtful'").select("path")
+    if doubtful.isEmpty():
+        whole = doubtful.withColumn("sound", F.lit(False))
+    else:  # in brackets, so that nothing may follow the first value
+        text = F.concat(F.lit("["), F.regexp_replace("record", r"^\x{feff}", ""), F.lit("]"))
+        whole = _whole_files(spark, folder).join(doubtful, "path", "left_semi").select("path", (F.json_array_length(text) == 1).alias("sound"))
+    return judged.join(whole, "path", "left").select("path", F.expr("""
+        case when sound then 'document' when layout in ('broken', 'doubtful') then if_broken else layout end""").alias("layout"))
+
+
+def _whole_files(spark: SparkSession, folder: str) -> DataFrame:
+    """``path, record``: each JSON file as one text."""
+    texts = spark.read.option("pathGlobFilter", "*.json").text(folder, wholetext=True)
+    return texts.select(_decoded("_metadata.file_path").alias("path"), F.col("value").alias("record"))
 
 
 def _json_scan(spark: SparkSession, folder: str, document: bool, extras: str | None) -> DataFrame:
@@ -148,16 +168,18 @@ def read_json(
     lists are read as variants, so that 12.7 and "12.7" stay different. ``extras`` names the
     further columns (DDL); without it they are inferred in one more pass. With ``broken="fail"`` a file or
     record that can't be parsed is an error that names the file; with ``"skip"`` it is left out and
-    ``broken_records`` lists it. Documents are read whole by one task each; lines can be split.
+    ``broken_records`` lists it; of a broken document nothing is read, as its lines are no posts. Documents are read
+    whole by one task each; lines can be split.
     """
     if layout != "auto":
         scan = _json_scan(spark, folder, layout == "document", extras)
         return [_sound(scan.withColumn("_layout", F.lit(layout)), broken)]
     layouts = stage(json_layouts(spark, folder), "layouts")
-    found = {r["layout"]: r["count"] for r in layouts.groupBy("layout").count().collect()}  # three rows at most
-    if broken == "fail" and "broken" in found:
-        names = [r["path"] for r in layouts.where("layout = 'broken'").orderBy("path").take(5)]
-        raise ValueError(f"broken JSON in {found['broken']} files, among them {', '.join(names)}")
+    found = {r["layout"]: r["count"] for r in layouts.groupBy("layout").count().collect()}  # four rows at most
+    unsound = found.get("broken", 0) + found.get("broken_document", 0)
+    if broken == "fail" and unsound:
+        names = [r["path"] for r in layouts.where("layout like 'broken%'").orderBy("path").take(5)]
+        raise ValueError(f"broken JSON in {unsound} files, among them {', '.join(names)}")
     frames = []
     for own, document in ((("lines", "broken"), False), (("document",), True)):
         if any(kind in found for kind in own):
@@ -168,6 +190,8 @@ def read_json(
             else:
                 scan = scan.withColumn("_layout", F.lit(own[0]))
             frames.append(_sound(scan, broken))
+    if found and not frames:  # broken documents only
+        frames = [_json_scan(spark, folder, True, extras or "").where(F.lit(False)).drop("_corrupt_record", "_path")]
     return frames
 
 
@@ -180,7 +204,9 @@ def broken_records(spark: SparkSession, folder: str) -> DataFrame:
         paths = layouts.where(F.col("layout").isin(*own)).select(F.col("path").alias("_path"))
         scan = _json_scan(spark, folder, document, "").join(paths, "_path", "left_semi")
         parts.append(scan.where(F.col("_corrupt_record").isNotNull()).select(F.col("_path").alias("path"), record))
-    return parts[0].unionByName(parts[1])
+    torn = layouts.where("layout = 'broken_document'")
+    parts.append(_whole_files(spark, folder).join(torn, "path", "left_semi"))
+    return parts[0].unionByName(parts[1]).unionByName(parts[2])
 
 
 def _header_names(header: str) -> list[str] | None:
