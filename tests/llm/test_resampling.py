@@ -1,0 +1,98 @@
+import hashlib
+import math
+import random
+import re
+import zlib
+from collections import Counter
+
+import numpy as np
+import pytest
+from conftest import prose
+
+from tidemark.llm import resampling
+
+WORD = re.compile(rb"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+")
+LOWER = bytes.maketrans(bytes(range(65, 91)), bytes(range(97, 123)))
+
+
+def plain_buckets(text):
+    words = WORD.findall((text or "").encode().translate(LOWER))
+    pairs = [a + b" " + b for a, b in zip(words, words[1:])]
+    return len(words), Counter(zlib.crc32(f) % 10000 for f in words + pairs)
+
+
+def plain_result(docs, target):
+    counted = [(doc_id, *plain_buckets(text)) for doc_id, text in docs]
+    s, t = sum((c for _, _, c in counted), Counter()), sum((plain_buckets(x)[1] for x in target), Counter())
+    total_s, total_t = sum(s.values()), sum(t.values())
+    scored = []
+    for doc_id, n_words, found in counted:
+        gains = sum(
+            n * math.floor(1000 * math.log((t[b] + 1) * (total_s + 10000) / ((s[b] + 1) * (total_t + 10000)))) for b, n in found.items()
+        )
+        n = sum(found.values())
+        weight = gains // n if n else 0
+        h = int(hashlib.sha256(f"7:{'null' if doc_id is None else doc_id}".encode()).hexdigest()[:8], 16)
+        scored.append([doc_id, n, weight, weight + math.floor(-1000 * math.log(-math.log((h + 0.5) / 4294967296))), n_words])
+    able = sorted((r for r in scored if r[4] >= 20), key=lambda r: (-r[3], r[0] is None, r[0] or 0))
+    ranks = {id(r): i + 1 for i, r in enumerate(able[: 25 * len(able) // 100])}
+    return [(*r[:4], ranks.get(id(r))) for r in scored]
+
+
+def test_composed_checksums_equal_those_of_the_bytes():
+    rng = random.Random(4)
+    for size in (0, 1, 5, 64, 65, 66, 1000, 70_001):
+        left, right = rng.randbytes(9), rng.randbytes(size)
+        moved = resampling.shift(np.array([zlib.crc32(left)], dtype=np.uint32), np.array([size]))
+        assert int(moved[0]) ^ zlib.crc32(right) == zlib.crc32(left + right)
+
+
+def test_scanner_finds_words_whatever_its_dictionary(monkeypatch):
+    monkeypatch.setattr(resampling, "GROWTH", 3)
+    monkeypatch.setattr(resampling, "HITS", 7)
+    monkeypatch.setattr(resampling, "DICTIONARY", 40)
+    texts = [prose(k, 300) for k in range(6)] + ["", " ,;", "Ünï CÖDE 日本 x@y_z-7Q", "a" * 500 + " b a a " + "b " * 40, prose(2, 300)]
+    scanner = resampling.WordScanner()
+    for _ in range(3):
+        data = [t.encode() for t in texts]
+        own, owner, pairs, pair_owner = resampling.features_of(data, scanner)
+        for i, text in enumerate(texts):
+            found = Counter([*own[owner == i].tolist(), *pairs[pair_owner == i].tolist()])
+            assert found == plain_buckets(text)[1]
+    assert scanner.built and len(scanner.known) <= 40
+
+
+def test_equals_brute_force(spark, odd, odd_rows, same_rows):
+    target = ["river stone cloud paper 12 and more", prose(2, 90), None, ""]
+    benchmark = spark.createDataFrame([(i, x) for i, x in enumerate(target)], "item_id long, text string")
+    found = resampling.resample(odd, benchmark)
+    assert found.columns == ["doc_id", "n_features", "weight", "score", "rank"]
+    same_rows(found, plain_result([(r[0], r[1]) for r in odd_rows], target), *found.columns)
+
+
+def test_ranks_have_no_gaps_and_ties_go_to_the_smaller_id(spark, monkeypatch):
+    rows = [(i % 40, prose(i % 7, 30)) for i in range(400)] + [(None, prose(1, 30))] * 50
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(5)
+    found = resampling.resample(docs, docs.limit(0)).where("rank is not null").orderBy("rank").collect()
+    assert [r["rank"] for r in found] == list(range(1, 25 * 450 // 100 + 1))
+    order = [(-r["score"], r["doc_id"] is None, r["doc_id"] or 0) for r in found]
+    assert order == sorted(order)
+
+
+def test_empty_tables(empty, odd):
+    assert resampling.resample(empty, odd).count() == 0
+    assert resampling.resample(odd, empty).count() == odd.count()
+
+
+def test_text_longer_than_a_slice(spark, same_rows, monkeypatch):
+    monkeypatch.setattr(resampling, "SLICE_BYTES", 100)
+    rows = [(1, prose(1, 4000)), (2, "x" * 5000), (3, "")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").coalesce(1)
+    same_rows(resampling.resample(docs, docs), plain_result(rows, [t for _, t in rows]), "doc_id", "n_features", "weight", "score", "rank")
+    assert [*resampling._slices([t.encode() for _, t in rows])] == [(0, 1), (1, 2), (2, 3)]
+
+
+@pytest.mark.parametrize("percent", [0, 100])
+def test_draws_none_or_all(odd, percent):
+    found = resampling.resample(odd, odd, percent=percent, least_words=0)
+    assert found.where("rank is not null").count() == (odd.count() if percent else 0)

@@ -165,6 +165,95 @@ select query_id, row_number() over (partition by query_id order by score desc, v
 from scored qualify rank <= 5
 """
 
+# crc32 of a text, given the byte table above as t: its bytes are taken one by one
+CRC_TABLE = """
+  select list_transform(range(256), lambda x: list_reduce(list_prepend(x, range(8)),
+    lambda c, k: case when c & 1 = 1 then xor(c >> 1, 3988292384) else c >> 1 end)) as t
+"""
+
+
+def crc(text: str) -> str:
+    codes = f"list_transform(regexp_extract_all(hex(encode({text})), '..'), lambda b: ('0x' || b)::bigint)"
+    return f"""xor(list_reduce(list_prepend(4294967295::bigint, {codes}),
+      lambda c, b: xor(c >> 8, t[(xor(c, b) & 255) + 1])), 4294967295)"""
+
+
+RESAMPLING = rf"""
+with bytes_table as ({CRC_TABLE}), texts as (
+  select row_number() over () as r, doc_id, text, true as is_doc from documents
+  union all select -row_number() over (), null, text, false from benchmark
+), split as (
+  select r, doc_id, is_doc, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') as ws from texts
+), grams as (
+  select r, is_doc, unnest(ws) as g from split
+  union all select r, is_doc, ws[i] || ' ' || ws[i + 1] from (select *, unnest(range(1, len(ws))) as i from split)
+), coded as (
+  select g, {crc('g')} % 10000 as b from (select distinct g from grams), bytes_table
+), placed as (select r, is_doc, b from grams join coded using (g)),
+counts as (
+  select range as b, count(*) filter (is_doc) as s, count(*) filter (not is_doc) as t
+  from range(10000) left join placed on b = range group by range
+), gains as (
+  select b, floor(1000 * ln((t + 1)::double * ((select sum(s) from counts) + 10000)::double
+    / ((s + 1)::double * ((select sum(t) from counts) + 10000)::double)))::bigint as gain from counts
+), weights as (
+  select r, floor(sum(gain) / count(*)::double)::bigint as weight from placed join gains using (b) group by r
+), scored as (
+  select r, doc_id, len(ws) as n_words, greatest(2 * len(ws) - 1, 0)::bigint as n_features, coalesce(weight, 0) as weight,
+    coalesce(weight, 0) + floor(-1000 * ln(-ln((('0x' || substr(sha256('7:' || coalesce(doc_id::varchar, 'null')), 1, 8))::bigint::double + 0.5)
+      / 4294967296)))::bigint as score
+  from split left join weights using (r) where is_doc
+), ranked as (
+  select r, row_number() over (order by score desc, doc_id nulls last) as place, count(*) over () as n from scored where n_words >= 20
+)
+select doc_id, n_features, weight, score, case when place <= 25 * n // 100 then place end as rank
+from scored left join ranked using (r)
+"""
+
+AUDIT = r"""
+with d as (
+  select row_number() over () as r, doc_id, coalesce(lang, '') as part, coalesce(text, '') as text from documents
+), w as (select *, regexp_extract_all(text, '[^\x20\x09-\x0D]+') as ws from d),
+judged as (
+  select r, part, doc_id in (select doc_id from labels where quality = 1) as good, doc_id in (select doc_id from labels where toxic = 1) as toxic,
+    case when len(ws) < 200 then 'A' else '' end
+    || case when 100 * list_unique(ws) < 50 * len(ws) then 'B' else '' end
+    || case when 100 * length(regexp_replace(text, '[^A-Z]', '', 'g')) > 3 * length(text) then 'C' else '' end
+    || case when regexp_matches(text, '[#$%&*|]') then 'D' else '' end
+    || case when exists (select 1 from d e where e.text = w.text and e.doc_id < w.doc_id) then 'E' else '' end as fails
+  from w
+), letters as (select unnest(['A', 'B', 'C', 'D', 'E']) as c),
+every as (
+  select a.c || b.c || c.c || d.c || e.c as filter_order from letters a, letters b, letters c, letters d, letters e
+  where list_unique([a.c, b.c, c.c, d.c, e.c]) = 5
+), walked as (
+  select part, filter_order, step, substr(filter_order, step::int, 1) as own, good, toxic, fails,
+    case when fails = '' then 6 else list_min(list_transform(string_split(fails, ''), lambda c: strpos(filter_order, c))) end as falls
+  from judged, every, range(1, 6) s(step)
+), steps as (
+  select part, filter_order, step::int as step, any_value(own) as own, count(*) filter (falls > step) as kept, count(*) filter (falls = step) as removed,
+    count(*) filter (falls < step and contains(fails, own)) as redundant, count(*) filter (fails = own) as unique_fails,
+    count(*) filter (falls = step and good) as good_lost, count(*) filter (falls = step and toxic) as toxic_lost
+  from walked group by part, filter_order, step
+)
+select * exclude (own), sum(removed) over (partition by part, own)::bigint as shapley from steps
+"""
+
+SHARDS = rf"""
+with bytes_table as ({CRC_TABLE}), d as (
+  select row_number() over () as r, doc_id, coalesce(text, '') as text from documents
+), crcs as (select text, {crc('text')} as text_crc32 from (select distinct text from d), bytes_table),
+draws as (
+  select r, k, ('0x' || substr(md5(concat_ws('|', 'shard', coalesce(doc_id::varchar, 'null'), k)), 1, 13))::bigint as h from d, range(41) s(k)
+), chosen as (
+  select r, arg_max(k, (h, -k)) filter (k < 40) as shard, arg_max(k, (h, -k)) as grown_shard from draws group by r
+)
+select doc_id, (strlen(text) + 16)::bigint as size, text_crc32, 'key' as law, shard::int as shard,
+  row_number() over (partition by shard order by doc_id nulls last, text_crc32, strlen(text)) - 1 as slot, grown_shard::int as grown_shard
+from d join crcs using (text) join chosen using (r)
+"""
+
 ORACLES = {
     "op1_quality_llr": QUALITY,
     "op2_mixing": MIXING,
@@ -172,4 +261,7 @@ ORACLES = {
     "op4_warc": WARC,
     "op8_near_duplicates": NEAR,
     "op9_top_vectors": VECTORS,
+    "op11_resampling": RESAMPLING,
+    "op12_filter_audit": AUDIT,
+    "op13_sharding": SHARDS,
 }

@@ -7,7 +7,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.llm import (
-    bpe_tree, langid, mixing, near_dup, oracle, quality_llr, suffix_dedup, token_count, token_store, topk, warc,
+    bpe_tree, filter_audit, langid, mixing, near_dup, oracle, quality_llr, resampling, sharding, suffix_dedup,
+    token_count, token_store, topk, warc,
 )
 from tidemark.llm.common import prepare, table
 
@@ -90,6 +91,21 @@ def token_counts(spark: SparkSession, sf: str) -> DataFrame:
     return counted.withColumn("over_limit", F.col("n_tokens") > 1024)
 
 
+def towards_benchmark(spark: SparkSession, sf: str) -> DataFrame:
+    docs = table(prepare(spark), sf, "documents")
+    return resampling.resample(docs, table(spark, sf, "benchmark"))
+
+
+def filters_in_any_order(spark: SparkSession, sf: str) -> DataFrame:
+    docs = table(prepare(spark), sf, "documents")
+    return filter_audit.audit(docs, table(spark, sf, "labels"))
+
+
+def shards(spark: SparkSession, sf: str) -> DataFrame:
+    docs = table(prepare(spark), sf, "documents").select("doc_id", "text")
+    return sharding.place(docs, [1.0] * 40)
+
+
 QUERIES = {
     "op1_quality_llr": quality,
     "op2_mixing": mixed_sources,
@@ -101,6 +117,9 @@ QUERIES = {
     "op8_near_duplicates": near_copies,
     "op9_top_vectors": best_vectors,
     "op10_token_counts": token_counts,
+    "op11_resampling": towards_benchmark,
+    "op12_filter_audit": filters_in_any_order,
+    "op13_sharding": shards,
 }
 
 ORACLES = oracle.ORACLES
