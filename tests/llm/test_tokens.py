@@ -3,6 +3,7 @@ import random
 
 import brute
 import numpy as np
+import pyarrow as pa
 import public_tokenizers
 import pytest
 import tiktoken
@@ -69,8 +70,16 @@ def test_words_encode_as_texts():
     """The ids of a text are those of its words, for every kind of white space and mark."""
     library, encoder = Tokenizer.from_file(WORDS), token_store.WordEncoder(WORDS, 2)
     texts = [*hard_texts(), "<|endoftext|> ΑΣ ΑΣ. x<|startoftext|>y", "é e ́"]
-    for text, ids in zip(texts, encoder.encode(texts), strict=True):
-        assert np.frombuffer(ids, "<u2").tolist() == library.encode(text, add_special_tokens=False).ids
+    for batch in (texts, [None, "", " ", *texts[:300]], texts[1400:]):  # known words, and a slice of an array
+        ids, counts = encoder.encode(pa.array(["cut off", *batch])[1:], 2)
+        parts = np.split(np.frombuffer(ids, "<u2"), np.cumsum(counts)[:-1])
+        for text, part in zip(batch, parts, strict=True):
+            assert part.tolist() == [*library.encode(text or "", add_special_tokens=False).ids, 2]
+
+
+def test_other_tokenizers_are_refused():
+    with pytest.raises(ValueError):
+        token_store.WordEncoder(BYTES, 4)
 
 
 def test_store_round_trip(odd, odd_rows, empty, same_rows):
@@ -85,18 +94,22 @@ def test_store_round_trip(odd, odd_rows, empty, same_rows):
     stored = token_store.read_store(manifest).selectExpr("doc_id", "start", "octet_length(ids) div 4 as n", "crc32(ids) as c")
     same_rows(stored, expected, "doc_id", "start", "n", "c")
     shard = token_store.Shard(manifest.orderBy("part").first()["uri"])
-    keys, ends = shard.keys(), shard.ends.values().tolist()
-    for i in range(len(keys)):  # single documents by select
+    ends = shard.ends.values().tolist()
+    assert shard.keys(0, 10**6).to_pylist() == [k for i in range(0, len(ends), 3) for k in shard.keys(i, 3).to_pylist()]
+    for i in range(len(ends)):  # single documents by select
         assert len(shard.document(i)) == ends[i] - (ends[i - 1] if i else 0)
     assert token_store.read_store(token_store.write_store(empty, WORDS)).count() == 0
 
 
-@pytest.mark.parametrize("values", [[0], [5], [0, 0, 0], [3, 3, 9, 10**6], list(range(2000)), [2**63 - 1, 2**64 - 1], []])
+@pytest.mark.parametrize("values", [[0], [5], [0, 0, 0], [3, 3, 9, 10**6], [*range(700), *range(10**7, 10**7 + 700)], list(range(2000)), [2**63 - 1, 2**64 - 1], []])
 def test_elias_fano(values):
     coded = token_store.EliasFano.of(np.array(values, dtype=np.uint64))
     assert coded.values().tolist() == values and [coded.select(i) for i in range(len(values))] == values
     with pytest.raises(IndexError):
         coded.select(len(values))
+    for first in {0, 1, 255, 256, 257, len(values) - 1}:
+        for count in (0, 1, 300, 5000):
+            assert coded.select_run(max(0, first), count).tolist() == values[max(0, first) : max(0, first) + count]
 
 
 def test_elias_fano_space():

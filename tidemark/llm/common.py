@@ -9,7 +9,7 @@ import pyarrow as pa
 import pyarrow.fs
 from pyspark.sql import DataFrame, SparkSession
 
-from tidemark.session import configure, run_folder
+from tidemark.session import MAX_PARTITIONS, PARTITION_BYTES, configure, run_folder
 
 # What separates words.
 WORD_GAP = r"[\x20\x09-\x0D]+"
@@ -19,7 +19,7 @@ GAP_BYTES = b" \t\n\x0b\x0c\r"
 # Batches between Spark and Python hold whole texts; two workers share an executor's rest of memory.
 BATCH_SETTINGS = {
     "spark.sql.execution.arrow.maxRecordsPerBatch": "2000",
-    "spark.sql.execution.arrow.maxBytesPerBatch": str(16 * 1024 * 1024),
+    "spark.sql.execution.arrow.maxBytesPerBatch": str(4 * 1024 * 1024),
 }
 
 
@@ -31,6 +31,19 @@ def prepare(spark: SparkSession) -> SparkSession:
     return spark
 
 
+def input_bytes(df: DataFrame) -> int:
+    """Stored bytes of the tables a frame reads, as its plan knows them; tables of unknown size count as nothing."""
+    leaves = df._jdf.queryExecution().optimizedPlan().collectLeaves()
+    sizes = [int(leaves.apply(i).stats().sizeInBytes()) for i in range(leaves.size())]
+    return sum(size for size in sizes if size < 1 << 60)
+
+
+def parts_for(df: DataFrame) -> int:
+    """Partitions for an explicit shuffle of a frame, which AQE doesn't cut: as configured, more for large inputs."""
+    usual = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return min(max(usual, input_bytes(df) // PARTITION_BYTES), MAX_PARTITIONS)
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 

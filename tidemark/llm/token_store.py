@@ -17,6 +17,7 @@ from __future__ import annotations
 
 import json
 import os
+import re
 import struct
 from functools import lru_cache
 
@@ -26,15 +27,16 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import LongType
 
-from tidemark.llm.common import open_store, shared_uri, texts_of, write_once
+from tidemark.llm.common import bytes_of, open_store, parts_for, shared_uri, write_once
 
 MAGIC = b"TDMKIDS1"
 SAMPLED = 256
-CACHED_WORDS = 300_000
-SPECIAL = "<|"  # special tokens of the supported files begin so
-SIGNS = "!\"#$%&'()*+,-./:;<=>?@[\\]^_`{|}~"
-SLICE = 128
-BLOCK_IDS = 1 << 22
+# Pieces a worker remembers fill about twice that many bytes; an entry takes some besides its letters.
+CACHED_BYTES = 24 << 20
+ENTRY = 200
+ASKED = 4096
+RUN_DOCS = 8192
+BLOCK_IDS = 1 << 20
 
 
 def _packed(values: np.ndarray, width: int) -> bytes:
@@ -87,10 +89,29 @@ class EliasFano:
         place = 8 * byte + int(np.flatnonzero(bits)[left])
         return ((place - i) << self.width) | int(_unpacked(self.low, self.width, i, 1)[0])
 
+    def select_run(self, first: int, count: int) -> np.ndarray:
+        """The values from the first-th on, by one select and a scan of the high bits up to the last wanted."""
+        count = max(0, min(count, self.count - first))
+        if not count:
+            return np.zeros(0, dtype=np.uint64)
+        at = int(self.places[first // SAMPLED])
+        left, byte = first % SAMPLED + count, at // 8
+        stop = -(-(int(self.places[(first + count - 1) // SAMPLED]) + 1) // 8)
+        found: list[np.ndarray] = []
+        while left > 0:
+            bits = np.unpackbits(np.frombuffer(self.high, np.uint8, stop - byte, byte))
+            if not found:
+                bits[: at % 8] = 0
+            ones = np.flatnonzero(bits)[:left] + 8 * byte
+            found.append(ones)
+            left -= len(ones)
+            byte, stop = stop, min(len(self.high), stop + SAMPLED)
+        ones = np.concatenate(found)[first % SAMPLED :]
+        high = (ones - np.arange(first, first + count)).astype(np.uint64) << np.uint64(self.width)
+        return high | _unpacked(self.low, self.width, first, count)
+
     def values(self) -> np.ndarray:
-        ones = np.flatnonzero(np.unpackbits(np.frombuffer(self.high, np.uint8)))[: self.count]
-        high = (ones - np.arange(self.count)).astype(np.uint64) << np.uint64(self.width)
-        return high | _unpacked(self.low, self.width, 0, self.count)
+        return self.select_run(0, self.count)
 
     def sections(self) -> list[bytes]:
         return [self.low, self.high, self.places.tobytes()]
@@ -104,61 +125,151 @@ class EliasFano:
         return cls(about["count"], about["width"], low, high, np.frombuffer(places, "<u4"))
 
 
+def _classes() -> np.ndarray:
+    """Space, letter, digit, sign, or other for every byte; what is other leaves its word whole."""
+    table = np.full(256, OTHER, dtype=np.uint8)
+    for code in range(33, 127):
+        mark = chr(code)
+        table[code] = LETTER if mark.isalpha() else DIGIT if mark.isdigit() else SIGN
+    table[[9, 10, 13, 32]] = SPACE
+    table[ord("'")] = OTHER  # begins short forms
+    return table
+
+
+SPACE, LETTER, DIGIT, SIGN, OTHER = range(5)
+CLASS = _classes()
+FOLD = np.frombuffer(bytes(range(256)).lower(), np.uint8)
+LATIN = 0xC3  # first byte of U+00C0 to U+00FF
+# What ``pieces`` makes of words that it takes apart. A comma stands between them when the library is asked.
+PLAIN = re.compile(r"[a-z\xdf-\xf6\xf8-\xff]{1,64}|[0-9]|(?!.*<\|)[!-&(-/:-@\[-`{-~]{1,64}")
+
+
+def pieces(texts: list[bytes]) -> tuple[pa.Array, np.ndarray]:
+    """What a tokenizer takes apart: gaps, runs of letters in lower case, digits, runs of signs; words with other bytes stay whole.
+
+    Also, how many pieces begin in each text or before it. A gap may reach into the next text.
+    """
+    data = np.frombuffer(b"\n".join([*texts, b""]), np.uint8)
+    kind, low = CLASS[data], FOLD[data]
+    # letters of Latin-1 take two bytes; times and division are no letters, and upper case is 32 before lower case
+    lead = np.flatnonzero((data[:-1] == LATIN) & (data[1:] != 0x97) & (data[1:] != 0xB7))
+    kind[lead] = kind[lead + 1] = LETTER
+    low[lead + 1] |= 32 * (data[lead + 1] < 0x9F).astype(np.uint8)
+    edge = np.zeros(len(data) + 2, dtype=bool)
+    edge[1:-1] = kind != SPACE
+    edges = np.flatnonzero(edge[1:] != edge[:-1])
+    starts, ends = edges[::2], edges[1::2]
+    odd = kind == OTHER
+    odd[:-1] |= (data[:-1] == ord("<")) & (data[1:] == ord("|"))  # special tokens begin so
+    before = np.concatenate([[0], np.cumsum(odd)])
+    whole = before[ends] > before[starts]
+    step = np.zeros(len(data) + 1, dtype=np.int8)
+    step[starts[whole]] = 1
+    step[ends[whole]] = -1
+    inside = np.cumsum(step[:-1], dtype=np.int8).astype(bool)
+    begins = np.ones(len(data), dtype=bool)
+    begins[1:] = ((kind[1:] != kind[:-1]) | (kind[1:] == DIGIT)) & ~(inside[1:] & inside[:-1])
+    places = np.flatnonzero(begins)
+    folded = np.where(inside, data, low)
+    found = pa.Array.from_buffers(
+        pa.large_binary(), len(places), [None, pa.py_buffer(np.append(places, len(data))), pa.py_buffer(folded)]
+    )
+    return found, np.searchsorted(places, np.cumsum([len(t) + 1 for t in texts]))
+
+
+# How a tokenizer file describes the steps that ``pieces`` relies on.
+NORMALIZER = {"type": "Sequence", "normalizers": [
+    {"type": "NFC"}, {"type": "Replace", "pattern": {"Regex": r"\s+"}, "content": " "}, {"type": "Lowercase"},
+]}
+PRE_TOKENIZER = {"type": "Sequence", "pretokenizers": [
+    {"type": "Split", "pattern": {"Regex": r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"}, "behavior": "Removed", "invert": True},
+    {"type": "ByteLevel", "add_prefix_space": False, "trim_offsets": True, "use_regex": False},
+]}
+
+
 class WordEncoder:
-    """Ids of texts by the library, which is asked once per worker for each distinct word.
+    """Ids of texts by the library, which is asked for each distinct piece that a worker doesn't remember.
 
-    The tokenizer must drop white space, fold case and keep runs of letters, of digits and of other signs apart, as
-    its own steps before the merges say. Then the ids of a text are those of its words, and those of a word with
-    signs behind it are the ids of both. Words that may hold a special token are left whole.
+    The tokenizer must drop white space, fold case, and keep runs of letters, single digits and runs of other signs apart, as
+    its own steps before the merges say. Then the ids of a text are those of its pieces. Words with anything but ASCII and letters of
+    Latin-1, an apostrophe or what may be a special token are left whole.
     """
 
     def __init__(self, path: str, id_bytes: int):
         from tokenizers import Tokenizer
 
+        with open(path, encoding="utf-8") as described:
+            steps = json.load(described)
+        if (steps["normalizer"], steps["pre_tokenizer"]) != (NORMALIZER, PRE_TOKENIZER):
+            raise ValueError(f"{path} takes texts apart in another way")
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         self.tokenizer = Tokenizer.from_file(path)
         self.kind = f"<u{id_bytes}"
-        self.known: dict[str, bytes] = {}
-
-    def encode(self, texts: list[str]) -> list[bytes]:
-        out: list[bytes] = []
-        for first in range(0, len(texts), SLICE):  # only the words of a few texts are held at a time
-            out += self._slice(texts[first : first + SLICE])
-        return out
-
-    def _slice(self, texts: list[str]) -> list[bytes]:
-        if len(self.known) > CACHED_WORDS:
-            self.known.clear()
-        split = [t.replace("\n", " ").replace("\t", " ").replace("\r", " ").split(" ") for t in texts]
-        known = self.known
-        parts = {w: self._parts(w) for w in set().union(*split).difference(known)}
-        self._ask(list({p for found in parts.values() for p in found}.difference(known)))
-        known.update({w: b"".join([known[p] for p in found]) for w, found in parts.items()})
-        return [b"".join([known[w] for w in found]) for found in split]
-
-    @staticmethod
-    def _parts(word: str) -> tuple[str, ...]:
-        if SPECIAL in word:
-            return (word,)
-        if word.isascii():
-            word = word.lower()
-        base = word.rstrip(SIGNS)
-        # a letter that falls into a letter and a mark when folded belongs to what follows
-        last = base[-1:]
-        return (base, word[len(base):]) if last.isalnum() and len(last.lower()) == 1 else (word,)
-
-    def _ask(self, words: list[str]) -> None:
-        """Encode new words: plain ones in one call, told apart by their places, others one by one."""
-        plain = [w for w in words if w and w.isascii() and SPECIAL not in w]
-        done = self.tokenizer.encode(" ".join(plain), add_special_tokens=False)
-        starts = np.cumsum([0] + [len(w) + 1 for w in plain])
-        places = np.array([a for a, _ in done.offsets], dtype=np.int64)
-        bounds = np.searchsorted(places, starts) * np.dtype(self.kind).itemsize
-        ids = np.array(done.ids, dtype=self.kind).tobytes()
-        self.known.update(zip(plain, [ids[a:b] for a, b in zip(bounds[:-1].tolist(), bounds[1:].tolist(), strict=True)], strict=True))
-        others = list(set(words).difference(plain))
-        for word, found in zip(others, self.tokenizer.encode_batch_fast(others, add_special_tokens=False), strict=True):
-            self.known[word] = np.array(found.ids, dtype=self.kind).tobytes()
+        self.known: dict[bytes, bytes] = {}
+        self.earlier: dict[bytes, bytes] = {}
+        self.held = 0
+        self.comma = self.tokenizer.encode(",", add_special_tokens=False).ids[0]
+
+    def encode(self, texts: pa.Array, end_id: int) -> tuple[bytes, np.ndarray]:
+        """Ids of all texts with the end id behind each, and how many each has.
+
+        Arrow numbers the distinct pieces; only those are looked up, and numpy puts their ids in place.
+        """
+        if not len(texts):
+            return b"", np.zeros(0, dtype=np.int64)
+        found, last = pieces(bytes_of(texts))
+        coded = found.dictionary_encode()
+        known = self._ids_of(coded.dictionary.to_pylist())
+        ids = np.frombuffer(b"".join(known), dtype=self.kind)
+        sizes = np.fromiter(map(len, known), dtype=np.int64, count=len(known)) // np.dtype(self.kind).itemsize
+        numbers = coded.indices.to_numpy(zero_copy_only=False)
+        own = sizes[numbers]
+        upto = np.concatenate([[0], np.cumsum(own)])
+        counts = np.diff(np.concatenate([[0], upto[last]])) + 1
+        out = np.full(int(counts.sum()), end_id, dtype=self.kind)
+        # places of the ids in the table and in the result, where one is left for the end behind each text
+        step = np.arange(int(upto[-1])) - np.repeat(upto[:-1], own)
+        origin = (np.cumsum(sizes) - sizes)[numbers]
+        ends = np.repeat(np.arange(len(last)), np.diff(np.concatenate([[0], last])))
+        out[step + np.repeat(upto[:-1] + ends, own)] = ids[step + np.repeat(origin, own)]
+        return out.tobytes(), counts
+
+    def _ids_of(self, wanted: list[bytes]) -> list[bytes]:
+        """Two generations are remembered: what isn't met again while one fills up is forgotten."""
+        if self.held > CACHED_BYTES:
+            self.earlier, self.known, self.held = self.known, {}, 0
+        known, earlier = self.known, self.earlier
+        new = [w for w in wanted if w not in known]
+        missing = []
+        for word in new:
+            ids = earlier.get(word)
+            if ids is None:
+                missing.append(word)
+            else:
+                known[word] = ids
+        for first in range(0, len(missing), ASKED):
+            self._ask(missing[first : first + ASKED])
+        self.held += sum(map(len, new)) + ENTRY * len(new)
+        return [known[w] for w in wanted]
+
+    def _ask(self, words: list[bytes]) -> None:
+        """Encode new pieces: plain ones in one call with commas between, others one by one."""
+        texts = [w.decode() for w in words]
+        plain = [PLAIN.fullmatch(t) is not None and "," not in t for t in texts]
+        joined = " , ".join(["", *(t for t, p in zip(texts, plain, strict=True) if p), ""])
+        rest = [t for t, p in zip(texts, plain, strict=True) if not p]
+        done = self.tokenizer.encode_batch_fast([joined, *rest], add_special_tokens=False)
+        ids = np.array(done[0].ids, dtype=self.kind)
+        commas = np.flatnonzero(ids == self.comma)
+        size, data = ids.itemsize, ids.tobytes()
+        bounds = zip((size * (commas[:-1] + 1)).tolist(), (size * commas[1:]).tolist(), strict=True)
+        others = iter(done[1:])
+        for word, own in zip(words, plain, strict=True):
+            if own:
+                first, last = next(bounds)
+                self.known[word] = data[first:last]
+            else:
+                self.known[word] = np.array(next(others).ids, dtype=self.kind).tobytes()
 
 
 @lru_cache(maxsize=2)
@@ -177,12 +288,12 @@ def write_store(
     """
     spark = docs.sparkSession
     folder = folder or shared_uri(spark, "token-store")
-    shards = shards or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    shards = shards or parts_for(docs)
 
     def write(batches):
         out = uri = None
         keys, sizes = [], []
-        encoder, end = load(tokenizer, id_bytes), np.array([end_id], dtype=f"<u{id_bytes}").tobytes()
+        encoder = load(tokenizer, id_bytes)
         for batch in batches:
             if not batch.num_rows:
                 continue
@@ -190,9 +301,9 @@ def write_store(
                 out, uri = write_once(folder, "shard")
                 out.write(MAGIC)
             keys += batch.column("key").to_pylist()
-            for ids in encoder.encode(texts_of(batch.column("text"))):
-                out.write(ids + end)
-                sizes.append(len(ids) // id_bytes + 1)
+            ids, counts = encoder.encode(batch.column("text"), end_id)
+            out.write(ids)
+            sizes += counts.tolist()
         if out is None:
             return
         known = [k for k in keys if k is not None]
@@ -217,7 +328,8 @@ def write_store(
         ]))
 
     ordered = docs.select(F.col(key).cast(LongType()).alias("key"), F.col(text).alias("text"))
-    ordered = ordered.repartitionByRange(shards, "key").sortWithinPartitions("key", "text")
+    # ranges cut through rows of one key too, whose order is that of their texts
+    ordered = ordered.repartitionByRange(shards, "key", "text").sortWithinPartitions("key", "text")
     ordered.mapInArrow(
         write, "uri string, first_key long, last_key long, part long, n_docs long, n_ids long"
     ).write.parquet(f"{folder}/manifest")
@@ -257,9 +369,11 @@ class Shard:
         """Ids of one document, by two selects and one read."""
         return self.ids(self.ends.select(i - 1) if i else 0, self.ends.select(i))
 
-    def keys(self) -> list[int | None]:
-        numbers = self.names.values() + np.uint64(self.least_key % 2**64)
-        return [None] * self.n_null_keys + numbers.view(np.int64).tolist()
+    def keys(self, first: int, count: int) -> pa.Array:
+        """Keys of a run of documents; those without one come first."""
+        blank = max(0, min(self.n_null_keys - first, count))
+        numbers = self.names.select_run(max(0, first - self.n_null_keys), count - blank) + np.uint64(self.least_key % 2**64)
+        return pa.concat_arrays([pa.nulls(blank, pa.int64()), pa.array(numbers.view(np.int64))])
 
 
 def read_store(manifest: DataFrame) -> DataFrame:
@@ -269,28 +383,22 @@ def read_store(manifest: DataFrame) -> DataFrame:
     manifest alone, a row per shard.
     """
     placed = manifest.selectExpr("uri", "sum(n_ids) over (order by part) - n_ids as before")
-    spark = manifest.sparkSession
-    placed = placed.repartition(int(spark.conf.get("spark.sql.shuffle.partitions")), "uri")
+    placed = placed.repartition(max(1, manifest.count()), "uri")
 
     def read(batches):
         for batch in batches:
             for uri, before in zip(batch.column("uri").to_pylist(), batch.column("before").to_pylist(), strict=True):
                 shard = Shard(uri)
-                keys, ends = shard.keys(), shard.ends.values().astype(np.int64)
-                first = 0
-                while first < len(keys):
-                    begin = int(ends[first - 1]) if first else 0
-                    last = max(first + 1, int(np.searchsorted(ends, begin + BLOCK_IDS, "right")))
-                    ids = memoryview(shard.ids(begin, int(ends[last - 1])).astype("<u4").tobytes())
-                    bounds = np.concatenate([[begin], ends[first:last]]) - begin
-                    yield pa.RecordBatch.from_pydict({
-                        "doc_id": pa.array(keys[first:last], pa.int64()),
-                        "start": pa.array(before + begin + bounds[:-1], pa.int64()),
-                        "ids": pa.array(
-                            [bytes(ids[4 * a : 4 * b]) for a, b in zip(bounds[:-1], bounds[1:], strict=True)],
-                            pa.binary(),
-                        ),
-                    })
-                    first = last
+                first, begin = 0, 0
+                while first < shard.ends.count:
+                    ends = shard.ends.select_run(first, RUN_DOCS).astype(np.int64)
+                    ends = ends[: max(1, int(np.searchsorted(ends, begin + BLOCK_IDS, "right")))]
+                    bounds = np.concatenate([[begin], ends])
+                    ids = shard.ids(begin, int(ends[-1])).astype("<u4")
+                    yield pa.RecordBatch.from_arrays([
+                        shard.keys(first, len(ends)), pa.array(before + bounds[:-1]),
+                        pa.Array.from_buffers(pa.large_binary(), len(ends), [None, pa.py_buffer(4 * (bounds - begin)), pa.py_buffer(ids)]).cast(pa.binary()),
+                    ], names=["doc_id", "start", "ids"])
+                    first, begin = first + len(ends), int(ends[-1])
 
     return placed.mapInArrow(read, "doc_id long, start long, ids binary")
