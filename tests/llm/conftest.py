@@ -38,7 +38,8 @@ def odd_rows():
 def odd(spark, odd_rows):
     """The odd rows with further columns whose names the operators use themselves."""
     docs = spark.createDataFrame(odd_rows, "doc_id long, text string, lang string, source string")
-    return docs.selectExpr("*", "7L as n_chars", "1 as id", "2 as n", "3 as node", "'x' as kept", "4 as _copy2").repartition(3)
+    clashing = "id n node _id _tag _told _count _place _cdf _parts _spans _data _row2 tag class group told done n_bytes n_removed kept kept_text salt"
+    return docs.selectExpr("*", "7L as n_chars", *[f"{k} as {name}" for k, name in enumerate(clashing.split())]).repartition(3)
 
 
 @pytest.fixture(scope="session")

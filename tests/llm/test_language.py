@@ -54,3 +54,30 @@ def test_split_of_documents(spark):
 
     rows = spark.createDataFrame([(i,) for i in range(50)] + [(None,)], "doc_id long").select("doc_id", langid.held_out(F.col("doc_id")).alias("h")).collect()
     assert all(r["h"] == (r["doc_id"] is not None and zlib.crc32(str(r["doc_id"]).encode()) % 3 == 1) for r in rows)
+
+
+def test_classify_equals_plain_sets():
+    """Sets of n-grams in place of filters that hardly ever err, and the same correction."""
+    rng = np.random.default_rng(3)
+    words = {name: ["".join(rng.choice(list(letters), 5)) for _ in range(60)] for name, letters in (("aa", "abcde"), ("bb", "defgh"), ("cc", "ghijk"))}
+    learned = {name: " ".join(found) for name, found in words.items()}
+    known = {name: set(langid.grams(text).tolist()) for name, text in learned.items()}
+    model = langid.build_filters({name: np.array(sorted(codes), dtype=np.uint64) for name, codes in known.items()}, 1 << 20, 4)
+    for _ in range(300):
+        mixed = [rng.choice(words[rng.choice(("aa", "bb", "cc"))]) for _ in range(rng.integers(1, 12))]
+        text = rng.choice((" ", ", ", " 12 ")).join(mixed)
+        codes = langid.grams(text).tolist()
+        hits = {name: sum(c in found for c in codes) for name, found in known.items()}
+        real = {name: (n - len(codes) * rate) / (1 - rate) for (name, n), rate in zip(hits.items(), model.false_rates, strict=True)}
+        best = max(sorted(real), key=real.get)
+        assert langid.classify(text, model) == (best, min(1.0, real[best] / len(codes)))
+
+
+def test_learning_moves_no_text(spark, sf, monkeypatch):
+    """What is shuffled are counts: the sample is taken in the scan."""
+    plans = []
+    frame = type(spark.range(1))
+    told = frame.mapInArrow
+    monkeypatch.setattr(frame, "mapInArrow", lambda self, *a, **b: plans.append(self) or told(self, *a, **b))
+    langid.fit(table(spark, sf, "documents"))
+    assert len(plans) == 1 and "Exchange" not in plans[0]._jdf.queryExecution().executedPlan().toString()

@@ -89,3 +89,16 @@ def test_empty(spark, empty, sf):
     docs = empty.select("doc_id", "text", "lang", "source", "n_chars")
     for _, stage in pipeline.STAGES:
         assert stage(spark, docs, sf).count() == 0
+
+
+def test_columns_of_any_name_pass_unchanged(spark, odd, sf):
+    """Names that operators and stages use themselves."""
+    own = [c for c in odd.columns if c not in ("text", "n_chars")]
+    before = {repr(r) for r in odd.select(*own).collect()}
+    docs = odd
+    for name, stage in pipeline.STAGES[:-1]:
+        done = stage(spark, docs, sf)
+        assert done.columns == odd.columns, name
+        after = [repr(r) for r in done.select(*own).collect()]
+        assert after and set(after) <= before, name
+    assert pipeline.encode_texts(spark, docs, sf).count() == odd.count()

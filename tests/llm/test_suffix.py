@@ -1,9 +1,11 @@
 import random
+import time
 from collections import Counter
 
 import brute
 import numpy as np
 import pytest
+from conftest import prose
 
 from tidemark.llm import suffix_dedup
 
@@ -16,7 +18,9 @@ def check(df, rows, length):
 
 def test_odd_rows(odd, odd_rows, empty):
     cut = suffix_dedup.drop_repeated(odd)
-    assert cut.columns == [*[c for c in odd.columns if c != "kept"], "n_bytes", "n_removed", "n_spans", "kept"]
+    assert cut.columns == [
+        *[c for c in odd.columns if c not in ("n_bytes", "n_removed", "kept", "kept_text")], "n_bytes", "n_removed", "n_spans", "kept", "kept_text",
+    ]
     check(cut, odd_rows, 400)
     assert suffix_dedup.drop_repeated(empty).count() == 0
 
@@ -83,3 +87,15 @@ def test_collisions_fall_back_to_bytes(monkeypatch):
     monkeypatch.setattr(sorter.hashes, "of", lambda start, size: np.zeros(len(start), dtype=np.uint64))
     suffixes = np.array([0, 8, 16, 24])
     assert sorter.repeated(suffixes, np.zeros(4, dtype=int)).tolist() == [0, 8, 16]
+
+
+def test_repeated_rows_take_time_in_proportion(spark):
+    """Equal rows beside a text that shares a part: each finds the same spans, which count once."""
+    own, part = prose(11, 130), prose(12, 70)
+    rows = [(1, f"{own} {part}")] * 5000 + [(2, f"{part} {prose(13, 90)}"), (3, prose(14, 90))]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
+    started = time.monotonic()
+    found = suffix_dedup.drop_repeated(docs).groupBy("doc_id", "n_removed").count().collect()
+    assert time.monotonic() - started < 60
+    told = {r["doc_id"]: (r["n_removed"], r["count"]) for r in found}
+    assert told[1] == (len(rows[0][1]), 5000) and told[2][0] >= len(part) and told[3] == (0, 1)

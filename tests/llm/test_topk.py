@@ -45,6 +45,32 @@ def test_huge_components(spark, same_rows):
     same_rows(topk.top_k(df, F.col("vec_id") % 2 == 0), expected(rows, 5), "query_id", "rank", "vec_id", "score")
 
 
+def test_repeated_and_different_vectors_of_one_id(spark):
+    rows = [(0, [1.0, 0.0])] * 3 + [(0, [0.0, 1.0]), (1, [2.0, 1.0]), (1, [2.0, 1.0]), (3, [1.0, 3.0]), (5, [0.0, 4.0])]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    found = topk.top_k(df, F.col("vec_id") == 0, k=2, query_block=1, vector_block=2)
+    got = sorted(tuple(r) for r in found.select("query_id", "rank", "vec_id", "score").collect())
+    one, two = 256 * 256, 2 * 256 * 256
+    # (1, 0) prefers 1 and 3, (0, 1) prefers 5 and 3; the third (1, 0) adds nothing
+    assert got == sorted([(0, 1, 1, two), (0, 2, 3, one), (0, 1, 5, 4 * one), (0, 2, 3, 3 * one)])
+
+
+def test_bounds_close_where_few_dimensions_decide(monkeypatch):
+    """Queries stop before the lists end, and what they left unread is never resolved."""
+    rng = np.random.default_rng(6)
+    vectors = rng.integers(-3, 4, (2000, 16)).astype(float)
+    vectors[:, 0] = rng.permutation(2000)
+    queries, depths = np.tile(vectors[:1], (4, 1)), []
+    queries[:, 0] = [900, 1200, -700, 1500]
+    partition = np.partition
+    monkeypatch.setattr(topk.np, "partition", lambda lower, *a, **b: depths.append(len(lower)) or partition(lower, *a, **b))
+    found = topk.read_block(queries, np.full(4, -1), vectors, np.arange(2000), 5, np.full(4, -np.inf))
+    assert depths == [4]  # one look, at the first depth
+    for query, (scores, ids) in zip(queries, found, strict=True):
+        exact = vectors @ query
+        assert scores.tolist() == sorted(exact, reverse=True)[:5] and (exact[ids] == scores).all()
+
+
 def test_bounds_stop_early():
     """One cluster holds the best; the rest is never resolved."""
     rng = np.random.default_rng(5)

@@ -24,7 +24,7 @@ import regex
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import texts_of
+from tidemark.llm.common import texts_of, trim
 
 LEAF = 32
 NONE = 1 << 32
@@ -173,6 +173,23 @@ def encode(text: Column, path: str, pattern: str) -> Column:
         for values in batches:
             yield pa.array([codec.encode(t) for t in texts_of(values)], pa.binary())
         codec.forget()
+        trim()
+
+    return run(text)
+
+
+def round_trip(text: Column, path: str, pattern: str) -> Column:
+    """Struct of the ids of every whole text and the bytes that they decode to, by one worker per task."""
+
+    @F.arrow_udf("ids binary, data binary")
+    def run(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        codec = load(path, pattern)
+        for values in batches:
+            ids = [codec.encode(t) for t in texts_of(values)]
+            data = [codec.decode(i) for i in ids]
+            yield pa.StructArray.from_arrays([pa.array(ids, pa.binary()), pa.array(data, pa.binary())], names=["ids", "data"])
+        codec.forget()
+        trim()
 
     return run(text)
 

@@ -7,7 +7,8 @@ count per language, corrected for the filter's false positives; the largest deci
 
 Defined results: a null text, and one without a letter, is ``und`` with score 0. A text with letters
 but no known n-gram gets the language with most training n-grams and score 0. Without any labelled row
-every text is ``und``. Repeated n-grams count each time. Equal counts go to the language that sorts first. Texts are taken whole.
+every text is ``und``; more than ``MOST_LANGUAGES`` languages are an error. Repeated n-grams count each time. Equal counts go to the language that sorts first. Texts are taken whole.
+Learning names its columns anew and prediction is a column, so other columns of the input, whatever their names, stay as they are.
 """
 
 from __future__ import annotations
@@ -24,6 +25,7 @@ from tidemark.llm.common import mix, texts_of
 
 UNKNOWN = "und"
 GRAM = 4
+MOST_LANGUAGES = 4096
 
 
 @dataclass(frozen=True)
@@ -120,11 +122,14 @@ def fit(
     rows = labelled.select(
         F.col(key).cast("string").alias("_key"), F.col(text).alias("_text"), F.col(lang).alias("_lang")
     ).where("_lang is not null and _text is not null")
-    sizes = rows.groupBy("_lang").agg(F.count("*").alias("_n"))
-    # one row per language, far fewer than rows: Spark itself decides how to join it
-    sample = rows.join(sizes, "_lang").where(
-        (F.xxhash64("_key", "_text") / F.lit(2.0**64) + 0.5) * F.col("_n") < sample_per_language
-    )
+    sizes = {r["_lang"]: r["_n"] for r in rows.groupBy("_lang").agg(F.count("*").alias("_n")).limit(MOST_LANGUAGES + 1).collect()}
+    if len(sizes) > MOST_LANGUAGES:
+        raise ValueError(f"more than {MOST_LANGUAGES} languages")
+    if not sizes:
+        return build_filters({}, slots, hashes)
+    # the shares are constants, so no text moves to be chosen
+    shares = F.create_map(*[F.lit(x) for name, n in sorted(sizes.items()) for x in (name, sample_per_language / n)])
+    sample = rows.where(F.xxhash64("_key", "_text") / F.lit(2.0**64) + 0.5 < shares[F.col("_lang")])
 
     def count(batches):
         for batch in batches:

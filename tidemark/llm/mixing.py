@@ -9,7 +9,8 @@ Means above ``PART`` are drawn as sums of equal parts, which are Poisson again,
 
 Defined results: null is a source of its own; so a null text counts no characters. Sources without any characters keep
 rate 1. Sources with a weight of 0 are left out; those missing from ``weights`` have weight 0. Rows with equal ids
-and texts draw equal counts. Columns keep their names; ``_copy`` and ``_order`` are added.
+and texts draw equal counts. Columns keep their names, whatever they are; ``_copy`` and ``_order`` are added, in place of input columns
+with these names. An empty table has no copies.
 """
 
 from __future__ import annotations
@@ -17,6 +18,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tidemark.llm.common import parts_for
 from tidemark.session import stage
 
 PART = 8
@@ -76,15 +78,17 @@ def mix(
     key: str = "doc_id", source: str = "source", text: str = "text", shuffle: bool = True,
 ) -> DataFrame:
     """Documents by their counts, with ``_copy`` from 1 and ``_order``, the place of a copy in the new order."""
-    spark = docs.sparkSession
     shares = stage(rates(docs, weights, power, source, text), "rates")
     few = shares.select("_source").limit(BROADCAST_SOURCES + 1).count() <= BROADCAST_SOURCES
     shares = F.broadcast(shares) if few else shares  # beyond that AQE joins and splits a hot source
-    joined = docs.join(shares, docs[source].eqNullSafe(shares["_source"]))
     ident = F.coalesce(F.col(key).cast("string"), F.concat(F.lit("text "), F.md5(F.col(text))))
+    # the row travels as one value, so that its columns may have any names
+    own = [c for c in docs.columns if c not in ("_copy", "_order")]
+    rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in own]).alias("_row"), F.col(source).alias("_named"), ident.alias("_ident"), F.col(key).alias("_key"))
+    joined = rows.join(shares, F.col("_named").eqNullSafe(F.col("_source")))
     draws = F.transform(
         F.sequence(F.lit(1), F.col("_parts")),
-        lambda j: uniform(ident, j, seed=seed),
+        lambda j: uniform(F.col("_ident"), j, seed=seed),
     )
     count = F.aggregate(
         draws, F.lit(0), lambda acc, u: acc + F.size(F.filter("_cdf", lambda c: c <= u))
@@ -92,9 +96,9 @@ def mix(
     copies = joined.withColumn("_count", count).where("_count > 0").withColumn(
         "_copy", F.explode(F.sequence(F.lit(1), F.col("_count")))
     )
-    copies = copies.withColumn("_order", uniform(ident, F.col("_copy"), seed=f"{seed}-order"))
-    copies = copies.select(*[docs[c] for c in docs.columns], "_copy", "_order")
+    copies = copies.select(
+        "_row", "_key", "_copy", uniform(F.col("_ident"), F.col("_copy"), seed=f"{seed}-order").alias("_order")
+    )
     if shuffle:
-        parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
-        copies = copies.repartition(parts, "_order").sortWithinPartitions("_order", key, "_copy")
-    return copies
+        copies = copies.repartition(parts_for(docs), "_order").sortWithinPartitions("_order", "_key", "_copy")
+    return copies.select("_row.*", "_copy", "_order")

@@ -10,8 +10,9 @@ need no posting, which skips all but the copies and keeps common passages out of
 Links are found without pairing everybody in a posting list. First each class is compared with one head of
 its lists, classes whose values most others share. Links are confirmed on the full sets, then connected. Classes
 that lists hold together form families; those that are one component by then are done. In the others, members are
-compared across components, two blocks of a family at a time inside a task: coordinate matches are counted, pairs with
-enough are confirmed on the full sets, and only links that join components leave the task. Pairs within a
+compared across components, two blocks of a family at a time inside a task: collisions are counted over the posting lists of
+the two, short ones joined and long ones looked up, pairs with
+enough are confirmed on the full sets, and only links that join components leave the task. Blocks are bounded in rows and bytes. Pairs within a
 component can't change the result.
 
 Defined results: a null or empty text, or one of gaps only, has an empty set and is linked with nothing. A text below five words
@@ -33,7 +34,9 @@ SHINGLE = 5
 COORDINATES = 64
 MATCHES = 32
 PREFIX = COORDINATES - MATCHES + 1
+# A block of a family holds about that many rows and bytes of text at most.
 BLOCK = 1024
+BLOCK_BYTES = 2 << 20
 COLUMNS = 4096
 BASE = 0x9E3779B97F4A7C15
 
@@ -202,9 +205,11 @@ def _across(stars: DataFrame, labels: DataFrame, classes: DataFrame, texts: Data
     """Links between components of a family, enough to connect what belongs together."""
     told = connect(stars).withColumnRenamed("component", "family").join(labels, "node", "left")
     told = stage(told.withColumn("component", F.coalesce("component", "node")), "families")
-    mixed = told.groupBy("family").agg(
-        F.min("component").alias("c1"), F.max("component").alias("c2"), F.count("*").alias("size")
-    ).where("c1 < c2").select("family", F.ceil(F.col("size") / BLOCK).cast("int").alias("blocks"))
+    sized = told.join(texts.select("node", F.octet_length("text").alias("bytes")), "node")
+    blocks = F.greatest(F.col("size") / BLOCK, F.col("bytes") / BLOCK_BYTES)
+    mixed = sized.groupBy("family").agg(
+        F.min("component").alias("c1"), F.max("component").alias("c2"), F.count("*").alias("size"), F.sum("bytes").alias("bytes")
+    ).where("c1 < c2").select("family", F.ceil(blocks).cast("int").alias("blocks"))
     members = told.join(mixed, "family").join(classes.select("node", "signature"), "node").join(texts, "node")
     blocks = members.withColumn("block", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int")).groupBy(
         "family", "blocks", "block"
@@ -252,14 +257,47 @@ def intersections(xs: list[np.ndarray], ys: list[np.ndarray]) -> np.ndarray:
     return total.astype(np.int64)
 
 
+def collisions(sx: np.ndarray, sy: np.ndarray, wanted: np.ndarray) -> np.ndarray:
+    """Which wanted pairs of two blocks agree in MATCHES coordinates or more, counted over posting lists.
+
+    Every coordinate-value pair has a list of rows on both sides. Pairs of rows are found in the lists of the left row's PREFIX
+    rarest values only, as MATCHES agreements can't all lie outside. The long lists that are left are skipped: they are never
+    joined, but looked into for the pairs found so far, as long as these can still reach the threshold.
+    """
+    n, m = len(sx), len(sy)
+    lists = []
+    sizes = np.empty((n, COORDINATES), dtype=np.int64)
+    for k in range(COORDINATES):
+        order = np.argsort(sy[:, k], kind="stable")
+        first, last = (np.searchsorted(sy[order, k], sx[:, k], side) for side in ("left", "right"))
+        lists.append((order, first, last))
+        sizes[:, k] = last - first
+    rarest = np.argsort(sizes, axis=1, kind="stable")
+    short = np.zeros((n, COORDINATES), dtype=bool)
+    np.put_along_axis(short, rarest[:, :PREFIX], True, axis=1)
+    count = np.zeros((n, m), dtype=np.int16)
+    for k, (order, first, last) in enumerate(lists):
+        rows = np.flatnonzero(short[:, k] & (last > first))
+        spans = last[rows] - first[rows]
+        at = np.arange(spans.sum()) - np.repeat(np.cumsum(spans) - spans, spans) + np.repeat(first[rows], spans)
+        count[np.repeat(rows, spans), order[at]] += 1
+    a, b = np.nonzero((count > 0) & wanted)
+    found = count[a, b].astype(np.int64)
+    for left in range(COORDINATES - PREFIX, 0, -1):  # lists a row has left, rarest first
+        able = found + left >= MATCHES
+        a, b, found = a[able], b[able], found[able]
+        k = rarest[a, COORDINATES - left]
+        found += sx[a, k] == sy[b, k]
+    out = np.zeros((n, m), dtype=bool)
+    enough = found >= MATCHES
+    out[a[enough], b[enough]] = True
+    return out
+
+
 def _links_across(left: tuple, right: tuple) -> list[tuple[int, int]]:
     """Links between different components of two blocks; of several that join the same ones, the first."""
     (x, cx, sx, tx), (y, cy, sy, ty) = left, right
-    cx_, cy_ = np.array(cx), np.array(cy)
-    near = np.zeros((len(x), len(y)), dtype=bool)
-    for k in range(len(x)):
-        at = np.flatnonzero(cy_ != cx_[k])
-        near[k, at[(sy[at] == sx[k]).sum(axis=1) >= MATCHES]] = True
+    near = collisions(sx, sy, np.array(cx)[:, None] != np.array(cy)[None, :])
     rows, columns = np.flatnonzero(near.any(axis=1)), np.flatnonzero(near.any(axis=0))
     if not len(rows):
         return []
@@ -289,7 +327,8 @@ def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text") ->
     # numbers for the classes; the table is written, so they stay as they are
     classes = stage(
         rows.where("class is not null").groupBy("class").agg(
-            F.min("id").alias("least_id"), F.first("n").alias("n"), F.first("signature").alias("signature")
+            F.min(F.struct("id", "tag")).alias("least"), F.min("id").alias("least_id"), F.first("n").alias("n"),
+            F.first("signature").alias("signature"),
         ).withColumn("node", F.monotonically_increasing_id()), "classes",
     )
     postings = stage(_postings(classes), "postings")
@@ -298,8 +337,10 @@ def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text") ->
     stars = stage(stars, "stars")
     best = _with_signatures(stars, classes).groupBy("a").agg(F.max_by("b", F.struct("matches", -F.col("b"))).alias("b"))
 
-    wanted = postings.select("node").distinct().join(classes.select("node", "class", "least_id"), "node")
-    source = docs.select(F.col(key).cast("long").alias("id"), F.col(text).cast("binary").alias("text"))
+    wanted = postings.select("node").distinct().join(classes.select("node", "class", "least.*"), "node")
+    source = docs.select(
+        F.col(key).cast("long").alias("id"), row_tag(F.col(text)).alias("tag"), F.col(text).cast("binary").alias("text")
+    )
     texts = stage(_texts_of_nodes(source, wanted), "texts")
 
     links = stage(_confirm(best, texts), "links")
@@ -318,8 +359,9 @@ def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text") ->
 
 
 def _texts_of_nodes(source: DataFrame, wanted: DataFrame) -> DataFrame:
-    """One text per wanted class, taken from a row with the class's smallest id."""
-    joined = source.join(wanted, source["id"].eqNullSafe(wanted["least_id"])).select("node", "class", "text")
+    """One text per wanted class, taken from the row with its smallest id (null before all), then tag."""
+    same = source["id"].eqNullSafe(wanted["id"]) & (source["tag"] == wanted["tag"])
+    joined = source.join(wanted, same).select("node", "class", "text")
 
     @F.arrow_udf("boolean")
     def own(names: pa.Array, texts: pa.Array) -> pa.Array:
@@ -330,5 +372,5 @@ def _texts_of_nodes(source: DataFrame, wanted: DataFrame) -> DataFrame:
             for c, t in zip(names.to_pylist(), bytes_of(texts), strict=True)
         ], pa.bool_())
 
-    # ids may be repeated with other texts; of equal sets any text serves
+    # tags are hashes, so a row of another class may have the same; of equal sets any text serves
     return joined.where(own("class", "text")).dropDuplicates(["node"]).select("node", "text")

@@ -111,11 +111,14 @@ with d as (
   union all select r, max(b), null from islands group by r
   union all select r, 0, null from d where r not in (select r from islands)
 ), kept as (
-  select r, string_agg(hex(h[s + 1 : coalesce(e, n)]), '' order by s) as left_over
-  from pieces join d using (r) group by r
+  select r, string_agg(piece, '' order by s) as left_over, string_agg(
+    regexp_replace(regexp_replace(piece, case when s > 0 then '^([89AB][0-9A-F]){1,3}' else '^$' end, ''),
+      case when e is not null then '([CD][0-9A-F]|E[0-9A-F]([89AB][0-9A-F])?|F[0-9A-F]([89AB][0-9A-F]){0,2})$' else '^$' end, ''), '' order by s
+  ) as whole_chars
+  from (select r, s, e, hex(h[s + 1 : coalesce(e, n)]) as piece from pieces join d using (r)) group by r
 )
 select doc_id, n::bigint as n_bytes, coalesce(n_removed, 0)::bigint as n_removed, coalesce(n_spans, 0)::bigint as n_spans,
-  sha256(unhex(left_over)) as kept_sha256
+  sha256(unhex(left_over)) as kept_sha256, (n - coalesce(n_removed, 0))::bigint as n_kept, decode(unhex(whole_chars)) as text
 from d left join gone using (r) join kept using (r)
 """
 

@@ -30,7 +30,8 @@ def mixed_sources(spark: SparkSession, sf: str) -> DataFrame:
 def suffix_array(spark: SparkSession, sf: str) -> DataFrame:
     docs = table(prepare(spark), sf, "documents").select("doc_id", "text")
     return suffix_dedup.drop_repeated(docs).select(
-        "doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256")
+        "doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"),
+        F.octet_length("kept").cast("long").alias("n_kept"), F.col("kept_text").alias("text"),
     )
 
 
@@ -53,12 +54,12 @@ def languages(spark: SparkSession, sf: str) -> DataFrame:
 
 def byte_bpe(spark: SparkSession, sf: str) -> DataFrame:
     path, pattern = public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN
-    ids = table(prepare(spark), sf, "documents").select(
-        "doc_id", bpe_tree.encode(F.col("text"), path, pattern).alias("ids")
+    done = table(prepare(spark), sf, "documents").select(
+        "doc_id", bpe_tree.round_trip(F.col("text"), path, pattern).alias("done")
     )
-    return ids.select(
-        "doc_id", (F.octet_length("ids") / 4).cast("long").alias("n_tokens"), F.sha2("ids", 256).alias("ids_sha256"),
-        F.sha2(bpe_tree.decode(F.col("ids"), path, pattern), 256).alias("decoded_sha256"),
+    return done.select(
+        "doc_id", (F.octet_length("done.ids") / 4).cast("long").alias("n_tokens"), F.sha2("done.ids", 256).alias("ids_sha256"),
+        F.sha2("done.data", 256).alias("decoded_sha256"),
     )
 
 

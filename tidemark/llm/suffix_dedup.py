@@ -308,11 +308,15 @@ def _fetch(texts: DataFrame, wanted: DataFrame, rules: list[tuple[Units, int]])
     joined = _same_row(texts, listed, "inner").select(texts["id"], texts["tag"], "text", "stretches")
 
     def run(batches):
+        last = None
         for batch in batches:
             rows: list[tuple] = []
             held = 0
             columns = [batch.column(n).to_pylist() for n in ("id", "tag", "stretches")]
             for id_, tag, stretches, data in zip(*columns, bytes_of(batch.column("text")), strict=True):
+                if (id_, tag) == last:
+                    continue  # repeated rows come one after the other, and one stands for all
+                last = id_, tag
                 split = {kind: by_words[kind][0].split(data) for kind in {s["words"] for s in stretches}}
                 for s in stretches:
                     part = split[s["words"]][s["first"] : s["last"] + by_words[s["words"]][1]].tobytes()
@@ -437,29 +441,27 @@ def repeated_spans(
 
 def drop_repeated(
     docs: DataFrame, length: int = 400, key: str = "doc_id", text: str = "text", group: int = GROUP, words: int | None = None,
-    characters: bool = False,
 ) -> DataFrame:
-    """All rows and columns, with the bytes that are left and what was removed.
+    """All rows and columns, with n_bytes, n_removed, n_spans, the bytes that are left as ``kept``, and ``kept_text``.
 
     What goes is in a repeated string of ``length`` bytes or, if given, in a repeated passage of ``words`` words, 8 at least.
-    With ``characters`` the rest of a character that a cut parts is missing in ``kept`` too; nothing else changes.
+    Where a cut falls inside a character, its other part is missing in ``kept_text`` too; nothing else differs from ``kept``.
+    Input columns with the names of the added ones are replaced; pack them in a struct to keep them.
     """
     if words is not None and words < WORDS.seed:
         raise ValueError(f"passages need {WORDS.seed} words at least")
+    # a set: n rows of one id and text found the same spans n times
     spans = repeated_spans(docs, length, key, text, group, words).groupBy("id", "tag").agg(
-        F.collect_list(F.struct("first", "last", "words")).alias("_spans")
+        F.collect_set(F.struct("first", "last", "words")).alias("_spans")
     )
-    added = ("n_bytes", "n_removed", "n_spans", "kept")
+    added = ("n_bytes", "n_removed", "n_spans", "kept", "kept_text")
     base = docs.drop(*added)
     left = base.select(
-        F.struct(*[base[c] for c in base.columns]).alias("_row"), F.col(text).cast("binary").alias("_data"),
+        F.struct(*[base[f"`{c}`"] for c in base.columns]).alias("_row"), F.col(text).cast("binary").alias("_data"),
         F.col(key).cast("long").alias("id"), row_tag(F.col(text)).alias("tag"),
     )
     joined = _same_row(left, spans, "left").select("_row", "_data", "_spans")
 
-    def piece(whole: bytes, first: int, last: int) -> bytes:
-        return whole_characters(whole, first, last) if characters else whole[first:last]
-
     def in_bytes(whole: bytes, found: list[dict]) -> list[tuple[int, int]]:
         spans = [(s["first"], s["last"] + length) for s in found if not s["words"]]
         if len(spans) < len(found):
@@ -467,27 +469,28 @@ def drop_repeated(
             spans += [(int(starts[s["first"]]), int(ends[s["last"] + words - 1])) for s in found if s["words"]]
         return spans
 
-    @F.arrow_udf("n_bytes long, n_removed long, n_spans long, kept binary")
+    @F.arrow_udf("n_bytes long, n_removed long, n_spans long, kept binary, kept_text binary")
     def cut(data: pa.Array, spans: pa.Array) -> pa.Array:
-        out: list[list] = [[], [], [], []]
+        out: list[list] = [[], [], [], [], []]
         for whole, found in zip(data.to_pylist(), spans.to_pylist(), strict=True):
             whole = whole or b""
-            parts, at, removed, n = [], 0, 0, 0
+            kept, at, removed, n = [], 0, 0, 0
             reach = -1
             for first, last in sorted(in_bytes(whole, found or [])):
                 if first > reach:
                     n += 1
-                    parts.append(piece(whole, at, first))
+                    kept.append((at, first))
                     at = reach = first
                 if last > reach:
                     removed += last - reach
                     at = reach = last
-            parts.append(piece(whole, at, len(whole)))
-            for column, value in zip(out, (len(whole), removed, n, b"".join(parts)), strict=True):
+            kept.append((at, len(whole)))
+            parts = b"".join([whole[a:b] for a, b in kept])
+            text = b"".join([whole_characters(whole, a, b) for a, b in kept])
+            for column, value in zip(out, (len(whole), removed, n, parts, text), strict=True):
                 column.append(value)
-        return pa.StructArray.from_arrays(
-            [pa.array(out[0], pa.int64()), pa.array(out[1], pa.int64()), pa.array(out[2], pa.int64()),
-             pa.array(out[3], pa.binary())], names=list(added)
-        )
+        kinds = (pa.int64(), pa.int64(), pa.int64(), pa.binary(), pa.binary())
+        return pa.StructArray.from_arrays([pa.array(c, k) for c, k in zip(out, kinds, strict=True)], names=list(added))
 
-    return joined.select("_row", cut("_data", "_spans").alias("_cut")).select("_row.*", "_cut.*")
+    done = joined.select("_row", cut("_data", "_spans").alias("_cut")).select("_row.*", "_cut.*")
+    return done.withColumn("kept_text", F.col("kept_text").cast("string"))

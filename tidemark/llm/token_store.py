@@ -10,7 +10,7 @@ every 256th set bit's place, so ``select`` finds one boundary from a few hundred
 2 + log2(ids per document) bits for each document in place of 64.
 
 Defined results: a null or empty text has only the end id. Null document ids come first; rows with equal ids
-stay apart, ordered by text. An empty table makes no shard. Other columns aren't read.
+stay apart, ordered by the first 64 characters of their texts, then by a hash. An empty table makes no shard. Other columns aren't read.
 """
 
 from __future__ import annotations
@@ -328,8 +328,10 @@ def write_store(
         ]))
 
     ordered = docs.select(F.col(key).cast(LongType()).alias("key"), F.col(text).alias("text"))
-    # ranges cut through rows of one key too, whose order is that of their texts
-    ordered = ordered.repartitionByRange(shards, "key", "text").sortWithinPartitions("key", "text")
+    # ranges cut through rows of one key too; samples of these columns go to the driver, so none is a whole text
+    order = ["key", F.substring("text", 1, 64), F.xxhash64("text"), F.col("row")]
+    ordered = ordered.withColumn("row", F.monotonically_increasing_id()).repartitionByRange(shards, *order)
+    ordered = ordered.sortWithinPartitions(*order).drop("row")
     ordered.mapInArrow(
         write, "uri string, first_key long, last_key long, part long, n_docs long, n_ids long"
     ).write.parquet(f"{folder}/manifest")

@@ -11,8 +11,9 @@ Blocks of queries meet blocks of vectors on a grid, so work is spread evenly and
 blocks. A pair of blocks returns k rows per query at most.
 
 Defined results: vectors that are null or hold null or non-finite components take no part, nor do rows without an id. A
-candidate has as many components as the query and another id. Equal scores go to the smaller id; repeated rows
-stay apart. With fewer than k candidates all are returned. Scores must fit 64 bits.
+candidate has as many components as the query and another id. Equal scores go to the smaller id. Rows with equal ids and
+vectors count once. Different vectors under one id stay apart: each is a candidate, and as queries each has ranks of its own. Other
+columns aren't read; an empty table has no results. With fewer than k candidates all are returned. Scores must fit 64 bits.
 """
 
 from __future__ import annotations
@@ -27,6 +28,7 @@ from pyspark.sql import functions as F
 QUERY_BLOCK = 512
 VECTOR_BLOCK = 4096
 DEPTHS = (0.03, 0.125, 0.4)
+WORTH = 0.05
 FEW = 48
 
 
@@ -50,7 +52,9 @@ def read_block(
     positive, negative = np.maximum(queries, 0), np.minimum(queries, 0)
     left = np.arange(len(queries))
     keep: list[np.ndarray | None] = [None] * len(queries)
-    for depth in (*DEPTHS, 1.0):
+    depths = [*DEPTHS, 1.0]
+    while depths:
+        depth = depths.pop(0)
         entries = n if depth == 1.0 else max(min(n, k + 1), int(depth * n))
         low, high = lists[entries - 1], lists[n - entries]
         p, m = positive[left], negative[left]
@@ -65,6 +69,8 @@ def read_block(
         done = np.ones(len(left), dtype=bool) if depth == 1.0 else reach.sum(axis=1) <= FEW
         for row in np.flatnonzero(done):
             keep[left[row]] = np.flatnonzero(reach[row] & ~own[row])
+        if done.mean() < WORTH:
+            depths = depths[-1:]  # bounds that hardly close any query here won't pay on the way down
         left = left[~done]
         if not len(left):
             break
@@ -94,31 +100,36 @@ def top_k(
     """(query_id, rank, vec_id, score) of the rows for which ``is_query`` holds."""
     rows = vectors.select(
         F.col(key).cast("long").alias("id"), quantise(F.col(vector)).alias("v"), F.coalesce(is_query, F.lit(False)).alias("q")
-    ).where("id is not null and v is not null").withColumn("dim", F.size("v")).where("dim > 0")
+    ).where("id is not null and v is not null").withColumns({"dim": F.size("v"), "tag": F.xxhash64("v")}).where("dim > 0")
     sizes = rows.agg(F.count("*").alias("n"), F.count(F.when(F.col("q"), 1)).alias("q")).first()
     n_blocks, q_blocks = math.ceil(sizes["n"] / vector_block) or 1, math.ceil(sizes["q"] / query_block) or 1
 
     def blocked(part: DataFrame, count: int, name: str) -> DataFrame:
-        return part.groupBy("dim", F.pmod(F.xxhash64("id"), F.lit(count)).alias(name)).agg(
-            F.collect_list("id").alias(f"{name}_ids"), F.collect_list("v").alias(f"{name}_rows")
+        # a set, built in the tasks that read the rows: repeated rows travel once
+        return part.groupBy("dim", F.pmod(F.xxhash64("id", "tag"), F.lit(count)).alias(name)).agg(
+            F.collect_set(F.struct("id", "tag", "v")).alias(f"{name}_rows")
         )
 
     held = blocked(rows, n_blocks, "block").withColumn("asked", F.explode(F.sequence(F.lit(0), F.lit(q_blocks - 1)).cast("array<long>")))
     asked = blocked(rows.where("q"), q_blocks, "asked").withColumn("block", F.explode(F.sequence(F.lit(0), F.lit(n_blocks - 1)).cast("array<long>")))
     grid = held.join(asked, ["dim", "asked", "block"])
-    schema = "query_id long, vec_id long, score long"
+    schema = "query_id long, query_tag long, vec_id long, score long"
 
     def run(batches):
         known: dict[tuple[int, int], np.ndarray] = {}
         for batch in batches:
             for i in range(batch.num_rows):
                 cell = {c: batch.column(c)[i] for c in batch.schema.names}
-                ids, names = (cell[c].values.to_numpy(zero_copy_only=False) for c in ("block_ids", "asked_ids"))
-                held, asked = _matrix(cell["block_rows"].values), _matrix(cell["asked_rows"].values)
+                held_rows, asked_rows = cell["block_rows"].values, cell["asked_rows"].values
+                ids, names, tags = (
+                    rows.field(c).to_numpy(zero_copy_only=False)
+                    for rows, c in ((held_rows, "id"), (asked_rows, "id"), (asked_rows, "tag"))
+                )
+                held, asked = _matrix(held_rows.field("v")), _matrix(asked_rows.field("v"))
                 kind = _exact(asked, held)
                 where = (cell["dim"].as_py(), cell["asked"].as_py())
-                order = np.argsort(names, kind="stable")
-                names, asked = names[order], asked[order]
+                order = np.lexsort((tags, names))
+                names, tags, asked = names[order], tags[order], asked[order]
                 if kind is object:
                     found = [_plain(q, name, held, ids, k) for q, name in zip(asked, names, strict=True)]
                 else:
@@ -126,14 +137,16 @@ def top_k(
                     found = read_block(asked.astype(kind), names, held.astype(kind), ids, k, least)
                     full = np.array([s[k - 1] if len(s) >= k else -np.inf for s, _ in found])
                     known = {where: np.maximum(least, full)}
+                times = [len(s) for s, _ in found]
                 yield pa.RecordBatch.from_pydict({
-                    "query_id": pa.array(np.repeat(names, [len(s) for s, _ in found]), pa.int64()),
+                    "query_id": pa.array(np.repeat(names, times), pa.int64()),
+                    "query_tag": pa.array(np.repeat(tags, times), pa.int64()),
                     "vec_id": pa.array(np.concatenate([x for _, x in found]).astype(np.int64), pa.int64()),
                     "score": pa.array([int(s) for scores, _ in found for s in scores], pa.int64()),
                 })
 
     found = grid.mapInArrow(run, schema)
-    place = "cast(row_number() over (partition by query_id order by score desc, vec_id) as int) as rank"
+    place = "cast(row_number() over (partition by query_id, query_tag order by score desc, vec_id) as int) as rank"
     return found.selectExpr("*", place).where(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")
 
 

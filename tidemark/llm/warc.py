@@ -21,6 +21,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.llm.common import bytes_of, open_store, shared_uri, write_once
+from tidemark.session import PARTITION_BYTES
 
 MAGIC = b"\x1f\x8b\x08"
 CHUNK = 1 << 20
@@ -180,7 +181,8 @@ def read_warc(files: DataFrame, split_bytes: int = 32 << 20) -> DataFrame:
     ranges = files.where("bytes > 0").select(
         "uri", "bytes", F.explode(F.sequence(F.lit(0), F.col("bytes") - 1, F.lit(split_bytes))).alias("start")
     )
-    parts = int(files.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    usual = int(files.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    parts = max(usual, (files.agg(F.sum("bytes")).first()[0] or 0) // PARTITION_BYTES)
 
     def read(batches):
         schema = pa.schema([
