@@ -18,13 +18,18 @@ LEAST_LANGUAGE_SCORE = 0.3
 PASSAGE_WORDS = 51
 
 
+def packed(docs: DataFrame, *names: str) -> DataFrame:
+    """The named columns, and whole rows as ``_row``: operators and stages add columns without meeting those of the input."""
+    return docs.select(*names, F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("_row"))
+
+
 def keep_known_languages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Drop documents without letters and those that no learned language explains."""
     prepare(spark)
     model = langid.fit(docs.where(~langid.held_out(F.col("doc_id"))))
-    told = docs.withColumn("_told", langid.predict(F.col("text"), model))
-    known = (F.col("_told.lang_pred") != langid.UNKNOWN) & (F.col("_told.score") >= LEAST_LANGUAGE_SCORE)
-    return told.where(known).select(*docs.columns)
+    told = packed(docs, "text").select("_row", langid.predict(F.col("text"), model).alias("told"))
+    known = (F.col("told.lang_pred") != langid.UNKNOWN) & (F.col("told.score") >= LEAST_LANGUAGE_SCORE)
+    return told.where(known).select("_row.*")
 
 
 def keep_one_of_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -39,12 +44,12 @@ def keep_one_of_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -
     ).distinct()
     own = "group, if(group is null, _id, 0L), if(group is null, _tag, 0L)"
     kept = kept.selectExpr("*", f"row_number() over (partition by {own} order by _id, _tag) as _place").where("_place = 1")
-    rows = docs.withColumns({
-        "_id": F.coalesce("doc_id", F.lit(-9223372036854775808)), "_tag": near_dup.row_tag(F.col("text")),
-    })
+    rows = packed(docs, "doc_id", "text").select(
+        "_row", F.coalesce(F.col("doc_id").cast("long"), F.lit(-9223372036854775808)).alias("_id"), near_dup.row_tag(F.col("text")).alias("_tag"),
+    )
     # same keys: what is joined is already dealt out as the repeats need it
     rows = rows.join(kept.select("_id", "_tag"), ["_id", "_tag"]).dropDuplicates(["_id", "_tag"])
-    return rows.select(*docs.columns)
+    return rows.select("_row.*")
 
 
 def cut_repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -53,15 +58,17 @@ def cut_repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) ->
     Where a cut falls inside a character, the rest of that character goes too; nothing else changes.
     """
     prepare(spark)
-    cut = suffix_dedup.drop_repeated(docs, words=PASSAGE_WORDS, characters=True).where("octet_length(kept) > 0 or n_removed = 0")
-    text = F.when(F.col("n_removed") == 0, F.col("text")).otherwise(F.col("kept").cast("string"))
-    return cut.withColumn("text", text).withColumn("n_chars", F.length("text").cast("long")).select(*docs.columns)
+    cut = suffix_dedup.drop_repeated(packed(docs, "doc_id", "text"), words=PASSAGE_WORDS)
+    cut = cut.where("octet_length(kept_text) > 0 or n_removed = 0")
+    text = F.when(F.col("n_removed") == 0, F.col("text")).otherwise(F.col("kept_text"))
+    own = {"text": text, "n_chars": F.length(text).cast("long")}
+    return cut.select(*[own[c].alias(c) if c in own else F.col(f"_row.`{c}`") for c in docs.columns])
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Repeat and leave out documents so that source shares of the text follow the target weights."""
     prepare(spark)
-    return mixing.mix(docs).select(*docs.columns)
+    return mixing.mix(packed(docs, "doc_id", "source", "text")).select("_row.*")
 
 
 def encode_texts(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -70,11 +77,11 @@ def encode_texts(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
     path, pattern = public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN
     ids = docs.select(
         "doc_id", "lang", "source", F.sha2(F.coalesce("text", F.lit("")), 256).alias("text_sha256"),
-        bpe_tree.encode(F.col("text"), path, pattern).alias("ids"),
+        bpe_tree.round_trip(F.col("text"), path, pattern).alias("done"),
     )
     return ids.select(
-        "doc_id", "lang", "source", (F.octet_length("ids") / 4).cast("long").alias("n_tokens"), "ids", "text_sha256",
-        F.sha2(bpe_tree.decode(F.col("ids"), path, pattern), 256).alias("decoded_sha256"),
+        "doc_id", "lang", "source", (F.octet_length("done.ids") / 4).cast("long").alias("n_tokens"), F.col("done.ids").alias("ids"),
+        "text_sha256", F.sha2("done.data", 256).alias("decoded_sha256"),
     )
 
 
