@@ -12,7 +12,7 @@ import pyarrow as pa
 import pyarrow.fs
 from pyspark.sql import DataFrame, SparkSession
 
-from tidemark.session import MAX_PARTITIONS, PARTITION_BYTES, configure, run_folder
+from tidemark.session import MAX_PARTITIONS, PARTITION_BYTES, configure, run_folder, stage
 
 # What separates words.
 WORD_GAP = r"[\x20\x09-\x0D]+"
@@ -83,6 +83,34 @@ def bytes_of(column: pa.Array) -> list[bytes]:
     return [value or b"" for value in column.cast(pa.binary()).to_pylist()]
 
 
+class Scratch:
+    """Tables that only one computation reads, in a folder of its own below the shared one.
+
+    ``result`` writes what it comes to and removes the folder, so nothing that is read later depends on it. Shuffles
+    behind written tables are given back too: Spark keeps their files until the driver collects its garbage.
+    """
+
+    def __init__(self, spark: SparkSession, label: str):
+        self.spark, self.label, self.folder, self.tables = spark, label, run_folder(spark, f"{label}-scratch"), 0
+
+    def stage(self, df: DataFrame, name: str) -> DataFrame:
+        self.tables += 1
+        path = f"{self.folder}/{name}-{self.tables}"
+        df.write.parquet(path)
+        return self.spark.read.schema(df.schema).parquet(path)
+
+    def release(self) -> None:
+        gc.collect()
+        self.spark._jvm.System.gc()
+
+    def result(self, df: DataFrame) -> DataFrame:
+        written = stage(df, self.label)
+        folder = self.spark._jvm.org.apache.hadoop.fs.Path(self.folder)
+        folder.getFileSystem(self.spark._jsc.hadoopConfiguration()).delete(folder, True)
+        self.release()
+        return written
+
+
 def trim() -> None:
     """Hand back what a worker has freed: it lives on for tasks of other kinds, beside others of its executor."""
     gc.collect()

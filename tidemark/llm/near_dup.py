@@ -27,8 +27,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import GAP_BYTES, bytes_of, mix
-from tidemark.session import stage
+from tidemark.llm.common import GAP_BYTES, Scratch, bytes_of, mix
 
 SHINGLE = 5
 COORDINATES = 64
@@ -178,11 +177,12 @@ def _confirm(pairs: DataFrame, texts: DataFrame) -> DataFrame:
     return pairs.where(similar("t_a", "t_b")).select("a", "b")
 
 
-def connect(links: DataFrame) -> DataFrame:
+def connect(links: DataFrame, stage) -> DataFrame:
     """(node, component) of every node with a link; the component is its smallest node.
 
     Alternates two steps until nothing changes: all larger neighbours of a node, then all smaller ones, move
-    to its smallest neighbour. The number of rounds is about the logarithm of the longest path.
+    to its smallest neighbour. The number of rounds is about the logarithm of the longest path. ``stage`` writes each
+    round as a table and reads it again.
     """
     def mark(table: DataFrame):
         return table.agg(F.count("*"), F.bit_xor(F.xxhash64("u", "v"))).first()
@@ -201,9 +201,9 @@ def connect(links: DataFrame) -> DataFrame:
     return stars.unionByName(stars.select("component", "component").distinct().toDF("node", "component"))
 
 
-def _across(stars: DataFrame, labels: DataFrame, classes: DataFrame, texts: DataFrame) -> DataFrame:
+def _across(stars: DataFrame, labels: DataFrame, classes: DataFrame, texts: DataFrame, stage) -> DataFrame:
     """Links between components of a family, enough to connect what belongs together."""
-    told = connect(stars).withColumnRenamed("component", "family").join(labels, "node", "left")
+    told = connect(stars, stage).withColumnRenamed("component", "family").join(labels, "node", "left")
     told = stage(told.withColumn("component", F.coalesce("component", "node")), "families")
     sized = told.join(texts.select("node", F.octet_length("text").alias("bytes")), "node")
     blocks = F.greatest(F.col("size") / BLOCK, F.col("bytes") / BLOCK_BYTES)
@@ -323,6 +323,8 @@ def _links_across(left: tuple, right: tuple) -> list[tuple[int, int]]:
 
 def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
     """One row per input row: id, tag, n_shingles, group (number of its component, null for an empty set), component_id, kept."""
+    scratch = Scratch(docs.sparkSession, "components")
+    stage = scratch.stage
     rows = stage(features(docs, key, text), "signatures")
     # numbers for the classes; the table is written, so they stay as they are
     classes = stage(
@@ -342,20 +344,22 @@ def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text") ->
         F.col(key).cast("long").alias("id"), row_tag(F.col(text)).alias("tag"), F.col(text).cast("binary").alias("text")
     )
     texts = stage(_texts_of_nodes(source, wanted), "texts")
+    scratch.release()
 
     links = stage(_confirm(best, texts), "links")
-    labels = stage(connect(links), "labels")
-    more = stage(_across(stars, labels, classes, texts), "links")
+    labels = stage(connect(links, stage), "labels")
+    more = stage(_across(stars, labels, classes, texts, stage), "links")
     if not more.isEmpty():
-        labels = stage(connect(links.unionByName(more)), "labels")
+        labels = stage(connect(links.unionByName(more), stage), "labels")
     told = classes.join(labels, "node", "left").withColumn("component", F.coalesce("component", "node"))
     ids = told.groupBy("component").agg(F.min("least_id").alias("component_id"))
     told = told.join(ids, "component").select("class", F.col("component").alias("group"), "component_id")
     # the class of an empty set is null and joins nothing: such a row is its own component
-    return rows.join(told, "class", "left").select(
+    told = rows.join(told, "class", "left").select(
         "id", "tag", F.col("n").alias("n_shingles"), "group",
         F.when(F.col("class").isNull(), F.col("id")).otherwise(F.col("component_id")).alias("component_id"),
-    ).withColumn("kept", F.col("id").eqNullSafe(F.col("component_id")))
+    )
+    return scratch.result(told).withColumn("kept", F.col("id").eqNullSafe(F.col("component_id")))
 
 
 def _texts_of_nodes(source: DataFrame, wanted: DataFrame) -> DataFrame:

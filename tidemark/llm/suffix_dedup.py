@@ -39,8 +39,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import GAP_BYTES, bytes_of, mix
-from tidemark.session import stage
+from tidemark.llm.common import GAP_BYTES, Scratch, bytes_of, mix
 
 SEED = 64
 GROUP = 4_000
@@ -399,16 +398,17 @@ def row_tag(text: Column) -> Column:
     return F.xxhash64(F.coalesce(text, F.lit("")))
 
 
-def _by_seed(texts: DataFrame, length: int, group: int, units: Units) -> tuple[DataFrame, DataFrame]:
+def _by_seed(texts: DataFrame, length: int, group: int, units: Units, scratch: Scratch) -> tuple[DataFrame, DataFrame]:
     """Spans that are settled without a sort, and the stretches that need one."""
     listed = _list_anchors(texts, length, units)
     if units.words:  # words are cheap to list twice, and few of their seeds repeat
         listed = listed.join(listed.groupBy("seed").count().where("count > 1").select("seed"), "seed", "left_semi")
-    listed = stage(listed, "anchors")
+    listed = scratch.stage(listed, "anchors")
     whole = listed.groupBy("seed", "digest").agg(
         F.count("*").alias("copies"), F.min(F.struct("id", "tag", "anchor", "first", "last")).alias("one")
     )
-    whole = stage(whole, "stretches")
+    whole = scratch.stage(whole, "stretches")
+    scratch.release()
     seeds = whole.groupBy("seed").agg(
         F.sum("copies").alias("all_copies"), F.count("*").alias("kinds"),
         F.count(F.when(F.col("copies") == 1, 1)).alias("singles"),
@@ -428,15 +428,17 @@ def repeated_spans(
     """
     texts = docs.select(F.col(key).cast("long").alias("id"), row_tag(F.col(text)).alias("tag"), F.col(text).alias("text"))
     rules = [(BYTES, length), *([(WORDS, words)] if words else [])]
-    settled, wanted = zip(*(_by_seed(texts, size, group, units) for units, size in rules), strict=True)
-    stretches = stage(_fetch(texts, reduce(DataFrame.unionByName, wanted), rules), "fetched")
+    scratch = Scratch(docs.sparkSession, "spans")
+    settled, wanted = zip(*(_by_seed(texts, size, group, units, scratch) for units, size in rules), strict=True)
+    stretches = scratch.stage(_fetch(texts, reduce(DataFrame.unionByName, wanted), rules), "fetched")
+    scratch.release()
     spans = []
     for (units, size), done in zip(rules, settled, strict=True):
         own = stretches.where(F.col("words") == units.words)
         near = _sort_groups(own.where("not hot"), size, units)
         found = done.unionByName(near).unionByName(_count_windows(own.where("hot"), size, units))
         spans.append(found.withColumn("words", F.lit(units.words)))
-    return reduce(DataFrame.unionByName, spans)
+    return scratch.result(reduce(DataFrame.unionByName, spans).distinct())
 
 
 def drop_repeated(
