@@ -225,6 +225,46 @@ def bootstrap_steps(source: str, groups: str, key: str, value: str) -> dict[str,
     }
 
 
+SPLITS = 8
+RESAMPLE_BLOCK = 16
+
+
+def resample_steps(source: str, order: str, value: str, block: int) -> dict[str, str]:
+    """Fixed-n draws per ``bucket``: counts per block down a tree of up to 2 ** SPLITS blocks, then rows inside blocks."""
+    p = LEHMER_PRIME
+    md5 = "('0x' || substr(md5(concat_ws('|', {})), 1, {}))::bigint"
+    steps = {
+        "placed": f"select bucket, {value} as x, row_number() over (partition by bucket order by {order}) - 1 as i, count(*) over (partition by bucket) as n from {source}",
+        "t0": f"select bucket, epoch_us(bucket) as label, n, b, 0::bigint as lo, ceil(n / {float(block)})::bigint as hi, n as k from (select distinct bucket, n from placed), range({REPLICATES}) r(b)",
+    }
+    for level in range(SPLITS):
+        steps[f"s{level}"] = f"""
+select *, (lo + hi) // 2 as mid, ((lo + hi) // 2 - lo) * {float(block)} / (least(hi * {block}, n) - lo * {block}) as p,
+  {md5.format("'split', label, lo, hi, b", 13)} / 4503599627370496.0::double as u from t{level} where hi - lo > 1"""
+        steps[f"c{level}"] = f"""
+select bucket, b, lo, count(*) filter (below <= u) as x from (
+  select *, sum(exp(lgamma(k + 1) - lgamma(j + 1) - lgamma(k - j + 1) + j * ln(p) + (k - j) * ln(1 - p)))
+    over (partition by bucket, b, lo order by j) as below
+  from (select *, unnest(range(k)) as j from s{level})) group by bucket, b, lo"""
+        steps[f"t{level + 1}"] = f"""
+select bucket, label, n, b, lo, hi, k from t{level} where hi - lo <= 1
+union all select bucket, label, n, b, lo, mid, coalesce(x, 0) from s{level} left join c{level} using (bucket, b, lo)
+union all select bucket, label, n, b, mid, hi, k - coalesce(x, 0) from s{level} left join c{level} using (bucket, b, lo)"""
+    powers = f"""
+with recursive f(j, v) as (select 0::bigint, {LEHMER_FACTOR}::bigint
+  union all select j + 1, v * {LEHMER_FACTOR} % {p} from f where j < (select max(k) from t{SPLITS}))
+select j, v from f"""
+    steps |= {
+        "powers": powers,
+        "drawn": f"""
+select bucket, b, lo * {block} + seed * v % {p} * (least((lo + 1) * {block}, n) - lo * {block}) // {p} as i
+from (select *, {md5.format("'draw', label, lo, b", 8)} % {p - 1} + 1 as seed from t{SPLITS}) join powers on j < k""",
+        "replicates": "select bucket, b, avg(x) as mean, count(*) as w from drawn join placed using (bucket, i) group by bucket, b",
+        "ends": "select bucket, quantile_cont(mean, 0.025) as ci_lo, quantile_cont(mean, 0.975) as ci_hi, min(w) as w_lo, max(w) as w_hi from replicates group by bucket",
+    }
+    return steps
+
+
 def spine(source: str, micros: int) -> str:
     return f"""select unnest(generate_series(min(bucket), max(bucket), to_microseconds({micros}))) as bucket from {source}"""
 

@@ -395,6 +395,21 @@ def bootstrap_intervals(spark, sf):
     return signals.select(shown("timestamp"), r("signal"), "n", r("ci_lo"), r("ci_hi"))
 
 
+@register("bootstrap_intervals_fixed_n", o.query(f"""
+select {o.shown('bucket')} as timestamp, {o.r('signal')} as signal, n, {o.r('ci_lo')} as ci_lo, {o.r('ci_hi')} as ci_hi
+from observed join ends using (bucket)""", *o.SIGNAL_STEPS, extra={
+    "binned": f"select {o.bucket('timestamp', 2 * o.HOUR)} as bucket, uid, source_file, composite_signal from composite",
+    "observed": "select bucket, avg(composite_signal) as signal, count(*) as n from binned group by 1",
+    **o.resample_steps("binned", "source_file, uid, composite_signal", "composite_signal", o.RESAMPLE_BLOCK)}))
+def bootstrap_intervals_fixed_n(spark, sf):
+    """Blocks are small here, so that the tree has several levels in most buckets."""
+    scores = composed(spark, sf)
+    signals = buckets.aggregate_signals(
+        scores, "2h", gaps=False, key=row_keys(scores), method="resample", block=o.RESAMPLE_BLOCK
+    )
+    return signals.select(shown("timestamp"), r("signal"), "n", r("ci_lo"), r("ci_hi"))
+
+
 @register("bootstrap_intervals_by_hashtag", o.query(f"""
 select {o.shown('bucket')} as timestamp, hashtag_primary, {o.r('signal')} as signal, n, {o.r('ci_lo')} as ci_lo, {o.r('ci_hi')} as ci_hi
 from observed join ends using (bucket, hashtag_primary)""", *o.SIGNAL_STEPS, extra={

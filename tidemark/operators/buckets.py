@@ -8,7 +8,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.operators import bootstrap
+from tidemark.operators import bootstrap, resampling
 from tidemark.session import settle
 
 DAY = 86_400_000_000
@@ -103,11 +103,13 @@ def aggregate_signals(
     gaps: bool | None = None,
     key: Sequence[str] = ("uid",),
     value: str = "composite_signal",
+    block: int = resampling.BLOCK,
 ) -> DataFrame:
     """``timestamp, [by], signal, n, ci_lo, ci_hi``.
 
     Empty buckets are filled in for the plain series; with ``by`` only if asked
-    for. ``method`` is ``poisson`` or ``none`` (no intervals).
+    for. ``method`` is ``poisson``, ``resample`` (as many draws as a bucket has rows, divided
+    over blocks of ``block`` rows) or ``none`` (no intervals).
     """
     gaps = not by if gaps is None else gaps
     if method == "none":
@@ -119,6 +121,8 @@ def aggregate_signals(
         groups = ["timestamp", *by]
         if method == "poisson":
             signals = bootstrap.poisson_intervals(bucketed, groups, key, replicates, alpha)
+        elif method == "resample":
+            signals = resampling.resampled_intervals(bucketed, groups, key, replicates, alpha, block)
         else:
             raise ValueError(f"unknown bootstrap method {method!r}")
     return fill_gaps(settle(signals), freq, by) if gaps else signals
