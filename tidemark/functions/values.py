@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Sequence
 
 from pyspark.sql import Column
@@ -56,12 +57,40 @@ def coerce_int(value: Column, data_type: T.DataType) -> Column:
     return F.coalesce(number, F.lit(0).cast("bigint"))
 
 
+def _shape(layout: str) -> str:
+    """A pattern that every text of a time layout matches: which of its characters are digits, letters or signs."""
+    if "'" in layout:
+        return ".*"
+    out = []
+    for run in re.finditer(r"([A-Za-z])\1*|.", layout):
+        part = run.group()
+        if part in "[]":
+            out.append("(?:" if part == "[" else ")?")
+        elif part[0] in "yudHhmsk" or part in ("M", "MM"):
+            out.append("[0-9]+")
+        elif part[0] == "M":
+            out.append(r"[\p{L}.]+")
+        elif part[0] == "a":
+            out.append("[APap][Mm]")
+        elif part[0].isalpha():
+            out.append(".+")
+        else:
+            out.append(re.escape(part))
+    return f"^{''.join(out)}$"
+
+
 def _text_to_utc(text: Column, layouts: Sequence[str]) -> Column:
     bare = _stripped(text)
     iso = F.when(bare.rlike(r"^[0-9]{4}($|-[0-9]{1,2}($|-[0-9]{1,2}($|[T ]+[0-9:.]+[^apAP]*$)))"), F.try_to_timestamp(bare))
     undated = F.regexp_replace(F.regexp_replace(bare, _WEEKDAY, ""), r"(?i)\s*([ap])\.?m\.?$", " $1M")
     undated = F.regexp_replace(F.regexp_replace(undated, " aM$", " AM"), " pM$", " PM")
-    return F.coalesce(iso, *[F.try_to_timestamp(undated, F.lit(layout)) for layout in layouts])
+
+    def by_shape(shown: Column) -> Column:
+        # a text that can't have a layout is never parsed by it: a failing parse costs far more than a failing match
+        return F.coalesce(*[F.when(shown.rlike(_shape(layout)), F.try_to_timestamp(shown, F.lit(layout))) for layout in layouts])
+
+    # in an array of one, so that the cleaned text is computed once for all layouts
+    return F.coalesce(iso, F.get(F.transform(F.array(undated), by_shape), F.lit(0))) if layouts else iso
 
 
 def to_utc(
