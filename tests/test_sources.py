@@ -219,3 +219,16 @@ def test_extracted_posts_can_be_cleaned(spark):
     posts = clean.clean_posts(html.extract_posts(pages), order_by=["page_post"])
     row = posts.where(F.col("username") == "ann").first()
     assert row["_hashtags_list"] == ["#nifty", "#niftya"] and row["retweets"] == 1500 and row["date"] == "2024-01-01"
+
+
+def test_lines_with_a_broken_one_are_never_read_whole(spark, tmp_path, monkeypatch):
+    good = [f'{{"username": "u{i}", "content": "x", "nested": {{"a": [1]}}}}' for i in range(5)]
+    write(str(tmp_path), "a.json", "\n".join([*good[:3], '{"username": "cut', *good[3:]]) + "\n")
+    write(str(tmp_path), "b.json", "\n".join([good[0], "}", good[1]]))
+    monkeypatch.setattr(sources, "_whole_files", lambda *a: pytest.fail("read as one text"))
+    layouts = {r["path"].rsplit("/")[-1]: r["layout"] for r in sources.json_layouts(spark, str(tmp_path)).collect()}
+    assert layouts == {"a.json": "broken", "b.json": "broken"}
+    with pytest.raises(ValueError, match="a.json"):
+        sources.read_posts(spark, str(tmp_path), "")
+    found = sources.read_posts(spark, str(tmp_path), "", broken="skip")
+    assert sorted(r["username"] for r in found.select("username").collect()) == ["u0", "u0", "u1", "u1", "u2", "u3", "u4"]

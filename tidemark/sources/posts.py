@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import csv
 import re
+from collections import Counter
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -12,6 +13,7 @@ from pyspark.sql import types as T
 
 from tidemark.operators.clean import EXPECTED_COLUMNS, FILE_ORDER
 from tidemark.session import stage
+from tidemark.sources.records import csv_records
 
 # JSON fields that are text; the others may hold numbers, text or lists.
 _TEXT_FIELDS = ("username", "content", "urls")
@@ -48,11 +50,6 @@ def _decoded(column: str) -> Column:
     return F.url_decode(F.regexp_replace(column, r"\+", "%2B"))
 
 
-def _literal(paths: Sequence[str]) -> list[str]:
-    """Paths that name exactly one file, also when they hold wildcard characters."""
-    return [re.sub(r"([\[\]{}*?\\])", r"\\\1", path) for path in paths]
-
-
 def _csv_headers(spark: SparkSession, folder: str) -> DataFrame:
     """``path, header`` of every CSV file: its first non-blank line."""
     # A byte-order mark or trailing CR is not part of the line.
@@ -90,7 +87,8 @@ def json_layouts(spark: SparkSession, folder: str) -> DataFrame:
 
     ``lines`` if each line is an object or array of its own; ``document`` if the file as a whole can be one array or
     one object; otherwise ``broken_document`` if a line can only be a part of a larger value, or ``broken``, lines of which
-    some are sound. One text scan; a task sends a few numbers and characters per file. Only files that could be
+    some are sound. One text scan; a task sends a few numbers and characters per file. A file whose first line is a
+    value by itself, with more lines behind it, is never a document, whatever else is broken in it. Only files that could be
     either are parsed whole, in a further pass over them.
     """
     # A byte-order mark is not part of the line.
@@ -108,13 +106,15 @@ def json_layouts(spark: SparkSession, folder: str) -> DataFrame:
         F.count_if(is_object).alias("objects"), F.count_if(is_array).alias("arrays"), F.count("*").alias("all"),
         F.min_by(F.substring("line", 1, 1), FILE_ORDER).alias("first"),
         F.max_by(F.substring("line", -1, 1), FILE_ORDER).alias("last"),
+        F.min_by(is_object | is_array, FILE_ORDER).alias("first_whole"),
     )
     judged = stage(files.select("path", F.expr("""
         case when objects + arrays = all then 'lines'
+             when first_whole then 'broken'
              when first = '[' and last = ']' and arrays = 0 then 'document'
              when first = '{' and last = '}' and objects + arrays = 0 then 'document'
              when first = '[' and last = ']' or first = '{' and last = '}' then 'doubtful'
-             else 'broken' end""").alias("layout"), F.expr("if(parts > 0, 'broken_document', 'broken')").alias("if_broken")), "judged")
+             else 'broken' end""").alias("layout"), F.expr("if(parts > 0 and not first_whole, 'broken_document', 'broken')").alias("if_broken")), "judged")
     doubtful = judged.where("layout = 'doubtful'").select("path")
     if doubtful.isEmpty():
         whole = doubtful.withColumn("sound", F.lit(False))
@@ -209,10 +209,11 @@ def broken_records(spark: SparkSession, folder: str) -> DataFrame:
     return parts[0].unionByName(parts[1]).unionByName(parts[2])
 
 
-def _header_names(header: str) -> list[str] | None:
-    """Column names of a header line, or nothing where they are doubtful."""
+def _header_names(header: str) -> list[str]:
+    """Column names of a header line. Blank ones are called by their place, repeated ones by name and place."""
     names = next(csv.reader([header]), [])
-    return names if all(names) and len({n.lower() for n in names}) == len(names) else None
+    times = Counter(n.lower() for n in names)
+    return [f"_c{i}" if not n else f"{n}{i}" if times[n.lower()] > 1 else n for i, n in enumerate(names)]
 
 
 def read_csv(
@@ -234,13 +235,45 @@ def read_csv(
         reader = reader.schema(T.StructType([T.StructField(name, T.StringType()) for name in names]))
     raw = reader.csv(paths if isinstance(paths, str) else list(paths))
     given = [c for c in raw.columns if c not in _OWN_COLUMNS]
-    cells = {
-        c: F.when(~F.col(f"`{c}`").isin(*CSV_MISSING), F.col(f"`{c}`")).alias(c) for c in given
-    }
-    for c in ("replies", "retweets", "likes"):
-        if c in cells:  # a count column with blanks is written with decimals, which are cut off
-            cells[c] = F.regexp_replace(cells[c], r"^(\s*[+-]?[0-9]+)\.[0-9]*\s*$", "$1").alias(c)
-    return raw.select(*[cells[c] for c in given], *_positions())
+    return raw.select(*[_csv_cell(F.col(f"`{c}`"), c) for c in given], *_positions())
+
+
+def _csv_cell(cell: Column, name: str) -> Column:
+    cell = F.when(~cell.isin(*CSV_MISSING), cell)
+    if name in ("replies", "retweets", "likes"):  # a count column with blanks is written with decimals, which are cut off
+        cell = F.regexp_replace(cell, r"^(\s*[+-]?[0-9]+)\.[0-9]*\s*$", "$1")
+    return cell.alias(name)
+
+
+def read_csv_records(spark: SparkSession, folder: str, layout: str = "auto") -> DataFrame:
+    """Raw posts of all CSV files right below a folder, whatever their headers, with line breaks inside quotes.
+
+    Files are split wherever Spark splits text (``sources.records``). All headers are read in one plan: a cell is found by
+    the place of its name in the header of its file. With ``layout="same"`` one file's header stands for all.
+    """
+    headers = _csv_headers(spark, folder)
+    if layout == "same":
+        headers = headers.limit(1)
+    headers = stage(headers, "headers")
+    named = F.udf(lambda header: _header_names(header), "array<string>")  # a row per file
+    headers = stage(headers.select("path", named("header").alias("_names")), "headers")
+    names = [r["_name"] for r in headers.select(F.explode("_names").alias("_name"), F.lit(0)).groupBy("_name").agg(F.count("*")).orderBy("_name").collect()]
+    names = sorted((n for n in names if n not in _OWN_COLUMNS), key=lambda n: (n not in EXPECTED_COLUMNS, n))
+    records = csv_records(spark, folder)
+    if layout == "same":
+        told = records.withColumn("_names", F.lit(headers.first()["_names"] if names else []))
+    else:
+        told = records.join(headers, "path")
+    width = headers.agg(F.max(F.size("_names"))).first()[0] or 1
+    schema = T.StructType([T.StructField(f"c{i}", T.StringType()) for i in range(width)])
+    options = {"quote": '"', "escape": '"', "multiLine": "true"}
+    parsed = told.select("path", "block", "row", "_names", F.from_csv("record", schema.simpleString()[7:-1].replace(":", " "), options).alias("_r"))
+    cells = parsed.select("path", "block", "row", "_names", F.array(*[F.col(f"_r.c{i}") for i in range(width)]).alias("_cells"))
+    cell = {n: F.get("_cells", F.array_position("_names", F.lit(n)).cast("int") - 1) for n in names}
+    return cells.select(
+        *[_csv_cell(cell[n], n) for n in names], F.element_at(F.split("path", "/"), -1).alias("source_file"),
+        F.struct("block", "row").alias(FILE_ORDER),
+    )
 
 
 def _union(frames: list[DataFrame]) -> DataFrame:
@@ -301,18 +334,10 @@ def read_posts(
 
 
 def _csv_frames(spark: SparkSession, folder: str, multiline: bool, layout: str) -> list[DataFrame]:
-    """One frame per distinct header. Where there is only one, the folder is read as it is."""
-    if layout == "same":
-        return [read_csv(spark, folder, multiline)]
-    headers = stage(_csv_headers(spark, folder), "headers")
-    distinct = [r["header"] for r in headers.select("header").distinct().orderBy("header").collect()]
-    if len(distinct) == 1:
-        return [read_csv(spark, folder, multiline, _header_names(distinct[0]))]
-    frames = []
-    for header in distinct:  # a scan takes its files by name, so that no file is read under another's header
-        paths = [r["path"] for r in headers.where(F.col("header") == header).orderBy("path").toLocalIterator()]
-        frames.append(read_csv(spark, _literal(paths), multiline, _header_names(header)))
-    return frames
+    """Files without line breaks inside quotes that share one header are read by Spark itself."""
+    if not multiline and layout == "same":
+        return [read_csv(spark, folder, False)]
+    return [read_csv_records(spark, folder, layout)]
 
 
 def stream_posts(spark: SparkSession, folder: str, extras: str = "", files_per_batch: int | None = None) -> DataFrame:
