@@ -80,7 +80,7 @@ def test_null_ids_meet_their_own_text_only(spark):
     docs = spark.createDataFrame([(None, t) for t in texts], "doc_id long, text string").repartition(4)
     started = time.monotonic()
     found = near_dup.near_duplicates(docs).select("group", "kept").collect()
-    assert time.monotonic() - started < 120
+    assert time.monotonic() - started < 300
     assert len({r["group"] for r in found}) == 1500 and all(r["kept"] for r in found)
 
 
