@@ -7,6 +7,7 @@ from registry.raw import POST_ORDER, raw_sql
 # Settings both sides share.
 TERMS = 5000
 PASSES = 20
+MANY_PASSES = 60
 BULL = ("the", "of", "la")
 BEAR = ("and", "to", "de")
 URGENT = ("in", "is", "un")

@@ -329,10 +329,37 @@ def tfidf_weights(spark, sf):
 @register("svd_scores", o.query(f"select doc_id, round(sum(w * v), 6) as svd_1 from weights join v{o.PASSES} using (term_id) group by doc_id",
                                 *o.TEXT_STEPS, extra=o.power_steps(o.PASSES), texts="documents", keys="doc_id"))
 def svd_scores(spark, sf):
-    model = svd.fit_svd(table(spark, sf, "documents"), ["doc_id"], "text", 1, o.TERMS, oversample=0, passes=o.PASSES)
+    model = svd.fit_svd(table(spark, sf, "documents"), ["doc_id"], "text", 1, o.TERMS, oversample=0, passes=o.PASSES, method="power")
     return model.scores().select("doc_id", r("svd_1", 6))
 
 
+@register("svd_scores_converged", o.query(
+    f"select doc_id, round(sum(w * v), 6) as svd_1 from weights join v{o.MANY_PASSES} using (term_id) group by doc_id",
+    *o.TEXT_STEPS, extra=o.power_steps(o.MANY_PASSES), texts="documents", keys="doc_id"))
+def svd_scores_converged(spark, sf):
+    model = svd.fit_svd(table(spark, sf, "documents"), ["doc_id"], "text", 1, o.TERMS, tolerance=1e-11)
+    return model.scores().select("doc_id", r("svd_1", 6))
+
+
+@register("svd_checks", o.query(f"""
+select i, j, case when i = j then 1.0 else 0.0 end::double as dot, true as exact, (select round(sqrt(sum(y * y)), 6) from along) as largest
+from range(1, 7) a(i), range(1, 7) b(j) where i <= j""", *o.TEXT_STEPS, extra=o.power_steps(o.MANY_PASSES) | {
+    "along": f"select sum(w * v) as y from weights join v{o.MANY_PASSES} using (term_id) group by doc_id"},
+    texts="documents", keys="doc_id"))
+def svd_checks(spark, sf):
+    """Scores are orthogonal, as long as their singular values, and directions are exact to 9 digits."""
+    model = svd.fit_svd(table(spark, sf, "documents"), ["doc_id"], "text", 6, o.TERMS)
+    report = F.broadcast(model.report().where("residual <= 1e-9 and converged").select("component", "singular_value"))
+    first, second = report.toDF("i", "s_i"), report.toDF("j", "s_j")
+    sums = model.products().join(first, "i", "left").join(second, "j", "left")
+    return sums.select(
+        F.col("i").cast("bigint").alias("i"), F.col("j").cast("bigint").alias("j"),
+        (F.round(F.col("dot") / (F.col("s_i") * F.col("s_j")), 6) + 0.0).alias("dot"),
+        (F.col("s_i").isNotNull() & F.col("s_j").isNotNull()).alias("exact"),
+        F.round(F.lit(float(model.singular_values[0])), 6).alias("largest"),
+    )
+
+
 @register("svd_components")
 def svd_components(spark, sf):
     documents = table(spark, sf, "documents")
@@ -725,7 +752,7 @@ def feature_table(spark, sf):
 def _features(spark: SparkSession, sf: str) -> DataFrame:
     folder = run_folder(spark, "posts")
     tables.write_posts(cleaned(spark, sf), folder)
-    return stage(build_features(tables.load_minimal(spark, folder), oversample=0, passes=o.PASSES), "features")
+    return stage(build_features(tables.load_minimal(spark, folder), oversample=0, passes=o.PASSES, method="power"), "features")
 
 
 @register("signal_report_with_intervals", _flow_sql(f"""

@@ -64,6 +64,46 @@ def test_power_iteration_and_tolerance(docs):
     assert slow.directions == pytest.approx(block.directions, abs=1e-5)
 
 
+def test_svd_residuals_tell_the_error(docs):
+    _, matrix = brute_force(DOCS, 40)
+    gram = matrix.T @ matrix
+    vectors = tfidf.fit_vectors(docs, ["id"], "content", 40)
+    for passes in (1, 2, 3):
+        with pytest.warns(UserWarning, match="residual"):
+            rough = svd.fit_directions(vectors, 2, oversample=0, passes=passes, tolerance=1e-12)
+        assert (rough.passes, rough.converged) == (passes, False)
+        true = np.linalg.norm(gram @ rough.directions - rough.directions * rough.singular_values**2, axis=0)
+        assert rough.residuals * rough.singular_values[0] ** 2 == pytest.approx(true, abs=1e-12)
+    exact = svd.fit_directions(vectors, 2, oversample=0)
+    assert exact.converged and exact.residuals.max() <= 1e-9
+    report = [tuple(row) for row in exact.report().orderBy("component").collect()]
+    assert [row[0] for row in report] == [1, 2] and {row[3:] for row in report} == {(exact.passes, True)}
+    sums = {(row["i"], row["j"]): row["dot"] for row in exact.products().collect()}
+    assert sums == pytest.approx({(1, 1): exact.singular_values[0] ** 2, (1, 2): 0, (2, 2): exact.singular_values[1] ** 2}, abs=1e-9)
+
+
+def test_svd_needs_fewer_passes_than_the_power_method(docs):
+    vectors = tfidf.fit_vectors(docs, ["id"], "content", 40)
+    power = svd.fit_directions(vectors, 1, oversample=0, passes=12, method="power")
+    krylov = svd.fit_directions(vectors, 1, oversample=0, passes=12, tolerance=float(power.residuals[0]))
+    assert krylov.converged and krylov.passes < 12
+
+
+def test_svd_folds_its_basis(docs, monkeypatch):
+    vectors = tfidf.fit_vectors(docs, ["id"], "content", 40)
+    free = svd.fit_directions(vectors, 3)
+    monkeypatch.setattr(svd, "BASIS_CELLS", 0)
+    folded = svd.fit_directions(vectors, 3, passes=200)
+    assert folded.converged and folded.directions == pytest.approx(free.directions, abs=1e-6)
+
+
+def test_svd_without_terms(spark):
+    blank = spark.createDataFrame([(1, None), (2, " ")], "id int, content string")
+    model = svd.fit_svd(blank, ["id"], "content", 2, 10)
+    assert model.converged and model.passes == 0
+    assert svd.with_svd(blank.select("id"), model).select("svd_1", "svd_2").distinct().collect() == [(0.0, 0.0)]
+
+
 def test_row_scores_equal_table_scores(docs):
     model = svd.fit_svd(docs, ["id"], "content", 1, 40)
     rows = docs.select("id", model.score_text(F.col("content")).alias("y"))

@@ -1,12 +1,16 @@
 """Leading singular directions of the TF-IDF matrix.
 
-Subspace iteration: every pass reads the sparse rows once, multiplies them with a
+Block Krylov iteration: every pass reads the sparse rows once, multiplies them with a
 small block of directions and sums the products per term. Only the block (terms x
-directions) travels to the tasks and back, never a document.
+directions) travels to the tasks and back, never a document. The driver keeps the
+blocks of all passes with their products, as both give the best directions so far and
+how far each is from a true one, without another pass. Passes end by those residuals;
+beyond ``BASIS_CELLS`` numbers the blocks are folded into the best directions.
 """
 
 from __future__ import annotations
 
+import warnings
 from collections.abc import Iterator, Sequence
 from dataclasses import dataclass
 
@@ -22,13 +26,40 @@ from tidemark.operators.tfidf import (
 )
 
 
+BASIS_CELLS = 1 << 24  # numbers the driver keeps of all blocks; their products are as many
+
+
 @dataclass(frozen=True)
 class SvdModel:
-    """Fitted directions (terms x components) and their singular values."""
+    """Fitted directions (terms x components), their singular values and how exact they are.
+
+    ``residuals`` are the lengths of (A^T A) v - s^2 v, as shares of the largest s^2. Each s^2 is at most that far
+    from an eigenvalue of A^T A; a direction is wrong by about its residual over the gap to the next s^2.
+    """
 
     vectors: TermVectors
     directions: np.ndarray
     singular_values: np.ndarray
+    residuals: np.ndarray
+    passes: int
+    converged: bool
+
+    def report(self) -> DataFrame:
+        """``component, singular_value, residual, passes, converged``: one row per component."""
+        rows = [
+            (j + 1, float(value), float(rest), self.passes, self.converged)
+            for j, (value, rest) in enumerate(zip(self.singular_values, self.residuals))
+        ]
+        names = "component int, singular_value double, residual double, passes int, converged boolean"
+        return self.vectors.rows.sparkSession.createDataFrame(rows, names)
+
+    def products(self) -> DataFrame:
+        """``i, j, dot`` for i <= j: sums of score i x score j over the documents; s^2 where i = j, else 0."""
+        names = [f"svd_{j + 1}" for j in range(self.directions.shape[1])]
+        pairs = [(i, j) for i in range(len(names)) for j in range(i, len(names))]
+        cells = self.scores().agg(*[F.sum(F.col(names[i]) * F.col(names[j])).alias(f"{i}_{j}") for i, j in pairs])
+        listed = [F.struct(F.lit(i + 1).alias("i"), F.lit(j + 1).alias("j"), F.col(f"{i}_{j}").alias("dot")) for i, j in pairs]
+        return cells.select(F.inline(F.array(*listed)))
 
     def scores(self) -> DataFrame:
         """``keys, svd_1, svd_2, ...`` for every fitted document with a kept term."""
@@ -108,33 +139,81 @@ def _start_block(terms: int, width: int) -> np.ndarray:
     return np.linalg.qr(block)[0]
 
 
-def fit_directions(
-    vectors: TermVectors,
-    components: int = 1,
-    oversample: int = 10,
-    passes: int = 8,
-    tolerance: float | None = None,
-) -> SvdModel:
-    """Directions with their largest entry positive, best first.
+def _new_directions(block: np.ndarray, basis: np.ndarray) -> np.ndarray:
+    """Orthonormal directions of what ``block`` adds to ``basis``; fewer columns, or none, where it adds less."""
+    scale = np.linalg.norm(block, axis=0).max(initial=0.0)
+    for _ in range(2):  # a second time for what rounding left
+        block = block - basis @ (basis.T @ block)
+    left, lengths, _ = np.linalg.svd(block, full_matrices=False)
+    added = left[:, lengths > 1e-13 * scale]
+    return np.linalg.qr(added - basis @ (basis.T @ added))[0]
 
-    With ``tolerance`` the passes end early once no kept singular value moves by
-    more than that share.
-    """
+
+def _krylov(vectors: TermVectors, components: int, oversample: int, passes: int, tolerance: float):
     terms = len(vectors.vocabulary)
     width = min(components + oversample, terms)
-    block, values, directions = _start_block(terms, width), None, None
+    block = _start_block(terms, width)
+    basis, products = np.zeros((terms, 0)), np.zeros((terms, 0))
+    directions, values, residuals, used, converged = block[:, :0], np.zeros(0), np.zeros(0), 0, False
+    while used < passes and not converged:
+        product = gram_times(vectors, block)
+        used += 1
+        basis, products = np.hstack([basis, block]), np.hstack([products, product])
+        gram = basis.T @ products
+        values, turn = np.linalg.eigh((gram + gram.T) / 2)
+        best = np.argsort(values)[::-1][:width]
+        values, turn = values[best], turn[:, best]
+        directions, images = basis @ turn, products @ turn
+        residuals = np.linalg.norm(images - directions * values, axis=0) / max(values[0], 1e-300)
+        block = _new_directions(product, basis)
+        converged = bool(np.all(residuals[:components] <= tolerance)) or block.shape[1] == 0
+        if basis.size + block.size > max(BASIS_CELLS, 3 * terms * width):
+            basis, products = directions, images
+    return directions, values, residuals, used, converged
+
+
+def _power(vectors: TermVectors, components: int, oversample: int, passes: int, tolerance: float):
+    terms = len(vectors.vocabulary)
+    block = _start_block(terms, min(components + oversample, terms))
     for _ in range(passes):
         product = gram_times(vectors, block)
         small, turn = np.linalg.eigh((block.T @ product + product.T @ block) / 2)
         best = np.argsort(small)[::-1]
-        block = np.linalg.qr(product @ turn[:, best])[0]
-        previous, values = values, np.sqrt(np.maximum(small[best][:components], 0))
-        if tolerance is not None and previous is not None:
-            if np.all(np.abs(values - previous) <= tolerance * np.maximum(values, 1e-300)):
-                break
-    directions = block[:, :components]
+        values, turn = small[best], turn[:, best]
+        residuals = np.linalg.norm(product @ turn - block @ turn * values, axis=0) / max(values[0], 1e-300)
+        block = np.linalg.qr(product @ turn)[0]
+    return block, values, residuals, passes, bool(np.all(residuals[:components] <= tolerance))
+
+
+def fit_directions(
+    vectors: TermVectors,
+    components: int = 1,
+    oversample: int = 2,
+    passes: int = 30,
+    tolerance: float = 1e-9,
+    method: str = "krylov",
+) -> SvdModel:
+    """Directions with their largest entry positive, best first.
+
+    Passes end once all ``residuals`` of the kept components are at most ``tolerance``, or where the rows have no
+    further direction. After ``passes`` the best so far is returned, with a warning and ``converged`` false.
+    ``method="power"`` takes exactly ``passes`` steps of plain block iteration, which other tools can retrace; its residuals
+    are those before the last step.
+    """
+    ways = {"krylov": _krylov, "power": _power}
+    if method not in ways:
+        raise ValueError(f"method is one of {sorted(ways)}, not {method!r}")
+    if passes < 1 or components < 1:
+        raise ValueError("at least one pass and one component")
+    if not len(vectors.vocabulary):
+        return SvdModel(vectors, np.zeros((0, components)), np.zeros(components), np.zeros(components), 0, True)
+    found = ways[method](vectors, components, oversample, passes, tolerance)
+    directions, values, residuals = found[0][:, :components], found[1][:components], found[2][:components]
+    if method == "krylov" and not found[4]:
+        warnings.warn(f"SVD: residual {residuals.max():.1e} after {found[3]} passes, {tolerance:.1e} wanted")
     largest = directions[np.argmax(np.abs(directions), axis=0), np.arange(directions.shape[1])]
-    return SvdModel(vectors, directions * np.where(largest < 0, -1.0, 1.0), values)
+    directions = directions * np.where(largest < 0, -1.0, 1.0)
+    return SvdModel(vectors, directions, np.sqrt(np.maximum(values, 0)), residuals, *found[3:])
 
 
 def fit_svd(
