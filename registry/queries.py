@@ -11,7 +11,7 @@ from pyspark.sql import types as T
 from registry import oracle as o
 from registry.raw import POST_ORDER, raw_posts, table
 from tidemark.functions import lexicon, text, values
-from tidemark.operators import buckets, clean, dedupe, features, series, summary, svd, tfidf
+from tidemark.operators import buckets, clean, dedupe, features, moments, series, summary, svd, tfidf
 from tidemark.plans.display import display_series
 from tidemark.plans.features import build_features, row_keys, run_features
 from tidemark.plans.ingest import NOTE, ingest, read_clean
@@ -314,6 +314,18 @@ def zscores(spark, sf):
     return scores.select("event_id", r("value_z"), r("user_id_z"), r("flat_z"))
 
 
+@register("zscores_of_merged_moments", """
+with m as (select avg(value) as v_m, stddev_pop(value) as v_s, avg(user_id) as u_m, stddev_pop(user_id) as u_s from events)
+select event_id, round((value - v_m) / v_s, 9) as value_z, round((user_id - u_m) / u_s, 9) as user_id_z from events, m""")
+def zscores_of_merged_moments(spark, sf):
+    """A run per day stores its moments; the z-scores come from what is stored."""
+    events, folder = table(spark, sf, "events"), run_folder(spark, "moments")
+    moments.store_moments(events, ["value", "user_id"], folder, F.to_date("ts"))
+    fit = moments.as_fit(moments.stored_moments(spark, folder))
+    scores = features.zscore(events, ["value", "user_id"], fit)
+    return scores.select("event_id", r("value_z"), r("user_id_z"))
+
+
 @register("composite_signal", o.query("select source_file, uid, round(composite_signal, 9) as composite_signal from composite", *o.SIGNAL_STEPS))
 def composite_signal(spark, sf):
     return composed(spark, sf).select("source_file", "uid", r("composite_signal"))

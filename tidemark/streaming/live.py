@@ -5,7 +5,7 @@ from __future__ import annotations
 import threading
 import time
 from collections.abc import Mapping
-from dataclasses import dataclass, field
+from dataclasses import dataclass, field, replace
 from weakref import WeakSet
 
 from pyspark.sql import DataFrame, SparkSession, Window
@@ -15,6 +15,7 @@ from pyspark.sql.streaming import StreamingQuery, StreamingQueryListener
 from tidemark.operators import features as ops
 from tidemark.operators.buckets import DAY, width_micros
 from tidemark.operators.clean import drop_incomplete, standardize
+from tidemark.operators.moments import as_fit, stored_moments
 from tidemark.operators.svd import SvdModel
 
 
@@ -34,6 +35,14 @@ def fit_frozen(features: DataFrame, weights: Mapping[str, float], svd: SvdModel
     return FrozenFit(ops.fit_moments(features, list(weights)), dict(weights), svd)
 
 
+def renewed(fit: FrozenFit, spark: SparkSession, folder: str) -> FrozenFit:
+    """The fit with the moments that runs or triggers have stored since (``operators.moments``); no post is read again.
+
+    Columns without stored moments keep those of the fit.
+    """
+    return replace(fit, moments={**fit.moments, **as_fit(stored_moments(spark, folder))})
+
+
 def live_scores(
     raw: DataFrame,
     fit: FrozenFit,
