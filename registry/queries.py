@@ -470,6 +470,17 @@ def hashtag_summary(spark, sf):
     return _summary_view(summary.summarize_by_hashtag(summary.explode_hashtags(cleaned(spark, sf))))
 
 
+@register("users_by_stored_sketches", o.query("""
+select hashtag, count(*) as posts, true as close from (select regexp_replace(unnest(tag_list), '^#', '') as hashtag from clean) group by hashtag""", *o.CLEAN_STEPS))
+def users_by_stored_sketches(spark, sf):
+    """Sketches per hashtag and date, stored, united per hashtag and held against exact counts (within 4 %, about six standard errors)."""
+    tagged = stage(summary.explode_hashtags(cleaned(spark, sf)).select("hashtag", "date", "username"), "tagged")
+    united = summary.united_users(stage(summary.user_sketches(tagged), "sketches"))
+    exact = tagged.groupBy("hashtag").agg(F.count_distinct("username").alias("exact"))
+    close = F.abs(F.col("unique_users") - F.col("exact")) <= 0.04 * F.col("exact")
+    return united.join(exact, "hashtag", "left").select("hashtag", "posts", F.coalesce(close, F.lit(False)).alias("close"))
+
+
 def _summary_view(stats: DataFrame) -> DataFrame:
     return stats.select(
         "hashtag", "total_tweets", "unique_users", r("avg_likes"), r("avg_retweets"), r("avg_replies"),
