@@ -13,6 +13,7 @@ from pyspark.sql import types as T
 
 from tidemark.operators.clean import EXPECTED_COLUMNS, FILE_ORDER
 from tidemark.session import stage
+from tidemark.sources.documents import document_items, sound_documents
 from tidemark.sources.records import csv_records
 
 # JSON fields that are text; the others may hold numbers, text or lists.
@@ -85,12 +86,17 @@ def raw_schema() -> T.StructType:
 def json_layouts(spark: SparkSession, folder: str) -> DataFrame:
     """``path, layout`` of every JSON file with text right below a folder, judged on all its lines.
 
-    ``lines`` if each line is an object or array of its own; ``document`` if the file as a whole can be one array or
+    ``lines`` if each line is an object or array of its own; ``document`` if the file as a whole is one array of objects or
     one object; otherwise ``broken_document`` if a line can only be a part of a larger value, or ``broken``, lines of which
     some are sound. One text scan; a task sends a few numbers and characters per file. A file whose first line is a
-    value by itself, with more lines behind it, is never a document, whatever else is broken in it. Only files that could be
-    either are parsed whole, in a further pass over them.
+    value by itself, with more lines behind it, is never a document, whatever else is broken in it. Files that could be
+    documents are cut into their items, split like any text.
     """
+    return _judged(spark, folder)[0]
+
+
+def _judged(spark: SparkSession, folder: str) -> tuple[DataFrame, DataFrame | None]:
+    """Layouts, and the items of files that could be documents, if there are any."""
     # A byte-order mark is not part of the line.
     line = F.trim(F.regexp_replace("value", r"^\x{feff}|[\s]+$", ""))
     lines = spark.read.option("pathGlobFilter", "*.json").text(folder).select(
@@ -115,14 +121,13 @@ def json_layouts(spark: SparkSession, folder: str) -> DataFrame:
              when first = '{' and last = '}' and objects + arrays = 0 then 'document'
              when first = '[' and last = ']' or first = '{' and last = '}' then 'doubtful'
              else 'broken' end""").alias("layout"), F.expr("if(parts > 0 and not first_whole, 'broken_document', 'broken')").alias("if_broken")), "judged")
-    doubtful = judged.where("layout = 'doubtful'").select("path")
-    if doubtful.isEmpty():
-        whole = doubtful.withColumn("sound", F.lit(False))
-    else:  # in brackets, so that nothing may follow the first value
-        text = F.concat(F.lit("["), F.regexp_replace("record", r"^\x{feff}", ""), F.lit("]"))
-        whole = _whole_files(spark, folder).join(doubtful, "path", "left_semi").select("path", (F.json_array_length(text) == 1).alias("sound"))
-    return judged.join(whole, "path", "left").select("path", F.expr("""
-        case when sound then 'document' when layout in ('broken', 'doubtful') then if_broken else layout end""").alias("layout"))
+    likely = judged.where("layout in ('document', 'doubtful')").select("path")
+    if likely.isEmpty():
+        return judged.select("path", F.expr("if(layout = 'broken', if_broken, layout)").alias("layout")), None
+    items = document_items(spark, folder, likely)
+    return judged.join(sound_documents(items), "path", "left").select("path", F.expr("""
+        case when sound then 'document' when layout = 'document' then 'broken_document'
+             when layout in ('broken', 'doubtful') then if_broken else layout end""").alias("layout")), items
 
 
 def _whole_files(spark: SparkSession, folder: str) -> DataFrame:
@@ -131,16 +136,36 @@ def _whole_files(spark: SparkSession, folder: str) -> DataFrame:
     return texts.select(_decoded("_metadata.file_path").alias("path"), F.col("value").alias("record"))
 
 
-def _json_scan(spark: SparkSession, folder: str, document: bool, extras: str | None) -> DataFrame:
-    """All JSON files below a folder read in one mode, with ``_corrupt_record`` and ``_path``."""
-    reader = spark.read.option("multiLine", document).option("pathGlobFilter", "*.json")
-    more = reader.json(folder).schema.fields if extras is None else T.StructType.fromDDL(extras).fields if extras else []
-    more = [f for f in more if f.name not in (*EXPECTED_COLUMNS, *_OWN_COLUMNS)]
-    schema = T.StructType([*raw_schema().fields, *more])
-    read = reader.schema(T.StructType([*schema.fields, T.StructField("_corrupt_record", T.StringType())])).json(folder)
+def _json_schema(inferred: T.StructType | None, extras: str | None) -> T.StructType:
+    more = inferred.fields if inferred else T.StructType.fromDDL(extras).fields if extras else []
+    return T.StructType([*raw_schema().fields, *[f for f in more if f.name not in (*EXPECTED_COLUMNS, *_OWN_COLUMNS)]])
+
+
+_CORRUPT = T.StructField("_corrupt_record", T.StringType())
+
+
+def _json_scan(spark: SparkSession, folder: str, extras: str | None) -> DataFrame:
+    """All JSON files below a folder read line by line, with ``_corrupt_record`` and ``_path``."""
+    reader = spark.read.option("pathGlobFilter", "*.json")
+    schema = _json_schema(reader.json(folder).schema if extras is None else None, extras)
+    read = reader.schema(T.StructType([*schema.fields, _CORRUPT])).json(folder)
     return read.select(*schema.names, "_corrupt_record", _decoded("_metadata.file_path").alias("_path"), *_positions())
 
 
+def _document_scan(items: DataFrame, extras: str | None) -> DataFrame:
+    """The items of documents as rows of ``_json_scan``. What follows a file's last item comes along only if it is broken."""
+    spark = items.sparkSession
+    # Spark infers columns from texts only by way of an RDD
+    inferred = spark.read.json(items.where("ends").select("item").rdd.map(lambda r: r["item"])).schema if extras is None else None
+    schema = _json_schema(inferred, extras)
+    parsed = items.where("ends or not sound").withColumn("_r", F.from_json("item", T.StructType([*schema.fields, _CORRUPT])))
+    corrupt = F.when(F.col("sound"), F.col("_r._corrupt_record")).otherwise(F.coalesce("item", F.lit("")))
+    return parsed.select(
+        *[F.col(f"_r.`{name}`") for name in schema.names], corrupt.alias("_corrupt_record"), F.col("path").alias("_path"),
+        F.element_at(F.split("path", "/"), -1).alias("source_file"), F.struct("block", "row").alias(FILE_ORDER),
+    )
+
+
 def _sound(scan: DataFrame, broken: str) -> DataFrame:
     """Rows of a JSON scan without blank posts: a record that can't be parsed is an error, or left out."""
     if broken == "fail":
@@ -168,45 +193,56 @@ def read_json(
     lists are read as variants, so that 12.7 and "12.7" stay different. ``extras`` names the
     further columns (DDL); without it they are inferred in one more pass. With ``broken="fail"`` a file or
     record that can't be parsed is an error that names the file; with ``"skip"`` it is left out and
-    ``broken_records`` lists it; of a broken document nothing is read, as its lines are no posts. Documents are read
-    whole by one task each; lines can be split.
+    ``broken_records`` lists it; of a broken document nothing is read, as its lines are no posts. Documents are cut into
+    their items by many tasks. A document of 2 GB or more in one line needs ``layout="document"``, as ``auto`` looks at lines.
     """
-    if layout != "auto":
-        scan = _json_scan(spark, folder, layout == "document", extras)
-        return [_sound(scan.withColumn("_layout", F.lit(layout)), broken)]
-    layouts = stage(json_layouts(spark, folder), "layouts")
+    if layout == "lines":
+        return [_sound(_json_scan(spark, folder, extras).withColumn("_layout", F.lit(layout)), broken)]
+    if layout == "document":
+        items = document_items(spark, folder)
+        verdicts = stage(sound_documents(items), "verdicts")
+        _stop_at_broken(verdicts.where("not sound"), broken)
+        return [_documents(items, verdicts.where("sound"), extras, broken)]
+    layouts, items = _judged(spark, folder)
+    layouts = stage(layouts, "layouts")
+    _stop_at_broken(layouts.where("layout like 'broken%'"), broken)
     found = {r["layout"]: r["count"] for r in layouts.groupBy("layout").count().collect()}  # four rows at most
-    unsound = found.get("broken", 0) + found.get("broken_document", 0)
-    if broken == "fail" and unsound:
-        names = [r["path"] for r in layouts.where("layout like 'broken%'").orderBy("path").take(5)]
-        raise ValueError(f"broken JSON in {unsound} files, among them {', '.join(names)}")
     frames = []
-    for own, document in ((("lines", "broken"), False), (("document",), True)):
-        if any(kind in found for kind in own):
-            scan = _json_scan(spark, folder, document, extras)
-            if any(kind not in own for kind in found):
-                paths = layouts.where(F.col("layout").isin(*own)).toDF("_path", "_layout")
-                scan = scan.join(paths, "_path")
-            else:
-                scan = scan.withColumn("_layout", F.lit(own[0]))
-            frames.append(_sound(scan, broken))
+    own = ("lines", "broken")
+    if any(kind in found for kind in own):
+        scan = _json_scan(spark, folder, extras)
+        if any(kind not in own for kind in found):
+            scan = scan.join(layouts.where(F.col("layout").isin(*own)).toDF("_path", "_layout"), "_path")
+        else:
+            scan = scan.withColumn("_layout", F.lit("lines"))
+        frames.append(_sound(scan, broken))
+    if "document" in found:
+        frames.append(_documents(items, layouts.where("layout = 'document'"), extras, broken))
     if found and not frames:  # broken documents only
-        frames = [_json_scan(spark, folder, True, extras or "").where(F.lit(False)).drop("_corrupt_record", "_path")]
+        frames = [_json_scan(spark, folder, extras or "").where(F.lit(False)).drop("_corrupt_record", "_path")]
     return frames
 
 
+def _documents(items: DataFrame, files: DataFrame, extras: str | None, broken: str) -> DataFrame:
+    return _sound(_document_scan(items.join(files.select("path"), "path", "left_semi"), extras).withColumn("_layout", F.lit("document")), broken)
+
+
+def _stop_at_broken(files: DataFrame, broken: str) -> None:
+    if broken == "fail" and (unsound := files.count()):
+        names = [r["path"] for r in files.orderBy("path").take(5)]
+        raise ValueError(f"broken JSON in {unsound} files, among them {', '.join(names)}")
+
+
 def broken_records(spark: SparkSession, folder: str) -> DataFrame:
-    """``path, record`` of what ``read_json(..., broken="skip")`` leaves out."""
-    layouts = stage(json_layouts(spark, folder), "layouts")
-    parts = []
+    """``path, record`` of what ``read_json(..., broken="skip")`` leaves out; of a broken document, its whole text (2 GB at most)."""
+    layouts, _ = _judged(spark, folder)
+    layouts = stage(layouts, "layouts")
     record = F.coalesce("_corrupt_record", "content").alias("record")  # Spark wants another column of the file read too
-    for own, document in ((("lines", "broken"), False), (("document",), True)):
-        paths = layouts.where(F.col("layout").isin(*own)).select(F.col("path").alias("_path"))
-        scan = _json_scan(spark, folder, document, "").join(paths, "_path", "left_semi")
-        parts.append(scan.where(F.col("_corrupt_record").isNotNull()).select(F.col("_path").alias("path"), record))
+    paths = layouts.where("layout in ('lines', 'broken')").select(F.col("path").alias("_path"))
+    scan = _json_scan(spark, folder, "").join(paths, "_path", "left_semi")
+    lines = scan.where(F.col("_corrupt_record").isNotNull()).select(F.col("_path").alias("path"), record)
     torn = layouts.where("layout = 'broken_document'")
-    parts.append(_whole_files(spark, folder).join(torn, "path", "left_semi"))
-    return parts[0].unionByName(parts[1]).unionByName(parts[2])
+    return lines.unionByName(_whole_files(spark, folder).join(torn, "path", "left_semi"))
 
 
 def _header_names(header: str) -> list[str]:

@@ -56,7 +56,7 @@ def _states(values: pa.Array, inside: bool) -> tuple[np.ndarray, bool]:
     return begins, inside
 
 
-def _runs(batch: pa.RecordBatch) -> Iterator[tuple[tuple[str, int], pa.RecordBatch]]:
+def runs(batch: pa.RecordBatch) -> Iterator[tuple[tuple[str, int], pa.RecordBatch]]:
     """Stretches of a batch that come from one split."""
     paths, blocks = (batch.column(c).dictionary_encode() for c in ("path", "block"))
     codes = paths.indices.to_numpy().astype(np.int64) * (len(blocks.dictionary) + 1) + blocks.indices.to_numpy()
@@ -75,7 +75,7 @@ def split_states(lines: DataFrame) -> DataFrame:
 
         now, ends = None, [False, True]
         for batch in batches:
-            for key, part in _runs(batch):
+            for key, part in runs(batch):
                 if now is not None and key != now:
                     yield row(now, ends)
                     ends = [False, True]
@@ -158,7 +158,7 @@ def _join_lines(lines: DataFrame) -> DataFrame:
     def run(batches):
         now, joiner = None, None
         for batch in batches:
-            for key, part in _runs(batch):
+            for key, part in runs(batch):
                 if key != now:
                     if joiner:
                         yield from joiner.end()
