@@ -1,3 +1,4 @@
+import random
 from datetime import datetime
 
 import numpy as np
@@ -197,3 +198,10 @@ def test_summary(spark):
     a = found["a"]
     assert (a["total_tweets"], a["unique_users"], a["avg_likes"], a["avg_replies"]) == (3, 2, 3.0, 2.0)
     assert (a["date_range"]["start"], a["date_range"]["end"]) == (at(1), at(2))
+
+
+def test_downsample_computes_rows_once(spark):
+    unsteady = F.udf(lambda i: i + random.random(), "double").asNondeterministic()  # like a mean added up in another order
+    table = spark.range(500).select(F.timestamp_seconds("id").alias("timestamp"), unsteady("id").alias("signal"))
+    found = series.downsample(table, 40, order_by=("timestamp", "signal")).collect()
+    assert len(found) == 40
