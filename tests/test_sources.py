@@ -4,6 +4,7 @@ import os
 import pytest
 from pyspark.sql import functions as F
 
+from registry.queries import QUERIES
 from tidemark.operators import clean
 from tidemark.plans.features import run_features
 from tidemark.plans.display import display_series
@@ -232,3 +233,17 @@ def test_lines_with_a_broken_one_are_never_read_whole(spark, tmp_path, monkeypat
         sources.read_posts(spark, str(tmp_path), "")
     found = sources.read_posts(spark, str(tmp_path), "", broken="skip")
     assert sorted(r["username"] for r in found.select("username").collect()) == ["u0", "u0", "u1", "u1", "u2", "u3", "u4"]
+
+
+def test_numbers_of_csv_posts_are_ordered_as_numbers(spark, tmp_path):
+    """Two posts with one uid: the first by number is kept, though as text 4329 comes before 9."""
+    text = "alike"
+    tables = {
+        "documents": ([(i, text, "xx", "src", i) for i in (9, 4329)], "doc_id long, text string, lang string, source string, n_chars long"),
+        "events": ([], "event_id long, ts timestamp_ntz, user_id long, event_type string, value double, props string"),
+        "conversations": ([], "conv_id long, turn long, role string, text string"),
+    }
+    for name, (rows, kinds) in tables.items():
+        spark.createDataFrame(rows, kinds).coalesce(1).write.parquet(f"{tmp_path}/{name}.parquet")
+    found = {name: [r["post_no"] for r in QUERIES[name](spark, str(tmp_path)).collect()] for name in ("csv_source", "json_lines_source")}
+    assert found == {"csv_source": [9], "json_lines_source": [9]}
