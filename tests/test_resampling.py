@@ -93,3 +93,31 @@ def test_series_with_gaps(spark):
     assert 1 <= found[0]["ci_lo"] <= 2 <= found[0]["ci_hi"] <= 3 and found[2]["ci_hi"] == 5.0
     with pytest.raises(ValueError):
         buckets.aggregate_signals(features, "1h", method="exact")
+
+
+@pytest.mark.parametrize("n", [1, 16, 17, 1000])
+def test_a_walk_draws_every_node_once(n, monkeypatch):
+    nodes, plain_draw = [], resampling.binomials
+    monkeypatch.setattr(resampling, "binomials", lambda draws, share, node: nodes.append(node) or plain_draw(draws, share, node))
+    blocks = -(-n // 16)
+    tree = resampling.Tree("g", n, 16, 30)
+    walked = [tree.draws(at).tolist() for at in range(blocks)]
+    assert len(nodes) == len(set(nodes)) == blocks - 1
+    assert walked == [resampling.block_draws("g", n, at, 16, 30).tolist() for at in range(blocks)]
+
+
+def test_sums_do_not_depend_on_batches_or_stretches(spark, monkeypatch):
+    df = spark.range(700).selectExpr("if(id % 3 = 0, null, id % 2) as g", "id as k", "sin(id) as _x").repartition(5)
+    placed = resampling.placed_rows(df, ["g"], ["k"]).persist()
+
+    def sums():
+        return {(r["g"], r["_b"]): (r["_w"], round(r["_wx"], 9)) for r in resampling.replicate_sums(placed, ["g"], 10, 16).collect()}
+
+    whole = sums()
+    monkeypatch.setattr(resampling, "STRETCH", 32)
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "7")
+    try:
+        assert sums() == whole and len(whole) == 30
+    finally:
+        spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
+        placed.unpersist()
