@@ -247,3 +247,15 @@ def test_numbers_of_csv_posts_are_ordered_as_numbers(spark, tmp_path):
         spark.createDataFrame(rows, kinds).coalesce(1).write.parquet(f"{tmp_path}/{name}.parquet")
     found = {name: [r["post_no"] for r in QUERIES[name](spark, str(tmp_path)).collect()] for name in ("csv_source", "json_lines_source")}
     assert found == {"csv_source": [9], "json_lines_source": [9]}
+
+
+def test_a_scan_is_dealt_out_by_rows_and_bytes(spark, tmp_path):
+    """A small file of many rows must not become as many tasks as there are cores, whatever its rows."""
+    from tidemark.session import PARTITION_BYTES, TASK_ROWS, spread, stored_bytes
+
+    spark.range(8 * TASK_ROWS + 1).coalesce(1).write.parquet(f"{tmp_path}/rows.parquet")
+    scan = spark.read.parquet(f"{tmp_path}/rows.parquet")
+    sizes = [r["count"] for r in spread(scan).groupBy(F.spark_partition_id()).count().collect()]
+    assert sum(sizes) == 8 * TASK_ROWS + 1 and max(sizes) <= 1.05 * TASK_ROWS
+    assert spread(scan, 20 * PARTITION_BYTES).rdd.getNumPartitions() == 20
+    assert 0 < stored_bytes(spark, f"{tmp_path}/rows.parquet") < 20 * PARTITION_BYTES
