@@ -91,3 +91,8 @@ def test_more_time_layouts(column, shown, expected):
 
 def test_any_white_space_around_counts(column):
     assert column(["12\t", "\u00a07\n", "1 2"], "string", lambda x: values.coerce_int(x, T.StringType())) == [12, 7, 0]
+
+
+def test_strip_of_texts_that_need_none(column):
+    given = ["7", " 7", "7 ", "　 7 ", "-7", "", " ", None, " 7", "~!", "é7", "7 7"]
+    assert column(given, "string", values._stripped) == ["7", "7", "7", "7", "-7", "", "", None, "7", "~!", "é7", "7 7"]
