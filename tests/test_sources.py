@@ -259,3 +259,21 @@ def test_a_scan_is_dealt_out_by_rows_and_bytes(spark, tmp_path):
     assert sum(sizes) == 8 * TASK_ROWS + 1 and max(sizes) <= 1.05 * TASK_ROWS
     assert spread(scan, 20 * PARTITION_BYTES).rdd.getNumPartitions() == 20
     assert 0 < stored_bytes(spark, f"{tmp_path}/rows.parquet") < 20 * PARTITION_BYTES
+
+
+def test_layouts_are_judged_without_sorting_lines(spark, tmp_path, plan):
+    texts = {
+        "bom.json": "\ufeff{\"content\": \"a\"}  \n\n  {\"content\": \"b\"}\t \n",
+        "end.json": "{\"content\": \"a\"} \u2028\n[1, 2]\u0085\n",
+        "odd.json": "\u015b\n{\"content\": \"a\"}\n\u015d\n",
+        "array.json": "[\n {\"content\": \"a\", \"tags\": [\n\"x\"\n]},\n{\"content\": \"b\"}\n] \n",
+        "torn.json": "[{\"content\": \"a\"},\n{\"content\": \"b\"},\n",
+        "one.json": "{\n \"content\": \"a\"\n}",
+    }
+    for name, text in texts.items():
+        (tmp_path / name).write_text(text, encoding="utf-8")
+    found = {r["path"].rsplit("/")[-1]: r["layout"] for r in sources.json_layouts(spark, str(tmp_path)).collect()}
+    assert found == {
+        "bom.json": "lines", "end.json": "broken", "odd.json": "broken", "array.json": "document", "torn.json": "broken_document", "one.json": "document",
+    }
+    assert "SortAggregate" not in plan(sources._told_by_lines(spark, str(tmp_path)))

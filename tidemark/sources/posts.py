@@ -73,6 +73,14 @@ def _positions() -> tuple[Column, Column]:
     return _decoded("_metadata.file_name").alias("source_file"), _place()
 
 
+def _ends(text: Column, *signs: str) -> Column:
+    """Whether a text ends in one of some characters; compares bytes, counts none."""
+    found = text.endswith(signs[0])
+    for sign in signs[1:]:
+        found = found | text.endswith(sign)
+    return found
+
+
 # Set by the readers, whatever a file says.
 _OWN_COLUMNS = ("source_file", FILE_ORDER, "_corrupt_record")
 
@@ -95,31 +103,48 @@ def json_layouts(spark: SparkSession, folder: str) -> DataFrame:
     return _judged(spark, folder)[0]
 
 
-def _judged(spark: SparkSession, folder: str) -> tuple[DataFrame, DataFrame | None]:
-    """Layouts, and the items of files that could be documents, if there are any."""
-    # A byte-order mark is not part of the line.
-    line = F.trim(F.regexp_replace("value", r"^\x{feff}|[\s]+$", ""))
+def _told_by_lines(spark: SparkSession, folder: str) -> DataFrame:
+    """A row per JSON file with text: how many of its lines are what, and how it begins and ends."""
+    # A byte-order mark is not part of the line. Few lines have one or end in a blank; the others cost no match.
+    text = F.col("value")
+    bare = ~text.startswith("\ufeff") & _ends(text, "}", "]", ",", "{", "[", '"')
+    shown = F.trim(F.when(bare, text).otherwise(F.regexp_replace(text, r"^\x{feff}|[\s]+$", "")))
     lines = spark.read.option("pathGlobFilter", "*.json").text(folder).select(
-        _decoded("_metadata.file_path").alias("path"), _place(), line.alias("line")
+        _decoded("_metadata.file_path").alias("path"), _place(), shown.alias("line")
     ).where(F.col("line") != "")
-    parsed = F.try_parse_json("line").isNotNull()
-    is_object = F.col("line").startswith("{") & F.col("line").endswith("}") & parsed
-    is_array = F.col("line").startswith("[") & F.col("line").endswith("]") & parsed
-    bare = F.regexp_replace("line", r",$", "")
-    is_part = F.col("line").rlike(r'^["\]},]|^[\[{][\[{\s]*$') | (F.col("line").endswith(",") & F.try_parse_json(bare).isNotNull())
-    files = lines.groupBy("path").agg(
-        F.count_if(is_part & ~is_object & ~is_array).alias("parts"),
-        F.count_if(is_object).alias("objects"), F.count_if(is_array).alias("arrays"), F.count("*").alias("all"),
-        F.min_by(F.substring("line", 1, 1), FILE_ORDER).alias("first"),
-        F.max_by(F.substring("line", -1, 1), FILE_ORDER).alias("last"),
-        F.min_by(is_object | is_array, FILE_ORDER).alias("first_whole"),
+    line = F.col("line")
+    object_like = line.startswith("{") & line.endswith("}")
+    array_like = line.startswith("[") & line.endswith("]")
+    lines = lines.withColumn("whole", F.when(object_like | array_like, F.try_parse_json("line").isNotNull()).otherwise(F.lit(False)))
+    whole = F.col("whole")
+    first = F.when(line.startswith("["), 1).when(line.startswith("{"), 2).otherwise(0)
+    last = F.when(line.endswith("]"), 1).when(line.endswith("}"), 2).otherwise(0)
+    in_larger = line.startswith('"') | line.startswith("]") | line.startswith("}") | line.startswith(",")
+    only_opens = ~_ends(line, "}", "]", ",", '"') & line.rlike(r"^[\[{][\[{\s]*$")
+    is_part = in_larger | only_opens | (line.endswith(",") & F.try_parse_json(F.regexp_replace("line", r",$", "")).isNotNull())
+    # by split first, and as numbers (1 for square, 2 for curly brackets): texts, or places as orders, would have every line sorted
+    splits = lines.groupBy("path", f"{FILE_ORDER}.block").agg(
+        F.count_if(F.when(whole, F.lit(False)).otherwise(is_part)).alias("parts"),
+        F.count_if(whole & object_like).alias("objects"), F.count_if(whole & array_like).alias("arrays"), F.count("*").alias("all"),
+        F.min_by(first, f"{FILE_ORDER}.row").alias("first"),
+        F.max_by(last, f"{FILE_ORDER}.row").alias("last"),
+        F.min_by("whole", f"{FILE_ORDER}.row").alias("first_whole"),
     )
-    judged = stage(files.select("path", F.expr("""
+    return splits.groupBy("path").agg(
+        *[F.sum(c).alias(c) for c in ("parts", "objects", "arrays", "all")],
+        F.min_by("first", "block").alias("first"), F.max_by("last", "block").alias("last"),
+        F.min_by("first_whole", "block").alias("first_whole"),
+    )
+
+
+def _judged(spark: SparkSession, folder: str) -> tuple[DataFrame, DataFrame | None]:
+    """Layouts, and the items of files that could be documents, if there are any."""
+    judged = stage(_told_by_lines(spark, folder).select("path", F.expr("""
         case when objects + arrays = all then 'lines'
              when first_whole then 'broken'
-             when first = '[' and last = ']' and arrays = 0 then 'document'
-             when first = '{' and last = '}' and objects + arrays = 0 then 'document'
-             when first = '[' and last = ']' or first = '{' and last = '}' then 'doubtful'
+             when first = 1 and last = 1 and arrays = 0 then 'document'
+             when first = 2 and last = 2 and objects + arrays = 0 then 'document'
+             when first = last and first > 0 then 'doubtful'
              else 'broken' end""").alias("layout"), F.expr("if(parts > 0 and not first_whole, 'broken_document', 'broken')").alias("if_broken")), "judged")
     likely = judged.where("layout in ('document', 'doubtful')").select("path")
     if likely.isEmpty():
