@@ -127,3 +127,23 @@ def test_counting_terms_shuffles_nothing(docs, plan):
     vocabulary = tfidf.fit_vocabulary(docs, "content", 10)
     counts = tfidf.count_terms(vocabulary)(text.word_tokens(F.col("content")))
     assert "Exchange" not in plan(docs.select("id", counts))
+
+
+def test_passes_read_packed_rows(spark, monkeypatch):
+    texts = [(i, None if i % 50 == 7 else " ".join(f"w{(i * k) % 40}" for k in range(1, 1 + i % 9)) + " often" * (300 if i == 3 else 1)) for i in range(500)]
+    frame = spark.createDataFrame(texts, "id int, content string").coalesce(1)
+    monkeypatch.setattr(svd, "SLICE", 64)
+    vectors = tfidf.fit_vectors(frame, ["id"], "content", 60, carry=["content"])
+    packed = svd.packed_rows(vectors)
+    assert packed.count() <= 500 / 64 + vectors.rows.rdd.getNumPartitions()
+    assert packed.selectExpr("sum(length(sizes)) / 4").first()[0] == 500
+
+    rows = vectors.rows.select("_ids", "_tf").collect()
+    matrix = np.zeros((len(rows), len(vectors.vocabulary)))
+    for i, row in enumerate(rows):
+        for j, n in zip(row["_ids"] or [], row["_tf"] or []):
+            matrix[i, j] = n * vectors.idf[j]
+    norms = np.linalg.norm(matrix, axis=1, keepdims=True)
+    matrix = np.divide(matrix, norms, out=np.zeros_like(matrix), where=norms > 0)
+    block = np.random.default_rng(1).standard_normal((matrix.shape[1], 2))
+    assert svd.gram_times(vectors, block) == pytest.approx(matrix.T @ (matrix @ block))
