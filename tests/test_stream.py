@@ -111,3 +111,22 @@ def test_a_weighted_text_part_needs_a_model(spark, arriving):
         live.live_signals(stream, fit)
     with pytest.raises(ValueError):
         live.live_signals(stream, live.FrozenFit({}, {}), "7h")
+
+
+def test_a_trigger_of_the_live_query_keeps_all_cores_busy(spark, tmp_path, monkeypatch):
+    from registry import queries
+
+    ids = spark.range(400)
+    ids.selectExpr(
+        "id as event_id", "'view' as event_type", "id % 9 as user_id", "cast(id as double) as value",
+        "timestamp'2024-01-01 00:00:00' + make_interval(0, 0, 0, 0, 0, cast(id as int)) as ts", "'' as props",
+    ).write.parquet(str(tmp_path / "events.parquet"))
+    ids.limit(0).selectExpr("id as doc_id", "'' as text", "'' as lang", "'' as source", "id as n_chars").write.parquet(str(tmp_path / "documents.parquet"))
+    ids.limit(0).selectExpr("id as conv_id", "id as turn", "'' as role", "'' as text").write.parquet(str(tmp_path / "conversations.parquet"))
+    parts, run = [], queries.run_folder
+    monkeypatch.setattr(queries, "run_folder", lambda s, label: parts.append(run(s, label)) or parts[-1])
+    found = queries.QUERIES["live_signal_stream"](spark, str(tmp_path)).collect()
+    arriving = next(p for p in parts if "/arriving-" in p)
+    assert len([f for f in os.listdir(arriving) if f.endswith(".parquet")]) >= 5 * spark.sparkContext.defaultParallelism
+    batches = [f for f in os.listdir(next(p for p in parts if "/live-" in p and "progress" not in p)) if f.startswith("batch=")]
+    assert batches and sum(r["n"] for r in found) == sum(1 for i in range(400) if i % 17 not in (2, 3)) and {r["late_rows"] for r in found} == {0}
