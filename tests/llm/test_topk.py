@@ -80,3 +80,31 @@ def test_bounds_stop_early():
     plain = brute.top_k(dict(zip(ids.tolist(), vectors.astype(int).tolist(), strict=True)), [3037, 3038, 3039], 5)
     got = [(q, r, int(i), int(s)) for q, (scores, names) in zip((3037, 3038, 3039), found, strict=True) for r, (s, i) in enumerate(zip(scores, names, strict=True), 1)]
     assert got == plain
+
+
+def test_vectors_are_written_once_however_many_queries(spark, same_rows, monkeypatch):
+    """Joined to each block of queries, vectors would be copied once for each; only names of blocks and results are."""
+    rng = random.Random(8)
+    rows = [(i, [rng.choice((-1.0, 0.0, 0.5, 1.0)) for _ in range(6)]) for i in range(90)]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    monkeypatch.setattr(topk, "GROUP_BLOCKS", 2)
+    found = topk.top_k(df, F.col("vec_id") % 2 == 0, query_block=3, vector_block=7)
+    plan = found._jdf.queryExecution().optimizedPlan().toString()
+    assert "Join" in plan and "_rows" not in plan and "embedding" not in plan
+    same_rows(found, expected(rows, 5), "query_id", "rank", "vec_id", "score")
+
+
+def test_blocks_add_up_to_one_search():
+    """Scores of earlier blocks leave out only what can't be among the best, whatever kind of numbers a block needs."""
+    rng = np.random.default_rng(9)
+    vectors = rng.integers(-200, 200, (900, 8))
+    vectors[300:600] *= 2**17  # these need doubles
+    vectors[450] = vectors[451]
+    ids, queries = np.arange(900), np.concatenate([vectors[:50], vectors[440:460]])
+    names = np.concatenate([np.arange(50), np.arange(440, 460)])
+    asked = topk._Asked(names, names, queries, 5)
+    for i in range(0, 900, 90):
+        asked.add(topk._Held(ids[i : i + 90], vectors[i : i + 90]))
+    plain = brute.top_k(dict(zip(ids.tolist(), vectors.tolist(), strict=True)), names.tolist(), 5)
+    got = asked.told().to_pydict()
+    assert list(zip(got["query_id"], got["vec_id"], got["score"], strict=True)) == [(q, i, s) for q, _, i, s in plain]
