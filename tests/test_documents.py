@@ -109,3 +109,23 @@ def test_too_long_items_are_broken(spark, tmp_path, splits, monkeypatch):  # noq
     monkeypatch.setattr(documents, "LONGEST", 900)
     found = documents.document_items(spark, str(tmp_path))
     assert not documents.sound_documents(found).first()["sound"] and found.agg(F.max(F.length("item"))).first()[0] < 900
+
+
+@pytest.mark.parametrize("size", [900, 1 << 20])
+def test_text_of_documents_is_stored_once(spark, tmp_path, splits, monkeypatch, size):  # noqa: F811
+    """Pieces and items were two tables with the whole text; only items over the end of a split may be written twice."""
+    items, tables, stage = wild_items(4, 60), {}, documents.stage
+
+    def keep(df, label, **options):
+        tables[label] = stage(df, label, **options)
+        return tables[label]
+
+    monkeypatch.setattr(documents, "stage", keep)
+    (tmp_path / "a.json").write_text(json.dumps(items, indent=1))
+    splits(size)
+    found = documents.document_items(spark, str(tmp_path))
+    assert [json.loads(r["item"]) for r in found.where("ends").orderBy("block", "row").collect()] == items
+    with_text = {label: table for label, table in tables.items() if "item" in table.columns}
+    assert set(with_text) == {"json-items", "json-edges"}
+    blocks = found.select("block").distinct().count()
+    assert with_text["json-edges"].count() <= blocks + 1 and (size > 900 or blocks > 4)

@@ -2,6 +2,7 @@
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from tidemark.operators import clean, features, svd, tfidf
 from tidemark.plans import features as plans
@@ -77,3 +78,22 @@ def test_scores_are_made_before_repeats_go_and_no_text_is_shuffled(spark):
     windows = [n for n in nodes(numbers._jdf.queryExecution().optimizedPlan()) if n.nodeName() == "Window"]
     assert len(windows) == 1
     assert "content" not in [windows[0].output().apply(i).name() for i in range(windows[0].output().size())]
+
+
+def test_only_wanted_columns_of_posts_are_shuffled(spark):
+    rows = [("ann", "2024-01-01 10:00", "Buy the  dip #a", i % 3, f"u{i % 2}") for i in range(9)] + [(None, None, None, 4, None)]
+    raw = spark.createDataFrame(rows, "username string, timestamp string, content string, no int, extra string")
+    wanted = {"uid": F.col("uid"), "md5": F.md5("content"), "no": F.col("no"), "a b": F.upper("extra")}
+    found = clean.clean_posts(raw, "global", order_by=["no", "extra"], columns=wanted)
+    whole = clean.clean_posts(raw, "global", order_by=["no", "extra"])
+    expected = whole.select(*[column.alias(name) for name, column in wanted.items()])
+    assert found.columns == list(wanted) and sorted(map(repr, found.collect())) == sorted(map(repr, expected.collect()))
+
+    def nodes(node):
+        yield node
+        for i in range(node.children().size()):
+            yield from nodes(node.children().apply(i))
+
+    windows = [n for n in nodes(found._jdf.queryExecution().optimizedPlan()) if n.nodeName() == "Window"]
+    assert len(windows) == 1
+    assert "content" not in [windows[0].output().apply(i).name() for i in range(windows[0].output().size())]

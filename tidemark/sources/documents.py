@@ -17,7 +17,7 @@ from contextlib import contextmanager
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tidemark.session import stage
@@ -203,8 +203,8 @@ def document_items(spark: SparkSession, folder: str, paths: DataFrame | None = N
     """``path, block, row, item, sound, base, ends`` of the JSON documents right below a folder, or of those among ``paths``.
 
     ``block`` and ``row`` tell where an item begins, in file order. What follows the last item of a file has ``ends`` false.
-    ``sound`` tells whether an item is one JSON object, or the rest of a file is what must be there. Written as a table in
-    the shared folder. Blank files give no items.
+    ``sound`` tells whether an item is one JSON object, or the rest of a file is what must be there. Written once as a table in
+    the shared folder, items that reach over the end of a split as a second one. Blank files give no items.
     """
     path = F.url_decode(F.regexp_replace("_metadata.file_path", r"\+", "%2B"))
     pieces = spark.read.option("pathGlobFilter", "*.json").option("lineSep", "}").text(folder).select(
@@ -220,8 +220,13 @@ def document_items(spark: SparkSession, folder: str, paths: DataFrame | None = N
             told = pieces.join(F.broadcast(states), ["path", "block"], "left")
         else:
             told = pieces.join(states, ["path", "block"], "left").sortWithinPartitions("path", "block", "row")
-        cut = stage(_cut(told), "json-pieces")
-    edges = cut.where(F.col("kind") != WHOLE).selectExpr(
+        # the only copy of the text: whole items are judged as they are written, what lies at the ends of splits after that
+        whole = F.col("kind") == WHOLE
+        cut = stage(_cut(told).select(
+            "path", "block", "row", F.when(whole, _bare()).otherwise(F.col("item")).alias("item"), "base", "kind", "ends",
+            F.when(whole, _sound()).alias("sound"),
+        ), "json-items", compression="zstd")
+    edges = cut.where(~whole).selectExpr(
         "*", f"sum(int(kind = {OPEN})) over (partition by path order by block, row) as _item",
     )
     # at most one open item and one piece of an earlier one per split
@@ -235,18 +240,27 @@ def document_items(spark: SparkSession, folder: str, paths: DataFrame | None = N
         "path", F.col("_at.block").alias("block"), F.col("_at.row").alias("row"),
         F.when(F.size("_parts") > 0, F.array_join(F.col("_parts")["item"], "")).alias("item"), "base", "ends",
     )
-    whole = cut.where(F.col("kind") == WHOLE).select("path", "block", "row", "item", "base", "ends").unionByName(joined)
-    text = F.regexp_replace("item", r"^\x{feff}", "")
-    bare = F.when(F.col("base") == 1, F.regexp_replace(text, r"^\s*[\[,]", "")).otherwise(text)
+    joined = stage(joined.select("path", "block", "row", _bare().alias("item"), "base", "ends", _sound().alias("sound")), "json-edges")
+    return cut.where(whole).drop("kind").unionByName(joined)
+
+
+def _text() -> Column:
+    return F.regexp_replace("item", r"^\x{feff}", "")
+
+
+def _bare() -> Column:
+    """An item without what stands before it in an array; what follows the last item of a file stays."""
+    return F.when(F.col("ends") & (F.col("base") == 1), F.regexp_replace(_text(), r"^\s*[\[,]", "")).otherwise(_text())
+
+
+def _sound() -> Column:
+    """Whether ``item``, as it was cut, is one JSON object with what must stand before it, or the rest of a file is what must be there."""
+    text, bare = _text(), _bare()
     led = (F.col("base") == 0) | text.rlike(r"^\s*[\[,]")
     # in brackets, so that nothing may follow the first value
     one = F.json_array_length(F.concat(F.lit("["), bare, F.lit("]"))) == 1
     rest = F.when(F.col("base") == 1, text.rlike(r"^\s*(\[\s*)?\]\s*$")).otherwise(text.rlike(r"^\s*$"))
-    sound = F.when(F.col("ends"), led & bare.rlike(r"^\s*\{") & one).otherwise(rest)
-    return stage(whole.select(
-        "path", "block", "row", F.when(F.col("ends"), bare).otherwise(text).alias("item"), "base", "ends",
-        F.coalesce(sound, F.lit(False)).alias("sound"),
-    ), "json-items")
+    return F.coalesce(F.when(F.col("ends"), led & bare.rlike(r"^\s*\{") & one).otherwise(rest), F.lit(False))
 
 
 def sound_documents(items: DataFrame) -> DataFrame:
