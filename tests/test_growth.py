@@ -1,11 +1,17 @@
 """What keeps time and memory in proportion to the input: texts are read, kept and shuffled no more than needed."""
 
+import pathlib
+
 import numpy as np
 import pytest
+from pyspark.errors import AnalysisException
+from pyspark.sql import DataFrameWriter
 from pyspark.sql import functions as F
 
 from tidemark.operators import clean, features, svd, tfidf
 from tidemark.plans import features as plans
+from tidemark.session import shared_folder
+from tidemark.sources import tables
 
 
 @pytest.fixture
@@ -97,3 +103,32 @@ def test_only_wanted_columns_of_posts_are_shuffled(spark):
     windows = [n for n in nodes(found._jdf.queryExecution().optimizedPlan()) if n.nodeName() == "Window"]
     assert len(windows) == 1
     assert "content" not in [windows[0].output().apply(i).name() for i in range(windows[0].output().size())]
+
+
+@pytest.mark.parametrize("least", [1, 1 << 30])
+def test_csv_by_hashtag_shuffles_a_slice_at_a_time(spark, tmp_path, monkeypatch, least):
+    """Dealt out at once, all rows lie in a shuffle beside the files."""
+    monkeypatch.setattr(tables, "SLICE_BYTES", least)
+    monkeypatch.setattr(tables, "SLICES", 3)
+    texts = [(i, "x" if i % 2 else f"t{i % 5}" if i % 3 else None, f'a "{i}"', [f"p{i}", "q"]) for i in range(200)]
+    rows = spark.createDataFrame(texts, "no int, hashtag string, content string, l array<string>").repartition(6)
+    dealt, csv = [], DataFrameWriter.csv
+    monkeypatch.setattr(DataFrameWriter, "csv", lambda self, *a, **b: dealt.append(self._df.count()) or csv(self, *a, **b))
+    folder = str(tmp_path / "csv")
+    tables.write_csv_by_hashtag(rows, folder, compression="gzip")
+    assert sum(dealt) == 200 and (max(dealt) < 120 and len(dealt) <= 4 if least == 1 else dealt == [200])
+    back = spark.read.option("header", True).option("escape", '"').csv(folder).collect()
+    assert sorted((int(r["no"]), r["hashtag"], r["content"], r["l"]) for r in back) == [(i, t, c, ", ".join(l)) for i, t, c, l in texts]
+    files = [p.name for p in (tmp_path / "csv").rglob("part-*")]
+    assert files and all(name.endswith(".csv.gz") for name in files) and (tmp_path / "csv" / "_SUCCESS").exists()
+    assert not list(pathlib.Path(shared_folder(spark).removeprefix("file:")).glob("csv-rows-*"))
+    with pytest.raises(AnalysisException, match="PATH_ALREADY_EXISTS"):
+        tables.write_csv_by_hashtag(rows, folder)
+    tables.write_csv_by_hashtag(rows.limit(1), folder, "ignore")
+    assert spark.read.option("header", True).csv(folder).count() == 200
+    tables.write_csv_by_hashtag(rows.where("no < 3"), folder, "overwrite")
+    assert spark.read.option("header", True).csv(folder).count() == 3
+    tables.write_csv_by_hashtag(rows.where("no < 2"), folder, "append")
+    assert spark.read.option("header", True).csv(folder).count() == 5
+    tables.write_csv_by_hashtag(rows.limit(0), str(tmp_path / "none"))
+    assert (tmp_path / "none" / "_SUCCESS").exists()
