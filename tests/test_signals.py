@@ -1,10 +1,13 @@
 import random
-from datetime import datetime
+import re
+from collections import Counter
+from datetime import datetime, timedelta
 
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
+from registry import queries
 from tidemark.operators import bootstrap, buckets, features, series, summary
 
 
@@ -205,3 +208,38 @@ def test_downsample_computes_rows_once(spark):
     table = spark.range(500).select(F.timestamp_seconds("id").alias("timestamp"), unsteady("id").alias("signal"))
     found = series.downsample(table, 40, order_by=("timestamp", "signal")).collect()
     assert len(found) == 40
+
+
+def test_composite_query_blends_the_text_direction_too(spark, tmp_path):
+    """The query held against plain counting and power steps: 0.4 polarity, 0.3 engagement and 0.3 of the texts' leading direction."""
+    start = datetime(2024, 1, 1)
+    kinds = ["click", "view", "error"]
+    events = [(i, start + timedelta(minutes=7 * i), i % 5, kinds[i % 3], 1.5 * i, f'{{"k": {i % 4}}}') for i in range(40)]
+    documents = [(i, f"word{i % 4} up the hill word{i % 3}", ("de", "en")[i % 2], f"src{i % 3}", 30 + i) for i in range(24)]
+    turns = [(i, i % 3, ("user", "bot")[i % 2], f"say word{i % 5} again") for i in range(20)]
+    for name, rows, schema in (
+        ("events", events, "event_id long, ts timestamp, user_id long, event_type string, value double, props string"),
+        ("documents", documents, "doc_id long, text string, lang string, source string, n_chars long"),
+        ("conversations", turns, "conv_id long, turn long, role string, text string"),
+    ):
+        spark.createDataFrame(rows, schema).write.parquet(str(tmp_path / f"{name}.parquet"))
+    sf = str(tmp_path)
+    posts = queries.scored(spark, sf).select("source_file", "uid", "content", "polarity", "engagement").collect()
+    counts = []
+    for post in posts:
+        words = re.findall(r"\w+", post["content"].lower())
+        counts.append(Counter(words + [f"{a} {b}" for a, b in zip(words, words[1:])]))
+    terms = sorted(set().union(*counts))
+    tf = np.array([[c[t] for t in terms] for c in counts], dtype=float)
+    w = tf * (np.log((1 + len(tf)) / (1 + (tf > 0).sum(axis=0))) + 1)
+    w /= np.maximum(np.sqrt((w * w).sum(axis=1, keepdims=True)), 1e-300)
+    v = np.full(len(terms), len(terms) ** -0.5)
+    for _ in range(20):
+        v = w.T @ (w @ v)
+        v /= np.sqrt(v @ v)
+    parts = {"polarity": [p["polarity"] for p in posts], "engagement": [p["engagement"] for p in posts], "svd_1": w @ v}
+    z = {name: (np.array(x) - np.mean(x)) / np.std(x) for name, x in parts.items()}
+    blend = 0.4 * z["polarity"] + 0.3 * z["engagement"] + 0.3 * z["svd_1"]
+    expected = {(p["source_file"], p["uid"]): x for p, x in zip(posts, blend, strict=True)}
+    found = {(r["source_file"], r["uid"]): r["composite_signal"] for r in queries.QUERIES["composite_signal"](spark, sf).collect()}
+    assert found == pytest.approx(expected, abs=2e-6) and len(found) > 60
